@@ -6,9 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
+from .bpe_stream import encode_and_decode
+from .gif_media import media_features, store_media
+from .packing import pack
 from .quality_rules import quality_rules
 from .secret_scan import scan_secrets
 from .sharding import shard_by_bytes
+from .simple8b import read_token_files, write_token_files
+
+WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,17 +22,38 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base_spans"), 256).alias("base_sha256"), "spans", "n_lexed")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(common.load(spark, sf_dir), common.tokenizer_path(WORD_BPE), size=2048)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(common.load(spark, sf_dir))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = common.shared_dir(spark) + "/tokens"
+    write_token_files(common.load(spark, sf_dir), path, common.tokenizer_path(BYTE_BPE), end_id=0)
+    return read_token_files(spark, path)
+
+
+def op8_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = encode_and_decode(common.load(spark, sf_dir), common.tokenizer_path(WORD_BPE))
+    return both.select("doc_id", "n_tokens", F.sha2(F.col("ids"), 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_by_bytes(common.load(spark, sf_dir), shards=8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = media_features(store_media(common.load(spark, sf_dir)))
+    feature = F.concat_ws(";", F.col("n_frames").cast("string"), F.col("duration_cs").cast("string"), F.concat_ws(",", F.col("histogram").cast("array<string>")))
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secret_scan, op3_quality_rules, op9_sharding)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_best_fit_packing, op3_quality_rules, op4_token_files, op8_bpe_stream, op9_sharding, op10_gif_media)}
 
 
 def oracle_sql() -> dict[str, str]:
