@@ -12,12 +12,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word: a run of characters other than ASCII white space.
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Characters with Unicode's White_Space property, as a character class body.
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Lower-cases A-Z only.
-ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -66,6 +62,13 @@ def by_bytes(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]
         yield lo, len(texts)
 
 
+def words_of(text: str | None, lower: bool = False) -> list[bytes]:
+    """A text's words in UTF-8: bytes.split() cuts at exactly the six characters of ASCII white space, and
+    bytes.lower() changes A-Z alone."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    return (raw.lower() if lower else raw).split()
+
+
 class Hashes:
     """Words to 64-bit hashes, with a bounded memo."""
 
@@ -74,7 +77,7 @@ class Hashes:
 
         self.digest, self.most, self.seen = xxhash.xxh64_digest, most, {}
 
-    def of(self, words: list[str]) -> np.ndarray:
+    def of(self, words: list[bytes]) -> np.ndarray:
         seen = self.seen
         try:
             raw = b"".join(map(seen.__getitem__, words))
@@ -82,11 +85,21 @@ class Hashes:
             if len(seen) > self.most:
                 seen.clear()
             for w in set(words).difference(seen):
-                seen[w] = self.digest(w.encode("utf-8", "surrogatepass"))
+                seen[w] = self.digest(w)
             raw = b"".join(map(seen.__getitem__, words))
         return np.frombuffer(raw, dtype="<u8")
 
 
+_HASHES: list[Hashes] = []
+
+
+def hashes() -> Hashes:
+    """One memo for each Python worker."""
+    if not _HASHES:
+        _HASHES.append(Hashes())
+    return _HASHES[0]
+
+
 MIX1, MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
