@@ -24,14 +24,14 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/seatracks-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, path: str) -> DataFrame:
+def written(df: DataFrame, path: str, by: str | None = None, mode: str = "error") -> DataFrame:
     """Writes a table and rereads it: cuts the lineage, so a lost executor costs no recomputation."""
     spark = df.sparkSession
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key, None)
     try:
         spark.conf.set(key, "true")  # the shuffles behind a written table are of no further use
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.mode(mode).option("compression", "zstd").parquet(path, partitionBy=by)
     finally:
         spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
     return spark.read.schema(df.schema).parquet(path)

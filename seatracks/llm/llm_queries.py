@@ -14,6 +14,7 @@ from .quality_rules import quality_rules
 from .secret_scan import scan_secrets
 from .sharding import shard_by_bytes
 from .simple8b import read_token_files, write_token_files
+from .substring_dedup import substring_dedup
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -41,6 +42,10 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.load(spark, sf_dir))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(common.load(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op8_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = encode_and_decode(common.load(spark, sf_dir), common.tokenizer_path(WORD_BPE))
     return both.select("doc_id", "n_tokens", F.sha2(F.col("ids"), 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
@@ -58,7 +63,7 @@ def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secret_scan, op2_best_fit_packing, op3_quality_rules, op4_token_files, op6_minhash_near_dedup, op8_bpe_stream, op9_sharding, op10_gif_media)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_best_fit_packing, op3_quality_rules, op4_token_files, op6_minhash_near_dedup, op7_substring_dedup, op8_bpe_stream, op9_sharding, op10_gif_media)}
 
 
 def oracle_sql() -> dict[str, str]:
