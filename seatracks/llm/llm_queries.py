@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import common
 from .bpe_stream import encode_and_decode
 from .gif_media import media_features, store_media
+from .katz_lm import katz_scores
 from .near_dedup import near_duplicates
 from .packing import pack
 from .quality_rules import quality_rules
@@ -38,6 +39,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op5_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_scores(common.load(spark, sf_dir))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.load(spark, sf_dir))
 
@@ -63,7 +68,7 @@ def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secret_scan, op2_best_fit_packing, op3_quality_rules, op4_token_files, op6_minhash_near_dedup, op7_substring_dedup, op8_bpe_stream, op9_sharding, op10_gif_media)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_best_fit_packing, op3_quality_rules, op4_token_files, op5_katz_lm, op6_minhash_near_dedup, op7_substring_dedup, op8_bpe_stream, op9_sharding, op10_gif_media)}
 
 
 def oracle_sql() -> dict[str, str]:
