@@ -26,7 +26,9 @@ CUTS = (1 / 16, 1 / 8)
 SLICE = "kind int, bucket int, docs binary, keys binary, starts binary, hashes binary, checks binary, places binary"
 _NAMES = [x.split()[0] for x in SLICE.split(", ")]
 _SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), *[(n, pa.binary()) for n in _NAMES[2:]]])
-#: Kinds of rows: a batch's slice, a run's slice (with owners in ``docs``), and the matches of a document.
+#: A run: sorted hashes, their checks and owners of each bucket.
+RUNS = "bucket int, x binary, y binary, z binary"
+#: Kinds of rows: a batch's slice, and a run's slice (with owners in ``docs``).
 BATCH, RUN = 0, 1
 
 
@@ -90,10 +92,11 @@ def _merged(h: np.ndarray, c: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray,
     return order, np.cumsum(new) - 1, h[first], c[first], np.minimum.reduceat(doc, first) if len(first) else doc
 
 
-MATCHED = "kind int, bucket int, doc_id long, key long, places binary, hashes binary, checks binary, owners binary"
+#: Matches: documents, their keys and places; a run's slice: hashes, checks and owners.
+MATCHED = "kind int, bucket int, home int, x binary, y binary, z binary"
 
 
-def _merge_join(table: pa.Table) -> pa.Table:
+def _merge_join(table: pa.Table, buckets: int, keep: bool) -> pa.Table:
     """One bucket: the matches of the batch's documents, and the batch's slice of its run."""
     get = {n: table.column(n).to_pylist() for n in _NAMES}
     h, c, owner, ids, keys, doc_of, place = [], [], [], [], [], [], []
@@ -123,28 +126,40 @@ def _merge_join(table: pa.Table) -> pa.Table:
     hit_doc, hit_place = sorted_doc[hit], np.concatenate(place)[order][hit]
     by = np.lexsort((hit_place, hit_doc))
     hit_doc, hit_place = hit_doc[by], hit_place[by].astype("<u4")
-    cut = np.flatnonzero(np.diff(hit_doc, prepend=-1)).tolist() if len(hit_doc) else []
-    docs_hit = hit_doc[cut]
     all_ids, all_keys = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (ids, keys))
-    n = len(cut)
-    places = [hit_place[i:j].tobytes() for i, j in zip(cut, [*cut[1:], len(hit_place)], strict=True)] if n else []
+    # matches leave in one piece for each home of documents, in order of document and place
+    doc_ids, doc_keys = all_ids[hit_doc], all_keys[hit_doc]
+    home = _home(doc_ids, doc_keys, buckets)
+    by = np.argsort(home, kind="stable")
+    cut = [0, *np.flatnonzero(np.diff(home[by])) + 1, len(by)] if len(by) else [0]
+    rows = [(BATCH, bucket, int(home[k[0]]), common.packed(doc_ids[k]), common.packed(doc_keys[k]), common.packed(hit_place[k])) for k in (by[i:j] for i, j in zip(cut, cut[1:], strict=False))]
     mine = np.zeros(len(gh), bool)
     mine[group[own]] = True
-    run = [common.packed(gh[mine]), common.packed(gc[mine]), common.packed(least[mine].astype("<i8"))] if mine.any() else None
-    more = int(run is not None)
-    cols = [
-        pa.array([BATCH] * n + [RUN] * more, pa.int32()), pa.array([bucket] * (n + more), pa.int32()),
-        pa.array([*all_ids[docs_hit].tolist(), *[None] * more], pa.int64()), pa.array([*all_keys[docs_hit].tolist(), *[None] * more], pa.int64()), pa.array([*places, *[None] * more], pa.binary()),
-        *[pa.array([*[None] * n, *([run[k]] if run else [])], pa.binary()) for k in range(3)],
-    ]
-    return pa.Table.from_arrays(cols, ["kind", "bucket", "doc_id", "key", "places", "hashes", "checks", "owners"])
+    if keep and mine.any():
+        rows.append((RUN, bucket, None, common.packed(gh[mine]), common.packed(gc[mine]), common.packed(least[mine].astype("<i8"))))
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, (pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 3), strict=True)], ["kind", "bucket", "home", "x", "y", "z"])
+
+
+def _home(doc_ids: np.ndarray, keys: np.ndarray, homes: int) -> np.ndarray:
+    return (common.mix(doc_ids.astype(np.uint64) ^ keys.astype(np.uint64)) % np.uint64(homes)).astype(np.int64)
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """One home: the places of repeated windows of each of its documents."""
+    doc, key = (np.concatenate([common.unpacked(x, "<i8") for x in table.column(n).to_pylist()]) for n in "xy")
+    place = np.concatenate([common.unpacked(x, "<u4") for x in table.column("z").to_pylist()])
+    order = np.lexsort((place, key, doc))
+    doc, key, place = doc[order], key[order], place[order]
+    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])]))
+    places = [place[i:j].tobytes() for i, j in zip(first.tolist(), [*first[1:].tolist(), len(place)], strict=True)]
+    return pa.Table.from_arrays([pa.array(doc[first]), pa.array(key[first]), pa.array(places, pa.binary())], ["doc_id", "key", "places"])
 
 
 def _compact(table: pa.Table) -> pa.Table:
-    get = {n: table.column(n).to_pylist() for n in ("bucket", "hashes", "checks", "owners")}
-    h, c, o = (np.concatenate([common.unpacked(x, t) for x in get[n]]) for n, t in (("hashes", "<u8"), ("checks", "<u2"), ("owners", "<i8")))
+    get = {n: table.column(n).to_pylist() for n in ("bucket", "x", "y", "z")}
+    h, c, o = (np.concatenate([common.unpacked(x, t) for x in get[n]]) for n, t in (("x", "<u8"), ("y", "<u2"), ("z", "<i8")))
     _, _, gh, gc, least = _merged(h, c, o)
-    return pa.Table.from_arrays([pa.array([get["bucket"][0]], pa.int32()), *[pa.array([common.packed(x)], pa.binary()) for x in (gh, gc, least.astype("<i8"))]], ["bucket", "hashes", "checks", "owners"])
+    return pa.Table.from_arrays([pa.array([get["bucket"][0]], pa.int32()), *[pa.array([common.packed(x)], pa.binary()) for x in (gh, gc, least.astype("<i8"))]], ["bucket", "x", "y", "z"])
 
 
 class FingerprintIndex:
@@ -156,28 +171,28 @@ class FingerprintIndex:
         self.steps = 0
 
     def _run(self, path: str) -> DataFrame:
-        return self.spark.read.schema("bucket int, hashes binary, checks binary, owners binary").parquet(path)
+        return self.spark.read.schema(RUNS).parquet(path)
 
     def add(self, docs: DataFrame, keep: bool = True) -> DataFrame:
-        """Matches a batch (doc_id, text, key); returns doc_id, key and the places of windows that also start in a
-        document with a smaller doc_id, in parts. ``keep`` makes the batch's windows the next run."""
+        """Matches a batch (doc_id, text, key); returns the places of windows that also start in a document with a
+        smaller doc_id, packed, for ``gathered``. ``keep`` makes the batch's windows the next run."""
         rows = slices(docs, self.buckets)
         empty = F.lit(None).cast("binary")
         for path in self.runs:
-            run = self._run(path).select(F.lit(RUN).alias("kind"), "bucket", F.col("owners").alias("docs"), empty.alias("keys"), empty.alias("starts"), "hashes", "checks", empty.alias("places"))
+            run = self._run(path).select(F.lit(RUN).alias("kind"), "bucket", F.col("z").alias("docs"), empty.alias("keys"), empty.alias("starts"), F.col("x").alias("hashes"), F.col("y").alias("checks"), empty.alias("places"))
             rows = rows.union(run)
         self.steps += 1
         path = f"{self.home}/step-{self.steps}"
-        out = rows.groupBy("bucket").applyInArrow(_merge_join, MATCHED)
-        out = out if keep else out.where(F.col("kind") == BATCH)
+        buckets = self.buckets
+        out = rows.groupBy("bucket").applyInArrow(lambda t: _merge_join(t, buckets, keep), MATCHED)
         common.written(out, path, "kind")
         found = self.spark.read.schema(MATCHED).parquet(path)
         if keep:
             self.runs.append(f"{path}/kind={RUN}")
-            common.written(found.where(F.col("kind") == RUN).select("bucket", "hashes", "checks", "owners").limit(0), self.runs[-1], mode="append")  # there even if no document has a window
+            common.written(found.where("false").select("bucket", "x", "y", "z"), self.runs[-1], mode="append")  # there even if no document has a window
             if len(self.runs) >= FAN:
                 self.compact()
-        return found.where(F.col("kind") == BATCH).select("doc_id", "key", "places")
+        return found.where(F.col("kind") == BATCH).select("home", "x", "y", "z")
 
     def compact(self) -> None:
         """All runs into one; the old runs stay as they are."""
@@ -185,12 +200,17 @@ class FingerprintIndex:
         for path in self.runs[1:]:
             merged = merged.union(self._run(path))
         path = f"{self.home}/run-{self.steps}"
-        common.written(merged.groupBy("bucket").applyInArrow(_compact, "bucket int, hashes binary, checks binary, owners binary"), path)
+        common.written(merged.groupBy("bucket").applyInArrow(_compact, RUNS), path)
         self.runs = [path]
 
 
+def gathered(found: DataFrame) -> DataFrame:
+    """doc_id, key and places of all documents of the matches of one or more batches."""
+    return found.groupBy("home").applyInArrow(_gather, "doc_id long, key long, places binary")
+
+
 def repeats(docs: DataFrame, cuts: tuple[float, ...] = CUTS) -> DataFrame:
-    """doc_id, key and parts (lists of places of repeated windows) of the documents that have any.
+    """doc_id, key and the places of repeated windows of the documents that have any.
 
     The table is taken in batches of rising doc_id. The last batch makes no run, as nothing follows it.
     """
@@ -205,16 +225,15 @@ def repeats(docs: DataFrame, cuts: tuple[float, ...] = CUTS) -> DataFrame:
         batch = batch if hi is None else batch.where(F.col("doc_id") <= F.lit(int(hi)))
         part = index.add(batch, keep=hi is not None)
         found = part if found is None else found.union(part)
-    grouped = found.groupBy("doc_id", "key").agg(F.collect_list("places").alias("parts"))
-    return common.written(grouped.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), F.col("parts").alias("_parts")), f"{home}/repeats")
+    return common.written(gathered(found).select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), F.col("places").alias("_places")), f"{home}/repeats")
 
 
-def kept_words(text: str | None, parts: list[bytes] | None) -> tuple[list[bytes], int]:
+def kept_words(text: str | None, places: bytes | None) -> tuple[list[bytes], int]:
     """The words outside the repeated windows, and the number of all words."""
     words = common.words_of(text)
-    if not parts:
+    if not places:
         return words, len(words)
-    at = np.unique(np.concatenate([np.frombuffer(p, "<u4") for p in parts])).astype(np.int64)
+    at = np.unique(np.frombuffer(places, "<u4")).astype(np.int64)
     edge = np.zeros(len(words) + WINDOW + 1, np.int64)
     edge[at] += 1
     edge[at + WINDOW] -= 1
@@ -228,13 +247,13 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     Null and short texts keep all they have. A row without doc_id is neither changed nor a source. Rows of one doc_id
     don't count as each other's source. Other columns are ignored; an empty table gives an empty result.
     """
-    joined = common.id_text(docs).withColumn("_k", F.xxhash64("text")).join(repeats(docs), (F.col("doc_id") == F.col("_doc")) & (F.col("_k") == F.col("_key")), "left").select("doc_id", "text", "_parts")
+    joined = common.id_text(docs).withColumn("_k", F.xxhash64("text")).join(repeats(docs), (F.col("doc_id") == F.col("_doc")) & (F.col("_k") == F.col("_key")), "left").select("doc_id", "text", "_places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
-                ids, texts, parts = (batch.column(k).slice(lo, 512) for k in range(3))
-                rows = [(n, n - len(w), b" ".join(w)) for w, n in (kept_words(t.as_py(), p.as_py()) for t, p in zip(texts, parts, strict=True))]
+                ids, texts, places = (batch.column(k).slice(lo, 512) for k in range(3))
+                rows = [(n, n - len(w), b" ".join(w)) for w, n in (kept_words(t.as_py(), p.as_py()) for t, p in zip(texts, places, strict=True))]
                 yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)]], ["doc_id", "n_words", "n_removed", "kept"])
 
     return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept binary")

@@ -48,7 +48,7 @@ def test_index_over_many_batches_in_any_order(spark, tmp_path):
     index.add(docs.where("doc_id < 20"))
     index.add(docs.where("doc_id between 20 and 70"))
     assert len(index.runs) == 1  # compacted
-    found = index.add(docs.where("doc_id > 70"), keep=False).groupBy("doc_id").agg(F.collect_list("places").alias("p")).collect()
+    found = S.gathered(index.add(docs.where("doc_id > 70"), keep=False)).collect()
     text = {r[0]: r[1] for r in data}
-    got = {r.doc_id: len(S.common.words_of(text[r.doc_id])) - len(S.kept_words(text[r.doc_id], r.p)[0]) for r in found}
+    got = {r.doc_id: len(S.common.words_of(text[r.doc_id])) - len(S.kept_words(text[r.doc_id], r.places)[0]) for r in found}
     assert got == {d: n for d, _, n, _ in brute(data) if d > 70 and n}
