@@ -183,9 +183,8 @@ def decode(packets: DataFrame, types: Sequence[int] | None = None, scaled: bool
     """
     ready = typed(packets, types)
     bad = F.col("bogon") | F.col("reject_reason").isNotNull()
-    if mode == "failfast":
-        ready = ready.withColumn("bits", F.when(bad, F.raise_error(F.concat(F.lit("rejected message: "), "raw")).cast("string")).otherwise(F.col("bits")))
-    good = ready.where(~bad)
+    raised = F.raise_error(F.concat(F.lit("rejected message: "), "raw")).cast("boolean")
+    good = ready.where(F.when(bad, raised).otherwise(F.lit(True)) if mode == "failfast" else ~bad)
     out = {}
     for name, (of, fs) in LAYOUTS.items():
         if types and not set(of) & set(types):

@@ -35,7 +35,7 @@ class Grid:
 
 def make_grid(spark: SparkSession, minlon: float, maxlon: float, minlat: float, maxlat: float, epsg: int, size: float) -> Grid:
     """The grid of whole cells that covers the projected corners, centred on their middle."""
-    corners = spark.createDataFrame([(x, y) for x in (minlon, maxlon) for y in (minlat, maxlat)], "lon double, lat double")
+    corners = spark.createDataFrame([(float(x), float(y)) for x in (minlon, maxlon) for y in (minlat, maxlat)], "lon double, lat double")
     x, y = geo.project_point("lon", "lat", epsg)
     b = corners.select(x.alias("x"), y.alias("y")).agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).first()
     nx, ny = (math.ceil(abs(hi - lo) / size) for lo, hi in ((b.x0, b.x1), (b.y0, b.y1)))
