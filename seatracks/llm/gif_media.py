@@ -32,6 +32,10 @@ def _widths(low: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 WIDTHS = {low: _widths(low) for low in range(2, 9)}
+MASKS = {low: (1 << w) - 1 for low, (w, _) in WIDTHS.items()}
+#: What codes stand for right after a clear code.
+SINGLE = {low: [*(bytes([i]) for i in range(1 << low)), b"", b""] for low in range(2, 9)}
+_TWELVE = np.arange(12)
 
 
 def lzw_codes(samples: bytes, low: int) -> list[int]:
@@ -40,18 +44,19 @@ def lzw_codes(samples: bytes, low: int) -> list[int]:
     out, table, free = [clear], {}, clear + 2
     if not samples:
         return [clear, clear + 1]
-    prefix = samples[0]
+    prefix, get, put = samples[0], table.get, out.append
     for c in samples[1:]:
         key = prefix << 8 | c
-        code = table.get(key)
+        code = get(key)
         if code is None:
-            out.append(prefix)
+            put(prefix)
             if free < FULL - 1:
                 table[key] = free
                 free += 1
             else:
-                out.append(clear)
+                put(clear)
                 table, free = {}, clear + 2
+                get = table.get
             prefix = c
         else:
             prefix = code
@@ -67,13 +72,8 @@ def lzw_encode(samples: bytes, low: int = 8) -> bytes:
     since = np.arange(len(codes)) - cuts[np.searchsorted(cuts, np.arange(len(codes)), side="left") - 1] - 1
     since[0] = 0
     bits = width[since]
-    ends = np.cumsum(bits)
-    at = ends - bits
-    out = np.zeros(int(ends[-1] + 7) // 8 + 3, np.uint8)
-    shifted = codes << (at & 7)
-    for k in range(3):
-        np.bitwise_or.at(out, (at >> 3) + k, ((shifted >> (8 * k)) & 255).astype(np.uint8))
-    return out[: int(ends[-1] + 7) // 8].tobytes()
+    each = (codes[:, None] >> _TWELVE).astype(np.uint8) & 1
+    return np.packbits(each[_TWELVE < bits[:, None]], bitorder="little").tobytes()
 
 
 def lzw_decode(data: bytes, low: int, most: int) -> bytes:
@@ -82,13 +82,13 @@ def lzw_decode(data: bytes, low: int, most: int) -> bytes:
     three = raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16
     width, place = WIDTHS[low]
     clear, stop, at, total = 1 << low, (1 << low) + 1, 0, 8 * len(data)
-    base = [bytes([i]) for i in range(clear)] + [b"", b""]
+    base, mask = SINGLE[low], MASKS[low]
     out: list[bytes] = []
     have, more = 0, True
     while more and at + low < total and have < most:
         n = int(np.searchsorted(place, total - at, side="right")) - 1
         bit = at + place[:n]
-        codes = (three[bit >> 3] >> (bit & 7)) & ((1 << width[:n]) - 1)
+        codes = (three[bit >> 3] >> (bit & 7)) & mask[:n]
         marks = np.flatnonzero((codes == clear) | (codes == stop))
         end = int(marks[0]) if len(marks) else n
         if len(marks):
@@ -104,21 +104,22 @@ def lzw_decode(data: bytes, low: int, most: int) -> bytes:
         table, free = base.copy(), clear + 2
         last = table[run[0]]
         out.append(last)
-        have += len(last)
+        add, put = table.append, out.append
         for c in run[1:]:
             if c < free:
                 now = table[c]
                 if free < FULL:
-                    table.append(last + now[:1])
+                    add(last + now[:1])
                     free += 1
             elif c == free and free < FULL:
                 now = last + last[:1]
-                table.append(now)
+                add(now)
                 free += 1
             else:
                 raise ValueError("a code ahead of its table")
-            out.append(now)
+            put(now)
             last = now
+        have = sum(map(len, out))
     return b"".join(out)[:most]
 
 
@@ -199,8 +200,7 @@ def stored(payload: bytes) -> bytes:
 
 def samples(canvas: np.ndarray) -> bytes:
     """The stored samples of a canvas, from its colours."""
-    r, g, b = (canvas[..., k].astype(np.uint16) for k in range(3))
-    return (((r * 7 + 254) // 255) << 5 | ((g * 7 + 254) // 255) << 2 | b // 85).astype(np.uint8).tobytes()
+    return ((canvas[..., 0] & 0xE0) | (canvas[..., 1] >> 5) << 2 | canvas[..., 2] >> 6).tobytes()
 
 
 def padded(text: str | None) -> bytes:
