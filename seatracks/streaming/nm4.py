@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.decode import decode_positions, type_histogram, verify_sentences
 from ..sources.readers import sentences
@@ -37,45 +37,39 @@ def stream_histogram(packets: DataFrame) -> DataFrame:
 
 
 PART = "path string, channel string, line_no long, raw string, payload string, pad int, date string"
-
-
-class _Assembler(StatefulProcessor):
-    """Holds the parts of each channel's open message; they expire with the state's time to live."""
-
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getValueState("open", "n int, have int, raw string, payload string, date string", ttlDurationMs=self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        out = []
-        state = self.open.get() if self.open.exists() else None
-        for row in pd.concat(list(rows)).sort_values("line_no").itertuples(index=False):
-            if row.fragment == 1:
-                state = (row.fragments, 1, row.sentence, row.payload, row.date)
-            elif state and row.fragment == state[1] + 1 and row.fragments == state[0]:
-                state = (state[0], state[1] + 1, f"{state[2]}\n{row.sentence}", state[3] + row.payload, state[4])
-            else:
-                state = None
-            if state and state[1] == state[0]:
-                out.append((key[0], key[1], row.line_no, state[2], state[3], row.pad, state[4]))
-                state = None
-        if state:
-            self.open.update(tuple(int(x) if i < 2 else x for i, x in enumerate(state)))
+OPEN = "n int, have int, raw string, payload string, date string"
+
+
+def _assemble(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, ttl_ms: int) -> Iterator[pd.DataFrame]:
+    """Parts of one path and channel in order; the state is the open message, which expires after ``ttl_ms``."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    held, out = (state.get if state.exists else None), []
+    for row in pd.concat(list(frames)).sort_values("line_no").itertuples(index=False):
+        if row.fragment == 1:
+            held = (row.fragments, 1, row.sentence, row.payload, row.date)
+        elif held and row.fragment == held[1] + 1 and row.fragments == held[0]:
+            held = (held[0], held[1] + 1, f"{held[2]}\n{row.sentence}", held[3] + row.payload, held[4])
         else:
-            self.open.clear()
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in PART.split(", ")])
-
-    def close(self) -> None:
-        pass
+            held = None
+        if held and held[1] == held[0]:
+            out.append((key[0], key[1], row.line_no, held[2], held[3], row.pad, held[4]))
+            held = None
+    if held:
+        state.update((int(held[0]), int(held[1]), *held[2:]))
+        state.setTimeoutDuration(ttl_ms)
+    elif state.exists:
+        state.remove()
+    yield pd.DataFrame(out, columns=[c.split()[0] for c in PART.split(", ")])
 
 
 def stream_assembled(stream: DataFrame, ttl_s: int = 3600) -> DataFrame:
     """Messages of several sentences, with the open parts of each path and channel as state."""
     ok, _ = verify_sentences(stream)
     parts = ok.where("fragments > 1").groupBy("path", "channel")
-    return parts.transformWithStateInPandas(statefulProcessor=_Assembler(ttl_s * 1000), outputStructType=PART, outputMode="Append", timeMode="ProcessingTime").select("path", "line_no", "raw", "payload", "pad", "date")
+    run = lambda key, frames, state: _assemble(key, frames, state, ttl_s * 1000)
+    return parts.applyInPandasWithState(run, PART, OPEN, "append", GroupStateTimeout.ProcessingTimeTimeout).select("path", "line_no", "raw", "payload", "pad", "date")
 
 
 def run_available(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
@@ -86,5 +80,11 @@ def run_available(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
         writer = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
     else:
         writer = writer.format("parquet").option("path", out)
-    writer.start().awaitTermination()
+    conf, key = df.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(key)
+    conf.set(key, "false")  # state with a time to live would otherwise ask for empty batches for ever
+    try:
+        writer.start().awaitTermination()
+    finally:
+        conf.set(key, before)
     return df.sparkSession.read.schema(df.schema).parquet(out)
