@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import unicodedata
 import uuid
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -147,48 +149,103 @@ def unpacked(raw: bytes, dtype: str) -> np.ndarray:
     return unplanes(zstandard.ZstdDecompressor().decompress(raw), dtype)
 
 
+#: Fixed value: how byte-level tokenizers cut text before merging, where their file names no pattern.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_symbols() -> list[str]:
+    """The character that stands for each byte: printable ones for themselves, the others from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out, k = [""] * 256, 256
+    for b in range(256):
+        if b in shown:
+            out[b] = chr(b)
+        else:
+            out[b], k = chr(k), k + 1
+    return out
+
+
+SYMBOLS = byte_symbols()
+_SYMBOL_OF = dict(enumerate(SYMBOLS))
+
+
+def composed(text: str) -> str:
+    """Composed and lower-cased letter by letter (a final sigma as any other)."""
+    return text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
 class Chunks:
     """Encodes whole texts with the tokenizers library by way of their distinct chunks.
 
-    A chunk is cut where no token can cross: at white space, which a byte-level tokenizer keeps as one leading
-    space or as runs of its own. The memo of chunks is bounded; texts that hold a special token's string go through
-    the library as they are.
+    A chunk is cut where no token can cross: at white space, which a byte-level tokenizer keeps as one leading space or
+    as runs of its own. A new chunk is cut into words by the tokenizer's pattern and each word goes to the library's
+    model. The memos of chunks and words are bounded; texts that hold a special token's string go through the library
+    as they are.
     """
 
     def __init__(self, path: str, most: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import json
 
+        import regex
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.model = self.tok.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         keeps = spec.get("normalizer") is None
+        self.ready = str if keeps else composed
         self.find = re.compile(f"[{SPACE}]+(?![^{SPACE}])| ?[^{SPACE}]+|[{SPACE}]+" if keeps else f"[^{SPACE}]+").findall
+        self.cut = regex.compile(BYTE_LEVEL if keeps else spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.most, self.seen = most, {}
+        self.most, self.seen, self.once, self.words = most, {}, {}, {}
 
     def library(self, texts: Iterable[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(list(texts), add_special_tokens=False)]
 
+    def part(self, chunk: str) -> bytes:
+        out = []
+        for w in self.cut(self.ready(chunk)):
+            ids = self.words.get(w)
+            if ids is None:
+                spelt = w.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SYMBOL_OF)
+                ids = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+                if len(w) <= 64:
+                    self.words[w] = ids
+            out.append(ids)
+        return b"".join(out)
+
     def one(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
+        """The ids of a text as little-endian unsigned 32-bit integers.
+
+        A chunk enters the lasting memo when it is met again, so that rare ones don't push out frequent ones.
+        """
         if any(s in text for s in self.special):
             return self.library([text])[0]
-        found, seen = self.find(text), self.seen
+        found, seen, once = self.find(text), self.seen, self.once
         try:
             return b"".join(map(seen.__getitem__, found))
         except KeyError:
             pass
         if len(seen) > self.most:
             seen.clear()
-        new = list(set(found).difference(seen))
-        long = {w: b for w, b in zip(new, self.library(new), strict=True)}
-        seen.update((w, b) for w, b in long.items() if len(w) <= 64)
-        return b"".join([seen.get(w) or long.get(w, b"") for w in found])
+        if len(once) > self.most:
+            once.clear()
+        if len(self.words) > self.most:
+            self.words.clear()
+        here = {}
+        for w in set(found).difference(seen):
+            ids = once.pop(w, None)
+            if ids is None:
+                here[w] = ids = self.part(w)
+                if len(w) <= 64:
+                    once[w] = ids
+            else:
+                seen[w] = ids
+        return b"".join([seen[w] if w in seen else here[w] for w in found])
 
 
 _CHUNKS: dict[str, Chunks] = {}
