@@ -12,7 +12,6 @@ import codecs
 import heapq
 import json
 import re
-import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,21 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import common
-
-
-def byte_symbols() -> list[str]:
-    """The character that stands for each byte: printable ones for themselves, the others from 256 on."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    out, k = [""] * 256, 256
-    for b in range(256):
-        if b in shown:
-            out[b] = chr(b)
-        else:
-            out[b], k = chr(k), k + 1
-    return out
-
-
-SYMBOLS = byte_symbols()
+from .common import SYMBOLS
 
 
 def lookahead(merges: list[tuple[str, str]], suffix: str) -> int:
@@ -57,7 +42,7 @@ def lookahead(merges: list[tuple[str, str]], suffix: str) -> int:
 class Transducer:
     """Encodes texts for a tokenizer file whose model is BPE over byte symbols with an end-of-word suffix."""
 
-    def __init__(self, path: str, memo: int = 250_000):
+    def __init__(self, path: str, memo: int = 400_000):
         import regex
 
         with open(path, encoding="utf-8") as f:
@@ -73,7 +58,7 @@ class Transducer:
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
         self.chunk = re.compile(f"[^{common.SPACE}]+").findall
-        self.most, self.seen, self.word_seen = memo, {}, {}
+        self.most, self.seen, self.once, self.word_seen = memo, {}, {}, {}
 
     def merge(self, sym: list[str]) -> list[str]:
         """All merges of a list of symbols, always the lowest rank, leftmost first."""
@@ -135,9 +120,7 @@ class Transducer:
 
     def part(self, chunk: str) -> bytes:
         """The ids of text without white space: composed, lower-cased letter by letter, and cut into words."""
-        if not chunk.isascii():
-            chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
-        return b"".join(map(self.word, self.words(chunk.lower())))
+        return b"".join(map(self.word, self.words(common.composed(chunk))))
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit integers."""
@@ -155,18 +138,23 @@ class Transducer:
             return b"".join(map(seen.__getitem__, found))
         except KeyError:
             pass
-        if len(seen) > self.most or len(self.word_seen) > self.most:
+        # a chunk enters the lasting memo when it is met again, so that rare ones don't push out frequent ones
+        once, here = self.once, {}
+        if len(seen) > self.most:
             seen.clear()
+        if len(once) > self.most:
+            once.clear()
+        if len(self.word_seen) > self.most:
             self.word_seen.clear()
-        out = []
-        for w in found:
-            ids = seen.get(w)
+        for w in set(found).difference(seen):
+            ids = once.pop(w, None)
             if ids is None:
-                ids = self.part(w)
+                here[w] = ids = self.part(w)
                 if len(w) <= 64:
-                    seen[w] = ids
-            out.append(ids)
-        return b"".join(out)
+                    once[w] = ids
+            else:
+                seen[w] = ids
+        return b"".join([seen[w] if w in seen else here[w] for w in found])
 
 
 class TextMachine:
