@@ -113,7 +113,7 @@ def _ee(spark: SparkSession, d: str) -> DataFrame:
         "mmsi": F.col("mmsi").cast("string"), "message_id": (F.col("event_id") % 27 + 1).cast("string"), "time": F.date_format("time", "yyyyMMdd_HHmmss"), "sog": F.col("sog").cast("string"), "longitude": F.when(F.col("event_id") % 31 == 0, "x").otherwise(F.col("longitude").cast("string")),
         "latitude": F.col("latitude").cast("string"), "channel": F.lit("A"), "data": F.concat(F.lit("d"), F.col("event_id").cast("string")), "destination_id": (F.col("event_id") % 9).cast("string"),
     }
-    return p.select(F.lit("exactEarth_historical_data_2015-01-02.csv").alias("path"), F.col("event_id").alias("line_no"), *[own.get(c, F.lit(None).cast("string")).alias(c) for c in EE_COLUMNS])
+    return p.select(F.lit("provider_history_2015-01-02.csv").alias("path"), F.col("event_id").alias("line_no"), *[own.get(c, F.lit(None).cast("string")).alias(c) for c in EE_COLUMNS])
 
 
 def q_ee_split_counts(spark: SparkSession, d: str) -> DataFrame:
