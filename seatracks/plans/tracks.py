@@ -13,7 +13,8 @@ from ..schema import PING_COLUMNS
 from .pings import PINGS, pings
 
 GAP_S, MAX_KPH, TIES = 86400.0, 160.0, ("event_id",)
-#: The grid of the queries: a tenth of a degree over the reports' home waters.
+#: The grid of the queries whose SQL has it: a tenth of a degree over the reports' home waters. Those named _whole have
+#: one over everything.
 GRID = G.Grid(-63.05, 43.95, 0.1, 7, 5)
 
 
@@ -88,27 +89,68 @@ def q_grid_cells(spark: SparkSession, d: str) -> DataFrame:
     return _r(out.select("cell_id", "ix", "iy", "xmin", "ymin", "xmax", "ymax", F.coalesce("n", F.lit(0)).alias("n_pings")), "xmin", "ymin", "xmax", "ymax")
 
 
-def _interp(spark: SparkSession, d: str) -> DataFrame:
-    return G.grid_interpolate_time(_segments(spark, d), GRID, "sogpt1", "sogpt2", "st_date", "en_date")
+def _whole_grid(spark: SparkSession, d: str) -> G.Grid:
+    """A grid with cells of GRID's size over the extent of all reports in range, and so of all segments, with half a
+    cell around it: none lies on its border."""
+    seen = pings(spark, d).where((F.abs("latitude") <= 90) & (F.abs("longitude") <= 180))
+    b = seen.agg(F.min("longitude").alias("x0"), F.max("longitude").alias("x1"), F.min("latitude").alias("y0"), F.max("latitude").alias("y1")).first()
+    half = GRID.size / 2
+    return GRID if b.x0 is None else G.make_grid(spark, b.x0 - half, b.x1 + half, b.y0 - half, b.y1 + half, GRID.epsg, GRID.size)
 
 
-def q_grid_lengths(spark: SparkSession, d: str) -> DataFrame:
+def _interp(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
+    return G.grid_interpolate_time(_segments(spark, d), grid, "sogpt1", "sogpt2", "st_date", "en_date")
+
+
+def _grid_lengths(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
     lines = _segments(spark, d).withColumn("vertices", F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))))
-    out = G.grid_length(lines, GRID, ("mmsi", "track_id")).where("grd_len_km > 1e-9")
+    out = G.grid_length(lines, grid, ("mmsi", "track_id")).where("grd_len_km > 1e-9")
     return _r(out.select("mmsi", "track_id", "grid_id", "grd_len_km"), "grd_len_km")
 
 
-def q_grid_interp(spark: SparkSession, d: str) -> DataFrame:
-    out = G.grid_interpolate(_segments(spark, d), GRID, "sogpt1", "sogpt2").where("grd_len_km > 1e-9")
+def _grid_interp(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
+    out = G.grid_interpolate(_segments(spark, d), grid, "sogpt1", "sogpt2").where("grd_len_km > 1e-9")
     return _r(out.select("mmsi", "track_id", "grid_id", "interp"), "interp")
 
 
+def _grid_interp_time(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
+    return _r(_interp(spark, d, grid).where("grd_len_km > 1e-9").select("mmsi", "track_id", "grid_id", "interp", "interp_time", "grd_len_km"), "interp", "grd_len_km")
+
+
+def _grid_density(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
+    return _r(G.grid_density(_interp(spark, d, grid).where("grd_len_km > 1e-9")), "total_len_km", "avg_value")
+
+
+def q_grid_lengths(spark: SparkSession, d: str) -> DataFrame:
+    return _grid_lengths(spark, d, GRID)
+
+
+def q_grid_interp(spark: SparkSession, d: str) -> DataFrame:
+    return _grid_interp(spark, d, GRID)
+
+
 def q_grid_interp_time(spark: SparkSession, d: str) -> DataFrame:
-    return _r(_interp(spark, d).where("grd_len_km > 1e-9").select("mmsi", "track_id", "grid_id", "interp", "interp_time", "grd_len_km"), "interp", "grd_len_km")
+    return _grid_interp_time(spark, d, GRID)
 
 
 def q_grid_density(spark: SparkSession, d: str) -> DataFrame:
-    return _r(G.grid_density(_interp(spark, d).where("grd_len_km > 1e-9")), "total_len_km", "avg_value")
+    return _grid_density(spark, d, GRID)
+
+
+def q_grid_lengths_whole(spark: SparkSession, d: str) -> DataFrame:
+    return _grid_lengths(spark, d, _whole_grid(spark, d))
+
+
+def q_grid_interp_whole(spark: SparkSession, d: str) -> DataFrame:
+    return _grid_interp(spark, d, _whole_grid(spark, d))
+
+
+def q_grid_interp_time_whole(spark: SparkSession, d: str) -> DataFrame:
+    return _grid_interp_time(spark, d, _whole_grid(spark, d))
+
+
+def q_grid_density_whole(spark: SparkSession, d: str) -> DataFrame:
+    return _grid_density(spark, d, _whole_grid(spark, d))
 
 
 def q_legacy_p2p(spark: SparkSession, d: str) -> DataFrame:
