@@ -13,7 +13,7 @@ from ..operators import encode as E
 from ..operators import normalize as N
 from ..sources.readers import EE_COLUMNS, read_nm4, receiver_dates
 from ..sources.writers import format_messages
-from ..streaming.nm4 import run_available, stream_histogram, stream_nm4, stream_packets, stream_positions
+from ..streaming.nm4 import run_available, stream_assembled, stream_histogram, stream_nm4, stream_packets, stream_positions
 from .pings import PINGS, pings
 
 def _date() -> Column:
@@ -128,6 +128,11 @@ def q_packed_other(spark: SparkSession, d: str) -> DataFrame:
     return N.split_ee(_ee(spark, d))["other"].where(F.col("message_id").isin("6", "8", "10")).select("unq_id_prefix", "lineno", "message_id", "ais_msg_eecsv")
 
 
+def q_packed_other_whole(spark: SparkSession, d: str) -> DataFrame:
+    """All types of the group."""
+    return N.split_ee(_ee(spark, d))["other"].select("unq_id_prefix", "lineno", "message_id", "ais_msg_eecsv")
+
+
 def q_receiver_log_dates(spark: SparkSession, d: str) -> DataFrame:
     """A log with a local date header before each tenth sentence."""
     p = pings(spark, d)
@@ -161,6 +166,14 @@ def q_stream_histogram(spark: SparkSession, d: str) -> DataFrame:
     return run_available(stream_histogram(stream_packets(stream_nm4(spark, home))), f"{home}-types", "complete")
 
 
+def q_stream_histogram_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Messages of one and of several sentences: the latter go into a table of their own, and the running counts follow both."""
+    home = _log_folder(spark, d)
+    whole = run_available(stream_assembled(stream_nm4(spark, home)), f"{home}-parts")
+    parts = spark.readStream.schema(whole.schema).parquet(f"{home}-parts/table")
+    return run_available(stream_histogram(stream_packets(stream_nm4(spark, home)).unionByName(parts)), f"{home}-types", "complete")
+
+
 _GOOD = "event_id * 3 % 150 NOT IN (21, 51)"
 _NAV = "['Under way using engine','At anchor','Not under command','Restricted manoeuverability','Constrained by her draught','Moored','Aground','Engaged in fishing']"
 _WITH = f"WITH pings AS ({PINGS}) "
@@ -186,5 +199,6 @@ SELECT msg_group, count(*) AS n, sum((event_id % 31 = 0)::INT)::BIGINT AS errors
     "stream_decode": _WITH + f"SELECT message_id, count(*) AS n, round(sum(round(sog * 10) / 10), 3) AS sog FROM pings WHERE {_GOOD} GROUP BY 1",
     "stream_histogram": _WITH + f"SELECT message_id::VARCHAR AS key, count(*) AS n FROM pings WHERE {_GOOD} GROUP BY 1",
 }
+ORACLES["stream_histogram_whole"] = ORACLES["nm4_type_histogram"]
 
 QUERIES = {k[2:]: v for k, v in list(globals().items()) if k.startswith("q_")}

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -13,12 +15,31 @@ from ..operators.decode import decode_positions, type_histogram, verify_sentence
 from ..sources.readers import sentences
 
 
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each line's place: its block's first byte and its number in the block. As a line has a byte at least, places grow
+    with the order of lines and none occurs twice."""
+    last, seen = None, 0
+    for batch in batches:
+        paths, starts = batch.column("path").dictionary_encode(), batch.column("_start").to_numpy()
+        if not len(starts):
+            continue
+        path = paths.indices.to_numpy()
+        cut = [0, *(np.flatnonzero((path[1:] != path[:-1]) | (starts[1:] != starts[:-1])) + 1).tolist(), len(starts)]
+        place = starts.copy()
+        for i, j in zip(cut, cut[1:], strict=False):
+            block = (paths.dictionary[int(path[i])].as_py(), int(starts[i]))
+            seen = seen if block == last else 0
+            place[i:j] += np.arange(seen, seen + j - i)
+            last, seen = block, seen + j - i
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(place), batch.column("line")], ["path", "line_no", "line"])
+
+
 def stream_nm4(spark: SparkSession, path: str, style: str = "dmas", **options: str) -> DataFrame:
-    """path, line_no (from 1), date and sentence of new files in a folder. Each arriving file is read as one row and cut
-    into its lines, so that their order is known."""
-    files = spark.readStream.option("wholetext", True).options(**options).text(path)
-    out = files.select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split(F.rtrim("value"), "\r?\n")).alias("_i", "line"))
-    return sentences(out.select("path", (F.col("_i") + 1).cast("long").alias("line_no"), F.rtrim("line").alias("line")), style)
+    """path, line_no, date and sentence of new files in a folder. Files are read in blocks; ``line_no`` grows with the
+    order of a file's lines, with gaps."""
+    files = spark.readStream.options(**options).text(path)
+    out = files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"), F.rtrim("value").alias("line"))
+    return sentences(out.mapInArrow(_placed, "path string, line_no long, line string"), style)
 
 
 def stream_packets(stream: DataFrame) -> DataFrame:
