@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .layouts import EPFD, LAYOUTS, LENGTHS, NAV_STATUS, SHIP_TYPES, Field
+from .layouts import LAYOUTS, LEGENDS, LENGTHS, SCALED, Field
 
 LEAST_BITS = 168
 
@@ -143,33 +143,36 @@ def typed(packets: DataFrame, types: Sequence[int] | None = None) -> DataFrame:
     return once(out, bogon=~F.coalesce(fits, F.lit(False)), reject_reason=reason)
 
 
+def _scaled(rule: str, c: Column) -> Column:
+    """A field's scaled text by its rule in ``SCALED``."""
+    text = c.cast("string")
+    if rule in LEGENDS:
+        return F.coalesce(F.get(F.array(*map(F.lit, LEGENDS[rule])), c), F.lit(LEGENDS[rule][0]))
+    if rule == "turn":
+        return F.when(c == -127, "fastleft").when(c == 127, "fastright").otherwise(F.pow(c / 4.733, 2).cast("string"))
+    if rule in ("speed", "whole_speed"):
+        return F.when(c == 1022, "fast").otherwise(text if rule == "whole_speed" else (c / 10.0).cast("string"))
+    if rule == "second":
+        return F.when(c == 60, "n/a").when(c == 61, "manual input").when(c == 62, "dead reckoning").when(c == 63, "inoperative").otherwise(text)
+    if rule == "alt":
+        return F.when(c == 4094, ">=4094").otherwise(text)
+    if rule[0] == "/":
+        return (c / float(rule[1:])).cast("string")
+    if rule[0] == "+":
+        return (c + int(rule[1:])).cast("string")
+    factor, _, less = rule[1:].partition("-")
+    return (c * float(factor) - float(less or 0)).cast("string")
+
+
 def scale(layout: str) -> dict[str, Column]:
     """The scaled form of a layout's columns as text: sentinels are n/a, legends for indexes, units applied."""
+    rules = dict(x.split(":") for x in SCALED.get(layout, "").split())
     out = {}
-    legend = lambda c, names: F.coalesce(F.get(F.array(*map(F.lit, names)), c), F.lit(names[0]))
     for f in LAYOUTS[layout][1]:
-        c = F.col(f.name)
         if f.kind not in "us":
             continue
-        value = c.cast("string")
-        if f.name in ("lon", "lat") and f.width in (28, 27):
-            value = (c / 600000.0).cast("string")
-        elif f.name == "turn":
-            value = F.when(c == -127, "fastleft").when(c == 127, "fastright").otherwise(F.pow(c / 4.733, 2).cast("string"))
-        elif f.name == "speed":
-            value = F.when(c == 1022, "fast").otherwise((c / 10.0).cast("string"))
-        elif f.name == "course":
-            value = (c / 10.0).cast("string")
-        elif f.name == "second":
-            value = F.when(c == 60, "n/a").when(c == 61, "manual input").when(c == 62, "dead reckoning").when(c == 63, "inoperative").otherwise(value)
-        elif f.name == "status":
-            value = legend(c, NAV_STATUS)
-        elif f.name == "epfd":
-            value = legend(c, EPFD)
-        elif f.name == "shiptype":
-            value = legend(c, SHIP_TYPES)
-        elif f.name == "draught":
-            value = (c / 10.0).cast("string")
+        c = F.col(f.name)
+        value = _scaled(rules[f.name], c) if f.name in rules else c.cast("string")
         out[f.name] = F.when(c == f.missing, "n/a").otherwise(value) if f.missing is not None else value
     for keep in ("msgtype", "repeat", "mmsi"):
         out.pop(keep, None)
