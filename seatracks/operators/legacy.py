@@ -1,12 +1,12 @@
 """The older rules for segments and tracks.
 
 Cleaning compares with the last accepted report and the track split looks back three points, with a speed that lives on
-from earlier steps; both are folds over a vessel's reports, so each vessel is one pass in a grouped task.
+from earlier steps; both are folds over a vessel's reports in order, whose memory does not depend on how many there are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from math import asin, cos, radians, sin, sqrt
 
 import pandas as pd
@@ -22,38 +22,69 @@ LEGACY_MIN_KTS, STOP_KM_S, BAD_KM_S = 1.0, 0.000257222222, 0.0444444444
 INVALID, STATIONARY, ORPHAN = "Invalid position", "Stationary", "Orphaned"
 
 
-def _fold(pings: DataFrame, ties: Sequence[str], step, more: str) -> DataFrame:
-    """``step`` over each vessel's reports in order; it yields rows of (position, further values)."""
+class _Accepted:
+    """Tells a vessel's invalid and stationary reports. ``held`` has the reports still undecided, each with its position
+    in the current frame: none here."""
+
+    def __init__(self) -> None:
+        self.last, self.held = None, []
+
+    def reason(self, point: tuple) -> str | None:
+        t, _, lat, lon = point
+        if pd.isna(lat) or abs(lat) >= 90:
+            return INVALID
+        if self.last and ((lat, lon) == self.last[1:] or t == self.last[0]):
+            return STATIONARY
+        self.last = (t, lat, lon)
+        return None
+
+    def feed(self, i: int, point: tuple) -> Iterator[tuple]:
+        yield i, self.reason(point)
+
+    def end(self) -> Iterator[tuple]:
+        return iter(())
+
+
+def _fold(pings: DataFrame, ties: Sequence[str], step: Callable, more: str) -> DataFrame:
+    """A fold for each vessel's reports in order; it yields rows of (position, further values).
+
+    Sorted rows come in batches, and only the open vessel's fold with the rows it holds goes on to the next one.
+    """
     order = ["time", *[c for c in VESSEL_ORDER if c != "time"], *ties]
     names = [c.split()[0] for c in more.split(", ")]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable", ignore_index=True)
-        rows = list(step(pdf))
-        out = pdf.iloc[[r[0] for r in rows]].reset_index(drop=True)
+    def taken(frame: pd.DataFrame, rows: list[tuple]) -> pd.DataFrame:
+        out = frame.iloc[[r[0] for r in rows]].reset_index(drop=True)
         for k, name in enumerate(names, 1):
-            out[name] = [r[k] for r in rows]
-        return out
+            out[name] = pd.Series([r[k] for r in rows], dtype=object)
+        return out.astype({c: object for c in out.columns if isinstance(out[c].dtype, pd.StringDtype)})
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, fold, held = None, None, None
+        for pdf in frames:
+            frame = pdf if held is None or held.empty else pd.concat([held, pdf], ignore_index=True)
+            status = pdf["navigational_status"].astype(object).where(pdf["navigational_status"].notna(), None)
+            vessel = pdf["mmsi"].astype(object).where(pdf["mmsi"].notna(), None)
+            rows = []
+            for i, (mmsi, *point) in enumerate(zip(vessel, pdf["time"], status, pdf["latitude"], pdf["longitude"], strict=True), len(frame) - len(pdf)):
+                if fold is None or mmsi != key:
+                    rows += fold.end() if fold else ()
+                    key, fold = mmsi, step()
+                rows += fold.feed(i, tuple(point))
+            if fold:
+                held = frame.iloc[[i for i, _ in fold.held]]
+                fold.held = [(n, point) for n, (_, point) in enumerate(fold.held)]
+            yield taken(frame, rows)
+        if fold:
+            yield taken(held, list(fold.end()))
 
     base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pings.schema.fields)
-    return pings.groupBy("mmsi").applyInPandas(run, f"{base}, {more}")
-
-
-def _accepted(pdf: pd.DataFrame) -> Iterator[tuple[int, str | None]]:
-    last = None
-    for i, (t, lat, lon) in enumerate(zip(pdf["time"], pdf["latitude"], pdf["longitude"], strict=True)):
-        if pd.isna(lat) or abs(lat) >= 90:
-            yield i, INVALID
-        elif last and ((lat, lon) == last[1:] or t == last[0]):
-            yield i, STATIONARY
-        else:
-            last = (t, lat, lon)
-            yield i, None
+    return pings.repartition("mmsi").sortWithinPartitions("mmsi", *[F.col(c).asc_nulls_last() for c in order]).mapInPandas(run, f"{base}, {more}")
 
 
 def legacy_clean(pings: DataFrame, ties: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Accepted reports, and the others with their reason."""
-    out = _fold(pings, ties, _accepted, "reason string")
+    out = _fold(pings, ties, _Accepted, "reason string")
     return out.where("reason is null").drop("reason"), out.where("reason is not null")
 
 
@@ -88,56 +119,67 @@ def _speed(a: tuple, b: tuple) -> float:
     return 0.0 if not km else km / seconds if seconds > 0 else 999.0
 
 
-def split_tracks(pdf: pd.DataFrame, separation_s: float, max_km_s: float) -> Iterator[tuple[int, str | None, int]]:
+class _Tracks(_Accepted):
     """(position, reason, track) of each report of one vessel, from a two-point look-back.
 
-    ``held`` has the positions still undecided: the one before (and the one before that). The decision about the oldest
-    falls when the next report comes.
+    ``held`` has the report before (and the one before that). The decision about the oldest falls when the next report
+    comes.
     """
-    point = list(zip(pdf["time"], pdf["navigational_status"].astype(object).where(pdf["navigational_status"].notna(), None), pdf["latitude"], pdf["longitude"], strict=True))
-    apart = lambda i, j: (point[j][0] - point[i][0]).total_seconds() >= separation_s
-    track, grown, held, speed = 0, False, [], None
-    for i, reason in _accepted(pdf):
-        if reason:
-            yield i, reason, track
+
+    def __init__(self, separation_s: float, max_km_s: float) -> None:
+        super().__init__()
+        self.separation_s, self.max_km_s = separation_s, max_km_s
+        self.track, self.grown, self.speed = 0, False, None
+
+    def apart(self, a: tuple, b: tuple) -> bool:
+        return (b[0] - a[0]).total_seconds() >= self.separation_s
+
+    def feed(self, i: int, point: tuple) -> Iterator[tuple[int, str | None, int]]:
+        held, new = self.held, (i, point)
+        if reason := self.reason(point):
+            yield i, reason, self.track
         elif not held:
-            held = [i]
+            self.held = [new]
         elif len(held) == 1:
-            if apart(held[0], i) or point[i][1] != point[held[0]][1]:
-                yield held[0], ORPHAN, track
-                held = [i]
+            at, first = held[0]
+            if self.apart(first, point) or point[1] != first[1]:
+                yield at, ORPHAN, self.track
+                self.held = [new]
             else:
-                held, grown = [held[0], i], False
+                self.held, self.grown = [held[0], new], False
         else:
-            old, prev = held
-            broken = point[old][1] != point[prev][1] or apart(old, prev)
+            (old_at, old), (prev_at, prev) = held
+            broken = old[1] != prev[1] or self.apart(old, prev)
             if not broken:
-                speed = _speed(point[old], point[prev])
-            if broken or speed < STOP_KM_S:
-                if grown and speed < max_km_s:  # the speed may be from an earlier step
-                    yield old, None, track
-                track, held, grown = track + 1, [prev, i], False
-            elif speed < max_km_s:
-                yield old, None, track
-                held, grown = [prev, i], True
-            elif _speed(point[old], point[i]) > max_km_s:
-                yield old, ORPHAN, track
-                held = [prev, i]
+                self.speed = _speed(old, prev)
+            if broken or self.speed < STOP_KM_S:
+                if self.grown and self.speed < self.max_km_s:  # the speed may be from an earlier step
+                    yield old_at, None, self.track
+                self.track, self.held, self.grown = self.track + 1, [held[1], new], False
+            elif self.speed < self.max_km_s:
+                yield old_at, None, self.track
+                self.held, self.grown = [held[1], new], True
+            elif _speed(old, point) > self.max_km_s:
+                yield old_at, ORPHAN, self.track
+                self.held = [held[1], new]
             else:
-                yield prev, ORPHAN, track
-                held = [old, i]
-    if len(held) == 2 and not grown:
-        # two points are left: both stay unless they are apart in time (the older rule's speed test always passes)
-        yield held[0], None, track
-        yield held[1], ORPHAN if apart(*held) else None, track
-    elif len(held) == 1:
-        yield held[0], ORPHAN, track
+                yield prev_at, ORPHAN, self.track
+                self.held = [held[0], new]
+
+    def end(self) -> Iterator[tuple[int, str | None, int]]:
+        if len(self.held) == 2 and not self.grown:
+            # two points are left: both stay unless they are apart in time (the older rule's speed test always passes)
+            (old_at, old), (prev_at, prev) = self.held
+            yield old_at, None, self.track
+            yield prev_at, ORPHAN if self.apart(old, prev) else None, self.track
+        elif len(self.held) == 1:
+            yield self.held[0][0], ORPHAN, self.track
 
 
 def legacy_tracks(pings: DataFrame, separation_s: float, max_kph: float, ties: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Points of tracks with ``segidx``, and invalid, stationary and orphaned reports with their reason."""
     limit = max_kph / 3600
-    out = _fold(pings, ties, lambda pdf: split_tracks(pdf, separation_s, limit), "reason string, segidx long")
+    out = _fold(pings, ties, lambda: _Tracks(separation_s, limit), "reason string, segidx long")
     return out.where("reason is null").drop("reason"), out.where("reason is not null")
 
 
