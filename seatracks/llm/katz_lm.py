@@ -1,13 +1,15 @@
-"""A word-pair language model with Katz backoff.
+"""A language model of word pairs (order 2) or triples (order 3) with Katz backoff.
 
 Counts are discounted by Good-Turing; a context's left-over mass goes to the words not seen after it, in proportion to
 their own (again discounted) unigram probabilities, with a weight that makes the sum over all words and one unknown word
-exactly 1. A token is evaluated recursively: its pair if seen, else the context's weight times its unigram.
+exactly 1. A token is evaluated recursively: its triple if seen, else the context's weight times its
+probability by the pair, which is the pair's if seen, else that context's weight times its unigram. A document begins
+after ends.
 
 All of it is counted over whole tables. A task turns its documents into chunks of local word numbers once; what a chunk
 needs from the model it asks from partitioned tables in compact sorted slices, and gets back in the same order: first
 word counts (by ranges of hashes), then pair counts with the contexts' sums (by context; a frequent context is spread
-over buckets by the second word, and its sums are added up).
+over buckets by the second word, and its sums are added up), then triples, by contexts of two words, in the same way.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ _CHUNKS = pa.schema([("chunk", pa.int64()), *[(x.split()[0], pa.binary()) for x
 ROW = "kind int, chunk long, bucket int, a binary, b binary, c binary, d binary, e binary"
 _ROW = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("bucket", pa.int32()), *[(x, pa.binary()) for x in "abcde"]])
 #: Kinds of rows: a slice of words or pairs that is asked for, its answer, sums for the driver, sums of spread contexts.
-ASK, WORDS, PAIRS, SUMS, SPREADS = range(5)
+ASK, WORDS, PAIRS, SUMS, SPREADS, TRIPLES = range(6)
 
 
 def _rows(rows: list[tuple], schema: pa.Schema) -> pa.Table:
@@ -202,7 +204,7 @@ def _ask(tokens: np.ndarray, lengths: np.ndarray, held: np.ndarray, number: np.n
     keys, at = np.unique((before.astype(np.uint64) << np.uint64(32)) | tokens.astype(np.uint64), return_inverse=True)
     v, w = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
     n = np.bincount(at, weights=np.repeat(held == 0, lengths), minlength=len(keys)).astype(np.int64)
-    load = max(1, n_train // (SPREAD * buckets))
+    load = _load(n_train, buckets)
     ways = -(-c[v] // load)
     bucket = (number[v] + np.where(ways > 1, (common.mix(number[w].view(np.uint64)) % np.maximum(ways, 1).astype(np.uint64)).astype(np.int64), 0)) % buckets
     known = np.flatnonzero(c[v] > 0)  # a pair with an unknown word still needs its context's sums
@@ -297,37 +299,198 @@ def pair_probabilities(n: np.ndarray, cv: np.ndarray, p1: np.ndarray, small: np.
     return np.where(n > 0, seen, left / np.maximum(1 - mass, 1e-300) * p1)
 
 
+@dataclass
+class Pairs:
+    """A chunk's arrays, its pairs, and their counts and probabilities."""
+
+    tokens: np.ndarray
+    lengths: np.ndarray
+    held: np.ndarray
+    number: np.ndarray
+    c: np.ndarray
+    asked: Asked
+    counts: np.ndarray
+    p: np.ndarray
+
+
+def _pairs_of(row: dict, answers: dict, unigrams: Unigrams, d: np.ndarray, buckets: int, sums: dict[int, tuple[np.ndarray, float]]) -> Pairs:
+    tokens, lengths, held, number, c = _of_chunk(row, answers)
+    asked = _ask(tokens, lengths, held, number, c, buckets, unigrams.n)
+    p = unigrams.p(c[asked.w])
+    counts = np.zeros(len(asked.v), np.int64)
+    mine = sorted((b, x, y, z) for k, b, x, y, z in zip(answers["kind"], answers["bucket"], answers["a"], answers["b"], answers["c"], strict=True) if k == PAIRS)
+    seen_before = np.flatnonzero(c[asked.v] > 0)
+    if mine:
+        n = np.concatenate([common.unpacked(x, "<u4") for _, x, _, _ in mine]).astype(np.int64)
+        small = np.concatenate([common.unpacked(y, "<u4") for _, _, y, _ in mine]).reshape(-1, GT).astype(np.int64)
+        mass = np.concatenate([common.unpacked(z, "<f8") for _, _, _, z in mine])
+        # each context's sums, once, with the spread ones in full
+        head = _heads(asked.v[asked.sent], asked.edges)
+        local = asked.v[asked.sent[head]]
+        of_small, of_mass = np.zeros((len(c), GT), np.int64), np.zeros(len(c))
+        of_small[local], of_mass[local] = small, mass
+        for i in np.unique(local[np.isin(number[local], np.fromiter(sums, np.int64, len(sums)))]).tolist():
+            of_small[i], of_mass[i] = sums[int(number[i])]
+        counts[asked.sent] = n
+        v = asked.v[seen_before]
+        p[seen_before] = pair_probabilities(counts[seen_before], c[v], p[seen_before], of_small[v], of_mass[v], d)
+    return Pairs(tokens, lengths, held, number, c, asked, counts, p)
+
+
+@dataclass
+class AskedTriples:
+    """A chunk's distinct triples, those with a known context as they are asked for, and where its tokens find them."""
+
+    triple_of_token: np.ndarray
+    x: np.ndarray  # of each triple its context, a pair of the chunk or (the last) a document's beginning
+    n: np.ndarray  # its training count in this chunk
+    w: np.ndarray  # number of its third word
+    low: np.ndarray  # its third word's probability by the pair
+    u: np.ndarray  # numbers of each context's words, and its training count
+    v: np.ndarray
+    cc: np.ndarray
+    sent: np.ndarray
+    edges: np.ndarray
+
+
+def _load(n_train: int, buckets: int) -> int:
+    return max(1, n_train // (SPREAD * buckets))
+
+
+def _ask_triples(m: Pairs, buckets: int, n_train: int) -> AskedTriples:
+    starts = np.cumsum(m.lengths) - m.lengths
+    context = np.empty(len(m.tokens), np.int64)
+    context[1:] = m.asked.pair_of_token[:-1]
+    context[starts] = len(m.asked.v)
+    keys, at = np.unique((context.astype(np.uint64) << np.uint64(32)) | m.tokens.astype(np.uint64), return_inverse=True)
+    x, w = (keys >> np.uint64(32)).astype(np.int64), m.number[(keys & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+    n = np.bincount(at, weights=np.repeat(m.held == 0, m.lengths), minlength=len(keys)).astype(np.int64)
+    low = np.empty(len(keys))
+    low[at] = m.p[m.asked.pair_of_token]
+    # no pair that ends a document is a context, so two ends stand for a beginning
+    u, v, cc = np.append(m.number[m.asked.v], m.number[0]), np.append(m.number[m.asked.w], m.number[0]), np.append(m.counts, m.c[0])
+    ways = np.maximum(-(-cc[x] // _load(n_train, buckets)), 1)
+    mixed = common.mix(common.mix(u.view(np.uint64)) ^ v.view(np.uint64))
+    bucket = ((mixed[x] % np.uint64(buckets)).astype(np.int64) + (common.mix(w.view(np.uint64)) % ways.astype(np.uint64)).astype(np.int64)) % buckets
+    known = np.flatnonzero(cc[x] > 0)
+    sent = known[np.lexsort((w[known], v[x[known]], u[x[known]], bucket[known]))]
+    return AskedTriples(at, x, n, w, low, u, v, cc, sent, np.searchsorted(bucket[sent], np.arange(buckets + 1)))
+
+
+def _triple_slices(unigrams: Unigrams, d: np.ndarray, buckets: int, sums: dict[int, tuple[np.ndarray, float]]):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        """A chunk's triples for each bucket: contexts (both words and count) with lengths of their runs, third words,
+        their probabilities by the pair where they are counted here, and triples' counts."""
+        out, answers = [], right.to_pydict()
+        for row in left.to_pylist():
+            t = _ask_triples(_pairs_of(row, answers, unigrams, d, buckets, sums), buckets, unigrams.n)
+            for b, (i, j) in enumerate(zip(t.edges[:-1].tolist(), t.edges[1:].tolist(), strict=True)):
+                if j > i:
+                    part = t.sent[i:j]
+                    head = _heads(t.x[part], np.zeros(0, np.int64))
+                    x = t.x[part[head]]
+                    low = np.where(t.n[part] > 0, t.low[part], 0.0)
+                    out.append((ASK, row["chunk"], b, common.packed(np.concatenate([t.u[x], t.v[x], t.cc[x]])), common.packed(np.diff(head, append=j - i).astype("<u4")), common.packed(t.w[part]), common.packed(low.astype("<f8")), common.packed(t.n[part].astype("<u4"))))
+        return _rows(out, _ROW)
+
+    return run
+
+
+def _count_triples(load: int):
+    def run(table: pa.Table) -> pa.Table:
+        """One bucket of triples, as ``_count_pairs``. Only where a chunk has an unseen triple does it get the mass."""
+        get = table.to_pydict()
+        bucket = get["bucket"][0]
+        heads = [common.unpacked(a, "<i8").reshape(3, -1) for a in get["a"]]
+        runs = [common.unpacked(r, "<u4") for r in get["b"]]
+        of_head = np.concatenate(heads, axis=1)
+        # contexts of this bucket, numbered in the order of their words
+        order = np.lexsort((of_head[1], of_head[0]))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(of_head[:2, order]) != 0).any(axis=0)
+        context_of = np.empty(len(order), np.int64)
+        context_of[order] = np.cumsum(new) - 1
+        names = of_head[:, order[new]]
+        x = np.repeat(context_of, np.concatenate(runs))
+        w = np.concatenate([common.unpacked(c, "<i8") for c in get["c"]])
+        low = np.concatenate([common.unpacked(p, "<f8") for p in get["d"]])
+        ns = [common.unpacked(k, "<u4") for k in get["e"]]
+        n = np.concatenate(ns).astype(np.int64)
+        order = np.lexsort((w, x))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(x[order]) != 0) | (np.diff(w[order]) != 0)
+        first = np.flatnonzero(new)
+        total, best = np.add.reduceat(n[order], first), np.maximum.reduceat(low[order], first)
+        triple_of = np.empty(len(order), np.int64)
+        triple_of[order] = np.cumsum(new) - 1
+        begin = np.searchsorted(x[order][first], np.arange(names.shape[1]))
+        small = np.stack([np.add.reduceat((total == r).astype(np.int64), begin) for r in range(1, GT + 1)], axis=1).astype("<u4")
+        mass = np.add.reduceat(np.where(total > 0, best, 0.0), begin)
+        out, lo, at = [], 0, 0
+        for chunk, run_, k in zip(get["chunk"], runs, ns, strict=True):
+            mine, of = total[triple_of[lo : lo + len(k)]], context_of[at : at + len(run_)]
+            unseen = np.logical_or.reduceat(mine == 0, np.cumsum(run_.astype(np.int64)) - run_)
+            out.append((TRIPLES, chunk, bucket, common.packed(mine.astype("<u4")), common.packed(small[of].reshape(-1)), common.packed(np.where(unseen, mass[of], 0.0).astype("<f8")), None, None))
+            lo, at = lo + len(k), at + len(run_)
+        out.append((SUMS, None, bucket, _tally(total).astype("<i8").tobytes(), None, None, None, None))
+        spread = np.flatnonzero(names[2] > load)
+        if len(spread):
+            out.append((SPREADS, None, bucket, names[:2, spread].astype("<i8").tobytes(), small[spread].astype("<i8").tobytes(), mass[spread].astype("<f8").tobytes(), None, None))
+        return _rows(out, _ROW)
+
+    return run
+
+
+def _triple_log(m: Pairs, answers: dict, d: np.ndarray, buckets: int, n_train: int, sums: dict[tuple[int, int], tuple[np.ndarray, float]]) -> np.ndarray:
+    """Each token's probability by its triple, as a decimal logarithm."""
+    t = _ask_triples(m, buckets, n_train)
+    p = t.low
+    mine = sorted((b, x, y, z) for k, b, x, y, z in zip(answers["kind"], answers["bucket"], answers["a"], answers["b"], answers["c"], strict=True) if k == TRIPLES)
+    if mine:
+        n = np.concatenate([common.unpacked(x, "<u4") for _, x, _, _ in mine]).astype(np.int64)
+        small = np.concatenate([common.unpacked(y, "<u4") for _, _, y, _ in mine]).reshape(-1, GT).astype(np.int64)
+        mass = np.concatenate([common.unpacked(z, "<f8") for _, _, _, z in mine])
+        x = t.x[t.sent]
+        head = _heads(x, t.edges)
+        of = np.cumsum(np.bincount(head, minlength=len(x))) - 1
+        for i in np.flatnonzero(t.cc[x[head]] > _load(n_train, buckets)).tolist():
+            k = x[head[i]]
+            small[i], mass[i] = sums[int(t.u[k]), int(t.v[k])]
+        p[t.sent] = pair_probabilities(n, t.cc[x], p[t.sent], small[of], mass[of], d)
+    return np.log10(p)[t.triple_of_token]
+
+
+def _whole(rows: list, width: int) -> dict:
+    """Sums of spread contexts, of all buckets together, by their names (one word's number, or two words')."""
+    whole: dict = {}
+    for r in rows:
+        names = np.frombuffer(r["a"], "<i8").reshape(width, -1).T.tolist()
+        for name, small, mass in zip(names, np.frombuffer(r["b"], "<i8").reshape(-1, GT), np.frombuffer(r["c"], "<f8").tolist(), strict=True):
+            key = name[0] if width == 1 else tuple(name)
+            s, m = whole.get(key, (np.zeros(GT, np.int64), 0.0))
+            whole[key] = (s + small, m + mass)
+    return whole
+
+
+def _told(counted: DataFrame, width: int) -> tuple[np.ndarray, dict]:
+    """Discounts and sums of spread contexts: a few numbers for each bucket, and at most 2 * SPREAD contexts a bucket."""
+    tally = [np.frombuffer(r["a"], "<i8") for r in counted.where(F.col("kind") == SUMS).select("a").collect()]
+    return discounts(np.sum(tally, axis=0) if tally else np.zeros(GT + 1, np.int64)), _whole(counted.where(F.col("kind") == SPREADS).select("a", "b", "c").collect(), width)
+
+
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score(unigrams: Unigrams, d: np.ndarray, buckets: int, sums: dict[int, tuple[np.ndarray, float]]):
+def _score(unigrams: Unigrams, buckets: int, pairs: tuple[np.ndarray, dict], triples: tuple[np.ndarray, dict] | None):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         answers, cols = right.to_pydict(), [[] for _ in range(7)]
         for row in left.to_pylist():
-            tokens, lengths, held, number, c = _of_chunk(row, answers)
-            asked = _ask(tokens, lengths, held, number, c, buckets, unigrams.n)
-            p = unigrams.p(c[asked.w])
-            mine = sorted((b, x, y, z) for k, b, x, y, z in zip(answers["kind"], answers["bucket"], answers["a"], answers["b"], answers["c"], strict=True) if k == PAIRS)
-            seen_before = np.flatnonzero(c[asked.v] > 0)
-            if mine:
-                n = np.concatenate([common.unpacked(x, "<u4") for _, x, _, _ in mine]).astype(np.int64)
-                small = np.concatenate([common.unpacked(y, "<u4") for _, _, y, _ in mine]).reshape(-1, GT).astype(np.int64)
-                mass = np.concatenate([common.unpacked(z, "<f8") for _, _, _, z in mine])
-                # each context's sums, once, with the spread ones in full
-                head = _heads(asked.v[asked.sent], asked.edges)
-                local = asked.v[asked.sent[head]]
-                of_small, of_mass = np.zeros((len(c), GT), np.int64), np.zeros(len(c))
-                of_small[local], of_mass[local] = small, mass
-                for i in np.unique(local[np.isin(number[local], np.fromiter(sums, np.int64, len(sums)))]).tolist():
-                    of_small[i], of_mass[i] = sums[int(number[i])]
-                counts = np.zeros(len(asked.v), np.int64)
-                counts[asked.sent] = n
-                v = asked.v[seen_before]
-                p[seen_before] = pair_probabilities(counts[seen_before], c[v], p[seen_before], of_small[v], of_mass[v], d)
-            starts = np.cumsum(lengths) - lengths
+            m = _pairs_of(row, answers, unigrams, pairs[0], buckets, pairs[1])
+            log = _triple_log(m, answers, triples[0], buckets, unigrams.n, triples[1]) if triples else np.log10(m.p)[m.asked.pair_of_token]
+            starts = np.cumsum(m.lengths) - m.lengths
             of_doc = lambda x: np.add.reduceat(x, starts)
-            docs, null = common.unpacked(row["docs"], "<i8"), common.unpacked(row["null_docs"], "u1")
-            values = (pa.array(docs, mask=null.astype(bool)), held.astype(bool), lengths.astype(np.int64), of_doc((c[tokens] > 0).astype(np.int64)), np.full(len(docs), unigrams.n, np.int64), of_doc(np.log10(unigrams.base(c[tokens]))), of_doc(np.log10(p)[asked.pair_of_token]))
+            docs, null, known = common.unpacked(row["docs"], "<i8"), common.unpacked(row["null_docs"], "u1"), m.c[m.tokens]
+            values = (pa.array(docs, mask=null.astype(bool)), m.held.astype(bool), m.lengths, of_doc((known > 0).astype(np.int64)), np.full(len(docs), unigrams.n, np.int64), of_doc(np.log10(unigrams.base(known))), of_doc(log))
             for col, x in zip(cols, values, strict=True):
                 col.append(x if isinstance(x, pa.Array) else pa.array(x))
         types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
@@ -336,12 +499,14 @@ def _score(unigrams: Unigrams, d: np.ndarray, buckets: int, sums: dict[int, tupl
     return run
 
 
-def katz_scores(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document.
+def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document, by a model of ``order`` 2 or 3.
 
     Null or empty text: the end alone. A null doc_id counts as an empty id, which is held out. Repeated rows count as
     often as they occur. Without training documents every token is unknown. An empty table gives an empty result.
     """
+    if order not in (2, 3):
+        raise ValueError("order is 2 or 3")
     spark = docs.sparkSession
     home, buckets = common.shared_dir(spark), common.buckets(spark)
     chunks = common.written(chunk_table(docs), f"{home}/chunks")
@@ -350,21 +515,20 @@ def katz_scores(docs: DataFrame) -> DataFrame:
     sums = [np.frombuffer(r["a"], "<i8") for r in words.where(F.col("kind") == SUMS).select("a").collect()]  # a few numbers for each bucket
     unigrams = Unigrams.of(np.sum(sums, axis=0) if sums else np.zeros(GT + 3, np.int64))
     # contexts that are spread: at most SPREAD * buckets, as their counts add up to N
-    load = max(1, unigrams.n // (SPREAD * buckets))
+    load = _load(unigrams.n, buckets)
     spread = set(_spread(words, load))
     asking = chunks.select("chunk", "lengths", "held", "tokens", "words")
     answers = words.where(F.col("kind") == WORDS)
     pairs = asking.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_pair_slices(buckets, unigrams.n), ROW)
     counted = common.written(pairs.groupBy("bucket").applyInArrow(_count_pairs(unigrams, buckets, spread), ROW), f"{home}/pairs")
-    tally = [np.frombuffer(r["a"], "<i8") for r in counted.where(F.col("kind") == SUMS).select("a").collect()]
-    d = discounts(np.sum(tally, axis=0) if tally else np.zeros(GT + 1, np.int64))
-    whole: dict[int, tuple[np.ndarray, float]] = {}
-    for r in counted.where(F.col("kind") == SPREADS).select("a", "b", "c").collect():  # at most 2 * SPREAD contexts a bucket
-        for name, small, mass in zip(np.frombuffer(r["a"], "<i8").tolist(), np.frombuffer(r["b"], "<i8").reshape(-1, GT), np.frombuffer(r["c"], "<f8").tolist(), strict=True):
-            s, m = whole.get(name, (np.zeros(GT, np.int64), 0.0))
-            whole[name] = (s + small, m + mass)
+    of_pairs, of_triples = _told(counted, 1), None
     told = answers.union(counted.where(F.col("kind") == PAIRS))
-    return chunks.select("chunk", "docs", "null_docs", "held", "lengths", "tokens", "words").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_score(unigrams, d, buckets, whole), SCORES)
+    if order == 3:
+        triples = asking.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_triple_slices(unigrams, of_pairs[0], buckets, of_pairs[1]), ROW)
+        counted = common.written(triples.groupBy("bucket").applyInArrow(_count_triples(load), ROW), f"{home}/triples")
+        of_triples = _told(counted, 2)
+        told = told.union(counted.where(F.col("kind") == TRIPLES))
+    return chunks.select("chunk", "docs", "null_docs", "held", "lengths", "tokens", "words").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_score(unigrams, buckets, of_pairs, of_triples), SCORES)
 
 
 def _spread(words: DataFrame, load: int) -> list[int]:

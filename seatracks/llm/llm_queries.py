@@ -40,7 +40,7 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz_scores(common.load(spark, sf_dir))
+    return katz_scores(common.load(spark, sf_dir), order=3)
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
