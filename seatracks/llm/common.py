@@ -8,7 +8,8 @@ import tempfile
 import unicodedata
 import uuid
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -19,28 +20,70 @@ SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared folder; a temporary one only where the cluster names none."""
+    """A new folder below the cluster's shared folder; a temporary one only on one machine that names none."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return f"{base.rstrip('/')}/seatracks-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, path: str, by: str | None = None, mode: str = "error") -> DataFrame:
-    """Writes a table and rereads it: cuts the lineage, so a lost executor costs no recomputation."""
-    spark = df.sparkSession
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """While a table is written, the shuffles behind it go as soon as it is there: they are of no further use."""
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key, None)
     try:
-        spark.conf.set(key, "true")  # the shuffles behind a written table are of no further use
-        df.write.mode(mode).option("compression", "zstd").parquet(path, partitionBy=by)
+        spark.conf.set(key, "true")
+        yield
     finally:
         spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
-    return spark.read.schema(df.schema).parquet(path)
 
 
-def buckets(spark: SparkSession) -> int:
-    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def written(df: DataFrame, path: str, by: str | None = None, mode: str = "error") -> DataFrame:
+    """Writes a table and rereads it: cuts the lineage, so a lost executor costs no recomputation."""
+    with cleaned(df.sparkSession):
+        df.write.mode(mode).option("compression", "zstd").parquet(path, partitionBy=by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Removes a folder of the library's own, in whatever store it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release() -> None:
+    """Gives memory that is free, but still held by the allocators, back to the machine."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """A task's function of batches, after which its Python worker, which waits for the next task, holds no free memory."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
+
+
+def buckets(spark: SparkSession, size: int | None = None, each: int = 1) -> int:
+    """The session's shuffle partitions, or more if ``size`` bytes would give a bucket more than ``each``."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size or 0) // each))
 
 
 def id_text(df: DataFrame, *more: str) -> DataFrame:
@@ -71,35 +114,11 @@ def words_of(text: str | None, lower: bool = False) -> list[bytes]:
     return (raw.lower() if lower else raw).split()
 
 
-class Hashes:
-    """Words to 64-bit hashes, with a bounded memo."""
-
-    def __init__(self, most: int = 300_000):
-        import xxhash
-
-        self.digest, self.most, self.seen = xxhash.xxh64_digest, most, {}
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words. Hashing a word anew is cheaper than a memo whose entries lie all over the memory."""
+    import xxhash
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        seen = self.seen
-        try:
-            raw = b"".join(map(seen.__getitem__, words))
-        except KeyError:
-            if len(seen) > self.most:
-                seen.clear()
-            for w in set(words).difference(seen):
-                seen[w] = self.digest(w)
-            raw = b"".join(map(seen.__getitem__, words))
-        return np.frombuffer(raw, dtype="<u8")
-
-
-_HASHES: list[Hashes] = []
-
-
-def hashes() -> Hashes:
-    """One memo for each Python worker."""
-    if not _HASHES:
-        _HASHES.append(Hashes())
-    return _HASHES[0]
+    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), dtype="<u8")
 
 
 MIX1, MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -129,7 +148,7 @@ def windows(h: np.ndarray, n: int) -> np.ndarray:
 
 def planes(a: np.ndarray) -> bytes:
     """A column's bytes, all first bytes, then all second bytes and so on: sorted or small numbers then compress well."""
-    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes()
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
 
 
 def unplanes(raw: bytes, dtype: str) -> np.ndarray:
@@ -174,16 +193,44 @@ def composed(text: str) -> str:
     return text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
+class Recent:
+    """A memo of bounded bytes in two generations: when the newer one is full, it takes the older one's place."""
+
+    #: What an entry takes besides its characters.
+    ENTRY = 200
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old, self.held = most // 2, {}, {}, 0
+
+    def past(self, key: str) -> bytes | None:
+        """A value of the older generation, which so comes into the newer one."""
+        value = self.old.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key: str, value: bytes) -> None:
+        self.held += len(key) + len(value) + self.ENTRY
+        if self.held > self.most:
+            self.old, self.new, self.held = self.new, {}, 0
+        self.new[key] = value
+
+
+#: White space besides the single space and the line feed.
+OTHER = re.compile(f"[{SPACE.replace(r'\x20', '').replace(r'\t-\r', r'\t\x0b-\r\x1c-\x1f')}]")
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 class Chunks:
     """Encodes whole texts with the tokenizers library by way of their distinct chunks.
 
     A chunk is cut where no token can cross: at white space, which a byte-level tokenizer keeps as one leading space or
     as runs of its own. A new chunk is cut into words by the tokenizer's pattern and each word goes to the library's
-    model. The memos of chunks and words are bounded; texts that hold a special token's string go through the library
-    as they are.
+    model. Memos of chunks and words are bounded in bytes; texts that hold a special token's string go through the
+    library as they are, as do all texts if the file has other rules than those known here.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 192 << 20, share: float = 0.35):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import json
 
@@ -196,56 +243,85 @@ class Chunks:
         self.model = self.tok.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        keeps = spec.get("normalizer") is None
-        self.ready = str if keeps else composed
-        self.find = re.compile(f"[{SPACE}]+(?![^{SPACE}])| ?[^{SPACE}]+|[{SPACE}]+" if keeps else f"[^{SPACE}]+").findall
-        self.cut = regex.compile(BYTE_LEVEL if keeps else spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        self.keeps, pattern = rules_of(spec)
+        if pattern:
+            self.find = re.compile(f"[{SPACE}]+(?![^{SPACE}])| ?[^{SPACE}]+|[{SPACE}]+" if self.keeps else f"[^{SPACE}]+").findall
+            self.cut = regex.compile(pattern).findall
+        self.known = bool(pattern)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.most, self.seen, self.once, self.words = most, {}, {}, {}
+        self.seen, self.words = Recent(int(most * share)), Recent(int(most * (1 - share)))
 
     def library(self, texts: Iterable[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(list(texts), add_special_tokens=False)]
 
+    def pieces(self, chunk: str) -> list[str]:
+        """The words of a chunk; letters with punctuation behind them, by far the most, need no pattern."""
+        core = chunk.rstrip(PUNCTUATION)
+        if (core[1:] if core[:1] == " " else core).isalpha():
+            return [core, chunk[len(core) :]] if len(core) < len(chunk) else [core]
+        return self.cut(chunk)
+
     def part(self, chunk: str) -> bytes:
-        out = []
-        for w in self.cut(self.ready(chunk)):
-            ids = self.words.get(w)
-            if ids is None:
-                spelt = w.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SYMBOL_OF)
+        out, get = [], self.words.new.get
+        for w in self.pieces(chunk if self.keeps else composed(chunk)):
+            ids = get(w)
+            if ids is None and (ids := self.words.past(w)) is None:
+                spelt = w.replace(" ", "\u0120") if w.isascii() and w.isprintable() else w.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SYMBOL_OF)
                 ids = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
                 if len(w) <= 64:
-                    self.words[w] = ids
+                    self.words.put(w, ids)
             out.append(ids)
         return b"".join(out)
 
-    def one(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers.
+    def chunks(self, text: str) -> list[str]:
+        if not self.keeps:
+            return self.find(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()  # white space to split() alone
+        if text[:1] in " \n" or text[-1:] in " \n" or any(x in text for x in ("  ", " \n", "\n ", "\n\n")) or OTHER.search(text):
+            return self.find(text)
+        # words between single spaces and line feeds: a word after a space takes it along
+        out = []
+        for k, line in enumerate(text.split("\n")):
+            if k:
+                out.append("\n")
+            first, *rest = line.split(" ")
+            out.append(first)
+            out += map(" ".__add__, rest)
+        return out
 
-        A chunk enters the lasting memo when it is met again, so that rare ones don't push out frequent ones.
-        """
-        if any(s in text for s in self.special):
+    def one(self, text: str) -> bytes:
+        """The ids of a text as little-endian unsigned 32-bit integers."""
+        if not self.known or any(s in text for s in self.special):
             return self.library([text])[0]
-        found, seen, once = self.find(text), self.seen, self.once
+        found = self.chunks(text)
+        out = list(map(self.seen.new.get, found))
         try:
-            return b"".join(map(seen.__getitem__, found))
-        except KeyError:
+            return b"".join(out)
+        except TypeError:  # some are new
             pass
-        if len(seen) > self.most:
-            seen.clear()
-        if len(once) > self.most:
-            once.clear()
-        if len(self.words) > self.most:
-            self.words.clear()
-        here = {}
-        for w in set(found).difference(seen):
-            ids = once.pop(w, None)
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            w = found[i]
+            ids = self.seen.new.get(w) or self.seen.past(w)
             if ids is None:
-                here[w] = ids = self.part(w)
+                ids = self.part(w)
                 if len(w) <= 64:
-                    once[w] = ids
-            else:
-                seen[w] = ids
-        return b"".join([seen[w] if w in seen else here[w] for w in found])
+                    self.seen.put(w, ids)
+            out[i] = ids
+        return b"".join(out)
+
+
+def rules_of(spec: dict) -> tuple[bool, str]:
+    """Whether a tokenizer file keeps the text as it is, and its word pattern; no pattern if its rules are others than
+    byte-level alone, or composed and lower-cased text split by a pattern and then spelt in bytes."""
+    normal, before = spec.get("normalizer"), spec.get("pre_tokenizer") or {}
+    if spec["model"].get("type") != "BPE" or spec["model"].get("dropout"):
+        return True, ""
+    if normal is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True):
+        return True, BYTE_LEVEL
+    steps = [n.get("type") for n in (normal or {}).get("normalizers", [])]
+    cuts = before.get("pretokenizers", [])
+    if steps == ["NFC", "Replace", "Lowercase"] and [c.get("type") for c in cuts] == ["Split", "ByteLevel"] and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"]:
+        return False, cuts[0]["pattern"]["Regex"]
+    return True, ""
 
 
 _CHUNKS: dict[str, Chunks] = {}

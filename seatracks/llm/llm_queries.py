@@ -63,7 +63,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = media_features(common.written(store_media(common.load(spark, sf_dir)), common.shared_dir(spark) + "/media"))
-    feature = F.concat_ws(";", F.col("n_frames").cast("string"), F.col("duration_cs").cast("string"), F.concat_ws(",", F.col("histogram").cast("array<string>")))
+    # frames, time, colours, and a digest of the timed frames with each one's colours
+    feature = F.concat_ws(";", F.col("n_frames").cast("string"), F.col("duration_cs").cast("string"), F.concat_ws(",", F.col("histogram").cast("array<string>")), F.hex(F.xxhash64("frames")))
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
 
 
