@@ -1,15 +1,19 @@
 """Substring dedup with a log-structured index of window fingerprints.
 
-The index is a list of immutable runs, each a table of buckets with sorted fingerprints (a 64-bit hash and a 16-bit check
-from another hash) and the smallest doc_id that has the window. A batch's windows are sorted and cut into the same
-buckets inside each task, so one exchange brings a bucket's slices and the runs' slices together; there they are merged,
-a match counts only if the check agrees too, and the batch's own sorted fingerprints come out as the next run. Runs are
-compacted into one when there are ``FAN`` of them.
+The index is a list of immutable runs, each a table bucketed by ranges of hashes, with sorted fingerprints (a 64-bit hash
+and a 16-bit check from another hash) and the smallest doc_id that has the window. A batch's windows are sorted and cut
+into the same buckets inside each task; what a task itself finds to be repeated needs no exchange of its fingerprint. One
+exchange brings a bucket's slices to where the runs lie: these are read in place, not shuffled. There batch and runs are
+merged, a match counts only if the check agrees too, and the batch's own sorted fingerprints come out as the next run.
+Before a batch, the newest runs are compacted while there are two of one level, so a window is rewritten as often as the
+logarithm of the number of batches.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,18 +22,17 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Words of a window; windows that a task sorts at once; runs that are compacted.
-WINDOW, CHUNK, FAN = 13, 1 << 21, 2
-#: The shares of the documents, by doc_id, after which a one-off pass over a table begins a new batch.
-CUTS = (1 / 16, 1 / 8)
+#: Words of a window; windows that a task sorts at once; batches of a one-off pass; bytes of text for each bucket.
+WINDOW, CHUNK, BATCHES, BUCKET_BYTES = 13, 1 << 20, 4, 8 << 20
 
-SLICE = "kind int, bucket int, docs binary, keys binary, starts binary, hashes binary, checks binary, places binary"
+SLICE = "kind int, bucket int, docs binary, keys binary, docs_of binary, hashes binary, checks binary, places binary"
 _NAMES = [x.split()[0] for x in SLICE.split(", ")]
 _SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), *[(n, pa.binary()) for n in _NAMES[2:]]])
-#: A run: sorted hashes, their checks and owners of each bucket.
-RUNS = "bucket int, x binary, y binary, z binary"
-#: Kinds of rows: a batch's slice, and a run's slice (with owners in ``docs``).
-BATCH, RUN = 0, 1
+#: What merging gives: matches of documents by home (ids, keys and places), and a run's slice (hashes, checks and owners).
+MERGED = "kind int, bucket int, home int, x binary, y binary, z binary"
+_MERGED = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("home", pa.int32()), *[(n, pa.binary()) for n in "xyz"]])
+#: Kinds of rows: slices of a batch, matches, slices of a run.
+BATCH, MATCH, RUN = range(3)
 
 
 def fingerprints(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -42,32 +45,60 @@ def _edges(n: int) -> np.ndarray:
     return np.array([(i << 64) // n for i in range(1, n)], dtype=np.uint64)
 
 
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
+
+
+def _by_home(doc: np.ndarray, key: np.ndarray, place: np.ndarray, homes: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """Matches in one piece for each home of documents, in order of document and place."""
+    home = _home(doc, key, homes)
+    by = np.lexsort((place, doc, home))
+    cut = [0, *(np.flatnonzero(np.diff(home[by])) + 1).tolist(), len(by)] if len(by) else [0]
+    for i, j in zip(cut, cut[1:], strict=False):
+        k = by[i:j]
+        yield int(home[k[0]]), common.packed(doc[k]), common.packed(key[k]), common.packed(place[k].astype("<u4"))
+
+
 def slices(docs: DataFrame, buckets: int) -> DataFrame:
-    """The sorted window fingerprints of a batch (doc_id, text, key), a row for each chunk of documents and bucket."""
+    """The sorted window fingerprints of a batch (doc_id, text, key), a row for each chunk of documents and bucket.
+
+    A window that a document of the chunk with a smaller id has is a match at once. So of a window that is everywhere a
+    chunk sends one document's places only, and no bucket grows with it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, edges = common.hashes(), _edges(buckets)
+        edges = _edges(buckets)
         ids: list[int] = []
         keys: list[int] = []
         hs: list[np.ndarray] = []
         cs: list[np.ndarray] = []
         held = 0
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> pa.Table:
             nonlocal ids, keys, hs, cs, held
-            starts = np.cumsum([0, *map(len, hs)])[:-1].astype("<u4")
-            h, c = np.concatenate(hs), np.concatenate(cs)
-            order = np.argsort(h, kind="stable")
-            h, c, cut = h[order], c[order], None
-            cut = [0, *np.searchsorted(h, edges).tolist(), len(h)]
-            table = [common.packed(np.array(ids, "<i8")), common.packed(np.array(keys, "<i8")), common.packed(starts)]
-            rows = [(BATCH, b, *table, common.packed(h[i:j]), common.packed(c[i:j]), common.packed(order[i:j].astype("<u4"))) for b, (i, j) in enumerate(zip(cut, cut[1:], strict=False)) if j > i]
+            starts = np.cumsum([0, *map(len, hs)])[:-1]
+            h, c, doc, key = np.concatenate(hs), np.concatenate(cs), np.array(ids, "<i8"), np.array(keys, "<i8")
             ids, keys, hs, cs, held = [], [], [], [], 0
-            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA)
+            order = np.argsort(h)
+            h, c = h[order], c[order]
+            local = np.repeat(np.arange(len(doc)), np.diff(starts, append=len(h)))[order]
+            owner = doc[local]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
+            hit = owner > np.minimum.reduceat(owner, np.flatnonzero(new))[np.cumsum(new) - 1]
+            at = local[hit]
+            rows = [(MATCH, home, x, y, None, None, None, z) for home, x, y, z in _by_home(doc[at], key[at], order[hit] - starts[at], buckets)]
+            h, c, local, place = h[~hit], c[~hit], local[~hit], (order[~hit] - starts[local[~hit]]).astype("<u4")
+            cut = [0, *np.searchsorted(h, edges).tolist(), len(h)]
+            for b, (i, j) in enumerate(zip(cut, cut[1:], strict=False)):
+                if j > i:  # with the documents of this slice alone
+                    mine, of = np.unique(local[i:j], return_inverse=True)
+                    rows.append((BATCH, b, *map(common.packed, (doc[mine], key[mine], of.astype("<u4"), h[i:j], c[i:j], place[i:j]))))
+            return _table(rows, _SCHEMA)
 
         for batch in batches:
             for doc, text, key in zip(*batch.columns, strict=True):
-                h, c = fingerprints(memo.of(common.words_of(text.as_py())))
+                h, c = fingerprints(common.word_hashes(common.words_of(text.as_py())))
                 if len(h):
                     ids.append(doc.as_py())
                     keys.append(key.as_py())
@@ -75,16 +106,18 @@ def slices(docs: DataFrame, buckets: int) -> DataFrame:
                     cs.append(c)
                     held += len(h)
                     if held >= CHUNK:
-                        yield flush()
+                        yield from flush().to_batches()
         if ids:
-            yield flush()
+            yield from flush().to_batches()
 
-    return docs.mapInArrow(run, SLICE)
+    return docs.mapInArrow(common.tidy(run), SLICE)
 
 
 def _merged(h: np.ndarray, c: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """order, group of each sorted entry, and hash, check and smallest doc of each group of equal fingerprints."""
-    order = np.lexsort((c, h))
+    order = np.argsort(h)
+    if ((h[order][1:] == h[order][:-1]) & (c[order][1:] != c[order][:-1])).any():  # hashes that collide
+        order = np.lexsort((c, h))
     h, c, doc = h[order], c[order], doc[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
@@ -92,52 +125,38 @@ def _merged(h: np.ndarray, c: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray,
     return order, np.cumsum(new) - 1, h[first], c[first], np.minimum.reduceat(doc, first) if len(first) else doc
 
 
-#: Matches: documents, their keys and places; a run's slice: hashes, checks and owners.
-MATCHED = "kind int, bucket int, home int, x binary, y binary, z binary"
-
-
-def _merge_join(table: pa.Table, buckets: int, keep: bool) -> pa.Table:
-    """One bucket: the matches of the batch's documents, and the batch's slice of its run."""
+def _merge_join(table: pa.Table, runs: pa.Table, buckets: int) -> pa.Table:
+    """One bucket: the matches of the batch's documents with the batch and the runs, and the batch's slice of its run."""
     get = {n: table.column(n).to_pylist() for n in _NAMES}
-    h, c, owner, ids, keys, doc_of, place = [], [], [], [], [], [], []
-    n_docs, bucket = 0, get["bucket"][0]
+    of_runs = runs.to_pylist()[0]
+    bucket = of_runs["bucket"]
+    # runs come first, then the batch's slices
+    parts = [(common.unpacked(of_runs[f"x{k}"], "<u8"), common.unpacked(of_runs[f"y{k}"], "<u2"), common.unpacked(of_runs[f"z{k}"], "<i8")) for k in range((len(of_runs) - 1) // 3)]
+    before = sum(len(x) for x, _, _ in parts)
+    rows, ids, keys, doc_of, place, n_docs = [], [np.zeros(0, "<i8")], [np.zeros(0, "<i8")], [np.full(before, -1, np.int64)], [np.zeros(before, np.int64)], 0
     for i, kind in enumerate(get["kind"]):
-        hash_, check, docs = common.unpacked(get["hashes"][i], "<u8"), common.unpacked(get["checks"][i], "<u2"), common.unpacked(get["docs"][i], "<i8")
-        h.append(hash_)
-        c.append(check)
-        if kind == RUN:
-            owner.append(docs)
-            doc_of.append(np.full(len(hash_), -1, np.int64))
-            place.append(np.zeros(len(hash_), np.int64))
-        else:
-            starts, at = common.unpacked(get["starts"][i], "<u4").astype(np.int64), common.unpacked(get["places"][i], "<u4").astype(np.int64)
-            local = np.searchsorted(starts, at, side="right") - 1
-            owner.append(docs[local])
-            doc_of.append(local + n_docs)
-            place.append(at - starts[local])
-            ids.append(docs)
-            keys.append(common.unpacked(get["keys"][i], "<i8"))
-            n_docs += len(docs)
-    owner_, doc_of_ = np.concatenate(owner), np.concatenate(doc_of)
-    order, group, gh, gc, least = _merged(np.concatenate(h), np.concatenate(c), owner_)
-    sorted_doc = doc_of_[order]
-    own = sorted_doc >= 0
-    hit = own & (owner_[order] > least[group])
-    hit_doc, hit_place = sorted_doc[hit], np.concatenate(place)[order][hit]
-    by = np.lexsort((hit_place, hit_doc))
-    hit_doc, hit_place = hit_doc[by], hit_place[by].astype("<u4")
-    all_ids, all_keys = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (ids, keys))
-    # matches leave in one piece for each home of documents, in order of document and place
-    doc_ids, doc_keys = all_ids[hit_doc], all_keys[hit_doc]
-    home = _home(doc_ids, doc_keys, buckets)
-    by = np.argsort(home, kind="stable")
-    cut = [0, *np.flatnonzero(np.diff(home[by])) + 1, len(by)] if len(by) else [0]
-    rows = [(BATCH, bucket, int(home[k[0]]), common.packed(doc_ids[k]), common.packed(doc_keys[k]), common.packed(hit_place[k])) for k in (by[i:j] for i, j in zip(cut, cut[1:], strict=False))]
+        if kind == MATCH:
+            rows.append((MATCH, bucket, bucket, get["docs"][i], get["keys"][i], get["places"][i]))
+            continue
+        docs, local = common.unpacked(get["docs"][i], "<i8"), common.unpacked(get["docs_of"][i], "<u4").astype(np.int64)
+        parts.append((common.unpacked(get["hashes"][i], "<u8"), common.unpacked(get["checks"][i], "<u2"), docs[local]))
+        doc_of.append(local + n_docs)
+        place.append(common.unpacked(get["places"][i], "<u4").astype(np.int64))
+        ids.append(docs)
+        keys.append(common.unpacked(get["keys"][i], "<i8"))
+        n_docs += len(docs)
+    h, c, owner = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, t) for t in ("<u8", "<u2", "<i8"))
+    order, group, gh, gc, least = _merged(h, c, owner)
+    doc = np.concatenate(doc_of)[order]
+    own = doc >= 0
+    hit = own & (owner[order] > least[group])
+    at = doc[hit]
+    rows += [(MATCH, bucket, *x) for x in _by_home(np.concatenate(ids)[at], np.concatenate(keys)[at], np.concatenate(place)[order][hit], buckets)]
     mine = np.zeros(len(gh), bool)
     mine[group[own]] = True
-    if keep and mine.any():
-        rows.append((RUN, bucket, None, common.packed(gh[mine]), common.packed(gc[mine]), common.packed(least[mine].astype("<i8"))))
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, (pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 3), strict=True)], ["kind", "bucket", "home", "x", "y", "z"])
+    # of a window in a run too, the run keeps the smallest owner of all
+    rows.append((RUN, bucket, None, common.packed(gh[mine]), common.packed(gc[mine]), common.packed(least[mine].astype("<i8"))))
+    return _table(rows, _MERGED)
 
 
 def _home(doc_ids: np.ndarray, keys: np.ndarray, homes: int) -> np.ndarray:
@@ -155,53 +174,77 @@ def _gather(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(doc[first]), pa.array(key[first]), pa.array(places, pa.binary())], ["doc_id", "key", "places"])
 
 
-def _compact(table: pa.Table) -> pa.Table:
-    get = {n: table.column(n).to_pylist() for n in ("bucket", "x", "y", "z")}
-    h, c, o = (np.concatenate([common.unpacked(x, t) for x in get[n]]) for n, t in (("x", "<u8"), ("y", "<u2"), ("z", "<i8")))
+def _compact(one: dict) -> tuple:
+    """One bucket of some runs as one run."""
+    n = (len(one) - 1) // 3
+    h, c, o = (np.concatenate([common.unpacked(one[f"{v}{k}"], t) for k in range(n)]) for v, t in (("x", "<u8"), ("y", "<u2"), ("z", "<i8")))
     _, _, gh, gc, least = _merged(h, c, o)
-    return pa.Table.from_arrays([pa.array([get["bucket"][0]], pa.int32()), *[pa.array([common.packed(x)], pa.binary()) for x in (gh, gc, least.astype("<i8"))]], ["bucket", "x", "y", "z"])
+    return RUN, one["bucket"], None, common.packed(gh), common.packed(gc), common.packed(least.astype("<i8"))
 
 
 class FingerprintIndex:
-    """The runs of an index in a shared folder. A batch is matched with all that came before and within itself."""
+    """The runs of an index in a shared folder. A batch is matched with all that came before and within itself.
+
+    A run is an external table bucketed by ``bucket``, with a row for each bucket, so runs are joined and met in place.
+    """
 
     def __init__(self, spark: SparkSession, home: str, buckets: int):
         self.spark, self.home, self.buckets = spark, home, buckets
-        self.runs: list[str] = []
-        self.steps = 0
-
-    def _run(self, path: str) -> DataFrame:
-        return self.spark.read.schema(RUNS).parquet(path)
-
-    def add(self, docs: DataFrame, keep: bool = True) -> DataFrame:
-        """Matches a batch (doc_id, text, key); returns the places of windows that also start in a document with a
-        smaller doc_id, packed, for ``gathered``. ``keep`` makes the batch's windows the next run."""
-        rows = slices(docs, self.buckets)
-        empty = F.lit(None).cast("binary")
-        for path in self.runs:
-            run = self._run(path).select(F.lit(RUN).alias("kind"), "bucket", F.col("z").alias("docs"), empty.alias("keys"), empty.alias("starts"), F.col("x").alias("hashes"), F.col("y").alias("checks"), empty.alias("places"))
-            rows = rows.union(run)
-        self.steps += 1
-        path = f"{self.home}/step-{self.steps}"
+        self.runs: list[tuple[str, int]] = []  # tables and their levels, oldest first
+        empty = common.packed(np.zeros(0, "<u8"))
+        every = spark.range(buckets).select(F.lit(RUN).alias("kind"), F.col("id").cast("int").alias("bucket"), F.lit(None).cast("int").alias("home"), *[F.lit(empty).alias(v) for v in "xyz"])
+        self.start = self._saved(every)
+
+    def _saved(self, df: DataFrame) -> str:
+        name = f"seatracks_{uuid.uuid4().hex}"
+        with common.cleaned(self.spark):
+            df.write.partitionBy("kind").bucketBy(self.buckets, "bucket").option("path", f"{self.home}/{name}").option("compression", "zstd").saveAsTable(name)
+        return name
+
+    def _run(self, name: str, k: int) -> DataFrame:
+        return self.spark.table(name).where(F.col("kind") == RUN).select("bucket", *[F.col(v).alias(f"{v}{k}") for v in "xyz"])
+
+    def _side_by_side(self, names: list[str]) -> DataFrame:
+        """A row for each bucket with its slices of all the runs; none is shuffled."""
+        return reduce(lambda a, b: a.join(b.hint("merge"), "bucket", "left"), [self._run(n, k) for k, n in enumerate(names)])
+
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        common.removed(self.spark, f"{self.home}/{name}/kind={RUN}")
+
+    def add(self, docs: DataFrame) -> DataFrame:
+        """Matches a batch (doc_id, text, key), which becomes the next run; returns the places of windows that also start
+        in a document with a smaller doc_id, packed, for ``gathered``."""
+        while len(self.runs) > 1 and self.runs[-1][1] == self.runs[-2][1]:
+            self.compact(2)
         buckets = self.buckets
-        out = rows.groupBy("bucket").applyInArrow(lambda t: _merge_join(t, buckets, keep), MATCHED)
-        common.written(out, path, "kind")
-        found = self.spark.read.schema(MATCHED).parquet(path)
-        if keep:
-            self.runs.append(f"{path}/kind={RUN}")
-            common.written(found.where("false").select("bucket", "x", "y", "z"), self.runs[-1], mode="append")  # there even if no document has a window
-            if len(self.runs) >= FAN:
-                self.compact()
-        return found.where(F.col("kind") == BATCH).select("home", "x", "y", "z")
-
-    def compact(self) -> None:
-        """All runs into one; the old runs stay as they are."""
-        merged = self._run(self.runs[0])
-        for path in self.runs[1:]:
-            merged = merged.union(self._run(path))
-        path = f"{self.home}/run-{self.steps}"
-        common.written(merged.groupBy("bucket").applyInArrow(_compact, RUNS), path)
-        self.runs = [path]
+        held = self._side_by_side([self.start, *[n for n, _ in self.runs]])
+        name = self._saved(slices(docs, buckets).groupBy("bucket").cogroup(held.groupBy("bucket")).applyInArrow(lambda a, b: _merge_join(a, b, buckets), MERGED))
+        self.runs.append((name, 0))
+        return self.spark.read.schema(MERGED.replace("kind int, ", "")).parquet(f"{self.home}/{name}/kind={MATCH}") if self._matched(name) else self.spark.createDataFrame([], MERGED)
+
+    def _matched(self, name: str) -> bool:
+        return bool(self.spark.table(name).where(F.col("kind") == MATCH).take(1))
+
+    def compact(self, newest: int) -> None:
+        """The newest runs into one of the next level; what they were is removed once that is written."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for one in batch.to_pylist():
+                    yield from _table([_compact(one)], _MERGED).to_batches()
+
+        old = self.runs[-newest:]
+        name = self._saved(self._side_by_side([self.start, *[n for n, _ in old]]).mapInArrow(common.tidy(run), MERGED))
+        self.runs = [*self.runs[:-newest], (name, max(level for _, level in old) + 1)]
+        for n, _ in old:
+            self._drop(n)
+
+    def drop(self) -> None:
+        """Removes all runs."""
+        for n in (self.start, *[n for n, _ in self.runs]):
+            self._drop(n)
+        self.runs = []
 
 
 def gathered(found: DataFrame) -> DataFrame:
@@ -209,23 +252,26 @@ def gathered(found: DataFrame) -> DataFrame:
     return found.groupBy("home").applyInArrow(_gather, "doc_id long, key long, places binary")
 
 
-def repeats(docs: DataFrame, cuts: tuple[float, ...] = CUTS) -> DataFrame:
+def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """doc_id, key and the places of repeated windows of the documents that have any.
 
-    The table is taken in batches of rising doc_id. The last batch makes no run, as nothing follows it.
+    The table is taken in even batches of rising doc_id, each of which becomes a run of an index; as nothing asks that
+    index afterwards, it is removed.
     """
     spark = docs.sparkSession
     home = common.shared_dir(spark)
     rows = common.id_text(docs).where("doc_id is not null and text is not null").withColumn("key", F.xxhash64("text"))
-    marks = sorted(set(rows.approxQuantile("doc_id", list(cuts), 0.01))) if cuts else []
-    index = FingerprintIndex(spark, home, common.buckets(spark))
+    marks = sorted(set(rows.approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.01))) if batches > 1 else []
+    index = FingerprintIndex(spark, home, common.buckets(spark, rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"], BUCKET_BYTES))
     found = None
     for lo, hi in zip([None, *marks], [*marks, None], strict=True):
         batch = rows if lo is None else rows.where(F.col("doc_id") > F.lit(int(lo)))
         batch = batch if hi is None else batch.where(F.col("doc_id") <= F.lit(int(hi)))
-        part = index.add(batch, keep=hi is not None)
+        part = index.add(batch).select("home", "x", "y", "z")
         found = part if found is None else found.union(part)
-    return common.written(gathered(found).select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), F.col("places").alias("_places")), f"{home}/repeats")
+    out = common.written(gathered(found).select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), F.col("places").alias("_places")), f"{home}/repeats")
+    index.drop()
+    return out
 
 
 def kept_words(text: str | None, places: bytes | None) -> tuple[list[bytes], int]:
@@ -256,7 +302,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
                 rows = [(n, n - len(w), b" ".join(w)) for w, n in (kept_words(t.as_py(), p.as_py()) for t, p in zip(texts, places, strict=True))]
                 yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)]], ["doc_id", "n_words", "n_removed", "kept"])
 
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept binary")
+    return joined.mapInArrow(common.tidy(run), "doc_id long, n_words long, n_removed long, kept binary")
 
 
 def deduped_documents(docs: DataFrame) -> DataFrame:
@@ -277,5 +323,5 @@ def deduped_documents(docs: DataFrame) -> DataFrame:
                 cols[chars] = pa.array(changed, batch.schema.field(chars).type)
             yield pa.RecordBatch.from_arrays(cols, batch.schema.names[:width])
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(common.tidy(run), docs.schema)
 

@@ -46,9 +46,30 @@ def test_index_over_many_batches_in_any_order(spark, tmp_path):
     docs = spark.createDataFrame(data, SCHEMA).select("doc_id", "text").withColumn("key", F.xxhash64("text"))
     index = S.FingerprintIndex(spark, str(tmp_path), 4)
     index.add(docs.where("doc_id < 20"))
-    index.add(docs.where("doc_id between 20 and 70"))
-    assert len(index.runs) == 1  # compacted
-    found = S.gathered(index.add(docs.where("doc_id > 70"), keep=False)).collect()
+    index.add(docs.where("doc_id between 20 and 50"))
+    index.add(docs.where("doc_id between 51 and 70"))
+    assert [level for _, level in index.runs] == [1, 0]  # two of one level were compacted
+    found = S.gathered(index.add(docs.where("doc_id > 70")).select("home", "x", "y", "z")).collect()
+    assert [level for _, level in index.runs] == [1, 0, 0]
     text = {r[0]: r[1] for r in data}
     got = {r.doc_id: len(S.common.words_of(text[r.doc_id])) - len(S.kept_words(text[r.doc_id], r.places)[0]) for r in found}
     assert got == {d: n for d, _, n, _ in brute(data) if d > 70 and n}
+    index.drop()
+    assert not [f for f in tmp_path.rglob("kind=2/*") if f.is_file()]
+
+
+def test_runs_are_read_in_place(spark, tmp_path):
+    docs = spark.createDataFrame(rows(6), SCHEMA).where("doc_id is not null and text is not null").select("doc_id", "text").withColumn("key", F.xxhash64("text"))
+    index = S.FingerprintIndex(spark, str(tmp_path), 4)
+    for k in range(2):
+        index.add(docs.where(F.col("doc_id") % 2 == k))
+    plan = index._side_by_side([index.start, *[n for n, _ in index.runs]])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan") == 3
+    index.drop()
+
+
+def test_window_that_is_everywhere_is_sent_once_for_each_chunk(spark):
+    docs = spark.createDataFrame([(i, " ".join(map(str, range(20)))) for i in range(100)], "doc_id long, text string").withColumn("key", F.lit(0).cast("long")).coalesce(1)
+    got = S.slices(docs, 4).collect()
+    sent = sum(len(S.common.unpacked(r.hashes, "<u8")) for r in got if r.kind == S.BATCH)
+    assert sent == 8 and sum(len(S.common.unpacked(r.places, "<u4")) for r in got if r.kind == S.MATCH) == 8 * 99
