@@ -219,4 +219,4 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, step: int = 1 << 16) -> D
                     backs.append("".join([*(machine.feed(ids[i : i + step].tolist()) for i in range(0, len(ids), step)), machine.finish()]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([len(r) // 4 for r in raws], pa.int64()), pa.array(raws, pa.binary()), pa.array(backs, pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
 
-    return common.id_text(docs).mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
+    return common.id_text(docs).mapInArrow(common.tidy(run), "doc_id long, n_tokens long, ids binary, decoded string")

@@ -36,8 +36,10 @@ CHUNK = 1 << 20
 ADD = 0.1
 #: A context is spread over buckets if it has more than this share of a bucket's mean load.
 SPREAD = 8
+#: Triples are dealt out in so many turns, one after another, as they take the most room on their way.
+TURNS = 2
 
-CHUNKS = "chunk long, docs binary, null_docs binary, held binary, lengths binary, tokens binary, words binary, train binary"
+CHUNKS = "chunk long, docs binary, null_docs binary, held binary, lengths binary, tokens binary, place binary, words binary, train binary"
 _CHUNKS = pa.schema([("chunk", pa.int64()), *[(x.split()[0], pa.binary()) for x in CHUNKS.split(", ")[1:]]])
 ROW = "kind int, chunk long, bucket int, a binary, b binary, c binary, d binary, e binary"
 _ROW = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("bucket", pa.int32()), *[(x, pa.binary()) for x in "abcde"]])
@@ -54,12 +56,13 @@ def held_out(doc: int | None) -> bool:
 
 
 def chunk_table(docs: DataFrame) -> DataFrame:
-    """Documents as numbers of words in a list of their own for each chunk; number 0 is the end."""
+    """Documents as numbers of words in a list of their own for each chunk; number 0 is the end. Words stand by hash,
+    with their counts in training; ``place`` has where each number's word stands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        memo, number = common.hashes(), count(TaskContext.get().partitionId() << 32)
+        number = count(TaskContext.get().partitionId() << 32)
 
         def fresh() -> tuple[defaultdict, list, list]:
             names: defaultdict = defaultdict(count(1).__next__)
@@ -73,10 +76,13 @@ def chunk_table(docs: DataFrame) -> DataFrame:
             flat = np.concatenate(parts)
             held = np.array(list(map(held_out, docs_)), np.uint8)
             train = np.bincount(flat[np.repeat(held == 0, lengths)], minlength=len(names) + 1).astype("<u4")
-            words = memo.of([b"", *names])
+            words = common.word_hashes([b"", *names])
+            order = np.argsort(words, kind="stable")
+            place = np.empty(len(order), "<u4")
+            place[order] = np.arange(len(order))
             docs = np.array([d or 0 for d in docs_], "<i8")
             null = np.array([d is None for d in docs_], np.uint8)
-            return _rows([(next(number), *map(common.packed, (docs, null, held, lengths, flat, words, train)))], _CHUNKS)
+            return _rows([(next(number), *map(common.packed, (docs, null, held, lengths, flat, place, words[order], train[order])))], _CHUNKS)
 
         for batch in batches:
             for doc, text in zip(*batch.columns, strict=True):
@@ -93,7 +99,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
         if docs_:
             yield from flush().to_batches()
 
-    return common.id_text(docs).mapInArrow(run, CHUNKS)
+    return common.id_text(docs).mapInArrow(common.tidy(run), CHUNKS)
 
 
 def _tally(n: np.ndarray) -> np.ndarray:
@@ -108,8 +114,6 @@ def _word_slices(buckets: int):
         for batch in batches:
             for chunk, words, train in zip(*(batch.column(k).to_pylist() for k in ("chunk", "words", "train")), strict=True):
                 h, n = common.unpacked(words, "<u8"), common.unpacked(train, "<u4")
-                order = np.argsort(h, kind="stable")
-                h, n = h[order], n[order]
                 cut = [0, *np.searchsorted(h, edges).tolist(), len(h)]
                 yield from _rows([(ASK, chunk, b, common.packed(h[i:j]), common.packed(n[i:j]), None, None, None) for b, (i, j) in enumerate(zip(cut, cut[1:], strict=False)) if j > i], _ROW).to_batches()
 
@@ -197,10 +201,24 @@ class Asked:
     n: np.ndarray  # training count of each sent pair in this chunk
 
 
-def _ask(tokens: np.ndarray, lengths: np.ndarray, held: np.ndarray, number: np.ndarray, c: np.ndarray, buckets: int, n_train: int) -> Asked:
+def _dealt(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order by bucket (as before within each), and where each bucket begins."""
+    small = bucket.astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+    return np.argsort(small, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(small, minlength=buckets))])
+
+
+def _by_two(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """An order by a, then b; numbers below 2^32 make one key."""
+    if not len(a) or max(int(a.max()), int(b.max())) < 1 << 32:
+        return np.argsort((a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64))
+    return np.lexsort((b, a))
+
+
+def _ask(tokens: np.ndarray, lengths: np.ndarray, held: np.ndarray, number: np.ndarray, c: np.ndarray, end: int, buckets: int, n_train: int) -> Asked:
+    """Tokens are places of their words by number, so pairs come sorted by both words' numbers."""
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
-    before[np.cumsum(lengths) - lengths] = 0  # a document begins after an end
+    before[np.cumsum(lengths) - lengths] = end  # a document begins after an end
     keys, at = np.unique((before.astype(np.uint64) << np.uint64(32)) | tokens.astype(np.uint64), return_inverse=True)
     v, w = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
     n = np.bincount(at, weights=np.repeat(held == 0, lengths), minlength=len(keys)).astype(np.int64)
@@ -208,8 +226,9 @@ def _ask(tokens: np.ndarray, lengths: np.ndarray, held: np.ndarray, number: np.n
     ways = -(-c[v] // load)
     bucket = (number[v] + np.where(ways > 1, (common.mix(number[w].view(np.uint64)) % np.maximum(ways, 1).astype(np.uint64)).astype(np.int64), 0)) % buckets
     known = np.flatnonzero(c[v] > 0)  # a pair with an unknown word still needs its context's sums
-    sent = known[np.lexsort((number[w[known]], number[v[known]], bucket[known]))]
-    return Asked(at, v, w, sent, np.searchsorted(bucket[sent], np.arange(buckets + 1)), n[sent])
+    order, edges = _dealt(bucket[known], buckets)
+    sent = known[order]
+    return Asked(at, v, w, sent, edges, n[sent])
 
 
 def _heads(v: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -221,15 +240,16 @@ def _heads(v: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 
 def _of_chunk(row: dict, answers: dict) -> tuple:
-    """A chunk's arrays and its words' numbers and counts, from its row and the words' answers."""
-    words, tokens, lengths, held = (common.unpacked(row[k], t) for k, t in (("words", "<u8"), ("tokens", "<u4"), ("lengths", "<u4"), ("held", "u1")))
-    lengths = lengths.astype(np.int64)
-    order = np.argsort(words, kind="stable")
-    number, c = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+    """A chunk's arrays with its words by their numbers in the model: tokens (places among them), lengths, held, the
+    words' numbers and counts, and the end's place."""
+    place, tokens, lengths, held = (common.unpacked(row[k], t) for k, t in (("place", "<u4"), ("tokens", "<u4"), ("lengths", "<u4"), ("held", "u1")))
     mine = sorted((b, x, y) for k, b, x, y in zip(answers["kind"], answers["bucket"], answers["a"], answers["b"], strict=True) if k == WORDS)
-    number[order] = np.concatenate([common.unpacked(x, "<i8") for _, x, _ in mine])
-    c[order] = np.concatenate([common.unpacked(y, "<i8") for _, _, y in mine])
-    return tokens, lengths, held, number, c
+    number, c = (np.concatenate([common.unpacked(x, "<i8") for x in part]) for part in ([x for _, x, _ in mine], [y for _, _, y in mine]))
+    order = np.argsort(number)
+    rank = np.empty(len(order), np.uint32)
+    rank[order] = np.arange(len(order))
+    rank = rank[place]
+    return rank[tokens], lengths.astype(np.int64), held, number[order], c[order], int(rank[0])
 
 
 def _pair_slices(buckets: int, n_train: int):
@@ -238,8 +258,8 @@ def _pair_slices(buckets: int, n_train: int):
         out = []
         answers = right.to_pydict()
         for row in left.to_pylist():
-            *arrays, number, c = _of_chunk(row, answers)
-            asked = _ask(*arrays, number, c, buckets, n_train)
+            tokens, lengths, held, number, c, end = _of_chunk(row, answers)
+            asked = _ask(tokens, lengths, held, number, c, end, buckets, n_train)
             v, w = asked.v[asked.sent], asked.w[asked.sent]
             for b, (i, j) in enumerate(zip(asked.edges[:-1].tolist(), asked.edges[1:].tolist(), strict=True)):
                 if j > i:
@@ -263,7 +283,7 @@ def _count_pairs(unigrams: Unigrams, buckets: int, spread: set[int]):
         gw, cw = (np.concatenate([common.unpacked(x, "<i8") for x in get[k]]) for k in "cd")
         ns = [common.unpacked(x, "<u4") for x in get["e"]]
         n = np.concatenate(ns).astype(np.int64)
-        order = np.lexsort((gw, gv))
+        order = _by_two(gv, gw)
         sv, sw = gv[order], gw[order]
         new = np.ones(len(order), bool)
         new[1:] = (sv[1:] != sv[:-1]) | (sw[1:] != sw[:-1])
@@ -308,14 +328,15 @@ class Pairs:
     held: np.ndarray
     number: np.ndarray
     c: np.ndarray
+    end: int
     asked: Asked
     counts: np.ndarray
     p: np.ndarray
 
 
 def _pairs_of(row: dict, answers: dict, unigrams: Unigrams, d: np.ndarray, buckets: int, sums: dict[int, tuple[np.ndarray, float]]) -> Pairs:
-    tokens, lengths, held, number, c = _of_chunk(row, answers)
-    asked = _ask(tokens, lengths, held, number, c, buckets, unigrams.n)
+    tokens, lengths, held, number, c, end = _of_chunk(row, answers)
+    asked = _ask(tokens, lengths, held, number, c, end, buckets, unigrams.n)
     p = unigrams.p(c[asked.w])
     counts = np.zeros(len(asked.v), np.int64)
     mine = sorted((b, x, y, z) for k, b, x, y, z in zip(answers["kind"], answers["bucket"], answers["a"], answers["b"], answers["c"], strict=True) if k == PAIRS)
@@ -334,7 +355,7 @@ def _pairs_of(row: dict, answers: dict, unigrams: Unigrams, d: np.ndarray, bucke
         counts[asked.sent] = n
         v = asked.v[seen_before]
         p[seen_before] = pair_probabilities(counts[seen_before], c[v], p[seen_before], of_small[v], of_mass[v], d)
-    return Pairs(tokens, lengths, held, number, c, asked, counts, p)
+    return Pairs(tokens, lengths, held, number, c, end, asked, counts, p)
 
 
 @dataclass
@@ -368,24 +389,25 @@ def _ask_triples(m: Pairs, buckets: int, n_train: int) -> AskedTriples:
     low = np.empty(len(keys))
     low[at] = m.p[m.asked.pair_of_token]
     # no pair that ends a document is a context, so two ends stand for a beginning
-    u, v, cc = np.append(m.number[m.asked.v], m.number[0]), np.append(m.number[m.asked.w], m.number[0]), np.append(m.counts, m.c[0])
+    u, v, cc = np.append(m.number[m.asked.v], m.number[m.end]), np.append(m.number[m.asked.w], m.number[m.end]), np.append(m.counts, m.c[m.end])
     ways = np.maximum(-(-cc[x] // _load(n_train, buckets)), 1)
     mixed = common.mix(common.mix(u.view(np.uint64)) ^ v.view(np.uint64))
     bucket = ((mixed[x] % np.uint64(buckets)).astype(np.int64) + (common.mix(w.view(np.uint64)) % ways.astype(np.uint64)).astype(np.int64)) % buckets
     known = np.flatnonzero(cc[x] > 0)
-    sent = known[np.lexsort((w[known], v[x[known]], u[x[known]], bucket[known]))]
-    return AskedTriples(at, x, n, w, low, u, v, cc, sent, np.searchsorted(bucket[sent], np.arange(buckets + 1)))
+    order, edges = _dealt(bucket[known], buckets)
+    return AskedTriples(at, x, n, w, low, u, v, cc, known[order], edges)
 
 
-def _triple_slices(unigrams: Unigrams, d: np.ndarray, buckets: int, sums: dict[int, tuple[np.ndarray, float]]):
+def _triple_slices(unigrams: Unigrams, d: np.ndarray, buckets: int, sums: dict[int, tuple[np.ndarray, float]], turn: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         """A chunk's triples for each bucket: contexts (both words and count) with lengths of their runs, third words,
-        their probabilities by the pair where they are counted here, and triples' counts."""
+        their probabilities by the pair where they are counted here, and triples' counts. Every ``TURNS``-th bucket has
+        its turn."""
         out, answers = [], right.to_pydict()
         for row in left.to_pylist():
             t = _ask_triples(_pairs_of(row, answers, unigrams, d, buckets, sums), buckets, unigrams.n)
             for b, (i, j) in enumerate(zip(t.edges[:-1].tolist(), t.edges[1:].tolist(), strict=True)):
-                if j > i:
+                if j > i and b % TURNS == turn:
                     part = t.sent[i:j]
                     head = _heads(t.x[part], np.zeros(0, np.int64))
                     x = t.x[part[head]]
@@ -405,7 +427,7 @@ def _count_triples(load: int):
         runs = [common.unpacked(r, "<u4") for r in get["b"]]
         of_head = np.concatenate(heads, axis=1)
         # contexts of this bucket, numbered in the order of their words
-        order = np.lexsort((of_head[1], of_head[0]))
+        order = _by_two(of_head[0], of_head[1])
         new = np.ones(len(order), bool)
         new[1:] = (np.diff(of_head[:2, order]) != 0).any(axis=0)
         context_of = np.empty(len(order), np.int64)
@@ -416,7 +438,7 @@ def _count_triples(load: int):
         low = np.concatenate([common.unpacked(p, "<f8") for p in get["d"]])
         ns = [common.unpacked(k, "<u4") for k in get["e"]]
         n = np.concatenate(ns).astype(np.int64)
-        order = np.lexsort((w, x))
+        order = _by_two(x, w)
         new = np.ones(len(order), bool)
         new[1:] = (np.diff(x[order]) != 0) | (np.diff(w[order]) != 0)
         first = np.flatnonzero(new)
@@ -517,18 +539,19 @@ def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
     # contexts that are spread: at most SPREAD * buckets, as their counts add up to N
     load = _load(unigrams.n, buckets)
     spread = set(_spread(words, load))
-    asking = chunks.select("chunk", "lengths", "held", "tokens", "words")
+    asking = chunks.select("chunk", "lengths", "held", "tokens", "place")
     answers = words.where(F.col("kind") == WORDS)
     pairs = asking.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_pair_slices(buckets, unigrams.n), ROW)
     counted = common.written(pairs.groupBy("bucket").applyInArrow(_count_pairs(unigrams, buckets, spread), ROW), f"{home}/pairs")
     of_pairs, of_triples = _told(counted, 1), None
     told = answers.union(counted.where(F.col("kind") == PAIRS))
     if order == 3:
-        triples = asking.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_triple_slices(unigrams, of_pairs[0], buckets, of_pairs[1]), ROW)
-        counted = common.written(triples.groupBy("bucket").applyInArrow(_count_triples(load), ROW), f"{home}/triples")
+        for turn in range(TURNS):
+            triples = asking.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_triple_slices(unigrams, of_pairs[0], buckets, of_pairs[1], turn), ROW)
+            counted = common.written(triples.groupBy("bucket").applyInArrow(_count_triples(load), ROW), f"{home}/triples", mode="append")
         of_triples = _told(counted, 2)
         told = told.union(counted.where(F.col("kind") == TRIPLES))
-    return chunks.select("chunk", "docs", "null_docs", "held", "lengths", "tokens", "words").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_score(unigrams, buckets, of_pairs, of_triples), SCORES)
+    return chunks.select("chunk", "docs", "null_docs", "held", "lengths", "tokens", "place").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_score(unigrams, buckets, of_pairs, of_triples), SCORES)
 
 
 def _spread(words: DataFrame, load: int) -> list[int]:
@@ -539,4 +562,4 @@ def _spread(words: DataFrame, load: int) -> list[int]:
             for number, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 yield pa.RecordBatch.from_arrays([pa.array(common.unpacked(number, "<i8")[common.unpacked(c, "<i8") > load])], ["number"])
 
-    return [r["number"] for r in words.where(F.col("kind") == WORDS).select("a", "b").mapInArrow(run, "number long").distinct().collect()]
+    return [r["number"] for r in words.where(F.col("kind") == WORDS).select("a", "b").mapInArrow(common.tidy(run), "number long").distinct().collect()]

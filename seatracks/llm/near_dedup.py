@@ -12,6 +12,7 @@ meets, by longer signatures first. Components come from min-label propagation ov
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ B_BITS = 2
 LEAST_ESTIMATE = 0.55
 #: Rounds in which a class outside its buckets' largest components meets one member of those, before it meets all.
 ROUNDS = 3
-#: Up to so many ids (8 bytes each) a list of ids is broadcast; beyond it the join is shuffled.
-SMALL = 2_000_000
+#: Up to so many bytes, counted by rows, a table is broadcast; beyond it the join is shuffled.
+SMALL = 48 << 20
 
 #: What still has to meet many others gets longer signatures; estimates from those have a fifth of the variance or less.
 FINE_K, LEAST_FINE = 1024, 0.67
@@ -46,7 +47,7 @@ FLIP = _rng.integers(0, 1 << 32, FINE_K, dtype=np.uint64).astype(np.uint32)
 
 def shingles(text: str | None) -> np.ndarray:
     """The sorted distinct hashes of a text's shingles; with fewer words than that, of the whole sequence."""
-    h = common.hashes().of(common.words_of(text, lower=True))
+    h = common.word_hashes(common.words_of(text, lower=True))
     return np.unique(common.windows(h, SHINGLE if len(h) >= SHINGLE else max(1, len(h))))
 
 
@@ -96,7 +97,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 lists = lambda a: pa.ListArray.from_arrays(pa.array(np.arange(0, a.size + 1, a.shape[1], dtype=np.int32)), pa.array(a.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 1024), pa.array(names, pa.binary()), pa.array(sizes, pa.int64()), lists(packed_bits(m)), lists(band_keys(m))], ["doc_id", "set_id", "n_shingles", "bits", "bands"])
 
-    return common.id_text(docs).mapInArrow(run, schema)
+    return common.id_text(docs).mapInArrow(common.tidy(run), schema)
 
 
 def estimate(a: str, b: str, k: int = K) -> Column:
@@ -113,8 +114,8 @@ def estimate(a: str, b: str, k: int = K) -> Column:
 
 
 def _few(df: DataFrame, most: int = SMALL) -> DataFrame:
-    """A written table, marked for broadcast if it has few rows."""
-    return F.broadcast(df) if df.count() <= most else df
+    """A written table of numbers, marked for broadcast if all its rows, with what a hash table takes besides, are small."""
+    return F.broadcast(df) if df.count() * (32 + 8 * len(df.columns)) <= most else df
 
 
 def components(edges: DataFrame, home: str) -> DataFrame:
@@ -125,7 +126,7 @@ def components(edges: DataFrame, home: str) -> DataFrame:
     """
     both = common.written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), f"{home}/edges")
     labels = common.written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), f"{home}/labels-0")
-    for k in range(1, 200):
+    for k in count(1):  # labels only fall, so it ends
         small = _few(labels)
         near = both.join(small, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
         step = near.join(small, F.col("node") == F.col("a")).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
@@ -147,7 +148,7 @@ def fine_bits(docs: DataFrame, ids: DataFrame, home: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 256), pa.array(list(packed_bits(m)), pa.list_(pa.int64()))], ["n", "fine"])
 
     found = common.id_text(docs).join(_few(ids), F.col("doc_id") == F.col("node"), "left_semi")
-    return common.written(found.mapInArrow(run, "n long, fine array<long>"), f"{home}/fine")
+    return common.written(found.mapInArrow(common.tidy(run), "n long, fine array<long>"), f"{home}/fine")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, home: str) -> DataFrame:
@@ -160,7 +161,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, home: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 512), pa.array([shingles(t.as_py()).tobytes() for t in batch.column(1).slice(lo, 512)], pa.binary())], ["node", "set"])
 
     found = common.id_text(docs).join(_few(ids), F.col("doc_id") == F.col("node"), "left_semi")
-    return common.written(found.mapInArrow(run, schema), f"{home}/sets")
+    return common.written(found.mapInArrow(common.tidy(run), schema), f"{home}/sets")
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, home: str) -> DataFrame:
@@ -180,7 +181,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, home: str) -> DataFrame:
 
     first = sets.select(F.col("node").alias("set_a"), F.col("set").alias("x")).join(_few(pairs), F.col("a") == F.col("set_a"))
     both = first.join(sets.select(F.col("node").alias("set_b"), F.col("set").alias("y")), F.col("b") == F.col("set_b")).select("la", "lb", "x", "y")
-    linked = both.mapInArrow(run, "la long, lb long").select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b"))
+    linked = both.mapInArrow(common.tidy(run), "la long, lb long").select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b"))
     return common.written(linked.where("a <> b").distinct(), f"{home}/links")
 
 
@@ -261,7 +262,10 @@ def _labels(spark: SparkSession, docs: DataFrame, classes: DataFrame, home: str)
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents with their columns, without all but the first of each component."""
+    """The documents with their columns, without all but the first of each component.
+
+    Documents without text or words and rows without doc_id stay; repeated rows of a kept document stay, too. An empty
+    table gives none.
+    """
     gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = common.written(gone, common.shared_dir(docs.sparkSession))
-    return docs.join(F.broadcast(gone) if gone.count() <= SMALL else gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(_few(common.written(gone, common.shared_dir(docs.sparkSession))), F.col("doc_id") == F.col("_gone"), "left_anti")

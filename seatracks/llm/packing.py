@@ -179,7 +179,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0) -
                         c.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return common.id_text(docs).mapInArrow(run, PIECES)
+    return common.id_text(docs).mapInArrow(common.tidy(run), PIECES)
 
 
 def pack(docs: DataFrame, tokenizer: str, size: int = 2048) -> DataFrame:
@@ -208,4 +208,4 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048) -> DataFrame:
             i = np.searchsorted(keys, length * span + rank, side="right") - 1
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(where[i, 2] + rank - where[i, 1]), pa.array(where[i, 3])], [*batch.schema.names[:5], "sequence_id", "offset"])
 
-    return ranked.mapInArrow(run, f"{PIECES}, sequence_id long, offset long")
+    return ranked.mapInArrow(common.tidy(run), f"{PIECES}, sequence_id long, offset long")

@@ -18,12 +18,26 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Fixed values of the format: ids in a word and bits of each, by selector; 0 is the escape.
+#: Fixed values of the format (``RUN`` is a power of two): ids in a word and bits of each, by selector; 0 is the escape.
 COUNTS = (1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 BITS = (0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 RUN = 4096
 #: Ids of a block of a token file, about.
-BLOCK = 1 << 17
+BLOCK = 1 << 20
+_COUNTS, _BITS = np.array(COUNTS, np.int32), np.array(BITS, np.int32)
+
+
+def _starts(ends: np.ndarray) -> np.ndarray:
+    """Where words begin, if a word that begins at i ends at ``ends[i]``: a walk through all runs side by side."""
+    n = len(ends)
+    at = np.arange(0, n, RUN, dtype=np.int32)
+    stop = np.minimum(at + RUN, n)
+    walked, ends = [], np.append(ends, n).astype(np.int32)
+    while (at < stop).any():
+        walked.append(at)
+        at = np.where(at < stop, ends[at], at)
+    every = np.stack(walked, axis=1)
+    return every[every < stop[:, None]]
 
 
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -32,7 +46,7 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.zeros(0, "<u8"), np.zeros(0, "<u4")
-    bits = np.ceil(np.log2(ids.astype(np.float64) + 1)).astype(np.uint8)
+    bits = np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
     bits[ids >= 1 << 50] = 60  # beyond what doubles tell apart
     bits[ids >= 1 << 60] = 64
     # the selector that packs the most ids from each place on, by the largest width in windows of each count
@@ -43,28 +57,19 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             step = min(width, COUNTS[s] - width)
             widest[:-step] = np.maximum(widest[:-step], widest[step:])
             width += step
-        best[widest <= BITS[s]] = s
-    ends = np.minimum(np.arange(n) + np.array(COUNTS)[best], (np.arange(n) // RUN + 1) * RUN)
-    # from word to word: a walk over places, the one step that isn't vectorised
-    at, starts, hop = 0, [], np.minimum(ends, n).tolist()
-    while at < n:
-        starts.append(at)
-        at = hop[at]
-    first = np.array(starts)
+        best -= (best - np.uint8(s)) * (widest <= BITS[s]).view(np.uint8)
+    place_of = np.arange(n, dtype=np.int32)
+    ends = np.minimum(np.minimum(place_of + _COUNTS[best], (place_of | (RUN - 1)) + 1), n)
+    first = _starts(ends)
     sel = best[first]
     size = 1 + (sel == 0)
     place = np.cumsum(size) - size
+    held = np.diff(first, append=n)
+    shift = (place_of - np.repeat(first.astype(np.int32), held)) * np.repeat(_BITS[sel], held)
+    value = np.add.reduceat(ids << shift.astype(np.uint64), first)
     words = np.zeros(int(size.sum()), np.uint64)
-    stop = np.minimum(ends, n)[first]
-    for s in np.unique(sel):
-        of = np.flatnonzero(sel == s)
-        if s == 0:
-            words[place[of] + 1] = ids[first[of]]
-            continue
-        where = first[of][:, None] + np.arange(COUNTS[s])
-        value = np.where(where < stop[of][:, None], ids[np.minimum(where, n - 1)], 0).astype(np.uint64)
-        shift = (np.arange(COUNTS[s]) * BITS[s]).astype(np.uint64)
-        words[place[of]] = np.bitwise_or.reduce(value << shift, axis=1) | np.uint64(int(s) << 60)
+    words[place] = np.where(sel == 0, np.uint64(0), value | sel.astype(np.uint64) << np.uint64(60))
+    words[place[sel == 0] + 1] = value[sel == 0]
     offsets = place[np.searchsorted(first, np.arange(0, n, RUN))]
     return words.astype("<u8"), offsets.astype("<u4")
 
@@ -84,36 +89,32 @@ def decode(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
     else:
         head = np.arange(len(words))
     kind = sel[head]
-    count = np.array(COUNTS)[kind]
+    count = _COUNTS[kind]
     # each run's last word may hold fewer ids than its selector allows
     run = np.searchsorted(offsets, head, side="right") - 1
     before = np.cumsum(count) - count
-    first_of_run = np.searchsorted(head, offsets)
-    out_at = before - before[first_of_run][run] + run * RUN
-    limit = np.minimum((run + 1) * RUN, n)
-    out = np.zeros(n, np.uint64)
-    for s in np.unique(kind):
-        of = np.flatnonzero(kind == s)
-        if s == 0:
-            out[out_at[of]] = words[head[of] + 1]
-            continue
-        shift = (np.arange(COUNTS[s]) * BITS[s]).astype(np.uint64)
-        value = (words[head[of]][:, None] >> shift) & np.uint64((1 << BITS[s]) - 1)
-        where = out_at[of][:, None] + np.arange(COUNTS[s])
-        good = where < limit[of][:, None]
-        out[where[good]] = value[good]
-    return out
+    at = before - before[np.searchsorted(head, offsets)][run] + run * RUN
+    count = np.minimum(count, np.minimum((run + 1) * RUN, n) - at)
+    bits = _BITS[kind]
+    shift = (np.arange(n) - np.repeat(at, count)) * np.repeat(bits, count)
+    mask = (np.uint64(1) << bits.astype(np.uint64)) - np.uint64(1)
+    word = words[head]
+    if (kind == 0).any():
+        word, mask = word.copy(), mask.copy()
+        word[kind == 0], mask[kind == 0] = words[head[kind == 0] + 1], np.uint64(0xFFFFFFFFFFFFFFFF)
+    return np.repeat(word, count) >> shift.astype(np.uint64) & np.repeat(mask, count)
 
 
 BLOCKS = "part int, block int, n_docs long, n_ids long, doc_ids binary, doc_null binary, lengths binary, offsets binary, words binary"
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
-    """Tokenizes whole texts and writes coded blocks in ascending doc_id order (null first, ties by text).
+    """Tokenizes whole texts and writes coded blocks in ascending doc_id order (null first, ties by a hash of the text).
 
     One range exchange by id moves the texts; each task then encodes and writes its range block by block, in constant
     memory. ``path`` may be in any store that Spark writes to. A file's rows are its blocks: the ids of their documents,
-    the documents' lengths, and Simple-8b words with run offsets. Null and empty texts are their end id alone.
+    the documents' lengths, and Simple-8b words with run offsets. Null and empty texts are their end id alone. Repeated
+    rows are written one by one; other columns, whatever their names, are ignored; an empty table gives no blocks.
     """
     from pyspark import TaskContext
 
@@ -146,8 +147,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         if names:
             yield flush()
 
-    ranged = common.id_text(docs).repartitionByRange(common.buckets(docs.sparkSession), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    ranged.mapInArrow(run, BLOCKS).write.option("compression", "zstd").parquet(path)
+    ranged = common.id_text(docs).repartitionByRange(common.buckets(docs.sparkSession), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    ranged.mapInArrow(common.tidy(run), BLOCKS).write.option("compression", "zstd").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -182,5 +183,5 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
                     cols.append(pa.array([flat[a : a + n].astype(np.int64) for a, n in zip(at, lengths, strict=True)], pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(cols, ["_p", "_b", "doc_id", "_at", "n_tokens", "ids_crc32", *["ids"] * with_ids])
 
-    docs = files.mapInArrow(run, schema)
+    docs = files.mapInArrow(common.tidy(run), schema)
     return docs.join(starts, (F.col("_p") == F.col("_part")) & (F.col("_b") == F.col("_block"))).select("doc_id", (F.col("_start") + F.col("_at")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)
