@@ -89,6 +89,19 @@ def q_grid_cells(spark: SparkSession, d: str) -> DataFrame:
     return _r(out.select("cell_id", "ix", "iy", "xmin", "ymin", "xmax", "ymax", F.coalesce("n", F.lit(0)).alias("n_pings")), "xmin", "ymin", "xmax", "ymax")
 
 
+#: Binary digits after the point that overlays are compared at. Decimal digits would not do: many lengths and values lie
+#: just between two of those, and engines round such ties apart.
+VALUE_BITS, LENGTH_BITS, SUM_BITS = 30, 50, 40
+
+
+def _to_bits(df: DataFrame, **bits: int) -> DataFrame:
+    return df.withColumns({c: F.floor(F.col(c) * 2.0**k + 0.5) / 2.0**k for c, k in bits.items()})
+
+
+def _bits_sql(x: str, k: int) -> str:
+    return f"floor({x} * pow(2, {k}) + 0.5) / pow(2, {k})"
+
+
 def _whole_grid(spark: SparkSession, d: str) -> G.Grid:
     """A grid with cells of GRID's size over the extent of all reports in range, and so of all segments, with half a
     cell around it: none lies on its border."""
@@ -105,20 +118,20 @@ def _interp(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
 def _grid_lengths(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
     lines = _segments(spark, d).withColumn("vertices", F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))))
     out = G.grid_length(lines, grid, ("mmsi", "track_id")).where("grd_len_km > 1e-9")
-    return _r(out.select("mmsi", "track_id", "grid_id", "grd_len_km"), "grd_len_km")
+    return _to_bits(out.select("mmsi", "track_id", "grid_id", "grd_len_km"), grd_len_km=LENGTH_BITS)
 
 
 def _grid_interp(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
     out = G.grid_interpolate(_segments(spark, d), grid, "sogpt1", "sogpt2").where("grd_len_km > 1e-9")
-    return _r(out.select("mmsi", "track_id", "grid_id", "interp"), "interp")
+    return _to_bits(out.select("mmsi", "track_id", "grid_id", "interp"), interp=VALUE_BITS)
 
 
 def _grid_interp_time(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
-    return _r(_interp(spark, d, grid).where("grd_len_km > 1e-9").select("mmsi", "track_id", "grid_id", "interp", "interp_time", "grd_len_km"), "interp", "grd_len_km")
+    return _to_bits(_interp(spark, d, grid).where("grd_len_km > 1e-9").select("mmsi", "track_id", "grid_id", "interp", "interp_time", "grd_len_km"), interp=VALUE_BITS, grd_len_km=LENGTH_BITS)
 
 
 def _grid_density(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
-    return _r(G.grid_density(_interp(spark, d, grid).where("grd_len_km > 1e-9")), "total_len_km", "avg_value")
+    return _to_bits(G.grid_density(_interp(spark, d, grid).where("grd_len_km > 1e-9")), total_len_km=SUM_BITS, avg_value=VALUE_BITS)
 
 
 def q_grid_lengths(spark: SparkSession, d: str) -> DataFrame:
@@ -205,9 +218,9 @@ stops AS (SELECT *, coalesce({_km("longitude", "latitude", "xb", "yb")} * 1000 /
 prevs AS (SELECT *, coalesce(lag(stop) OVER ({_ORDER}), true) AS prev FROM stops),
 placed AS (SELECT *, prev AND (stop OR tb IS NULL) AS stranded, coalesce(sum((stop AND NOT prev)::INT) OVER ({_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS segidx FROM prevs)
 """
-_S = float(GRID.size)
+_S = f"CAST({GRID.size} AS DOUBLE)"  # a plain number is a decimal there
 _GRID = f"""
-, cells AS (SELECT ix * {GRID.ny} + iy AS grid_id, {GRID.xmin} + ix * {_S} AS cx, {GRID.ymin} + iy * {_S} AS cy FROM generate_series(0, {GRID.nx - 1}) a(ix), generate_series(0, {GRID.ny - 1}) b(iy)),
+, cells AS (SELECT ix * {GRID.ny} + iy AS grid_id, CAST({GRID.xmin} AS DOUBLE) + ix * {_S} AS cx, CAST({GRID.ymin} AS DOUBLE) + iy * {_S} AS cy FROM generate_series(0, {GRID.nx - 1}) a(ix), generate_series(0, {GRID.ny - 1}) b(iy)),
 clip AS (SELECT s.*, grid_id,
   greatest(0, CASE WHEN x1 = x2 THEN CASE WHEN x1 BETWEEN cx AND cx + {_S} THEN 0 ELSE 2 END ELSE least((cx - x1) / (x2 - x1), (cx + {_S} - x1) / (x2 - x1)) END, CASE WHEN y1 = y2 THEN CASE WHEN y1 BETWEEN cy AND cy + {_S} THEN 0 ELSE 2 END ELSE least((cy - y1) / (y2 - y1), (cy + {_S} - y1) / (y2 - y1)) END) AS t0,
   least(1, CASE WHEN x1 = x2 THEN 1 ELSE greatest((cx - x1) / (x2 - x1), (cx + {_S} - x1) / (x2 - x1)) END, CASE WHEN y1 = y2 THEN 1 ELSE greatest((cy - y1) / (y2 - y1), (cy + {_S} - y1) / (y2 - y1)) END) AS t1
@@ -252,10 +265,10 @@ o AS (SELECT nx, ny, (x1 + x0) / 2 - nx * 0.5::DOUBLE / 2 AS ox, (y1 + y0) / 2 -
 c AS (SELECT ix::INT AS ix, iy::INT AS iy, ny, ox, oy FROM (SELECT *, unnest(range(nx)) AS ix FROM o) x, LATERAL (SELECT unnest(range(x.ny)) AS iy)),
 n AS (SELECT floor((longitude - ox) / 0.5)::INT AS gx, floor((latitude - oy) / 0.5)::INT AS gy, count(*) AS n FROM seen, o GROUP BY 1, 2)
 SELECT (ix * ny + iy)::BIGINT AS cell_id, ix, iy, round(ox + ix * 0.5::DOUBLE, 6) AS xmin, round(oy + iy * 0.5::DOUBLE, 6) AS ymin, round(ox + (ix + 1) * 0.5::DOUBLE, 6) AS xmax, round(oy + (iy + 1) * 0.5::DOUBLE, 6) AS ymax, coalesce(n, 0) AS n_pings FROM c LEFT JOIN n ON ix = gx AND iy = gy""",
-    "grid_lengths": _BASE + _SEGMENTS + _GRID + "SELECT mmsi, track_id, grid_id, round(grd_len_km, 6) AS grd_len_km FROM inside",
-    "grid_interp": _BASE + _SEGMENTS + _GRID + "SELECT mmsi, track_id, grid_id, round(interp, 6) AS interp FROM inside",
-    "grid_interp_time": _BASE + _SEGMENTS + _GRID + "SELECT mmsi, track_id, grid_id, round(interp, 6) AS interp, to_timestamp(interp_s) AT TIME ZONE 'UTC' AS interp_time, round(grd_len_km, 6) AS grd_len_km FROM inside",
-    "grid_density": _BASE + _SEGMENTS + _GRID + "SELECT grid_id, round(sum(grd_len_km), 6) AS total_len_km, count(DISTINCT mmsi) AS n_vessels, count(*) AS n_lines, round(avg(interp), 6) AS avg_value FROM inside GROUP BY grid_id",
+    "grid_lengths": _BASE + _SEGMENTS + _GRID + f"SELECT mmsi, track_id, grid_id, {_bits_sql('grd_len_km', LENGTH_BITS)} AS grd_len_km FROM inside",
+    "grid_interp": _BASE + _SEGMENTS + _GRID + f"SELECT mmsi, track_id, grid_id, {_bits_sql('interp', VALUE_BITS)} AS interp FROM inside",
+    "grid_interp_time": _BASE + _SEGMENTS + _GRID + f"SELECT mmsi, track_id, grid_id, {_bits_sql('interp', VALUE_BITS)} AS interp, to_timestamp(interp_s) AT TIME ZONE 'UTC' AS interp_time, {_bits_sql('grd_len_km', LENGTH_BITS)} AS grd_len_km FROM inside",
+    "grid_density": _BASE + _SEGMENTS + _GRID + f"SELECT grid_id, {_bits_sql('sum(grd_len_km)', SUM_BITS)} AS total_len_km, count(DISTINCT mmsi) AS n_vessels, count(*) AS n_lines, {_bits_sql('avg(interp)', VALUE_BITS)} AS avg_value FROM inside GROUP BY grid_id",
 }
 
 QUERIES = {k[2:]: v for k, v in list(globals().items()) if k.startswith("q_")}
