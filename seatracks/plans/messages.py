@@ -22,7 +22,12 @@ def _date() -> Column:
 
 
 def _shared(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    """A new folder below the cluster's shared folder; a temporary one only on one machine that names none."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return f"{base.rstrip('/')}/seatracks-{uuid.uuid4().hex}"
 
 
