@@ -23,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     """A new folder below the cluster's shared folder; a temporary one only on one machine that names none."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
             raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return f"{base.rstrip('/')}/seatracks-{uuid.uuid4().hex}"
@@ -193,27 +193,42 @@ def composed(text: str) -> str:
     return text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
-class Recent:
-    """A memo of bounded bytes in two generations: when the newer one is full, it takes the older one's place."""
+class _Generation(dict):
+    """A dict that gets what it lacks from its owner."""
 
-    #: What an entry takes besides its characters.
-    ENTRY = 200
+    def __init__(self, owner: Recent):
+        self.owner = owner
 
-    def __init__(self, most: int):
-        self.most, self.new, self.old, self.held = most // 2, {}, {}, 0
+    def __missing__(self, key: str) -> bytes:
+        return self.owner.found(key)
 
-    def past(self, key: str) -> bytes | None:
-        """A value of the older generation, which so comes into the newer one."""
-        value = self.old.get(key)
-        if value is not None:
-            self.put(key, value)
-        return value
 
-    def put(self, key: str, value: bytes) -> None:
-        self.held += len(key) + len(value) + self.ENTRY
-        if self.held > self.most:
-            self.old, self.new, self.held = self.new, {}, 0
-        self.new[key] = value
+class Recent:
+    """A memo of bounded bytes in two generations: when the newer one is full, it takes the older one's place."""
+
+    #: What an entry takes besides its characters; keys beyond so many characters are not kept.
+    ENTRY, LONG = 200, 64
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self.make, self.most, self.held = make, most // 2, 0
+        self.new, self.old = _Generation(self), {}
+
+    def of(self, keys: Iterable[str]) -> bytes:
+        """The values of keys, joined."""
+        return b"".join(map(self.new.__getitem__, keys))
+
+    def found(self, key: str) -> bytes:
+        value = self.new.get(key)  # there if a generation ended since the caller took it
+        if value is None:
+            value = self.old.get(key)
+            if value is None:
+                value = self.make(key)
+            if len(key) <= self.LONG:
+                self.held += len(key) + len(value) + self.ENTRY
+                if self.held > self.most:
+                    self.old, self.new, self.held = self.new, _Generation(self), 0
+                self.new[key] = value
+        return value
 
 
 #: White space besides the single space and the line feed.
@@ -230,7 +245,7 @@ class Chunks:
     library as they are, as do all texts if the file has other rules than those known here.
     """
 
-    def __init__(self, path: str, most: int = 192 << 20, share: float = 0.35):
+    def __init__(self, path: str, most: int = 192 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import json
 
@@ -249,7 +264,9 @@ class Chunks:
             self.cut = regex.compile(pattern).findall
         self.known = bool(pattern)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.seen, self.words = Recent(int(most * share)), Recent(int(most * (1 - share)))
+        self.words = Recent(self.tokens, most // 2)
+        self.seen = Recent(self.part, most // 8 if self.keeps else most // 2)
+        self.spaced = Recent(lambda w: self.part(" " + w), most * 3 // 8)
 
     def library(self, texts: Iterable[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(list(texts), add_special_tokens=False)]
@@ -261,52 +278,28 @@ class Chunks:
             return [core, chunk[len(core) :]] if len(core) < len(chunk) else [core]
         return self.cut(chunk)
 
+    def tokens(self, word: str) -> bytes:
+        spelt = word.replace(" ", "\u0120") if word.isascii() and word.isprintable() else word.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SYMBOL_OF)
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+
     def part(self, chunk: str) -> bytes:
-        out, get = [], self.words.new.get
-        for w in self.pieces(chunk if self.keeps else composed(chunk)):
-            ids = get(w)
-            if ids is None and (ids := self.words.past(w)) is None:
-                spelt = w.replace(" ", "\u0120") if w.isascii() and w.isprintable() else w.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SYMBOL_OF)
-                ids = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
-                if len(w) <= 64:
-                    self.words.put(w, ids)
-            out.append(ids)
-        return b"".join(out)
-
-    def chunks(self, text: str) -> list[str]:
-        if not self.keeps:
-            return self.find(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()  # white space to split() alone
-        if text[:1] in " \n" or text[-1:] in " \n" or any(x in text for x in ("  ", " \n", "\n ", "\n\n")) or OTHER.search(text):
-            return self.find(text)
-        # words between single spaces and line feeds: a word after a space takes it along
-        out = []
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append("\n")
-            first, *rest = line.split(" ")
-            out.append(first)
-            out += map(" ".__add__, rest)
-        return out
+        return self.words.of(self.pieces(chunk if self.keeps else composed(chunk)))
 
     def one(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         if not self.known or any(s in text for s in self.special):
             return self.library([text])[0]
-        found = self.chunks(text)
-        out = list(map(self.seen.new.get, found))
-        try:
-            return b"".join(out)
-        except TypeError:  # some are new
-            pass
-        for i in [i for i, ids in enumerate(out) if ids is None]:
-            w = found[i]
-            ids = self.seen.new.get(w) or self.seen.past(w)
-            if ids is None:
-                ids = self.part(w)
-                if len(w) <= 64:
-                    self.seen.put(w, ids)
-            out[i] = ids
-        return b"".join(out)
+        if not self.keeps:
+            odd = any(c in text for c in "\x1c\x1d\x1e\x1f")  # white space to split() alone
+            return self.seen.of(self.find(text) if odd else text.split())
+        if text[:1] in " \n" or text[-1:] in " \n" or any(x in text for x in ("  ", " \n", "\n ", "\n\n")) or OTHER.search(text):
+            return self.seen.of(self.find(text))
+        # words between single spaces and line feeds: each after a space takes it along
+        out = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            out += [self.seen.of((first,)), self.spaced.of(rest)]
+        return self.seen.of("\n").join(map(b"".join, zip(out[::2], out[1::2], strict=True)))
 
 
 def rules_of(spec: dict) -> tuple[bool, str]:
@@ -327,10 +320,10 @@ def rules_of(spec: dict) -> tuple[bool, str]:
 _CHUNKS: dict[str, Chunks] = {}
 
 
-def chunks(path: str) -> Chunks:
+def chunks(path: str, most: int = 192 << 20) -> Chunks:
     """One encoder for each Python worker."""
     if path not in _CHUNKS:
-        _CHUNKS[path] = Chunks(path)
+        _CHUNKS[path] = Chunks(path, most)
     return _CHUNKS[path]
 
 

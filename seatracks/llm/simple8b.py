@@ -21,9 +21,11 @@ from . import common
 #: Fixed values of the format (``RUN`` is a power of two): ids in a word and bits of each, by selector; 0 is the escape.
 COUNTS = (1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 BITS = (0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
-RUN = 4096
+RUN = 1024
 #: Ids of a block of a token file, about.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
+#: Bytes of the encoder's memos.
+MEMO = 320 << 20
 _COUNTS, _BITS = np.array(COUNTS, np.int32), np.array(BITS, np.int32)
 
 
@@ -119,7 +121,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     from pyspark import TaskContext
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, block = common.chunks(tokenizer), TaskContext.get().partitionId(), 0
+        coder, part, block = common.chunks(tokenizer, MEMO), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
         ids: list[bytes] = []
         names: list[int | None] = []
