@@ -10,6 +10,8 @@ All of it is counted over whole tables. A task turns its documents into chunks o
 needs from the model it asks from partitioned tables in compact sorted slices, and gets back in the same order: first
 word counts (by ranges of hashes), then pair counts with the contexts' sums (by context; a frequent context is spread
 over buckets by the second word, and its sums are added up), then triples, by contexts of two words, in the same way.
+The answer for a pair says whether other chunks have it too. If none has, the chunk holds all triples that begin with
+it and counts them itself.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -291,6 +294,7 @@ def _count_pairs(unigrams: Unigrams, buckets: int, spread: set[int]):
         total = np.add.reduceat(n[order], first)
         pair_of = np.empty(len(order), np.int64)
         pair_of[order] = np.cumsum(new) - 1
+        alone = (np.diff(first, append=len(order)) == 1).astype(np.uint8)  # each chunk sends a pair once
         pv, mass = sv[first], np.where(total > 0, unigrams.p(cw[order][first]), 0.0)
         context = _heads(pv, np.zeros(0, np.int64))
         small = np.stack([np.add.reduceat((total == r).astype(np.int64), context) for r in range(1, GT + 1)], axis=1).astype("<u4")
@@ -298,12 +302,13 @@ def _count_pairs(unigrams: Unigrams, buckets: int, spread: set[int]):
         out, lo = [], 0
         for chunk, head, k in zip(get["chunk"], heads, ns, strict=True):
             at = np.searchsorted(names, head)
-            out.append((PAIRS, chunk, bucket, common.packed(total[pair_of[lo : lo + len(k)]].astype("<u4")), common.packed(small[at].reshape(-1)), common.packed(sums[at].astype("<f8")), None, None))
+            mine = pair_of[lo : lo + len(k)]
+            out.append((PAIRS, chunk, bucket, common.packed(total[mine].astype("<u4")), common.packed(small[at].reshape(-1)), common.packed(sums[at].astype("<f8")), common.packed(alone[mine]), None))
             lo += len(k)
         out.append((SUMS, None, bucket, _tally(total).astype("<i8").tobytes(), None, None, None, None))
-        mine = np.flatnonzero(np.isin(names, np.fromiter(spread, np.int64, len(spread))))
-        if len(mine):
-            out.append((SPREADS, None, bucket, names[mine].astype("<i8").tobytes(), small[mine].astype("<i8").tobytes(), sums[mine].astype("<f8").tobytes(), None, None))
+        many = np.flatnonzero(np.isin(names, np.fromiter(spread, np.int64, len(spread))))
+        if len(many):
+            out.append((SPREADS, None, bucket, names[many].astype("<i8").tobytes(), small[many].astype("<i8").tobytes(), sums[many].astype("<f8").tobytes(), None, None))
         return _rows(out, _ROW)
 
     return run
@@ -321,7 +326,7 @@ def pair_probabilities(n: np.ndarray, cv: np.ndarray, p1: np.ndarray, small: np.
 
 @dataclass
 class Pairs:
-    """A chunk's arrays, its pairs, and their counts and probabilities."""
+    """A chunk's arrays, its pairs, their counts and probabilities, and whether no other chunk has them."""
 
     tokens: np.ndarray
     lengths: np.ndarray
@@ -332,19 +337,21 @@ class Pairs:
     asked: Asked
     counts: np.ndarray
     p: np.ndarray
+    alone: np.ndarray
 
 
 def _pairs_of(row: dict, answers: dict, unigrams: Unigrams, d: np.ndarray, buckets: int, sums: dict[int, tuple[np.ndarray, float]]) -> Pairs:
     tokens, lengths, held, number, c, end = _of_chunk(row, answers)
     asked = _ask(tokens, lengths, held, number, c, end, buckets, unigrams.n)
     p = unigrams.p(c[asked.w])
-    counts = np.zeros(len(asked.v), np.int64)
-    mine = sorted((b, x, y, z) for k, b, x, y, z in zip(answers["kind"], answers["bucket"], answers["a"], answers["b"], answers["c"], strict=True) if k == PAIRS)
+    counts, alone = np.zeros(len(asked.v), np.int64), np.zeros(len(asked.v), bool)
+    mine = sorted(x[1:] for x in zip(*(answers[k] for k in ("kind", "bucket", "a", "b", "c", "d")), strict=True) if x[0] == PAIRS)
     seen_before = np.flatnonzero(c[asked.v] > 0)
     if mine:
-        n = np.concatenate([common.unpacked(x, "<u4") for _, x, _, _ in mine]).astype(np.int64)
-        small = np.concatenate([common.unpacked(y, "<u4") for _, _, y, _ in mine]).reshape(-1, GT).astype(np.int64)
-        mass = np.concatenate([common.unpacked(z, "<f8") for _, _, _, z in mine])
+        n = np.concatenate([common.unpacked(x[1], "<u4") for x in mine]).astype(np.int64)
+        small = np.concatenate([common.unpacked(x[2], "<u4") for x in mine]).reshape(-1, GT).astype(np.int64)
+        mass = np.concatenate([common.unpacked(x[3], "<f8") for x in mine])
+        alone[asked.sent] = np.concatenate([common.unpacked(x[4], "u1") for x in mine]) > 0
         # each context's sums, once, with the spread ones in full
         head = _heads(asked.v[asked.sent], asked.edges)
         local = asked.v[asked.sent[head]]
@@ -355,12 +362,13 @@ def _pairs_of(row: dict, answers: dict, unigrams: Unigrams, d: np.ndarray, bucke
         counts[asked.sent] = n
         v = asked.v[seen_before]
         p[seen_before] = pair_probabilities(counts[seen_before], c[v], p[seen_before], of_small[v], of_mass[v], d)
-    return Pairs(tokens, lengths, held, number, c, end, asked, counts, p)
+    return Pairs(tokens, lengths, held, number, c, end, asked, counts, p, alone)
 
 
 @dataclass
 class AskedTriples:
-    """A chunk's distinct triples, those with a known context as they are asked for, and where its tokens find them."""
+    """A chunk's distinct triples, sorted by context, where its tokens find them, and those with a known context: the
+    ones counted here and the others as they are asked for."""
 
     triple_of_token: np.ndarray
     x: np.ndarray  # of each triple its context, a pair of the chunk or (the last) a document's beginning
@@ -370,6 +378,7 @@ class AskedTriples:
     u: np.ndarray  # numbers of each context's words, and its training count
     v: np.ndarray
     cc: np.ndarray
+    here: np.ndarray
     sent: np.ndarray
     edges: np.ndarray
 
@@ -393,19 +402,22 @@ def _ask_triples(m: Pairs, buckets: int, n_train: int) -> AskedTriples:
     ways = np.maximum(-(-cc[x] // _load(n_train, buckets)), 1)
     mixed = common.mix(common.mix(u.view(np.uint64)) ^ v.view(np.uint64))
     bucket = ((mixed[x] % np.uint64(buckets)).astype(np.int64) + (common.mix(w.view(np.uint64)) % ways.astype(np.uint64)).astype(np.int64)) % buckets
-    known = np.flatnonzero(cc[x] > 0)
+    alone = np.append(m.alone, False)[x]
+    known = np.flatnonzero((cc[x] > 0) & ~alone)
     order, edges = _dealt(bucket[known], buckets)
-    return AskedTriples(at, x, n, w, low, u, v, cc, known[order], edges)
+    return AskedTriples(at, x, n, w, low, u, v, cc, np.flatnonzero((cc[x] > 0) & alone), known[order], edges)
 
 
 def _triple_slices(unigrams: Unigrams, d: np.ndarray, buckets: int, sums: dict[int, tuple[np.ndarray, float]], turn: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         """A chunk's triples for each bucket: contexts (both words and count) with lengths of their runs, third words,
-        their probabilities by the pair where they are counted here, and triples' counts. Every ``TURNS``-th bucket has
-        its turn."""
+        their probabilities by the pair where they are in training here, and triples' counts. Every ``TURNS``-th bucket
+        has its turn. With the first turn go the tallies of the triples that the chunk counts itself."""
         out, answers = [], right.to_pydict()
         for row in left.to_pylist():
             t = _ask_triples(_pairs_of(row, answers, unigrams, d, buckets, sums), buckets, unigrams.n)
+            if not turn:
+                out.append((SUMS, row["chunk"], row["chunk"] % buckets, _tally(t.n[t.here]).astype("<i8").tobytes(), None, None, None, None))
             for b, (i, j) in enumerate(zip(t.edges[:-1].tolist(), t.edges[1:].tolist(), strict=True)):
                 if j > i and b % TURNS == turn:
                     part = t.sent[i:j]
@@ -421,7 +433,11 @@ def _triple_slices(unigrams: Unigrams, d: np.ndarray, buckets: int, sums: dict[i
 def _count_triples(load: int):
     def run(table: pa.Table) -> pa.Table:
         """One bucket of triples, as ``_count_pairs``. Only where a chunk has an unseen triple does it get the mass."""
-        get = table.to_pydict()
+        asks = table.filter(pc.equal(table.column("kind"), ASK))
+        told = [(SUMS, None, r["bucket"], r["a"], None, None, None, None) for r in table.filter(pc.equal(table.column("kind"), SUMS)).to_pylist()]
+        if not asks.num_rows:
+            return _rows(told, _ROW)
+        get = asks.to_pydict()
         bucket = get["bucket"][0]
         heads = [common.unpacked(a, "<i8").reshape(3, -1) for a in get["a"]]
         runs = [common.unpacked(r, "<u4") for r in get["b"]]
@@ -448,7 +464,7 @@ def _count_triples(load: int):
         begin = np.searchsorted(x[order][first], np.arange(names.shape[1]))
         small = np.stack([np.add.reduceat((total == r).astype(np.int64), begin) for r in range(1, GT + 1)], axis=1).astype("<u4")
         mass = np.add.reduceat(np.where(total > 0, best, 0.0), begin)
-        out, lo, at = [], 0, 0
+        out, lo, at = told, 0, 0
         for chunk, run_, k in zip(get["chunk"], runs, ns, strict=True):
             mine, of = total[triple_of[lo : lo + len(k)]], context_of[at : at + len(run_)]
             unseen = np.logical_or.reduceat(mine == 0, np.cumsum(run_.astype(np.int64)) - run_)
@@ -467,6 +483,13 @@ def _triple_log(m: Pairs, answers: dict, d: np.ndarray, buckets: int, n_train: i
     """Each token's probability by its triple, as a decimal logarithm."""
     t = _ask_triples(m, buckets, n_train)
     p = t.low
+    if len(t.here):
+        x, n = t.x[t.here], t.n[t.here]
+        head = _heads(x, np.zeros(0, np.int64))
+        of = np.repeat(np.arange(len(head)), np.diff(head, append=len(x)))
+        small = np.stack([np.add.reduceat((n == r).astype(np.int64), head) for r in range(1, GT + 1)], axis=1)
+        mass = np.add.reduceat(np.where(n > 0, p[t.here], 0.0), head)
+        p[t.here] = pair_probabilities(n, t.cc[x], p[t.here], small[of], mass[of], d)
     mine = sorted((b, x, y, z) for k, b, x, y, z in zip(answers["kind"], answers["bucket"], answers["a"], answers["b"], answers["c"], strict=True) if k == TRIPLES)
     if mine:
         n = np.concatenate([common.unpacked(x, "<u4") for _, x, _, _ in mine]).astype(np.int64)
