@@ -37,13 +37,17 @@ GT = 5
 CHUNK = 1 << 20
 #: The base model adds this to each count.
 ADD = 0.1
+#: A bucket gets about as many tokens as so many chunks have.
+EACH = 4
 #: A context is spread over buckets if it has more than this share of a bucket's mean load.
 SPREAD = 8
 #: Triples are dealt out in so many turns, one after another, as they take the most room on their way.
-TURNS = 2
+TURNS = 4
 
-CHUNKS = "chunk long, docs binary, null_docs binary, held binary, lengths binary, tokens binary, place binary, words binary, train binary"
-_CHUNKS = pa.schema([("chunk", pa.int64()), *[(x.split()[0], pa.binary()) for x in CHUNKS.split(", ")[1:]]])
+#: Parts of a chunk: its documents, and its words, which only their count needs.
+DOCS, VOCABULARY = range(2)
+CHUNKS = "part int, chunk long, docs binary, null_docs binary, held binary, lengths binary, tokens binary, place binary, words binary, train binary"
+_CHUNKS = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), *[(x.split()[0], pa.binary()) for x in CHUNKS.split(", ")[2:]]])
 ROW = "kind int, chunk long, bucket int, a binary, b binary, c binary, d binary, e binary"
 _ROW = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("bucket", pa.int32()), *[(x, pa.binary()) for x in "abcde"]])
 #: Kinds of rows: a slice of words or pairs that is asked for, its answer, sums for the driver, sums of spread contexts.
@@ -60,7 +64,7 @@ def held_out(doc: int | None) -> bool:
 
 def chunk_table(docs: DataFrame) -> DataFrame:
     """Documents as numbers of words in a list of their own for each chunk; number 0 is the end. Words stand by hash,
-    with their counts in training; ``place`` has where each number's word stands."""
+    with their counts in training; ``place`` has where each number's word stands. A chunk has two rows, by ``part``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -85,7 +89,9 @@ def chunk_table(docs: DataFrame) -> DataFrame:
             place[order] = np.arange(len(order))
             docs = np.array([d or 0 for d in docs_], "<i8")
             null = np.array([d is None for d in docs_], np.uint8)
-            return _rows([(next(number), *map(common.packed, (docs, null, held, lengths, flat, place, words[order], train[order])))], _CHUNKS)
+            chunk = next(number)
+            of_docs, of_words = (docs, null, held, lengths, flat, place), (words[order], train[order])
+            return _rows([(DOCS, chunk, *map(common.packed, of_docs), None, None), (VOCABULARY, chunk, *[None] * len(of_docs), *map(common.packed, of_words))], _CHUNKS)
 
         for batch in batches:
             for doc, text in zip(*batch.columns, strict=True):
@@ -553,10 +559,13 @@ def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
     if order not in (2, 3):
         raise ValueError("order is 2 or 3")
     spark = docs.sparkSession
-    home, buckets = common.shared_dir(spark), common.buckets(spark)
-    chunks = common.written(chunk_table(docs), f"{home}/chunks")
-    slices = chunks.select("chunk", "words", "train").mapInArrow(_word_slices(buckets), ROW)
+    home = common.shared_dir(spark)
+    both = common.written(chunk_table(docs), f"{home}/chunks", by="part")
+    chunks = both.where(F.col("part") == DOCS)
+    buckets = common.buckets(spark, chunks.count(), EACH)
+    slices = both.where(F.col("part") == VOCABULARY).select("chunk", "words", "train").mapInArrow(_word_slices(buckets), ROW)
     words = common.written(slices.groupBy("bucket").applyInArrow(_count_words(buckets), ROW), f"{home}/words")
+    common.removed(spark, f"{home}/chunks/part={VOCABULARY}")
     sums = [np.frombuffer(r["a"], "<i8") for r in words.where(F.col("kind") == SUMS).select("a").collect()]  # a few numbers for each bucket
     unigrams = Unigrams.of(np.sum(sums, axis=0) if sums else np.zeros(GT + 3, np.int64))
     # contexts that are spread: at most SPREAD * buckets, as their counts add up to N
