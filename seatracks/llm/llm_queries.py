@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import common
 from .bpe_stream import encode_and_decode
+from .exact_dedup import exact_duplicates
 from .gif_media import media_features, store_media
 from .katz_lm import katz_scores
 from .near_dedup import near_duplicates
@@ -68,9 +69,24 @@ def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(common.load(spark, sf_dir))
+
+
+OPERATORS = (
+    op1_secret_scan, op2_best_fit_packing, op3_quality_rules, op4_token_files, op5_katz_lm, op6_minhash_near_dedup, op7_substring_dedup,
+    op8_bpe_stream, op9_sharding, op10_gif_media, op11_exact_dedup,
+)
+
+ORACLES = {
+    "op11_exact_dedup": r"""SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents) WINDOW g AS (PARTITION BY t)""",
+}
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secret_scan, op2_best_fit_packing, op3_quality_rules, op4_token_files, op5_katz_lm, op6_minhash_near_dedup, op7_substring_dedup, op8_bpe_stream, op9_sharding, op10_gif_media)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return ORACLES
