@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import common
 from .bpe_stream import encode_and_decode
+from .conversation_repair import damaged_and_repaired
 from .exact_dedup import exact_duplicates
 from .gif_media import media_features, store_media
 from .katz_lm import katz_scores
@@ -74,13 +75,17 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(common.load(spark, sf_dir))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return damaged_and_repaired(common.load(spark, sf_dir, "conversations"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tampering_found(common.load(spark, sf_dir))
 
 
 OPERATORS = (
     op1_secret_scan, op2_best_fit_packing, op3_quality_rules, op4_token_files, op5_katz_lm, op6_minhash_near_dedup, op7_substring_dedup,
-    op8_bpe_stream, op9_sharding, op10_gif_media, op11_exact_dedup, op13_merkle_manifest,
+    op8_bpe_stream, op9_sharding, op10_gif_media, op11_exact_dedup, op12_conversation_repair, op13_merkle_manifest,
 )
 
 ORACLES = {
