@@ -1,7 +1,8 @@
-"""Regular grids and the overlay of lines on them.
+"""Regular grids and layers of any polygons, and the overlay of lines on them.
 
 A grid is arithmetic, so no index and no join is needed to find a line's cells: each edge is cut into the grid's columns
 and, inside each, into its rows, so a long edge makes as many rows as it has cells. Cells that only touch an edge count.
+Polygons meet edges by square tiles; a pair is cut by the crossings of the edge's line with all sides, in order.
 """
 
 from __future__ import annotations
@@ -33,6 +34,25 @@ class Grid:
         return ids.select("cell_id", "ix", "iy", edge(self.xmin, F.col("ix")).alias("xmin"), edge(self.ymin, F.col("iy")).alias("ymin"), edge(self.xmin, F.col("ix") + 1).alias("xmax"), edge(self.ymin, F.col("iy") + 1).alias("ymax"))
 
 
+@dataclass(frozen=True)
+class Polygons:
+    """Polygons of any shape: ``rings`` is an array of rings, each an array of structs x, y; what lies in an odd number of
+    rings is inside, so holes and parts are just rings, in either direction, closed or not.
+
+    ``tile`` is the side of the squares by which polygons and edges are joined, best about the size of a polygon. With
+    ``borders="both"`` a border belongs to all polygons it bounds, and points that only touch are kept, as with a grid;
+    with ``"one"`` what lies on a border that two polygons share belongs to one of them, so that lengths over a partition
+    of the plane add up.
+    """
+
+    df: DataFrame
+    tile: float
+    id: str = "cell_id"
+    rings: str = "rings"
+    epsg: int = 4326
+    borders: str = "both"
+
+
 def make_grid(spark: SparkSession, minlon: float, maxlon: float, minlat: float, maxlat: float, epsg: int, size: float) -> Grid:
     """The grid of whole cells that covers the projected corners, centred on their middle."""
     corners = spark.createDataFrame([(float(x), float(y)) for x in (minlon, maxlon) for y in (minlat, maxlat)], "lon double, lat double")
@@ -42,7 +62,7 @@ def make_grid(spark: SparkSession, minlon: float, maxlon: float, minlat: float,
     return Grid((b.x1 + b.x0) / 2 - nx * size / 2, (b.y1 + b.y0) / 2 - ny * size / 2, size, nx, ny, epsg)
 
 
-def check_srs(lines_epsg: int, grid: Grid, on_mismatch: str = "error") -> None:
+def check_srs(lines_epsg: int, grid: Grid | Polygons, on_mismatch: str = "error") -> None:
     if lines_epsg != grid.epsg:
         if on_mismatch == "error":
             raise ValueError(f"lines are in EPSG {lines_epsg}, the grid in {grid.epsg}")
@@ -53,8 +73,8 @@ def check_srs(lines_epsg: int, grid: Grid, on_mismatch: str = "error") -> None:
 
 def _span(lo: Column, hi: Column, start: float, size: float, n: int) -> Column:
     """Numbers of the strips that an interval meets or touches; none outside the grid."""
-    first = F.greatest(F.lit(0), (F.ceil((lo - start) / size) - 1).cast("int"))
-    last = F.least(F.lit(n - 1), F.floor((hi - start) / size).cast("int"))
+    first = F.greatest(F.lit(0), (F.ceil((lo - start) / size - 1e-9) - 1).cast("int"))
+    last = F.least(F.lit(n - 1), F.floor((hi - start) / size + 1e-9).cast("int"))
     return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
 
 
@@ -67,8 +87,11 @@ def _between(p: Column, d: Column, lo: Column, hi: Column) -> tuple[Column, Colu
     return t0, t1
 
 
-def _clipped(edges: DataFrame, grid: Grid) -> DataFrame:
-    """A row for each edge (x1, y1, x2, y2 as ``_x1`` ...) and cell that it meets, with the part t0..t1 inside."""
+def _clipped(edges: DataFrame, grid: Grid | Polygons) -> DataFrame:
+    """A row for each edge (x1, y1, x2, y2 as ``_x1`` ...) and cell that it meets, with the part t0..t1 inside; in a polygon
+    there may be several."""
+    if isinstance(grid, Polygons):
+        return _clipped_by_polygons(edges, grid)
     x1, y1, x2, y2 = (F.col(c) for c in ("_x1", "_y1", "_x2", "_y2"))
     s = float(grid.size)
     out = edges.withColumn("_ix", F.explode(_span(F.least(x1, x2), F.greatest(x1, x2), grid.xmin, s, grid.nx)))
@@ -83,11 +106,100 @@ def _clipped(edges: DataFrame, grid: Grid) -> DataFrame:
     return out.withColumn("grid_id", F.col("_ix").cast("long") * grid.ny + F.col("_iy"))
 
 
+def _tiled(edges: DataFrame, tile: float) -> DataFrame:
+    """The edges with each tile (_tx, _ty) they pass; ``_c`` is the tile's column with its first and last row, ``_c0`` the
+    column before it, null for the first."""
+    x1, y1, x2, y2 = (F.col(c) for c in ("_x1", "_y1", "_x2", "_y2"))
+
+    def column(c: Column) -> Column:
+        a, b = _between(x1, x2 - x1, c * tile, (c + 1) * tile)
+        a, b = F.least(a, b), F.greatest(a, b)
+        ya, yb = y1 + (y2 - y1) * a, y1 + (y2 - y1) * b
+        low, high = F.greatest(F.least(ya, yb) - 1e-9 * tile, F.least(y1, y2)), F.least(F.greatest(ya, yb) + 1e-9 * tile, F.greatest(y1, y2))
+        return F.struct(c.alias("c"), F.floor(low / tile).alias("r0"), F.floor(high / tile).alias("r1"))
+
+    out = edges.withColumn("_cs", F.transform(F.sequence(F.floor(F.least(x1, x2) / tile), F.floor(F.greatest(x1, x2) / tile)), column))
+    out = out.select("*", F.posexplode("_cs").alias("_i", "_c")).withColumn("_c0", F.get("_cs", F.col("_i") - 1)).drop("_cs", "_i")
+    return out.withColumn("_tx", F.col("_c.c")).withColumn("_ty", F.explode(F.sequence("_c.r0", "_c.r1")))
+
+
+#: Tiles with more than this share of all edges' tiles are dealt to several tasks, and the polygons there repeated.
+HOT_TILE = 1 << 10
+
+
+def _clipped_by_polygons(edges: DataFrame, layer: Polygons) -> DataFrame:
+    """As ``_clipped``. A pair that meets in several tiles is kept in the first: columns from left to right, then rows."""
+    tile = float(layer.tile)
+    tiled = _tiled(edges, tile)
+    counts = tiled.groupBy("_tx", "_ty").agg(F.count(F.lit(1)).alias("_n"))
+    share = max((counts.agg(F.sum("_n")).first()[0] or 0) // HOT_TILE, 1000)
+    # of such tiles there are at most HOT_TILE
+    hot = F.broadcast(counts.where(F.col("_n") > share).select("_tx", "_ty", F.ceil(F.col("_n") / share).cast("int").alias("_copies")))
+    flat = lambda k: F.flatten(F.transform(layer.rings, lambda r: F.transform(r, lambda v: v[k])))
+    polygons = layer.df.select(F.col(layer.id).alias("grid_id"), _sides(layer.rings).alias("_p"), *[F.floor(f(flat(k)) / tile).alias(n) for n, f, k in (("_bx0", F.array_min, "x"), ("_bx1", F.array_max, "x"), ("_by0", F.array_min, "y"), ("_by1", F.array_max, "y"))])
+    polygons = polygons.withColumn("_tx", F.explode(F.sequence("_bx0", "_bx1"))).withColumn("_ty", F.explode(F.sequence("_by0", "_by1")))
+    polygons = polygons.join(hot, ["_tx", "_ty"], "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1))).drop("_copies")
+    tiled = tiled.join(hot, ["_tx", "_ty"], "left").withColumn("_salt", F.pmod(F.xxhash64("_x1", "_y1", "_x2", "_y2"), F.coalesce("_copies", F.lit(1))).cast("int")).drop("_copies")
+    met = tiled.join(polygons, ["_tx", "_ty", "_salt"])
+    earlier = (F.col("_c0.c") >= F.col("_bx0")) & (F.col("_c0.r0") <= F.col("_by1")) & (F.col("_c0.r1") >= F.col("_by0"))
+    met = met.where((F.col("_ty") == F.greatest("_c.r0", "_by0")) & ~F.coalesce(earlier, F.lit(False)))
+    met = met.withColumn("_t", F.explode(_inside("_p", layer.borders)))
+    kept = [c for c in edges.columns if c != "grid_id"]
+    return met.select(*kept, "grid_id", F.col("_t.a").alias("_t0"), F.col("_t.b").alias("_t1"))
+
+
+def _sides(rings: str) -> Column:
+    """All sides of all rings: x, y, and where to (u, v)."""
+    def of(ring: Column) -> Column:
+        return F.transform(ring, lambda v, i: F.struct(v["x"].alias("x"), v["y"].alias("y"), F.get(ring, (i + 1) % F.size(ring))["x"].alias("u"), F.get(ring, (i + 1) % F.size(ring))["y"].alias("v")))
+
+    return F.flatten(F.transform(rings, of))
+
+
+def _inside(sides: str, borders: str) -> Column:
+    """The parts a..b of an edge (0 to 1) inside, in order, apart from each other. An edge without length is a part (0, 0)
+    where it lies inside."""
+    x, y = F.col("_x1"), F.col("_y1")
+    point = (F.col("_x2") == x) & (F.col("_y2") == y)
+    dx, dy = F.when(point, 1.0).otherwise(F.col("_x2") - x), F.col("_y2") - y
+    end = F.when(point, 0.0).otherwise(1.0)
+    off = lambda px, py: dx * (py - y) - dy * (px - x)  # noqa: E731  on which side of the edge's line
+    on = lambda px, py: (dx * (px - x) + dy * (py - y)) / (dx * dx + dy * dy)  # noqa: E731  where along it
+
+    def crossing(s: Column) -> Column:
+        a, b = off(s["x"], s["y"]), off(s["u"], s["v"])
+        # a corner that lies on the line counts to its left, so what only touches crosses twice or not at all
+        return F.when((a < 0) != (b < 0), on(s["x"] + (s["u"] - s["x"]) * (a / (a - b)), s["y"] + (s["v"] - s["y"]) * (a / (a - b))))
+
+    crossings = F.array_sort(F.array_compact(F.transform(sides, crossing)))
+    part = lambda a, b: F.struct(F.greatest(a, F.lit(0.0)).alias("a"), F.least(b, end).alias("b"))
+    halves = F.filter(F.sequence(F.lit(0), F.size(crossings)), lambda i: (i % 2 == 0) & (i < F.size(crossings)))
+    parts = F.transform(halves, lambda i: part(F.get(crossings, i), F.get(crossings, i + 1)))
+    if borders == "both":
+        def along(s: Column) -> Column:
+            a, b = on(s["x"], s["y"]), on(s["u"], s["v"])
+            first = off(s["x"], s["y"]) == 0
+            return F.when(first & (off(s["u"], s["v"]) == 0), part(F.least(a, b), F.greatest(a, b))).when(first, part(a, a))
+
+        parts = F.concat(parts, F.array_compact(F.transform(sides, along)))
+    elif borders != "one":
+        raise ValueError("borders is both or one")
+    parts = F.sort_array(F.filter(parts, lambda p: p["a"] <= p["b"]))
+    last = lambda done: F.element_at(done, -1)
+
+    def merge(done: Column, p: Column) -> Column:
+        apart = F.when(F.size(done) == 0, F.lit(True)).otherwise(p["a"] > last(done)["b"])
+        joined = F.struct(last(done)["a"].alias("a"), F.greatest(last(done)["b"], p["b"]).alias("b"))
+        return F.when(apart, F.concat(done, F.array(p))).otherwise(F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined)))
+
+    return F.aggregate(parts, F.array().cast("array<struct<a:double,b:double>>"), merge)
+
+
 def _at(t: str) -> tuple[Column, Column]:
     return F.col("_x1") + (F.col("_x2") - F.col("_x1")) * F.col(t), F.col("_y1") + (F.col("_y2") - F.col("_y1")) * F.col(t)
 
 
-def _segments(df: DataFrame, grid: Grid) -> DataFrame:
+def _segments(df: DataFrame, grid: Grid | Polygons) -> DataFrame:
     return _clipped(df.withColumns({f"_{c}": F.col(c) for c in ("x1", "y1", "x2", "y2")}), grid)
 
 
@@ -99,7 +211,7 @@ def _edges(lines: DataFrame, vertices: str) -> DataFrame:
     return out.select("_line", "_e", p(0, "x").alias("_x1"), p(0, "y").alias("_y1"), p(1, "x").alias("_x2"), p(1, "y").alias("_y2"))
 
 
-def _parts(lines: DataFrame, grid: Grid, vertices: str, key: Sequence[str]) -> DataFrame:
+def _parts(lines: DataFrame, grid: Grid | Polygons, vertices: str, key: Sequence[str]) -> DataFrame:
     """For each line (by its key) and cell: the line, the parts inside in order, and their length."""
     cut = _clipped(_edges(lines, vertices), grid)
     (xa, ya), (xb, yb) = _at("_t0"), _at("_t1")
@@ -109,15 +221,16 @@ def _parts(lines: DataFrame, grid: Grid, vertices: str, key: Sequence[str]) -> D
     )
 
 
-def grid_intersect(lines: DataFrame, grid: Grid, key: Sequence[str], vertices: str = "vertices", lines_epsg: int | None = None, on_mismatch: str = "error") -> DataFrame:
-    """All columns of each line with the cells it meets and the text of its parts inside. Touching points are kept."""
+def grid_intersect(lines: DataFrame, grid: Grid | Polygons, key: Sequence[str], vertices: str = "vertices", lines_epsg: int | None = None, on_mismatch: str = "error") -> DataFrame:
+    """All columns of each line with the cells or polygons it meets, its parts inside (``parts``: edge e, from xa, ya to xb,
+    yb) and their text. Touching points are kept."""
     check_srs(grid.epsg if lines_epsg is None else lines_epsg, grid, on_mismatch)
     one = lambda p: F.concat(F.lit("("), F.concat_ws(" ", p["xa"].cast("string"), p["ya"].cast("string")), F.lit(", "), F.concat_ws(" ", p["xb"].cast("string"), p["yb"].cast("string")), F.lit(")"))
     wkt = F.concat(F.lit("MULTILINESTRING ("), F.array_join(F.transform("_parts", one), ", "), F.lit(")"))
-    return _parts(lines, grid, vertices, key).select("_line.*", "grid_id", wkt.alias("int_wkt"))
+    return _parts(lines, grid, vertices, key).select("_line.*", "grid_id", F.col("_parts").alias("parts"), wkt.alias("int_wkt"))
 
 
-def grid_length(lines: DataFrame, grid: Grid, key: Sequence[str], vertices: str = "vertices", lines_epsg: int | None = None, on_mismatch: str = "error") -> DataFrame:
+def grid_length(lines: DataFrame, grid: Grid | Polygons, key: Sequence[str], vertices: str = "vertices", lines_epsg: int | None = None, on_mismatch: str = "error") -> DataFrame:
     """All columns of each line with its cells and planar length / 1000 there (km if the plane is in metres)."""
     check_srs(grid.epsg if lines_epsg is None else lines_epsg, grid, on_mismatch)
     return _parts(lines, grid, vertices, key).select("_line.*", (F.col("_len") / 1000).alias("grd_len_km"), "grid_id")
@@ -131,14 +244,14 @@ def _length() -> Column:
     return geo.euclid("_x1", "_y1", "_x2", "_y2") * (F.col("_t1") - F.col("_t0")) / 1000
 
 
-def grid_interpolate(segments: DataFrame, grid: Grid, v1: str, v2: str, name: str = "interp") -> DataFrame:
+def grid_interpolate(segments: DataFrame, grid: Grid | Polygons, v1: str, v2: str, name: str = "interp") -> DataFrame:
     """Two-point lines with their cells and a value between both ends' at the middle of the part inside (for a line
     inside one cell that is the mean). Touching points are kept."""
     t = _middle()
     return _segments(segments, grid).select(*segments.columns, (F.col(v1) * (1 - t) + F.col(v2) * t).alias(name), _length().alias("grd_len_km"), "grid_id")
 
 
-def grid_interpolate_time(segments: DataFrame, grid: Grid, v1: str, v2: str, t1: str, t2: str, name: str = "interp", time_name: str = "interp_time") -> DataFrame:
+def grid_interpolate_time(segments: DataFrame, grid: Grid | Polygons, v1: str, v2: str, t1: str, t2: str, name: str = "interp", time_name: str = "interp_time") -> DataFrame:
     """As ``grid_interpolate``, with the time there (whole seconds) and the part's text; only parts with a length."""
     t = _middle()
     a, b = (F.unix_timestamp(c) for c in (t1, t2))
@@ -154,29 +267,8 @@ def grid_density(cells: DataFrame, vessel: str = "mmsi", value: str = "interp")
 
 
 def polygon_length(segments: DataFrame, cells: DataFrame, cell_id: str, tile: float, vertices: str = "vertices") -> DataFrame:
-    """Two-point lines over any layer of convex, counter-clockwise polygons: grid_id and length inside / 1000.
-
-    Both sides are dealt to square tiles and joined on those, and a pair that meets in several tiles is kept in one.
-    """
-    def tiles(x0: Column, x1: Column, y0: Column, y1: Column) -> tuple[Column, Column]:
-        return F.sequence(F.floor(x0 / tile), F.floor(x1 / tile)), F.sequence(F.floor(y0 / tile), F.floor(y1 / tile))
-
-    xs, ys = F.transform(vertices, lambda v: v["x"]), F.transform(vertices, lambda v: v["y"])
-    boxes = cells.select(F.col(cell_id).alias("grid_id"), F.col(vertices).alias("_p"), F.array_min(xs).alias("_x0"), F.array_max(xs).alias("_xx"), F.array_min(ys).alias("_y0"), F.array_max(ys).alias("_yy"))
-    tx, ty = tiles(*(F.col(c) for c in ("_x0", "_xx", "_y0", "_yy")))
-    boxes = boxes.withColumn("_tx", F.explode(tx)).withColumn("_ty", F.explode(ty))
-    lx0, lx1, ly0, ly1 = F.least("x1", "x2"), F.greatest("x1", "x2"), F.least("y1", "y2"), F.greatest("y1", "y2")
-    tx, ty = tiles(lx0, lx1, ly0, ly1)
-    lines = segments.withColumn("_sx", F.explode(tx)).withColumn("_sy", F.explode(ty))
-    first = (F.col("_tx") == F.floor(F.greatest(F.col("_x0"), lx0) / tile)) & (F.col("_ty") == F.floor(F.greatest(F.col("_y0"), ly0) / tile))
-    met = lines.join(boxes, (F.col("_sx") == F.col("_tx")) & (F.col("_sy") == F.col("_ty")) & (F.col("_x0") <= lx1) & (F.col("_xx") >= lx0) & (F.col("_y0") <= ly1) & (F.col("_yy") >= ly0) & first)
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    sides = F.transform("_p", lambda v, i: F.struct(v["x"].alias("x"), v["y"].alias("y"), (F.element_at("_p", (i + 1) % F.size("_p") + 1)["x"] - v["x"]).alias("ex"), (F.element_at("_p", (i + 1) % F.size("_p") + 1)["y"] - v["y"]).alias("ey")))
-
-    def cut(acc: Column, s: Column) -> Column:
-        out, along = s["ex"] * (F.col("y1") - s["y"]) - s["ey"] * (F.col("x1") - s["x"]), s["ex"] * dy - s["ey"] * dx
-        t = -out / along
-        return F.struct(F.when(along > 0, F.greatest(acc["a"], t)).when((along == 0) & (out < 0), F.lit(2.0)).otherwise(acc["a"]).alias("a"), F.when(along < 0, F.least(acc["b"], t)).otherwise(acc["b"]).alias("b"))
-
-    met = met.withColumn("_t", F.aggregate(sides, F.struct(F.lit(0.0).alias("a"), F.lit(1.0).alias("b")), cut)).where("_t.a <= _t.b")
-    return met.select(*segments.columns, (geo.euclid("x1", "y1", "x2", "y2") * (F.col("_t.b") - F.col("_t.a")) / 1000).alias("grd_len_km"), "grid_id")
+    """Two-point lines over polygons of one ring (``vertices``): grid_id and length inside / 1000. Layers with holes, and
+    all other overlays, take ``Polygons``."""
+    layer = Polygons(cells.withColumn("_rings", F.array(vertices)), tile, cell_id, "_rings")
+    parts = _segments(segments.drop("grid_id"), layer)
+    return parts.groupBy(*segments.columns, "grid_id").agg(F.sum(_length()).alias("grd_len_km"))

@@ -13,7 +13,7 @@ from ..operators import encode as E
 from ..operators import normalize as N
 from ..sources.readers import EE_COLUMNS, read_nm4, receiver_dates
 from ..sources.writers import format_messages
-from ..streaming.nm4 import run_available, stream_assembled, stream_histogram, stream_nm4, stream_packets, stream_positions
+from ..streaming.nm4 import run_available, stream_assembled, stream_histogram, stream_nm4, stream_packets, stream_parts, stream_positions
 from .pings import PINGS, pings
 
 def _date() -> Column:
@@ -147,9 +147,9 @@ def q_receiver_log_dates(spark: SparkSession, d: str) -> DataFrame:
     return receiver_dates(log).select("path", "line_no", "date", "sentence")
 
 
-def _log_folder(spark: SparkSession, d: str) -> str:
+def _log_folder(spark: SparkSession, d: str, which: str = "true") -> str:
     home = f"{_shared(spark)}/nm4"
-    lines(spark, d).orderBy("line_no").select(F.concat_ws(" ", "date", "sentence").alias("value")).write.text(home)
+    lines(spark, d).where(which).orderBy("line_no").select(F.concat_ws(" ", "date", "sentence").alias("value")).write.text(home)
     return home
 
 
@@ -167,11 +167,6 @@ def q_stream_decode(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_stream_histogram(spark: SparkSession, d: str) -> DataFrame:
-    home = _log_folder(spark, d)
-    return run_available(stream_histogram(stream_packets(stream_nm4(spark, home))), f"{home}-types", "complete")
-
-
-def q_stream_histogram_whole(spark: SparkSession, d: str) -> DataFrame:
     """Messages of one and of several sentences: the latter go into a table of their own, and the running counts follow both."""
     home = _log_folder(spark, d)
     whole = run_available(stream_assembled(stream_nm4(spark, home)), f"{home}-parts")
@@ -179,6 +174,13 @@ def q_stream_histogram_whole(spark: SparkSession, d: str) -> DataFrame:
     return run_available(stream_histogram(stream_packets(stream_nm4(spark, home)).unionByName(parts)), f"{home}-types", "complete")
 
 
+def q_stream_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Parts that make no message: every tenth voyage lacks its first or its second part."""
+    home = _log_folder(spark, d, "line_no % 600 not in (1, 302)")
+    out = run_available(stream_parts(stream_nm4(spark, home)), f"{home}-parts")
+    return out.where("reject_reason is not null").select("reject_reason", "channel", "date")
+
+
 _GOOD = "event_id * 3 % 150 NOT IN (21, 51)"
 _NAV = "['Under way using engine','At anchor','Not under command','Restricted manoeuverability','Constrained by her draught','Moored','Aground','Engaged in fishing']"
 _WITH = f"WITH pings AS ({PINGS}) "
@@ -202,8 +204,9 @@ SELECT msg_group, count(*) AS n, sum((event_id % 31 = 0)::INT)::BIGINT AS errors
     "packed_other": _WITH + f"""SELECT 'SE20150102' AS unq_id_prefix, event_id AS lineno, (event_id % 27 + 1)::VARCHAR AS message_id, {_SHARED_EE} || CASE event_id % 27 + 1 WHEN 6 THEN '||' || event_id % 9 || '||||d' || event_id || '|' WHEN 8 THEN '|||d' || event_id || '|' ELSE '||' || event_id % 9 || '|' END AS ais_msg_eecsv FROM pings WHERE event_id % 27 + 1 IN (6, 8, 10)""",
     "nm4_files": _WITH + f"SELECT message_id, count(*) AS n, round(sum(round(sog * 10) / 10), 3) AS sog FROM pings WHERE {_GOOD} GROUP BY 1",
     "stream_decode": _WITH + f"SELECT message_id, count(*) AS n, round(sum(round(sog * 10) / 10), 3) AS sog FROM pings WHERE {_GOOD} GROUP BY 1",
-    "stream_histogram": _WITH + f"SELECT message_id::VARCHAR AS key, count(*) AS n FROM pings WHERE {_GOOD} GROUP BY 1",
 }
-ORACLES["stream_histogram_whole"] = ORACLES["nm4_type_histogram"]
+_OPEN = "SELECT 'A' AS channel, strftime(time, '%Y%m%dT%H%M%S') || '.000Z' AS date, "
+ORACLES["stream_rejects"] = _WITH + f"{_OPEN} 'no first part' AS reject_reason FROM pings WHERE event_id % 200 = 0 UNION ALL {_OPEN} 'another first part' FROM pings p WHERE event_id % 200 = 100 AND EXISTS (FROM pings q WHERE q.event_id % 20 = 0 AND q.event_id > p.event_id)"
+ORACLES["stream_histogram"] = ORACLES["nm4_type_histogram"]
 
 QUERIES = {k[2:]: v for k, v in list(globals().items()) if k.startswith("q_")}

@@ -13,9 +13,8 @@ from ..schema import PING_COLUMNS
 from .pings import PINGS, pings
 
 GAP_S, MAX_KPH, TIES = 86400.0, 160.0, ("event_id",)
-#: The grid of the queries whose SQL has it: a tenth of a degree over the reports' home waters. Those named _whole have
-#: one over everything.
-GRID = G.Grid(-63.05, 43.95, 0.1, 7, 5)
+#: Cells of the overlays, in degrees.
+CELL = 0.1
 
 
 def _r(df: DataFrame, *names: str) -> DataFrame:
@@ -91,7 +90,7 @@ def q_grid_cells(spark: SparkSession, d: str) -> DataFrame:
 
 #: Binary digits after the point that overlays are compared at. Decimal digits would not do: many lengths and values lie
 #: just between two of those, and engines round such ties apart.
-VALUE_BITS, LENGTH_BITS, SUM_BITS = 30, 50, 40
+VALUE_BITS, LENGTH_BITS, SUM_BITS, PLACE_BITS, CROSSING_BITS = 30, 50, 40, 36, 20
 
 
 def _to_bits(df: DataFrame, **bits: int) -> DataFrame:
@@ -102,68 +101,62 @@ def _bits_sql(x: str, k: int) -> str:
     return f"floor({x} * pow(2, {k}) + 0.5) / pow(2, {k})"
 
 
-def _whole_grid(spark: SparkSession, d: str) -> G.Grid:
-    """A grid with cells of GRID's size over the extent of all reports in range, and so of all segments, with half a
-    cell around it: none lies on its border."""
+def _grid(spark: SparkSession, d: str) -> G.Grid:
+    """A grid over the extent of all reports in range, and so of all segments, with half a cell around it: none lies on
+    its border."""
     seen = pings(spark, d).where((F.abs("latitude") <= 90) & (F.abs("longitude") <= 180))
     b = seen.agg(F.min("longitude").alias("x0"), F.max("longitude").alias("x1"), F.min("latitude").alias("y0"), F.max("latitude").alias("y1")).first()
-    half = GRID.size / 2
-    return GRID if b.x0 is None else G.make_grid(spark, b.x0 - half, b.x1 + half, b.y0 - half, b.y1 + half, GRID.epsg, GRID.size)
+    return G.Grid(0, 0, CELL, 0, 0) if b.x0 is None else G.make_grid(spark, b.x0 - CELL / 2, b.x1 + CELL / 2, b.y0 - CELL / 2, b.y1 + CELL / 2, 4326, CELL)
 
 
-def _interp(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
-    return G.grid_interpolate_time(_segments(spark, d), grid, "sogpt1", "sogpt2", "st_date", "en_date")
+def _layer(spark: SparkSession, d: str) -> G.Polygons:
+    """The same grid as a layer of polygons."""
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    rings = F.array(F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmax", "ymax"), corner("xmin", "ymax")))
+    return G.Polygons(_grid(spark, d).cells(spark).select("cell_id", rings.alias("rings")), 5 * CELL)
 
 
-def _grid_lengths(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
-    lines = _segments(spark, d).withColumn("vertices", F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))))
-    out = G.grid_length(lines, grid, ("mmsi", "track_id")).where("grd_len_km > 1e-9")
-    return _to_bits(out.select("mmsi", "track_id", "grid_id", "grd_len_km"), grd_len_km=LENGTH_BITS)
-
-
-def _grid_interp(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
-    out = G.grid_interpolate(_segments(spark, d), grid, "sogpt1", "sogpt2").where("grd_len_km > 1e-9")
-    return _to_bits(out.select("mmsi", "track_id", "grid_id", "interp"), interp=VALUE_BITS)
-
-
-def _grid_interp_time(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
-    return _to_bits(_interp(spark, d, grid).where("grd_len_km > 1e-9").select("mmsi", "track_id", "grid_id", "interp", "interp_time", "grd_len_km"), interp=VALUE_BITS, grd_len_km=LENGTH_BITS)
-
-
-def _grid_density(spark: SparkSession, d: str, grid: G.Grid) -> DataFrame:
-    return _to_bits(G.grid_density(_interp(spark, d, grid).where("grd_len_km > 1e-9")), total_len_km=SUM_BITS, avg_value=VALUE_BITS)
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    ends = F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))
+    return _segments(spark, d).withColumn("vertices", ends)
 
 
 def q_grid_lengths(spark: SparkSession, d: str) -> DataFrame:
-    return _grid_lengths(spark, d, GRID)
+    out = G.grid_length(_lines(spark, d), _grid(spark, d), ("mmsi", "track_id"))
+    return _to_bits(out.select("mmsi", "track_id", "grid_id", "grd_len_km"), grd_len_km=LENGTH_BITS)
 
 
 def q_grid_interp(spark: SparkSession, d: str) -> DataFrame:
-    return _grid_interp(spark, d, GRID)
+    out = G.grid_interpolate(_segments(spark, d), _grid(spark, d), "sogpt1", "sogpt2")
+    return _to_bits(out.select("mmsi", "track_id", "grid_id", "interp"), interp=VALUE_BITS)
 
 
-def q_grid_interp_time(spark: SparkSession, d: str) -> DataFrame:
-    return _grid_interp_time(spark, d, GRID)
+def _interp_time(spark: SparkSession, d: str) -> DataFrame:
+    return G.grid_interpolate_time(_segments(spark, d), _grid(spark, d), "sogpt1", "sogpt2", "st_date", "en_date")
 
 
-def q_grid_density(spark: SparkSession, d: str) -> DataFrame:
-    return _grid_density(spark, d, GRID)
+def q_grid_interp_time(spark: SparkSession, d: str) -> DataFrame:
+    return _to_bits(_interp_time(spark, d).select("mmsi", "track_id", "grid_id", "interp", "interp_time", "grd_len_km"), interp=VALUE_BITS, grd_len_km=LENGTH_BITS)
 
 
-def q_grid_lengths_whole(spark: SparkSession, d: str) -> DataFrame:
-    return _grid_lengths(spark, d, _whole_grid(spark, d))
+def q_grid_density(spark: SparkSession, d: str) -> DataFrame:
+    return _to_bits(G.grid_density(_interp_time(spark, d)), total_len_km=SUM_BITS, avg_value=VALUE_BITS)
 
 
-def q_grid_interp_whole(spark: SparkSession, d: str) -> DataFrame:
-    return _grid_interp(spark, d, _whole_grid(spark, d))
+def _part_columns(df: DataFrame, bits: int = PLACE_BITS) -> DataFrame:
+    parts = df.select("mmsi", "track_id", "grid_id", F.explode("parts").alias("p")).select("mmsi", "track_id", "grid_id", "p.xa", "p.ya", "p.xb", "p.yb")
+    return _to_bits(parts, xa=bits, ya=bits, xb=bits, yb=bits)
 
 
-def q_grid_interp_time_whole(spark: SparkSession, d: str) -> DataFrame:
-    return _grid_interp_time(spark, d, _whole_grid(spark, d))
+def q_grid_intersect(spark: SparkSession, d: str) -> DataFrame:
+    """The parts of all segments in the cells they meet or touch."""
+    return _part_columns(G.grid_intersect(_lines(spark, d), _grid(spark, d), ("mmsi", "track_id")))
 
 
-def q_grid_density_whole(spark: SparkSession, d: str) -> DataFrame:
-    return _grid_density(spark, d, _whole_grid(spark, d))
+def q_polygon_intersect(spark: SparkSession, d: str) -> DataFrame:
+    """The same over the cells as polygons, whose crossings come by another way; parts without length are left out."""
+    out = _part_columns(G.grid_intersect(_lines(spark, d), _layer(spark, d), ("mmsi", "track_id")), CROSSING_BITS)
+    return out.where("xa <> xb or ya <> yb")
 
 
 def q_legacy_p2p(spark: SparkSession, d: str) -> DataFrame:
@@ -218,17 +211,28 @@ stops AS (SELECT *, coalesce({_km("longitude", "latitude", "xb", "yb")} * 1000 /
 prevs AS (SELECT *, coalesce(lag(stop) OVER ({_ORDER}), true) AS prev FROM stops),
 placed AS (SELECT *, prev AND (stop OR tb IS NULL) AS stranded, coalesce(sum((stop AND NOT prev)::INT) OVER ({_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS segidx FROM prevs)
 """
-_S = f"CAST({GRID.size} AS DOUBLE)"  # a plain number is a decimal there
+_S = f"CAST({CELL} AS DOUBLE)"  # a plain number is a decimal there
+#: Only cells of each segment's bounding box, and one around it, are tried.
 _GRID = f"""
-, cells AS (SELECT ix * {GRID.ny} + iy AS grid_id, CAST({GRID.xmin} AS DOUBLE) + ix * {_S} AS cx, CAST({GRID.ymin} AS DOUBLE) + iy * {_S} AS cy FROM generate_series(0, {GRID.nx - 1}) a(ix), generate_series(0, {GRID.ny - 1}) b(iy)),
-clip AS (SELECT s.*, grid_id,
+, b AS (SELECT min(longitude) - {_S} / 2 AS x0, max(longitude) + {_S} / 2 AS x9, min(latitude) - {_S} / 2 AS y0, max(latitude) + {_S} / 2 AS y9 FROM pings WHERE abs(latitude) <= 90 AND abs(longitude) <= 180),
+n AS (SELECT *, ceil(abs(x9 - x0) / {_S})::BIGINT AS nx, ceil(abs(y9 - y0) / {_S})::BIGINT AS ny FROM b),
+o AS (SELECT nx, ny, (x9 + x0) / 2 - nx * {_S} / 2 AS ox, (y9 + y0) / 2 - ny * {_S} / 2 AS oy FROM n),
+cols AS (SELECT s.*, o.*, unnest(range(greatest(0, floor((least(x1, x2) - ox) / {_S})::BIGINT - 1), least(nx, floor((greatest(x1, x2) - ox) / {_S})::BIGINT + 2))) AS ix FROM segs s, o),
+cells AS (SELECT *, unnest(range(greatest(0, floor((least(y1, y2) - oy) / {_S})::BIGINT - 1), least(ny, floor((greatest(y1, y2) - oy) / {_S})::BIGINT + 2))) AS iy FROM cols),
+edges AS (SELECT *, ix * ny + iy AS grid_id, ox + ix * {_S} AS cx, oy + iy * {_S} AS cy FROM cells),
+clip AS (SELECT *,
   greatest(0, CASE WHEN x1 = x2 THEN CASE WHEN x1 BETWEEN cx AND cx + {_S} THEN 0 ELSE 2 END ELSE least((cx - x1) / (x2 - x1), (cx + {_S} - x1) / (x2 - x1)) END, CASE WHEN y1 = y2 THEN CASE WHEN y1 BETWEEN cy AND cy + {_S} THEN 0 ELSE 2 END ELSE least((cy - y1) / (y2 - y1), (cy + {_S} - y1) / (y2 - y1)) END) AS t0,
   least(1, CASE WHEN x1 = x2 THEN 1 ELSE greatest((cx - x1) / (x2 - x1), (cx + {_S} - x1) / (x2 - x1)) END, CASE WHEN y1 = y2 THEN 1 ELSE greatest((cy - y1) / (y2 - y1), (cy + {_S} - y1) / (y2 - y1)) END) AS t1
-  FROM segs s, cells),
+  FROM edges),
 inside AS (SELECT *, sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2)) * (t1 - t0) / 1000 AS grd_len_km, sogpt1 * (1 - (t0 + t1) / 2) + sogpt2 * ((t0 + t1) / 2) AS interp,
-  floor(round(epoch_us(st_date) / 1e6 + (epoch_us(en_date) - epoch_us(st_date)) / 1e6 * ((t0 + t1) / 2), 6)) AS interp_s FROM clip WHERE t0 <= t1 AND sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2)) * (t1 - t0) / 1000 > 1e-9)
+  floor(round(epoch_us(st_date) / 1e6 + (epoch_us(en_date) - epoch_us(st_date)) / 1e6 * ((t0 + t1) / 2), 6)) AS interp_s, x1 + (x2 - x1) * t0 AS xa, y1 + (y2 - y1) * t0 AS ya, x1 + (x2 - x1) * t1 AS xb, y1 + (y2 - y1) * t1 AS yb FROM clip WHERE t0 <= t1)
 """
 
+
+def _parts_sql(bits: int) -> str:
+    return f"SELECT mmsi, track_id, grid_id, {', '.join(f'{_bits_sql(c, bits)} AS {c}' for c in ('xa', 'ya', 'xb', 'yb'))} FROM inside"
+
+
 ORACLES = {
     "pings": f"WITH pings AS ({PINGS}) SELECT * FROM pings",
     "out_of_range": _BASE + f"SELECT event_id, mmsi, '{S.OUT_OF_RANGE}' AS reason FROM counted WHERE n > 1 AND (abs(latitude) > 90 OR abs(longitude) > 180)",
@@ -267,8 +271,10 @@ n AS (SELECT floor((longitude - ox) / 0.5)::INT AS gx, floor((latitude - oy) / 0
 SELECT (ix * ny + iy)::BIGINT AS cell_id, ix, iy, round(ox + ix * 0.5::DOUBLE, 6) AS xmin, round(oy + iy * 0.5::DOUBLE, 6) AS ymin, round(ox + (ix + 1) * 0.5::DOUBLE, 6) AS xmax, round(oy + (iy + 1) * 0.5::DOUBLE, 6) AS ymax, coalesce(n, 0) AS n_pings FROM c LEFT JOIN n ON ix = gx AND iy = gy""",
     "grid_lengths": _BASE + _SEGMENTS + _GRID + f"SELECT mmsi, track_id, grid_id, {_bits_sql('grd_len_km', LENGTH_BITS)} AS grd_len_km FROM inside",
     "grid_interp": _BASE + _SEGMENTS + _GRID + f"SELECT mmsi, track_id, grid_id, {_bits_sql('interp', VALUE_BITS)} AS interp FROM inside",
-    "grid_interp_time": _BASE + _SEGMENTS + _GRID + f"SELECT mmsi, track_id, grid_id, {_bits_sql('interp', VALUE_BITS)} AS interp, to_timestamp(interp_s) AT TIME ZONE 'UTC' AS interp_time, {_bits_sql('grd_len_km', LENGTH_BITS)} AS grd_len_km FROM inside",
-    "grid_density": _BASE + _SEGMENTS + _GRID + f"SELECT grid_id, {_bits_sql('sum(grd_len_km)', SUM_BITS)} AS total_len_km, count(DISTINCT mmsi) AS n_vessels, count(*) AS n_lines, {_bits_sql('avg(interp)', VALUE_BITS)} AS avg_value FROM inside GROUP BY grid_id",
+    "grid_interp_time": _BASE + _SEGMENTS + _GRID + f"SELECT mmsi, track_id, grid_id, {_bits_sql('interp', VALUE_BITS)} AS interp, to_timestamp(interp_s) AT TIME ZONE 'UTC' AS interp_time, {_bits_sql('grd_len_km', LENGTH_BITS)} AS grd_len_km FROM inside WHERE t0 < t1",
+    "grid_density": _BASE + _SEGMENTS + _GRID + f"SELECT grid_id, {_bits_sql('sum(grd_len_km)', SUM_BITS)} AS total_len_km, count(DISTINCT mmsi) AS n_vessels, count(*) AS n_lines, {_bits_sql('avg(interp)', VALUE_BITS)} AS avg_value FROM inside WHERE t0 < t1 GROUP BY grid_id",
+    "grid_intersect": _BASE + _SEGMENTS + _GRID + _parts_sql(PLACE_BITS),
+    "polygon_intersect": _BASE + _SEGMENTS + _GRID + f"SELECT * FROM ({_parts_sql(CROSSING_BITS)}) WHERE xa <> xb OR ya <> yb",
 }
 
 QUERIES = {k[2:]: v for k, v in list(globals().items()) if k.startswith("q_")}

@@ -7,9 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.decode import decode_positions, type_histogram, verify_sentences
 from ..sources.readers import sentences
@@ -57,40 +57,91 @@ def stream_histogram(packets: DataFrame) -> DataFrame:
     return type_histogram(packets)
 
 
-PART = "path string, channel string, line_no long, raw string, payload string, pad int, date string"
-OPEN = "n int, have int, raw string, payload string, date string"
-
-
-def _assemble(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, ttl_ms: int) -> Iterator[pd.DataFrame]:
-    """Parts of one path and channel in order; the state is the open message, which expires after ``ttl_ms``."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    held, out = (state.get if state.exists else None), []
-    for row in pd.concat(list(frames)).sort_values("line_no").itertuples(index=False):
-        if row.fragment == 1:
-            held = (row.fragments, 1, row.sentence, row.payload, row.date)
-        elif held and row.fragment == held[1] + 1 and row.fragments == held[0]:
-            held = (held[0], held[1] + 1, f"{held[2]}\n{row.sentence}", held[3] + row.payload, held[4])
-        else:
-            held = None
-        if held and held[1] == held[0]:
-            out.append((key[0], key[1], row.line_no, held[2], held[3], row.pad, held[4]))
-            held = None
-    if held:
-        state.update((int(held[0]), int(held[1]), *held[2:]))
-        state.setTimeoutDuration(ttl_ms)
-    elif state.exists:
-        state.remove()
-    yield pd.DataFrame(out, columns=[c.split()[0] for c in PART.split(", ")])
-
-
-def stream_assembled(stream: DataFrame, ttl_s: int = 3600) -> DataFrame:
-    """Messages of several sentences, with the open parts of each path and channel as state."""
+PART = "source string, channel string, path string, line_no long, raw string, payload string, pad int, date string, reject_reason string"
+OPEN = "n int, have int, expires long, path string, line_no long, raw string, payload string, date string"
+#: Why parts don't make a message.
+ORPHAN, BROKEN, RESTARTED, EXPIRED = "no first part", "part out of turn", "another first part", "expired"
+
+
+class _Assembly(StatefulProcessor):
+    """Parts of one source and channel in order; the state is the open message, whose timer is set anew by each part.
+
+    As in a batch: parts belong to the first part before them, and a message is whole once its parts are 1 to the number
+    that its first one states.
+    """
+
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.open = handle, handle.getValueState("open", OPEN)
+
+    def _frame(self, key: tuple, rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame([(*key, *r) for r in rows], columns=[c.split()[0] for c in PART.split(", ")])
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        before = tuple(self.open.get()) if self.open.exists() else None
+        held, out = before, []
+        lost = lambda m, why: out.append((m[3], m[4], m[5], m[6], None, m[7], why))
+        for row in pd.concat(list(rows)).sort_values(["path", "line_no"]).itertuples(index=False):
+            if row.fragment == 1:
+                if held:
+                    lost(held, RESTARTED)
+                held = (row.fragments, 1, 0, row.path, row.line_no, row.sentence, row.payload, row.date)
+            elif held and row.fragment == held[1] + 1:
+                held = (held[0], held[1] + 1, 0, row.path, row.line_no, f"{held[5]}\n{row.sentence}", held[6] + row.payload, held[7])
+            else:
+                if held:
+                    lost(held, BROKEN)
+                lost((0, 0, 0, row.path, row.line_no, row.sentence, row.payload, row.date), BROKEN if held else ORPHAN)
+                held = None
+            if held and held[1] == held[0]:
+                out.append((*held[3:7], row.pad, held[7], None))
+                held = None
+        if held != before:
+            if before:
+                self.handle.deleteTimer(int(before[2]))
+                self.open.clear()
+            if held:
+                expires = int(timerValues.getCurrentProcessingTimeInMs()) + self.ttl_ms
+                self.handle.registerTimer(expires)
+                self.open.update((int(held[0]), int(held[1]), expires, held[3], int(held[4]), *held[5:]))
+        yield self._frame(key, out)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held = tuple(self.open.get()) if self.open.exists() else None
+        self.open.clear()
+        yield self._frame(key, [(*held[3:7], None, held[7], EXPIRED)] if held else [])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_parts(stream: DataFrame, ttl_s: float = 3600, source: Column | None = None) -> DataFrame:
+    """Messages of several sentences, and with a ``reject_reason`` the parts that make none.
+
+    A message may lie in several files and triggers: the open one of each source and channel is state, and expires
+    ``ttl_s`` after its last part, at the first trigger after that. A source is a folder of files unless a column is
+    given; within a trigger its files count in order of their names. A trigger's parts of one source and channel are
+    sorted by one task, so ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound its memory. Needs the RocksDB state store
+    (``run_available`` sets it).
+    """
     ok, _ = verify_sentences(stream)
-    parts = ok.where("fragments > 1").groupBy("path", "channel")
-    run = lambda key, frames, state: _assemble(key, frames, state, ttl_s * 1000)
-    return parts.applyInPandasWithState(run, PART, OPEN, "append", GroupStateTimeout.ProcessingTimeTimeout).select("path", "line_no", "raw", "payload", "pad", "date")
+    folder = F.regexp_replace("path", "/[^/]*$", "") if source is None else source
+    parts = ok.where("fragments > 1").withColumn("source", folder).select("source", "channel", "path", "line_no", "sentence", "payload", "pad", "date", "fragments", "fragment")
+    return parts.groupBy("source", "channel").transformWithStateInPandas(_Assembly(int(ttl_s * 1000)), PART, "append", "processingTime")
+
+
+def stream_assembled(stream: DataFrame, ttl_s: float = 3600, source: Column | None = None) -> DataFrame:
+    """Whole messages of several sentences; see ``stream_parts``."""
+    return stream_parts(stream, ttl_s, source).where("reject_reason is null").select("path", "line_no", "raw", "payload", "pad", "date")
+
+
+#: What assembly needs; and empty batches, which state with timers would otherwise ask for for ever.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 
 
 def run_available(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
@@ -101,11 +152,13 @@ def run_available(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
         writer = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
     else:
         writer = writer.format("parquet").option("path", out)
-    conf, key = df.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = conf.get(key)
-    conf.set(key, "false")  # state with a time to live would otherwise ask for empty batches for ever
+    conf = df.sparkSession.conf
+    before = {key: conf.get(key) for key in SETTINGS}
     try:
+        for key, value in SETTINGS.items():
+            conf.set(key, value)
         writer.start().awaitTermination()
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            conf.set(key, value)
     return df.sparkSession.read.schema(df.schema).parquet(out)

@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_stream_counts_equal_the_batch(spark):
-    got = {r.key: r.n for r in M.q_stream_histogram_whole(spark, SF).collect()}
+    got = {r.key: r.n for r in M.q_stream_histogram(spark, SF).collect()}
     assert got == {r.key: r.n for r in M.q_nm4_type_histogram(spark, SF).collect()} and got["5"] > 0
 
 
