@@ -135,8 +135,17 @@ def quality_rules(docs: DataFrame, host: str = "source") -> DataFrame:
 
 
 def passing(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The documents that pass, with their columns as they were."""
+    """The documents that pass, with their columns as they were, whatever their names.
+
+    Null or empty text fails; a null host is a host of its own; repeated rows pass or fail alike; an empty table gives
+    none. Measures and verdicts are of slim rows; the documents themselves only meet those that fail, by id, host and
+    a 64-bit hash of the text.
+    """
     hosted = F.coalesce(F.col(host).cast("string"), F.lit("")) if host in docs.columns else F.lit("")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_d"), hosted.alias("_host"))
-    kept = common.written(measures(rows, F.col("_d.text").cast("string")).select("_d", "_host", "_m"), common.shared_dir(docs.sparkSession))
-    return judged(kept).where("_kept").select("_d.*")
+    text = F.col("text").cast("string")
+    key = (F.col("doc_id").cast("string"), hosted, F.xxhash64(text))
+    slim = docs.select(F.struct(*key).alias("_key"), hosted.alias("_host"), text.alias("text"))
+    slim = common.written(measures(slim).select("_key", "_host", "_m"), common.shared_dir(docs.sparkSession))
+    failed = judged(slim).where("not _kept").select(F.coalesce("_key.col1", F.lit("")).alias("_f1"), F.col("_key.col2").alias("_f2"), F.col("_key.col3").alias("_f3")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_d"), F.coalesce(key[0], F.lit("")).alias("_k1"), key[1].alias("_k2"), key[2].alias("_k3"))
+    return rows.join(failed, (F.col("_k1") == F.col("_f1")) & (F.col("_k2") == F.col("_f2")) & (F.col("_k3") == F.col("_f3")), "left_anti").select("_d.*")
