@@ -5,7 +5,7 @@ Lines come with ``path`` and ``line_no`` (see the sources). Only sentences of me
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,9 +23,11 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def checksum(sentence: Column) -> Column:
-    """Upper-case hexadecimal exclusive or of the characters between ``!`` and ``*``."""
-    body = F.regexp_extract(sentence, r"^!([^*]*)\*", 1)
-    return F.lpad(F.hex(F.aggregate(F.transform(F.split(body, ""), lambda c: F.ascii(c)), F.lit(0), lambda a, c: a.bitwiseXOR(c))), 2, "0")
+    """Upper-case hexadecimal exclusive or of the bytes between ``!`` and ``*``, seven at a time."""
+    body = F.hex(F.regexp_extract(sentence, r"^!([^*]*)\*", 1))
+    seven = lambda i: F.coalesce(F.conv(F.substring(body, i * 14 + 1, F.lit(14)), 16, 10).cast("long"), F.lit(0).cast("long"))
+    all_ = F.aggregate(F.sequence(F.lit(0), F.floor(F.length(body) / 14).cast("int")), F.lit(0).cast("long"), lambda x, i: x.bitwiseXOR(seven(i)), lambda x: reduce(Column.bitwiseXOR, [F.shiftright(x, 8 * k) for k in range(1, 7)], x).bitwiseAND(255))
+    return F.lpad(F.hex(all_), 2, "0")
 
 
 def verify_sentences(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -70,40 +72,80 @@ def first_type(payload: Column) -> Column:
     return F.when(c > 40, c - 8).otherwise(c)
 
 
-def to_bits(packets: DataFrame) -> DataFrame:
-    """``bits``: six of each character, without the pad, zero-extended to 168; and ``bitlen`` before that."""
-    six = lambda c: F.lpad(F.bin(F.when(F.ascii(c) - 48 > 40, F.ascii(c) - 56).otherwise(F.ascii(c) - 48)), 6, "0")
-    all_bits = F.array_join(F.transform(F.split("payload", ""), six), "")
-    out = once(packets, _b=F.when(F.length("payload") > 0, all_bits).otherwise(F.lit("")))
-    out = once(out, bitlen=F.greatest(F.length("_b") - F.col("pad"), F.lit(0)))
-    bits = F.substring(F.col("_b"), F.lit(1), F.col("bitlen"))
-    return once(out, bits=F.when(F.col("bitlen") < LEAST_BITS, F.rpad(bits, LEAST_BITS, "0")).otherwise(bits)).drop("_b")
+#: Bits of a word, which are the digits of 8 characters.
+WORD = 48
+_BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+#: Payload characters in order of code, and the base64 digits of their values: 48 off, and 8 more above 40.
+_ARMOUR = "".join(map(chr, range(48, 120)))
+_DIGITS = "".join(_BASE64[i - 8 if i > 40 else i] for i in range(72))
+#: Six-bit text: 0 to 31 are @ to _, then blank to ?.
+_LETTERS = "".join(chr(i + 64 if i < 32 else i) for i in range(64))
+
+
+def to_words(packets: DataFrame) -> DataFrame:
+    """``words``: the bits as numbers of 48, from the first on, without the pad and with zeros at the end; and ``bitlen``,
+    the bits of the payload without the pad. Characters that code nothing count as zeros."""
+    kept = F.greatest(F.length("payload") * 6 - F.col("pad"), F.lit(0))
+    used = F.ceil(F.col("bitlen") / 6).cast("int")
+    digits = F.translate(F.regexp_replace(F.substring(F.col("payload"), F.lit(1), used), r"[^0-w]", "0"), _ARMOUR, _DIGITS)
+    # the pad's share of the last character is cleared
+    spare = used * 6 - F.col("bitlen")
+    last = F.right(digits, F.lit(1))
+    for n in range(1, 6):
+        last = F.when(spare == n, F.translate(last, _BASE64, "".join(_BASE64[i >> n << n] for i in range(64)))).otherwise(last)
+    clean = F.when(spare > 0, F.concat(F.left(digits, used - 1), last)).otherwise(digits)
+    out = once(packets, bitlen=kept)
+    out = once(out, _h=F.hex(F.unbase64(F.rpad(clean, F.greatest(F.ceil(used / 8).cast("int") * 8, F.lit(LEAST_BITS // 6 + 4)), "A"))))
+    word = lambda i: F.conv(F.substring(F.col("_h"), i * 12 + 1, F.lit(12)), 16, 10).cast("long")
+    return once(out, words=F.transform(F.sequence(F.lit(0), (F.length("_h") / 12).cast("int") - 1), word)).drop("_h")
+
+
+def _bits(at: int, width: int) -> Column:
+    """A number of up to 48 bits. Bits past the message's end are zeros."""
+    i, off = divmod(at, WORD)
+    word = lambda k: F.coalesce(F.get("words", F.lit(k)), F.lit(0))
+    if off + width <= WORD:
+        return F.shiftright(word(i), WORD - off - width).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+    rest = off + width - WORD
+    high = word(i).bitwiseAND(F.lit((1 << (WORD - off)) - 1).cast("long"))
+    return F.shiftleft(high, rest).bitwiseOR(F.shiftright(word(i + 1), WORD - rest))
 
 
 def unsigned(at: int, width: int) -> Column:
-    """Bits past the message's end count as zeros."""
-    return F.conv(F.rpad(F.substring("bits", at + 1, width), width, "0"), 2, 10).cast("int")
+    return _bits(at, width).cast("int")
+
+
+def _length() -> Column:
+    """Bits of a message, which has at least 168."""
+    return F.greatest("bitlen", F.lit(LEAST_BITS))
 
 
 def text_of(at: int, width: int) -> Column:
-    """Six-bit text up to the first @, without trailing blanks."""
-    raw = F.substring("bits", at + 1, width)
-    chars = F.transform(F.sequence(F.lit(0), F.greatest(F.floor(F.length(raw) / 6).cast("int") - 1, F.lit(0))), lambda i: F.conv(F.substring(raw, i * 6 + 1, F.lit(6)), 2, 10).cast("int"))
-    letters = F.transform(chars, lambda v: F.char(F.when(v < 32, v + 64).otherwise(v)))
-    return F.rtrim(F.regexp_extract(F.array_join(letters, ""), "^([^@]*)", 1))
+    """Six-bit text up to the first @, without trailing blanks; letters that the message has no more whole are left out."""
+    n = width // 6
+    words = F.concat(*[F.lpad(F.hex(F.shiftleft(_bits(at + i, min(WORD, width - i)), max(0, WORD - width + i))), 12, "0") for i in range(0, width, WORD)])
+    whole = F.least(F.lit(n), F.floor((_length() - at) / 6).cast("int"))
+    letters = F.left(F.translate(F.base64(F.unhex(words)), _BASE64 + "\r\n", _LETTERS), whole)
+    return F.rtrim(F.substring_index(letters, "@", 1))
+
+
+def raw_of(at: int, width: int) -> Column:
+    """Bits as text, as far as the message goes."""
+    bits = F.array_join(F.transform("words", lambda w: F.lpad(F.bin(w), WORD, "0")), "")
+    return F.substring(F.rpad(bits, LEAST_BITS, "0"), F.lit(at + 1), F.least(F.lit(width), _length() - at))
 
 
 def extract(f: Field) -> Column:
     """A field's value; null if it begins at or past the end of the (zero-extended) message."""
     if f.kind == "c":
-        value = F.when(F.length("bits") >= f.at + 6, text_of(f.at, f.width)).otherwise(F.lit(""))
+        value = F.when(_length() >= f.at + 6, text_of(f.at, f.width)).otherwise(F.lit(""))
     elif f.kind == "r":
-        value = F.substring("bits", f.at + 1, f.width)
+        value = raw_of(f.at, f.width)
     else:
         value = unsigned(f.at, f.width)
         if f.kind == "s":
-            value = value - F.when(F.substring("bits", f.at + 1, 1) == "1", F.lit(1 << f.width)).otherwise(F.lit(0))
-    return F.when(F.lit(f.at) < F.length("bits"), value).alias(f.name)
+            value = (_bits(f.at, f.width) - F.when(unsigned(f.at, 1) == 1, F.lit(1 << f.width)).otherwise(F.lit(0))).cast("int")
+    return F.when(F.lit(f.at) < _length(), value).alias(f.name)
 
 
 def _picked(layout: str) -> Column:
@@ -124,11 +166,11 @@ def _picked(layout: str) -> Column:
 
 
 def typed(packets: DataFrame, types: Sequence[int] | None = None) -> DataFrame:
-    """Packets as bits with their ``msgtype``, whether their length is out of range (``bogon``) and why they are
-    rejected, if so. A filter by type comes before any bits are made."""
+    """Packets as words with their ``msgtype``, whether their length is out of range (``bogon``) and why they are
+    rejected, if so. A filter by type comes before any payload is read."""
     if types:
         packets = packets.where(first_type(F.col("payload")).isin(*types))
-    out = once(to_bits(packets), msgtype=unsigned(0, 6))
+    out = once(to_words(packets), msgtype=unsigned(0, 6))
     fits = reduce(lambda a, t: a.when(F.col("msgtype") == t, F.col("bitlen").between(*LENGTHS[t])), LENGTHS, F.when(F.lit(False), F.lit(True)))
     epfd = reduce(lambda a, x: a.when(F.col("msgtype").isin(*x[0]), unsigned(x[1], 4)), [(LAYOUTS[n][0], next(f.at for f in LAYOUTS[n][1] if f.name == "epfd")) for n in ("type4", "type5", "type19", "type21")], F.when(F.lit(False), F.lit(0)))
     station, ship24 = unsigned(next(f.at for f in LAYOUTS["type23"][1] if f.name == "stationtype"), 4), unsigned(40, 8)
@@ -143,25 +185,33 @@ def typed(packets: DataFrame, types: Sequence[int] | None = None) -> DataFrame:
     return once(out, bogon=~F.coalesce(fits, F.lit(False)), reject_reason=reason)
 
 
+def _twelve(x: Column) -> Column:
+    """A number's text with twelve significant digits."""
+    out = F.round(x, 15)
+    for power in range(-2, 3):
+        out = F.when(F.abs(x) >= 10.0**power, F.round(x, 11 - power)).otherwise(out)
+    return out.cast("string")
+
+
 def _scaled(rule: str, c: Column) -> Column:
     """A field's scaled text by its rule in ``SCALED``."""
     text = c.cast("string")
     if rule in LEGENDS:
         return F.coalesce(F.get(F.array(*map(F.lit, LEGENDS[rule])), c), F.lit(LEGENDS[rule][0]))
     if rule == "turn":
-        return F.when(c == -127, "fastleft").when(c == 127, "fastright").otherwise(F.pow(c / 4.733, 2).cast("string"))
+        return F.when(c == -127, "fastleft").when(c == 127, "fastright").otherwise(_twelve(F.pow(c / 4.733, 2)))
     if rule in ("speed", "whole_speed"):
-        return F.when(c == 1022, "fast").otherwise(text if rule == "whole_speed" else (c / 10.0).cast("string"))
+        return F.when(c == 1022, "fast").otherwise(text if rule == "whole_speed" else _twelve(c / 10.0))
     if rule == "second":
         return F.when(c == 60, "n/a").when(c == 61, "manual input").when(c == 62, "dead reckoning").when(c == 63, "inoperative").otherwise(text)
     if rule == "alt":
         return F.when(c == 4094, ">=4094").otherwise(text)
     if rule[0] == "/":
-        return (c / float(rule[1:])).cast("string")
+        return _twelve(c / float(rule[1:]))
     if rule[0] == "+":
         return (c + int(rule[1:])).cast("string")
     factor, _, less = rule[1:].partition("-")
-    return (c * float(factor) - float(less or 0)).cast("string")
+    return _twelve(c * float(factor) - float(less or 0))
 
 
 def scale(layout: str) -> dict[str, Column]:
@@ -179,24 +229,35 @@ def scale(layout: str) -> dict[str, Column]:
     return out
 
 
-def decode(packets: DataFrame, types: Sequence[int] | None = None, scaled: bool = False, mode: str = "permissive") -> dict[str, DataFrame]:
-    """A table for each layout, and ``rejects`` (bogons and messages that break a rule).
+def decode_rows(packets: DataFrame, types: Sequence[int] | None = None, mode: str = "permissive") -> DataFrame:
+    """All messages in one pass: path, line_no, date, raw, msgtype, ``layout`` (null for rejects), bogon, reject_reason and
+    a struct for each layout, null but for the message's own. Parts A and B of type 24 stay rows of their own.
 
-    ``mode="failfast"`` raises on the first reject instead. Parts A and B of type 24 stay rows of their own.
+    Write it, by layout if many tables are wanted, and read the structs from there: what isn't selected isn't made.
+    ``mode="failfast"`` raises on the first reject instead.
     """
-    ready = typed(packets, types)
     bad = F.col("bogon") | F.col("reject_reason").isNotNull()
-    raised = F.raise_error(F.concat(F.lit("rejected message: "), "raw")).cast("boolean")
-    good = ready.where(F.when(bad, raised).otherwise(F.lit(True)) if mode == "failfast" else ~bad)
+    ready = typed(packets, types)
+    if mode == "failfast":
+        ready = ready.where(F.when(bad, F.raise_error(F.concat(F.lit("rejected message: "), "raw")).cast("boolean")).otherwise(F.lit(True)))
+    names = [n for n, (of, _) in LAYOUTS.items() if not types or set(of) & set(types)]
+    layout = reduce(lambda a, n: a.when(_picked(n), n), names, F.when(bad, F.lit(None).cast("string")))
+    ready = once(ready, layout=layout)
+    return ready.select("path", "line_no", "date", "raw", "msgtype", "layout", "bogon", "reject_reason", *[F.when(F.col("layout") == n, F.struct(*[extract(f) for f in LAYOUTS[n][1]])).alias(n) for n in names])
+
+
+def decode(packets: DataFrame, types: Sequence[int] | None = None, scaled: bool = False, mode: str = "permissive") -> dict[str, DataFrame]:
+    """A table for each layout, and ``rejects`` (bogons and messages that break a rule), as views of ``decode_rows``."""
+    rows = decode_rows(packets, types, mode)
     out = {}
-    for name, (of, fs) in LAYOUTS.items():
-        if types and not set(of) & set(types):
+    for name in LAYOUTS:
+        if name not in rows.columns:
             continue
-        table = good.where(_picked(name)).select("path", "line_no", "date", "raw", *[extract(f) for f in fs])
+        table = rows.where(F.col("layout") == name).select("path", "line_no", "date", "raw", f"{name}.*")
         if name == "type21":
             table = table.withColumn("name", F.concat("name", F.coalesce("name_ext", F.lit("")))).drop("name_ext")
         out[name] = table.withColumns({k: v for k, v in scale(name).items() if k in table.columns}) if scaled else table
-    out["rejects"] = ready.where(bad).select("path", "line_no", "date", "raw", "msgtype", "bogon", "reject_reason")
+    out["rejects"] = rows.where("layout is null").select("path", "line_no", "date", "raw", "msgtype", "bogon", "reject_reason")
     return out
 
 
@@ -220,16 +281,29 @@ def packet_time(date: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(F.regexp_extract(date, r"^(\d{8}T\d{6})", 1), F.lit("yyyyMMdd'T'HHmmss")), F.try_to_timestamp(date))
 
 
+#: Of each layout with a position: units of a degree, and of a knot and a degree of course.
+POSITIONS = {"cnb": (600000.0, 10.0), "type18": (600000.0, 10.0), "type27": (600.0, 1.0)}
+
+
 def decode_positions(packets: DataFrame) -> DataFrame:
-    """Position reports (types 1-3, 18 and 27) with degrees, knots and sentinels as values."""
-    tables = decode(packets, types=(1, 2, 3, 18, 27))
-    out = None
-    for name, unit, speed in (("cnb", 600000.0, 10.0), ("type18", 600000.0, 10.0), ("type27", 600.0, 1.0)):
-        t = tables[name]
-        heading = F.col("heading").cast("double") if "heading" in t.columns else F.lit(511.0)
-        status = F.col("status") if "status" in t.columns else F.lit(None).cast("int")
-        course = F.when(F.col("course") == 511, 360.0).otherwise(F.col("course").cast("double")) if name == "type27" else F.col("course") / 10.0
-        sog = F.when(F.col("speed") == 63, 102.3).otherwise(F.col("speed").cast("double")) if name == "type27" else F.col("speed") / speed
-        part = t.select(F.col("mmsi").cast("long").alias("mmsi"), packet_time(F.col("date")).alias("time"), F.col("msgtype").alias("message_id"), status.alias("navigational_status"), sog.alias("sog"), course.alias("cog"), heading.alias("heading"), (F.col("lat") / unit).alias("latitude"), (F.col("lon") / unit).alias("longitude"), "path", "line_no")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Position reports (types 1-3, 18 and 27) with degrees, knots and sentinels as values, in one pass."""
+    rows = typed(packets, types=(1, 2, 3, 18, 27)).where("not bogon and reject_reason is null")
+
+    def by_layout(name: str, of: Callable[[Column, str], Column] = lambda c, _: c) -> Column:
+        """A field of whichever layout a message has."""
+        out = F.when(F.lit(False), F.lit(None))
+        for layout in POSITIONS:
+            for f in LAYOUTS[layout][1]:
+                if f.name == name:
+                    out = out.when(F.col("msgtype").isin(*LAYOUTS[layout][0]), of(extract(f), layout))
+        return out
+
+    short = F.col("msgtype") == 27
+    rows = once(rows, _speed=by_layout("speed"), _course=by_layout("course"))
+    sog = F.when(short & (F.col("_speed") == 63), 102.3).otherwise(F.col("_speed") / F.when(short, 1.0).otherwise(10.0))
+    cog = F.when(short & (F.col("_course") == 511), 360.0).otherwise(F.col("_course") / F.when(short, 1.0).otherwise(10.0))
+    degrees = lambda c, layout: c / POSITIONS[layout][0]
+    return rows.select(
+        by_layout("mmsi").cast("long").alias("mmsi"), packet_time(F.col("date")).alias("time"), F.col("msgtype").alias("message_id"), by_layout("status").cast("int").alias("navigational_status"), sog.alias("sog"), cog.alias("cog"),
+        F.coalesce(by_layout("heading").cast("double"), F.lit(511.0)).alias("heading"), by_layout("lat", degrees).alias("latitude"), by_layout("lon", degrees).alias("longitude"), "path", "line_no",
+    )

@@ -1,18 +1,19 @@
 """Segments and tracks from position reports.
 
-Everything is windows over one partitioning (the vessel) and one order, so a chain of cleaning steps costs one exchange
-and one sort. Rejected reports are kept with their reason.
+Everything is windows over one partitioning (the vessel) and one order, so a chain of cleaning steps costs one exchange.
+Rejected reports are kept with their reason, in the same pass.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..schema import PING_COLUMNS, VESSEL_ORDER
+from ..shared import shared_dir, written
 
 #: Speeds of a valid segment, in knots (the upper is 160 km/h).
 MIN_KTS, MAX_KTS = 0.5, 86.3930885411603
@@ -22,67 +23,116 @@ LATE = ("Time threshold exceeded (pt1's)", "Time threshold exceeded (pt2's)")
 FEW, FAST, STOPPED = "Not enough points for segmentation", "Excess speed", "Stranded stop"
 
 
-class _Vessels:
-    """The windows of a vessel's reports; ``ties`` are further columns of the order."""
+class _Chain:
+    """A vessel's reports in order, step by step; all rows stay, with ``_live`` (still in the chain) and ``_reasons``.
 
-    def __init__(self, ties: Sequence[str] = ()):
-        self.w = Window.partitionBy("mmsi").orderBy(*VESSEL_ORDER, *ties)
-        self.whole = self.w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    Each step's values are windows over the live rows of a vessel (``_live`` is part of the partitioning, which costs a
+    sort, but no exchange). With ``slice_s``, a vessel's time is cut into slices of so many seconds, which are the windows:
+    what crosses their borders (counts, and the nearest live report on either side) comes from one small row for each
+    slice, so a vessel with very many reports is spread over tasks. Each such step begins at a table in the shared folder:
+    the rows are read twice, and a plan that held all steps would double with each.
+    """
 
-    def count(self) -> Column:
-        return F.count(F.lit(1)).over(self.whole)
+    def __init__(self, pings: DataFrame, ties: Sequence[str], slice_s: float | None):
+        self.keep, self.order, self.sliced = pings.columns, [*VESSEL_ORDER, *ties], bool(slice_s)
+        self.vessel = ["_v", "_live"]
+        self.keys = [*self.vessel, "_slice"] if slice_s else self.vessel
+        self.w = Window.partitionBy(*self.keys).orderBy(*self.order)
+        df = pings.withColumns({"_v": F.col("mmsi"), "_live": F.lit(True), "_reasons": F.array().cast("array<string>")})
+        if slice_s:
+            self.home, self.steps = shared_dir(pings.sparkSession), 0
+            # neither key may be null, as rows meet their slice's row by them
+            df = df.withColumn("_v", F.coalesce("mmsi", F.lit(-(1 << 62)))).withColumn("_slice", F.coalesce(F.floor(F.unix_micros("time") / (slice_s * 1e6)), F.lit(-(1 << 62))))
+            # a place for each of equal reports, the same in all steps
+            df = df.withColumn("_place", F.row_number().over(self.w))
+            self.order = [*self.order, "_place"]
+            self.w = Window.partitionBy(*self.keys).orderBy(*self.order)
+        self.df = df
+
+    def add(self, shifts: dict[str, tuple[Column, int]] | None = None, totals: dict[str, Column] | None = None, before: dict[str, Column] | None = None) -> None:
+        """Adds values of the report next (1) or previous (-1), totals over a vessel, and sums over the reports before."""
+        shifts, totals, before = shifts or {}, totals or {}, before or {}
+        whole, past = (self.w.rowsBetween(Window.unboundedPreceding, x) for x in (Window.unboundedFollowing, -1))
+        if not self.sliced:
+            values = {n: (F.lead if by > 0 else F.lag)(c).over(self.w) for n, (c, by) in shifts.items()}
+            values |= {n: F.sum(c).over(whole) for n, c in totals.items()} | {n: F.coalesce(F.sum(c).over(past), F.lit(0)) for n, c in before.items()}
+            self.df = self.df.withColumns(values)
+            return
+        self.df = written(self.df, f"{self.home}/{self.steps}")
+        self.steps += 1
+        order = F.struct(*self.order)
+        parts = {f"_e{n}": (F.min_by if by > 0 else F.max_by)(F.struct(c.alias("v")), order) for n, (c, by) in shifts.items()}
+        parts |= {f"_t{n}": F.sum(c) for n, c in totals.items()} | {f"_b{n}": F.sum(c) for n, c in before.items()}
+        per = self.df.groupBy(*self.keys).agg(*[c.alias(n) for n, c in parts.items()])
+        slices = Window.partitionBy(*self.vessel).orderBy("_slice")
+        all_, earlier = (slices.rowsBetween(Window.unboundedPreceding, x) for x in (Window.unboundedFollowing, -1))
+        per = per.select(
+            *self.keys, *[(F.lead if by > 0 else F.lag)(f"_e{n}").over(slices).alias(f"_e{n}") for n, (_, by) in shifts.items()],
+            *[F.sum(f"_t{n}").over(all_).alias(f"_t{n}") for n in totals], *[F.coalesce(F.sum(f"_b{n}").over(earlier), F.lit(0)).alias(f"_b{n}") for n in before],
+        )
+        values = {n: F.coalesce((F.lead if by > 0 else F.lag)(F.struct(c.alias("v"))).over(self.w), F.col(f"_e{n}"))["v"] for n, (c, by) in shifts.items()}
+        values |= {n: F.col(f"_t{n}") for n in totals} | {n: F.col(f"_b{n}") + F.coalesce(F.sum(c).over(past), F.lit(0)) for n, c in before.items()}
+        self.df = self.df.join(per, self.keys).withColumns(values).drop(*parts)
+
+    def put(self, **columns: Column) -> None:
+        self.df = self.df.withColumns(columns)
+
+    def step(self, stays: Column, *reasons: Column) -> None:
+        """Live rows get the reasons that aren't null, and stay in the chain or not; both are told before either changes."""
+        live = F.col("_live")
+        got = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
+        self.put(_reasons=F.when(live, F.concat("_reasons", got)).otherwise(F.col("_reasons")), _live=live & F.coalesce(stays, F.lit(False)))
+
+    def discards(self) -> DataFrame:
+        return self.df.select(*self.keep, F.explode("_reasons").alias("reason"))
+
+    def live(self, *columns: Column | str) -> DataFrame:
+        return self.df.where("_live").select(*self.keep, *columns)
 
 
 def _in_range() -> Column:
     return (F.abs("latitude") <= 90) & (F.abs("longitude") <= 180)
 
 
-def _reject(df: DataFrame, reason: Column | str, keep: list[str]) -> DataFrame:
-    return df.select(*keep, (F.lit(reason) if isinstance(reason, str) else reason).alias("reason"))
-
-
-def _clean(pings: DataFrame, v: _Vessels) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All reports with the vessel's count ``_n``; those in range with their count ``_m``; the rejected ones."""
-    keep = pings.columns
-    counted = pings.withColumn("_n", v.count())
-    reason = F.when(F.col("_n") == 1, STRANDED).when(~_in_range(), OUT_OF_RANGE)
-    rejected = _reject(counted.withColumn("_r", reason).where("_r is not null"), F.col("_r"), keep)
-    good = counted.where((F.col("_n") > 1) & _in_range()).withColumn("_m", v.count())
-    return counted, good, rejected
-
-
-def _pairs(good: DataFrame, v: _Vessels) -> DataFrame:
-    """Each report with the next as ``_next``, and whether pairs with the next and the previous are duplicates."""
-    cols = F.struct(*PING_COLUMNS[1:])
-    dup = (F.col("time") == F.col("_next.time")) | ((F.col("latitude") == F.col("_next.latitude")) & (F.col("longitude") == F.col("_next.longitude")))
-    out = good.withColumn("_next", F.lead(cols).over(v.w)).withColumn("_dup", dup)
-    return out.withColumn("_was_dup", F.lag("_dup").over(v.w))
-
-
-def _reasons(df: DataFrame, keep: list[str], *reasons: Column) -> DataFrame:
-    """A row for each reason that holds; reasons are null where they don't."""
-    return df.select(*keep, F.explode(F.array_compact(F.array(*reasons))).alias("reason"))
+def _cleaned(pings: DataFrame, ties: Sequence[str], slice_s: float | None) -> _Chain:
+    """Reports in range of vessels with more than one, their count ``_m``, the next one as ``_next``, and ``_dup``."""
+    chain = _Chain(pings, ties, slice_s)
+    one = F.lit(1).cast("long")
+    chain.add(totals={"_n": one})
+    chain.step((F.col("_n") > 1) & _in_range(), F.when(F.col("_n") == 1, STRANDED).when(~F.coalesce(_in_range(), F.lit(True)), OUT_OF_RANGE))
+    chain.add(totals={"_m": one}, shifts={"_next": (F.struct(*PING_COLUMNS[1:]), 1)})
+    chain.put(_dup=(F.col("time") == F.col("_next.time")) | ((F.col("latitude") == F.col("_next.latitude")) & (F.col("longitude") == F.col("_next.longitude"))))
+    return chain
 
 
-def point_to_point(pings: DataFrame, max_elapsed_s: float, ties: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+def point_to_point(pings: DataFrame, max_elapsed_s: float, ties: Sequence[str] = (), slice_s: float | None = None) -> tuple[DataFrame, DataFrame]:
     """Pairs of following reports (columns of the second end in 2) numbered from 0 for each vessel, and the discards.
 
     A pair with equal times or equal places is a duplicate; one more than ``max_elapsed_s`` apart is cut. Both ends of
-    such pairs are reported. A report that is alone, at first or once others are out of range, is stranded.
+    such pairs are reported. A report that is alone, at first or once others are out of range, is stranded. ``slice_s``
+    spreads a vessel over tasks, by slices of so many seconds; the result is the same, but the steps are run at once (see
+    ``hot_vessels``).
     """
-    v, keep = _Vessels(ties), pings.columns
-    _, good, rejected = _clean(pings, v)
-    pairs = _pairs(good, v)
-    pairs = pairs.withColumn("_late", ~F.col("_dup") & (geo.elapsed_s("time", "_next.time") > max_elapsed_s))
-    pairs = pairs.withColumn("_was_late", F.lag("_late").over(v.w))
-    discards = rejected.unionByName(
-        _reasons(
-            pairs, keep, F.when(F.col("_m") == 1, STRANDED), F.when(F.col("_dup"), DUPLICATE[0]), F.when(F.col("_was_dup"), DUPLICATE[1]), F.when(F.col("_late"), LATE[0]), F.when(F.col("_was_late"), LATE[1])
-        )
-    )
-    kept = pairs.where(F.col("_next").isNotNull() & ~F.col("_dup") & ~F.col("_late"))
-    kept = kept.withColumn("segidx", F.row_number().over(v.w).cast("long") - 1)
-    return kept.select(*keep, "segidx", *[F.col(f"_next.{c}").alias(f"{c}2") for c in PING_COLUMNS[1:]]), discards
+    chain = _cleaned(pings, ties, slice_s)
+    chain.put(_late=~F.col("_dup") & (geo.elapsed_s("time", "_next.time") > max_elapsed_s))
+    chain.add(shifts={"_was_dup": (F.col("_dup"), -1), "_was_late": (F.col("_late"), -1)})
+    chain.step(
+        F.col("_next").isNotNull() & ~F.col("_dup") & ~F.col("_late"),
+        F.when(F.col("_m") == 1, STRANDED), F.when(F.col("_dup"), DUPLICATE[0]), F.when(F.col("_was_dup"), DUPLICATE[1]), F.when(F.col("_late"), LATE[0]), F.when(F.col("_was_late"), LATE[1]),
+    )
+    discards = chain.discards()
+    chain.add(before={"segidx": F.lit(1).cast("long")})
+    return chain.live("segidx", *[F.col(f"_next.{c}").alias(f"{c}2") for c in PING_COLUMNS[1:]]), discards
+
+
+def hot_vessels(pings: DataFrame, run: Callable[[DataFrame, float | None], Sequence[DataFrame]], slice_s: float, share: int = 1 << 10) -> list[DataFrame]:
+    """``run(reports, slice_s)`` with slices for vessels with more than 1 / ``share`` of all reports, and without (None) for
+    the others; the union of both, result by result."""
+    counts = pings.groupBy("mmsi").agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = counts.where(F.col("_n") > total / share).select(F.col("mmsi").alias("_hot"))  # share vessels at most
+    both = [run(pings.join(F.broadcast(hot), F.col("mmsi").eqNullSafe(F.col("_hot")), how), s) for how, s in (("left_anti", None), ("left_semi", slice_s))]
+    return [a.unionByName(b) for a, b in zip(*both, strict=True)]
 
 
 def build_segments(pairs: DataFrame, epsg: int = 4326, min_kts: float = MIN_KTS, max_kts: float = MAX_KTS, export: bool = False) -> DataFrame:
@@ -104,47 +154,53 @@ def _exported(df: DataFrame, one: Sequence[str], six: Sequence[str]) -> DataFram
     return df.withColumns({c: F.round(c, 1) for c in one} | {c: F.round(c, 6) for c in six} | {"elp_sec": F.col("elp_sec").cast("long")})
 
 
-def threshold_points(pings: DataFrame, separation_s: float, max_kph: float, ties: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+def threshold_points(pings: DataFrame, separation_s: float, max_kph: float, ties: Sequence[str] = (), slice_s: float | None = None, shifted_ends: bool = False) -> tuple[DataFrame, DataFrame]:
     """Points of tracks with ``segidx``, and the discards.
 
     Reports are cleaned of duplicates (both ends reported; a run's last report stays) and of middle points that are too
     fast to and from; then a track ends where the next report is slower than 0.5 knots away or later than
     ``separation_s``, and points between two such stops are stranded. Vessels with fewer than three points left at any
     step don't have enough.
+
+    With ``shifted_ends``, the older rule for fast points at either end holds: the points kept are the good middle ones
+    and the neighbours of the first and last of these. So a fast second point is reported and yet becomes the first, and
+    the true first is lost without a report; the same at the end. A vessel without a good middle point doesn't have
+    enough. ``slice_s`` as in ``point_to_point``.
     """
-    v, keep = _Vessels(ties), pings.columns
-    _, good, rejected = _clean(pings, v)
-    pairs = _pairs(good, v)
-    enough = F.col("_m") >= 3
-    dups = _reasons(pairs, keep, F.when(~enough, FEW), F.when(enough & F.col("_dup"), DUPLICATE[0]), F.when(enough & F.col("_was_dup"), DUPLICATE[1]))
+    chain = _cleaned(pings, ties, slice_s)
+    one = F.lit(1).cast("long")
     # the first of each good pair, and the second of the last
-    first = F.col("_next").isNotNull() & ~F.col("_dup")
-    step_b = pairs.where(enough).withColumn("_first", first).withColumn("_was_first", F.lag("_first").over(v.w))
-    after = F.coalesce(F.max(F.col("_first").cast("int")).over(v.w.rowsBetween(0, Window.unboundedFollowing)), F.lit(0))
-    step_b = step_b.withColumn("_end", F.coalesce("_was_first", F.lit(False)) & (after == 0)).where(F.col("_first") | F.col("_end"))
-    step_b = step_b.withColumn("_k", v.count())
-    few_b = _reject(step_b.where("_k < 3"), FEW, keep)
+    chain.put(_first=F.col("_next").isNotNull() & ~F.coalesce("_dup", F.lit(False)))
+    first = F.col("_first").cast("long")
+    chain.add(shifts={"_was_dup": (F.col("_dup"), -1), "_was_first": (F.col("_first"), -1)}, totals={"_firsts": first}, before={"_seen": first})
+    enough = F.col("_m") >= 3
+    end = F.coalesce("_was_first", F.lit(False)) & ~F.col("_first") & (F.col("_seen") == F.col("_firsts"))
+    chain.step(enough & (F.col("_first") | end), F.when(~enough, FEW), F.when(enough & F.col("_dup"), DUPLICATE[0]), F.when(enough & F.col("_was_dup"), DUPLICATE[1]))
     place = F.struct("time", "longitude", "latitude")
-    step_c = step_b.where("_k >= 3").withColumn("_a", F.lag(place).over(v.w)).withColumn("_b", F.lead(place).over(v.w))
+    chain.add(totals={"_k": one}, shifts={"_a": (place, -1), "_b": (place, 1)})
     limit = max_kph / 3600
     speed = lambda a, b: geo.km_per_s(geo.haversine_km(f"{a}longitude", f"{a}latitude", f"{b}longitude", f"{b}latitude"), geo.elapsed_s(f"{a}time", f"{b}time"))
-    step_c = step_c.withColumn("_fast", F.coalesce((speed("_a.", "") > limit) & (speed("", "_b.") > limit), F.lit(False)))
-    fast = _reject(step_c.where("_fast"), FAST, keep)
-    step_d = step_c.where("not _fast").withColumn("_left", v.count())
-    few_c = _reject(step_d.where("_left < 3"), FEW, keep)
-    step_d = step_d.where("_left >= 3").withColumn("_b", F.lead(place).over(v.w))
+    chain.put(_fast=F.coalesce((speed("_a.", "") > limit) & (speed("", "_b.") > limit), F.lit(False)))
+    enough, stays = F.col("_k") >= 3, ~F.col("_fast")
+    if shifted_ends:
+        chain.put(_good=F.col("_a").isNotNull() & F.col("_b").isNotNull() & ~F.col("_fast"))
+        good = F.col("_good").cast("long")
+        chain.add(shifts={"_next_good": (F.col("_good"), 1), "_was_good": (F.col("_good"), -1)}, totals={"_goods": good}, before={"_had": good})
+        head = F.coalesce("_next_good", F.lit(False)) & (F.col("_had") == 0)
+        tail = F.coalesce("_was_good", F.lit(False)) & (F.col("_had") == F.col("_goods"))
+        stays = F.when(F.col("_goods") == 0, stays).otherwise(F.col("_good") | head | tail)
+    chain.step(enough & stays, F.when(~enough, FEW), F.when(enough & F.col("_fast"), FAST))
+    chain.add(totals={"_left": one}, shifts={"_b": (place, 1)})
     gap = geo.elapsed_s("time", "_b.time")
     slow = geo.speed_kts(geo.haversine_m("longitude", "latitude", "_b.longitude", "_b.latitude"), gap) < MIN_KTS
-    step_e = step_d.withColumn("_stop", F.coalesce(slow | (gap > separation_s), F.lit(False)))
-    step_e = step_e.withColumn("_prev", F.coalesce(F.lag("_stop").over(v.w), F.lit(True))).withColumn("_last", F.col("_b").isNull())
-    step_e = step_e.withColumn("_stranded", F.col("_prev") & (F.col("_stop") | F.col("_last")))
-    closed = F.sum((F.col("_stop") & ~F.col("_prev")).cast("long")).over(v.w.rowsBetween(Window.unboundedPreceding, -1))
-    step_e = step_e.withColumn("segidx", F.coalesce(closed, F.lit(0)))
-    stranded = _reject(step_e.where("_stranded"), STOPPED, keep)
-    discards = rejected
-    for part in (dups, few_b, fast, few_c, stranded):
-        discards = discards.unionByName(part)
-    return step_e.where("not _stranded").select(*keep, "segidx"), discards
+    chain.put(_stop=F.coalesce(slow | (gap > separation_s), F.lit(False)))
+    chain.add(shifts={"_was_stop": (F.col("_stop"), -1)})
+    chain.put(_prev=F.coalesce("_was_stop", F.lit(True)))
+    chain.add(before={"segidx": (F.col("_stop") & ~F.col("_prev")).cast("long")})
+    enough = F.col("_left") >= 3
+    stranded = F.col("_prev") & (F.col("_stop") | F.col("_b").isNull())
+    chain.step(enough & ~stranded, F.when(~enough, FEW), F.when(enough & stranded, STOPPED))
+    return chain.live("segidx"), chain.discards()
 
 
 def build_tracks(points: DataFrame, epsg: int = 4326, ties: Sequence[str] = (), export: bool = False) -> DataFrame:

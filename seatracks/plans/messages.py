@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import decode as D
 from ..operators import encode as E
 from ..operators import normalize as N
+from ..shared import shared_dir
 from ..sources.readers import EE_COLUMNS, read_nm4, receiver_dates
 from ..sources.writers import format_messages
 from ..streaming.nm4 import run_available, stream_assembled, stream_histogram, stream_nm4, stream_packets, stream_parts, stream_positions
@@ -21,16 +19,6 @@ def _date() -> Column:
 
 
 
-def _shared(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared folder; a temporary one only on one machine that names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
-            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{base.rstrip('/')}/seatracks-{uuid.uuid4().hex}"
-
-
 def _values() -> dict[str, Column]:
     near = lambda c, k: F.round(F.col(c) * k)
     return {"msgtype": F.col("message_id"), "mmsi": F.col("mmsi"), "status": F.coalesce("navigational_status", F.lit(15)), "speed": near("sog", 10), "course": near("cog", 10), "heading": F.col("heading"), "lon": near("longitude", 600000), "lat": near("latitude", 600000), "second": F.lit(30)}
@@ -148,7 +136,7 @@ def q_receiver_log_dates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _log_folder(spark: SparkSession, d: str, which: str = "true") -> str:
-    home = f"{_shared(spark)}/nm4"
+    home = f"{shared_dir(spark)}/nm4"
     lines(spark, d).where(which).orderBy("line_no").select(F.concat_ws(" ", "date", "sentence").alias("value")).write.text(home)
     return home
 

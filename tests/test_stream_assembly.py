@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seatracks.operators import decode as D
 from seatracks.plans import messages as M
+from seatracks.shared import shared_dir
 from seatracks.streaming import nm4 as ST
 
 from .test_operators import signed
@@ -76,7 +77,7 @@ def test_broken_messages_and_sources(spark, folder, tmp_path):
 
 def test_counts_equal_the_batch_with_one_sentence_a_file(spark, monkeypatch):
     def scattered(spark, d, which="true"):
-        home = f"{M._shared(spark)}/nm4"
+        home = f"{shared_dir(spark)}/nm4"
         some = M.lines(spark, d).where("line_no < 900").where(which).orderBy("line_no")
         n = some.count()
         some.repartitionByRange(n, "line_no").select(F.concat_ws(" ", "date", "sentence").alias("value")).write.text(home)
