@@ -91,6 +91,18 @@ def id_text(df: DataFrame, *more: str) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The given names, or longer ones that no column of the table has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def load(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -462,45 +462,83 @@ def _timed(delays: list[np.ndarray], colours: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(each)]), pa.int32()), rows, type=_TIMED)
 
 
+#: What reading a file that isn't whole can raise.
+BROKEN = (ValueError, IndexError, KeyError, TypeError, struct.error)
+_FEATURE_NAMES = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "n_frames", "duration_cs", "histogram", "frames"]
+_FEATURE_TYPES = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), _TIMED]
+
+
+def _features(gifs: list[bytes]) -> list[pa.Array]:
+    """The columns of some media that are read side by side."""
+    n = len(gifs)
+    digests, tails = [hashlib.sha256() for _ in range(n)], [b""] * n
+    delays: list[list[int]] = [[] for _ in range(n)]
+    bars: list[list[np.ndarray]] = [[] for _ in range(n)]
+    for i, found, canvases in shown(gifs):
+        part = samples(canvases)
+        digests[i].update(part)
+        tails[i] = part[-32:]
+        delays[i] += [f.delay for f in found]
+        bars[i].append(histograms(canvases))
+    colours = [np.concatenate(b) if b else np.zeros((0, 64), np.int64) for b in bars]
+    return [
+        pa.array([FRAME * len(d) for d in delays], pa.int64()), pa.array([d.hexdigest() for d in digests]), pa.array(list(map(zlib.crc32, tails)), pa.int64()), pa.array(list(map(len, gifs)), pa.int64()),
+        pa.array([hashlib.sha256(g).hexdigest() for g in gifs]), pa.array(list(map(len, delays)), pa.int64()), pa.array(list(map(sum, delays)), pa.int64()),
+        pa.array([c.sum(axis=0) for c in colours], pa.list_(pa.int64())), _timed([np.array(d, np.int64) for d in delays], colours),
+    ]
+
+
+def _apart(gifs: list[bytes | None], lo: int, hi: int) -> Iterator[tuple[int, int, list[pa.Array]]]:
+    """Ranges of media with their columns. If one of a range is null or can't be read, the range is halved; alone, it has
+    nulls, but for its size and digest if it is there."""
+    cols = None
+    if None not in gifs[lo:hi]:
+        try:
+            cols = _features(gifs[lo:hi])
+        except BROKEN:
+            pass
+    if cols is not None:
+        yield lo, hi, cols
+    elif hi - lo > 1:
+        mid = (lo + hi) // 2
+        yield from _apart(gifs, lo, mid)
+        yield from _apart(gifs, mid, hi)
+    else:
+        known = {} if gifs[lo] is None else {"media_bytes": len(gifs[lo]), "media_sha256": hashlib.sha256(gifs[lo]).hexdigest()}
+        yield lo, hi, [pa.array([known.get(name)], kind) for name, kind in zip(_FEATURE_NAMES, _FEATURE_TYPES, strict=True)]
+
+
 def media_features(media: DataFrame) -> DataFrame:
     """Reads the media back: digests of the payload, the number and time of frames, a histogram of 64 colours over all
-    frames, and the timed frames with a histogram each. Equal media, equal values; repeated rows: a row each; an empty
-    table gives none."""
+    frames, and the timed frames with a histogram each. Equal media, equal values; repeated rows: a row each; a null
+    medium: nulls; one that can't be read: its size and digest, else nulls; an empty table gives none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             gifs = batch.column(2).to_pylist()
-            for lo, hi in common.by_bytes(gifs):
-                n = hi - lo
-                digests, tails = [hashlib.sha256() for _ in range(n)], [b""] * n
-                delays: list[list[int]] = [[] for _ in range(n)]
-                bars: list[list[np.ndarray]] = [[] for _ in range(n)]
-                for i, found, canvases in shown(gifs[lo:hi]):
-                    part = samples(canvases)
-                    digests[i].update(part)
-                    tails[i] = part[-32:]
-                    delays[i] += [f.delay for f in found]
-                    bars[i].append(histograms(canvases))
-                colours = [np.concatenate(b) if b else np.zeros((0, 64), np.int64) for b in bars]
-                cols = [
-                    pa.array([FRAME * len(d) for d in delays], pa.int64()), pa.array([d.hexdigest() for d in digests]), pa.array(list(map(zlib.crc32, tails)), pa.int64()), pa.array(list(map(len, gifs[lo:hi])), pa.int64()),
-                    pa.array([hashlib.sha256(g).hexdigest() for g in gifs[lo:hi]]), pa.array(list(map(len, delays)), pa.int64()), pa.array(list(map(sum, delays)), pa.int64()),
-                    pa.array([c.sum(axis=0) for c in colours], pa.list_(pa.int64())), _timed([np.array(d, np.int64) for d in delays], colours),
-                ]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), *cols], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "n_frames", "duration_cs", "histogram", "frames"])
+            for first, last in common.by_bytes([g or b"" for g in gifs]):
+                for lo, hi, cols in _apart(gifs, first, last):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), *cols], ["doc_id", "n_bytes", *_FEATURE_NAMES])
 
     return media.mapInArrow(common.tidy(run), FEATURES)
 
 
 def timed_frames(media: DataFrame) -> DataFrame:
     """A row for each frame of each medium: doc_id, frame, start_cs, delay_cs, width, height and the RGBA canvas.
-    Repeated rows: their frames each; an empty table gives none."""
+    Repeated rows: their frames each; a null medium: none; one that can't be read to its end: those before; an empty table
+    gives none."""
+
+    def readable(gif: bytes | None) -> Iterator[tuple[np.ndarray, int]]:
+        try:
+            yield from frames(gif) if gif is not None else ()
+        except BROKEN:
+            return
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, gif in zip(batch.column(0), batch.column(2), strict=True):
                 start = 0
-                for k, (canvas, delay) in enumerate(frames(gif.as_py())):
+                for k, (canvas, delay) in enumerate(readable(gif.as_py())):
                     yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((doc.as_py(), pa.int64()), (k, pa.int32()), (start, pa.int64()), (delay, pa.int32()), (canvas.shape[1], pa.int32()), (canvas.shape[0], pa.int32()), (canvas.tobytes(), pa.binary()))], ["doc_id", "frame", "start_cs", "delay_cs", "width", "height", "rgba"])
                     start += delay
 

@@ -265,7 +265,8 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents with their columns, without all but the first of each component.
 
     Documents without text or words and rows without doc_id stay; repeated rows of a kept document stay, too. An empty
-    table gives none.
+    table gives none. Other columns may have any names.
     """
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(_few(common.written(gone, common.shared_dir(docs.sparkSession))), F.col("doc_id") == F.col("_gone"), "left_anti")
+    (name,) = common.free(docs, "_gone")
+    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(_few(common.written(gone, common.shared_dir(docs.sparkSession))), F.col("doc_id") == F.col(name), "left_anti")

@@ -307,11 +307,14 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
 def deduped_documents(docs: DataFrame) -> DataFrame:
     """The same rows and columns; a text that loses words becomes its kept words joined by one space, and ``n_chars``
-    (if there) is counted anew; other texts stay as they are."""
+    (if there) is counted anew; other texts stay as they are. Null texts and rows without doc_id stay; repeated rows lose
+    the same words; an empty table gives none. Other columns may have any names."""
     at = docs.columns.index("text")
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
     width = len(docs.columns)
-    joined = docs.withColumn("_k", F.xxhash64(F.col("text").cast("string"))).join(repeats(docs), (F.col("doc_id").cast("long") == F.col("_doc")) & (F.col("_k") == F.col("_key")), "left").drop("_k", "_doc", "_key")
+    k, doc, key, places = common.free(docs, "_k", "_doc", "_key", "_places")
+    found = repeats(docs).toDF(doc, key, places)
+    joined = docs.withColumn(k, F.xxhash64(F.col("text").cast("string"))).join(found, (F.col("doc_id").cast("long") == F.col(doc)) & (F.col(k) == F.col(key)), "left").drop(k, doc, key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
