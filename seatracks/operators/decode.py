@@ -8,9 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .carry import BLOCK, last_known
 from .layouts import LAYOUTS, LEGENDS, LENGTHS, SCALED, Field
 
 LEAST_BITS = 168
@@ -48,16 +49,16 @@ def verify_sentences(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return out.where("reject_reason is null").drop("reject_reason"), out.where("reject_reason is not null")
 
 
-def assemble(ok: DataFrame) -> DataFrame:
+def assemble(ok: DataFrame, block: int = BLOCK) -> DataFrame:
     """path, line_no (of the last part), raw, payload, pad and date of each whole message.
 
     Parts of a channel belong to the first part before them; a message is whole if its parts are exactly 1 to the
-    number they state. Its date is its first part's.
+    number they state. Its date is its first part's. A file is taken in blocks of so many lines, over whose borders the
+    first part's place is carried.
     """
     cols = ("path", "line_no", "raw", "payload", "pad", "date")
     single = ok.where("fragments <= 1").select("path", "line_no", F.col("sentence").alias("raw"), "payload", "pad", "date")
-    w = Window.partitionBy("path", "channel").orderBy("line_no")
-    parts = ok.where("fragments > 1").withColumn("_asm", F.sum((F.col("fragment") == 1).cast("int")).over(w)).where("_asm > 0")
+    parts = last_known(ok.where("fragments > 1"), ["path", "channel"], "line_no", F.when(F.col("fragment") == 1, F.col("line_no")), "_asm", block).where("_asm is not null")
     part = F.struct("line_no", "fragment", "payload", "pad", "sentence", "date")
     whole = parts.groupBy("path", "channel", "_asm").agg(F.array_sort(F.collect_list(part)).alias("_p"), F.min_by("fragments", "line_no").alias("_n"))
     whole = whole.withColumn("_p", F.slice("_p", 1, F.col("_n"))).where(F.transform("_p", lambda p: p["fragment"]) == F.sequence(F.lit(1), F.col("_n")))

@@ -236,6 +236,17 @@ def grid_length(lines: DataFrame, grid: Grid | Polygons, key: Sequence[str], ver
     return _parts(lines, grid, vertices, key).select("_line.*", (F.col("_len") / 1000).alias("grd_len_km"), "grid_id")
 
 
+def grid_track_length(chunks: DataFrame, grid: Grid | Polygons, key: Sequence[str] = ("mmsi", "track_id"), vertices: str = "vertices", lines_epsg: int | None = None, on_mismatch: str = "error") -> DataFrame:
+    """Tracks in pieces (see ``track_chunks``) over cells: key, grid_id, planar length / 1000 there, and the number of parts.
+
+    Edges are cut as they are and only numbers are gathered, so a track may be of any length.
+    """
+    check_srs(grid.epsg if lines_epsg is None else lines_epsg, grid, on_mismatch)
+    cut = _clipped(_edges(chunks, vertices), grid)
+    keys = [F.col(f"_line.{k}").alias(k) for k in key]
+    return cut.groupBy(*keys, "grid_id").agg(F.sum(_length()).alias("grd_len_km"), F.count(F.lit(1)).alias("n_parts"))
+
+
 def _middle() -> Column:
     return (F.col("_t0") + F.col("_t1")) / 2
 

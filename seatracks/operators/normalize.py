@@ -112,28 +112,43 @@ def normalize_dsv(df: DataFrame, source: str, datafile_date: str, station: str |
     ), rejects
 
 
-def split_ee(df: DataFrame) -> dict[str, DataFrame]:
-    """A table for each message group of the provider's rows: identity, shared and own columns, and the point.
+def ee_rows(df: DataFrame) -> DataFrame:
+    """The provider's rows in one pass: ``msg_group``, identity (unq_id_prefix, lineno, errorflag), all columns of any group
+    (null where a group lacks them), the point as ``WKT`` and for the other types the packed text.
 
-    Coordinates that can't be read are null, with an error flag. Cached or re-readable input is scanned once a group.
+    Coordinates that can't be read are null, with an error flag.
     """
     date = F.regexp_replace(F.regexp_extract("path", r"(\d{4}-?\d{2}-?\d{2})[^/]*$", 1), "-", "")
     t = F.col("message_id").try_cast("int")
     lon, lat = (fix_exponent(F.col(c)).try_cast("double") for c in ("longitude", "latitude"))
-    ready = df.withColumn("_t", t).withColumn("orig_date", F.col("time")).withColumn("unq_id_prefix", F.concat(F.lit("SE"), date)).withColumn("lineno", F.col("line_no"))
+    group = reduce(lambda a, g: a.when(t.isin(*GROUPS[g][0]), g), GROUPS, F.when(F.lit(False), F.lit(""))).otherwise("other")
+    ready = df.withColumns({"_t": t, "msg_group": group, "orig_date": F.col("time"), "unq_id_prefix": F.concat(F.lit("SE"), date), "lineno": F.col("line_no")})
     ready = ready.withColumn("errorflag", ((F.col("longitude").isNotNull() & lon.isNull()) | (F.col("latitude").isNotNull() & lat.isNull())).cast("int"))
     ready = ready.withColumns({"longitude": lon, "latitude": lat, "mmsi": F.col("mmsi").try_cast("long"), "time": parse_ais_time(F.col("time"), "_")})
-    out, known = {}, []
-    for name, (types, own) in GROUPS.items():
-        cols = [*SHARED, *own.split()]
-        table = ready.where(F.col("_t").isin(*types)).select("unq_id_prefix", "lineno", "errorflag", *[F.col(f"`{c}`") for c in cols], *([ewkt(F.col("longitude"), F.col("latitude")).alias("WKT")] if "longitude" in cols else []))
-        for c in ("rot", "sog", "cog", "heading"):
-            if c in cols:
-                table = table.withColumn(c, F.col(c).try_cast("double"))
-        out[name], known = table, [*known, *types]
-    rest = ready.where(F.coalesce(~F.col("_t").isin(*known), F.lit(True)))
-    out["other"] = rest.select("unq_id_prefix", "lineno", "errorflag", "mmsi", "time", "message_id", pack_other(F.col("_t"), rest.columns).alias("ais_msg_eecsv"))
-    return out
+    other, columns = F.col("msg_group") == "other", []
+    for name in dict.fromkeys([*SHARED, *(c for _, own in GROUPS.values() for c in own.split())]):
+        has = [g for g, (_, own) in GROUPS.items() if name in SHARED or name in own.split()]
+        c = F.col(f"`{name}`").try_cast("double") if name in ("rot", "sog", "cog", "heading") else F.col(f"`{name}`")
+        kept = F.col("msg_group").isin(*has) | other if name in ("mmsi", "time", "message_id") else F.col("msg_group").isin(*has)
+        columns.append(F.when(kept, c).alias(name))
+    placed = [g for g, (_, own) in GROUPS.items() if "longitude" in own.split()]
+    point = F.when(F.col("msg_group").isin(*placed), ewkt(F.col("longitude"), F.col("latitude")))
+    return ready.select("msg_group", "unq_id_prefix", "lineno", "errorflag", *columns, point.alias("WKT"), F.when(other, pack_other(F.col("_t"), ready.drop("msg_group").columns)).alias("ais_msg_eecsv"))
+
+
+def group_columns(group: str) -> list[str]:
+    """The columns of a group's base table."""
+    if group == "other":
+        return ["unq_id_prefix", "lineno", "errorflag", "mmsi", "time", "message_id", "ais_msg_eecsv"]
+    own = GROUPS[group][1].split()
+    return ["unq_id_prefix", "lineno", "errorflag", *SHARED, *own, *(["WKT"] if "longitude" in own else [])]
+
+
+def split_ee(df: DataFrame) -> dict[str, DataFrame]:
+    """A table for each message group of the provider's rows, as views of ``ee_rows``: identity, shared and own columns, and
+    the point. To write all of them in one pass, give ``ee_rows`` to the writer."""
+    rows = ee_rows(df)
+    return {g: rows.where(F.col("msg_group") == g).select(*[F.col(f"`{c}`") for c in group_columns(g)]) for g in (*GROUPS, "other")}
 
 
 def pack_other(t: Column, columns: list[str]) -> Column:

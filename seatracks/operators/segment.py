@@ -204,20 +204,46 @@ def threshold_points(pings: DataFrame, separation_s: float, max_kph: float, ties
 
 
 def build_tracks(points: DataFrame, epsg: int = 4326, ties: Sequence[str] = (), export: bool = False) -> DataFrame:
-    """A line for each vessel and segidx, with counts, times, speeds and length. NaN speeds are left out of the means."""
-    order = [*VESSEL_ORDER, *ties]
-    w = Window.partitionBy("mmsi", "segidx").orderBy(*order)
-    x, y = geo.project_point("longitude", "latitude", epsg)
+    """A row for each vessel and segidx (as track_id), with counts, times, speeds and length. NaN speeds are left out of the
+    means. No row holds a track's points: geometry is in ``track_chunks``, and ``track_lines`` joins it for export."""
+    w = Window.partitionBy("mmsi", "segidx").orderBy(*VESSEL_ORDER, *ties)
     sog = F.nullif(F.col("sog"), F.lit(float("nan")))
     steps = points.withColumn("_step", geo.step_m(F.lag("longitude").over(w), F.lag("latitude").over(w), "longitude", "latitude", epsg))
-    vertex = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], x.alias("x"), y.alias("y"))
-    out = steps.groupBy("mmsi", "segidx").agg(
-        F.count(F.lit(1)).cast("int").alias("seg_pts"), F.min("time").alias("st_date"), F.max("time").alias("en_date"), F.avg(sog).alias("avg_sog"), F.median(sog).alias("med_sog"), F.coalesce(F.sum("_step"), F.lit(0.0)).alias("_m"), F.array_sort(F.collect_list(vertex)).alias("_v")
-    )
-    out = out.withColumn("elp_sec", geo.elapsed_s("st_date", "en_date")).withColumn("vertices", F.transform("_v", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))))
-    out = out.select(F.col("segidx").alias("track_id"), "mmsi", "elp_sec", "seg_pts", "st_date", "en_date", "avg_sog", "med_sog", geo.speed_kts("_m", "elp_sec").alias("dstspdkts"), (F.col("_m") / 1000).alias("seg_len_km"), "vertices", geo.line_wkt("vertices").alias("wkt"))
+    out = steps.groupBy("mmsi", "segidx").agg(F.count(F.lit(1)).cast("int").alias("seg_pts"), F.min("time").alias("st_date"), F.max("time").alias("en_date"), F.avg(sog).alias("avg_sog"), F.median(sog).alias("med_sog"), F.coalesce(F.sum("_step"), F.lit(0.0)).alias("_m"))
+    out = out.withColumn("elp_sec", geo.elapsed_s("st_date", "en_date"))
+    out = out.select(F.col("segidx").alias("track_id"), "mmsi", "elp_sec", "seg_pts", "st_date", "en_date", "avg_sog", "med_sog", geo.speed_kts("_m", "elp_sec").alias("dstspdkts"), (F.col("_m") / 1000).alias("seg_len_km"))
     return _exported(out, ("avg_sog", "med_sog", "dstspdkts"), ("seg_len_km",)) if export else out
 
 
+#: Edges of a chunk of a track.
+CHUNK = 4096
+
+
+def track_chunks(points: DataFrame, epsg: int = 4326, ties: Sequence[str] = (), size: int = CHUNK) -> DataFrame:
+    """mmsi, track_id, chunk (from 0) and ``vertices`` (x, y): a track in pieces of ``size`` edges.
+
+    A piece ends in the vertex that the next one begins with, so the pieces' edges are the track's, each once. A track
+    of one point is a piece of one vertex.
+    """
+    w = Window.partitionBy("mmsi", "segidx").orderBy(*VESSEL_ORDER, *ties)
+    x, y = geo.project_point("longitude", "latitude", epsg)
+    placed = points.select("mmsi", "segidx", (F.row_number().over(w) - 1).alias("_i"), x.alias("x"), y.alias("y"))
+    own = F.floor(F.col("_i") / size).cast("int")
+    placed = placed.withColumn("_last", F.lead("_i").over(Window.partitionBy("mmsi", "segidx").orderBy("_i")).isNull())
+    # a piece's first vertex is also the last of the one before; a track's last vertex begins none
+    both = F.when((F.col("_i") % size == 0) & (F.col("_i") > 0), F.when(F.col("_last"), F.array(own - 1)).otherwise(F.array(own - 1, own))).otherwise(F.array(own))
+    pieces = placed.withColumn("chunk", F.explode(both)).groupBy("mmsi", F.col("segidx").alias("track_id"), "chunk")
+    return pieces.agg(F.sort_array(F.collect_list(F.struct("_i", "x", "y"))).alias("_v")).select("mmsi", "track_id", "chunk", F.transform("_v", lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y"))).alias("vertices"))
+
+
+def track_lines(tracks: DataFrame, chunks: DataFrame) -> DataFrame:
+    """The tracks with their line's text, for export: here a row does hold all of a track's points, as the format asks."""
+    text = F.array_join(F.transform("vertices", lambda v: F.concat_ws(" ", v["x"].cast("string"), v["y"].cast("string"))), ", ")
+    rest = F.when(F.col("chunk") > 0, F.expr("slice(vertices, 2, size(vertices))")).otherwise(F.col("vertices"))
+    lines = chunks.withColumn("vertices", rest).select("mmsi", "track_id", F.struct("chunk", text.alias("t")).alias("_c"))
+    lines = lines.groupBy("mmsi", "track_id").agg(F.concat(F.lit("LINESTRING ("), F.array_join(F.sort_array(F.collect_list("_c"))["t"], ", "), F.lit(")")).alias("wkt"))
+    return tracks.join(lines, ["mmsi", "track_id"])
+
+
 def discard_summary(discards: DataFrame) -> DataFrame:
     return discards.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..operators import decode as D
 from ..operators import encode as E
 from ..operators import normalize as N
+from ..operators.layouts import NAV_STATUS, SHIP_TYPES
 from ..shared import shared_dir
 from ..sources.readers import EE_COLUMNS, read_nm4, receiver_dates
-from ..sources.writers import format_messages
+from ..sources.writers import format_messages, read_base_rows, write_base_rows
 from ..streaming.nm4 import run_available, stream_assembled, stream_histogram, stream_nm4, stream_packets, stream_parts, stream_positions
 from .pings import PINGS, pings
 
@@ -61,8 +62,17 @@ def q_nm4_voyages(spark: SparkSession, d: str) -> DataFrame:
     return D.decode(_packets(spark, d), types=(5,))["type5"].select("line_no", "date", "mmsi", "imo_id", "callsign", "shipname", "shiptype", "draught", "destination")
 
 
+#: Scaled fields that nm4_scaled compares, by layout of the log.
+SCALED_FIELDS = {"cnb": "status turn speed accuracy lon lat course heading second", "type18": "speed accuracy lon lat course heading second", "type5": "shiptype epfd draught callsign destination"}
+
+
 def q_nm4_scaled(spark: SparkSession, d: str) -> DataFrame:
-    return D.decode(_packets(spark, d), types=(1,), scaled=True)["cnb"].select("line_no", "status", "speed", "course", "heading")
+    """All layouts of the log in scaled form."""
+    tables, out = D.decode(_packets(spark, d), types=(1, 5, 18), scaled=True), None
+    for layout, names in SCALED_FIELDS.items():
+        part = tables[layout].select(F.lit(layout).alias("layout"), "line_no", F.concat_ws("|", *names.split()).alias("scaled"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_nm4_dsv(spark: SparkSession, d: str) -> DataFrame:
@@ -110,20 +120,29 @@ def _ee(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_ee_split_counts(spark: SparkSession, d: str) -> DataFrame:
-    out = None
-    for name, t in N.split_ee(_ee(spark, d)).items():
-        part = t.select(F.lit(name).alias("msg_group"), "errorflag", F.col("WKT").isNotNull().alias("placed") if "WKT" in t.columns else F.lit(False).alias("placed"))
-        out = part if out is None else out.unionByName(part)
-    return out.groupBy("msg_group").agg(F.count(F.lit(1)).alias("n"), F.sum("errorflag").alias("errors"), F.sum(F.col("placed").cast("long")).alias("placed"))
+    rows = N.ee_rows(_ee(spark, d))
+    return rows.groupBy("msg_group").agg(F.count(F.lit(1)).alias("n"), F.sum("errorflag").alias("errors"), F.sum(F.col("WKT").isNotNull().cast("long")).alias("placed"))
 
 
 def q_packed_other(spark: SparkSession, d: str) -> DataFrame:
-    return N.split_ee(_ee(spark, d))["other"].where(F.col("message_id").isin("6", "8", "10")).select("unq_id_prefix", "lineno", "message_id", "ais_msg_eecsv")
+    return N.split_ee(_ee(spark, d))["other"].select("unq_id_prefix", "lineno", "message_id", "ais_msg_eecsv")
 
 
-def q_packed_other_whole(spark: SparkSession, d: str) -> DataFrame:
-    """All types of the group."""
-    return N.split_ee(_ee(spark, d))["other"].select("unq_id_prefix", "lineno", "message_id", "ais_msg_eecsv")
+#: What base_tables reads: a box of degrees, and the last month that there is.
+BOX = (-62.8, -62.5, 44.1, 44.3)
+
+
+def q_base_tables(spark: SparkSession, d: str) -> DataFrame:
+    """All groups written as base tables; of each, the last month's rows are read back, those with a place in a box."""
+    home = f"{shared_dir(spark)}/base"
+    write_base_rows(N.ee_rows(_ee(spark, d)), home)
+    month = pings(spark, d).agg(F.date_format(F.max("time"), "yyyy-MM")).first()[0]
+    out = None
+    for group in (*N.GROUPS, "other"):
+        t = read_base_rows(spark, home, group, month, month, BOX if "longitude" in N.group_columns(group) else None)
+        part = t.select(F.lit(group).alias("msg_group"), "lineno", "mmsi", "time", "message_id", "errorflag")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_receiver_log_dates(spark: SparkSession, d: str) -> DataFrame:
@@ -170,26 +189,46 @@ def q_stream_rejects(spark: SparkSession, d: str) -> DataFrame:
 
 
 _GOOD = "event_id * 3 % 150 NOT IN (21, 51)"
-_NAV = "['Under way using engine','At anchor','Not under command','Restricted manoeuverability','Constrained by her draught','Moored','Aground','Engaged in fishing']"
+_NAV = "['" + "','".join(NAV_STATUS) + "']"
+_STATUS = f"CASE WHEN navigational_status = 0 THEN 'n/a' WHEN navigational_status IS NULL THEN 'Not defined' ELSE {_NAV}[navigational_status + 1] END"
+_SHIPS = "['" + "','".join(SHIP_TYPES) + "']"
 _WITH = f"WITH pings AS ({PINGS}) "
+
+def _bars(types: str, *fields: str) -> str:
+    """A CASE arm of the packed text: fields in order, '' for those the rows don't have."""
+    return f"WHEN k IN ({types}) THEN " + " || '|' || ".join(fields)
+
+
+_LON, _LAT, _SOG, _DEST, _DATA = "lon", "latitude::VARCHAR", "sog::VARCHAR", "(event_id % 9)::VARCHAR", "'d' || event_id"
+_NO = "''"
+#: By type, what follows the shared columns: the rows have places, speeds over ground, a destination and data, and no other fields.
+_OTHER = "CASE " + " ".join((
+    _bars("4, 11", _NO, _LON, _LAT, *[_NO] * 11), _bars("6", _NO, _DEST, _NO, _NO, _NO, _DATA, _NO), _bars("7, 13", *[_NO] * 9), _bars("8", _NO, _NO, _DATA, _NO), _bars("9", _SOG, _NO, _LON, _LAT, *[_NO] * 10),
+    _bars("10", _NO, _DEST, _NO), _bars("12", _NO, _DEST, *[_NO] * 4), _bars("14", *[_NO] * 5), _bars("15", *[_NO] * 9), _bars("16", *[_NO] * 7), _bars("17", _LON, _LAT, _NO, _DATA, *[_NO] * 6),
+    _bars("19", *[_NO] * 6, _SOG, _NO, _LON, _LAT, *[_NO] * 17), _bars("20", *[_NO] * 17), _bars("21", *[_NO] * 5, _LON, _LAT, *[_NO] * 14), _bars("22", *[_NO] * 13), _bars("23", *[_NO] * 10),
+    _bars("25", _DEST, _NO, _NO, _DATA, _NO, _NO), _bars("26", _NO, _NO, _DEST, _NO, _NO, _DATA, _NO, _NO),
+)) + " END"
 _SHARED_EE = "mmsi || '|' || (event_id % 27 + 1) || '||' || strftime(time, '%Y%m%d_%H%M%S') || '||||||||A|'"
 
 ORACLES = {
     "nm4_roundtrip": _WITH + f"""SELECT event_id * 3 AS line_no, mmsi, time, message_id, CASE WHEN message_id = 1 THEN coalesce(navigational_status, 15) END AS navigational_status, round(round(sog * 10) / 10, 6) AS sog, round(round(cog * 10) / 10, 6) AS cog, heading,
 round(round(latitude * 600000) / 600000, 6) AS latitude, round(round(longitude * 600000) / 600000, 6) AS longitude FROM pings WHERE {_GOOD}""",
     "nm4_voyages": _WITH + "SELECT event_id * 3 + 2 AS line_no, strftime(time, '%Y%m%dT%H%M%S') || '.000Z' AS date, mmsi::INT AS mmsi, event_id::INT AS imo_id, 'C' || event_id AS callsign, 'SHIP ' || mmsi AS shipname, (event_id % 100)::INT AS shiptype, (event_id % 256)::INT AS draught, 'HALIFAX NS' AS destination FROM pings WHERE event_id % 20 = 0",
-    "nm4_scaled": _WITH + f"""SELECT event_id * 3 AS line_no, CASE WHEN navigational_status = 0 THEN 'n/a' WHEN navigational_status IS NULL THEN 'Not defined' ELSE {_NAV}[navigational_status + 1] END AS status, (round(sog * 10) / 10)::VARCHAR AS speed, (round(cog * 10) / 10)::VARCHAR AS course,
-CASE WHEN heading = 511 THEN 'n/a' ELSE heading::INT::VARCHAR END AS heading FROM pings WHERE message_id = 1 AND {_GOOD}""",
+    "nm4_scaled": _WITH + f"""SELECT CASE message_id WHEN 1 THEN 'cnb' ELSE 'type18' END AS layout, event_id * 3 AS line_no, CASE WHEN message_id = 1 THEN {_STATUS} || '|0.0|' ELSE '' END || (round(sog * 10) / 10)::VARCHAR || '|0|' || CASE WHEN longitude = 181 THEN 'n/a' ELSE round(round(longitude * 600000) / 600000, 10)::VARCHAR END
+|| '|' || CASE WHEN latitude = 91 THEN 'n/a' ELSE round(round(latitude * 600000) / 600000, 10)::VARCHAR END || '|' || (round(cog * 10) / 10)::VARCHAR || '|' || CASE WHEN heading = 511 THEN 'n/a' ELSE heading::INT::VARCHAR END || '|30' AS scaled FROM pings WHERE {_GOOD}
+UNION ALL SELECT 'type5', event_id * 3 + 2, {_SHIPS}[event_id % 100 + 1] || '|GPS|' || CASE event_id % 256 WHEN 0 THEN 'n/a' ELSE (event_id % 256 / 10)::VARCHAR END || '|C' || event_id || '|HALIFAX NS' FROM pings WHERE event_id % 20 = 0""",
     "nm4_dsv": _WITH + "SELECT strftime(time, '%Y%m%dT%H%M%S') || '.000Z|5|' || mmsi || '|' || event_id || '|SHIP ' || mmsi AS value FROM pings WHERE event_id % 20 = 0",
     "nm4_type_histogram": _WITH + f"SELECT message_id::VARCHAR AS key, count(*) AS n FROM pings WHERE {_GOOD} GROUP BY 1 UNION ALL SELECT '5', count(*) FROM pings WHERE event_id % 20 = 0",
     "nm4_bad_checksum": _WITH + "SELECT event_id * 3 AS line_no, CASE event_id * 3 % 150 WHEN 21 THEN 'no checksum' ELSE 'bad checksum' END AS reject_reason FROM pings WHERE event_id * 3 % 150 IN (21, 51)",
     "dsv_normalized": _WITH + """SELECT 'OV20150101_' || event_id AS id, CASE WHEN event_id % 13 <> 0 THEN mmsi END AS mmsi, CASE WHEN event_id % 13 <> 0 THEN round(longitude, 6) END AS lon, CASE WHEN event_id % 13 <> 0 THEN round(latitude, 6) END AS lat,
 CASE WHEN event_id % 13 <> 0 THEN time END AS time, CASE WHEN event_id % 13 <> 0 THEN message_id END AS message_id, (event_id % 13 = 0)::INT AS errorflag FROM pings""",
-    "dsv_pings": _WITH + "SELECT mmsi, message_id, count(*) AS n, round(sum(CASE WHEN event_id % 13 = 0 AND message_id = 18 THEN sog ELSE sog END), 3) AS sog, max(time) AS last FROM pings GROUP BY mmsi, message_id",
+    "dsv_pings": _WITH + "SELECT mmsi, message_id, count(*) AS n, round(sum(sog), 3) AS sog, max(time) AS last FROM pings GROUP BY mmsi, message_id",
     "ee_split_counts": _WITH + """, t AS (SELECT *, event_id % 27 + 1 AS k, CASE WHEN event_id % 31 = 0 THEN NULL ELSE longitude END AS lon FROM pings),
 g AS (SELECT *, CASE WHEN k IN (1, 2, 3) THEN '1_2_3' WHEN k IN (5, 18, 24, 27) THEN k::VARCHAR ELSE 'other' END AS msg_group FROM t)
 SELECT msg_group, count(*) AS n, sum((event_id % 31 = 0)::INT)::BIGINT AS errors, sum((msg_group IN ('1_2_3', '18', '27') AND coalesce(abs(lon) <= 180 AND abs(latitude) <= 90, false))::INT)::BIGINT AS placed FROM g GROUP BY 1""",
-    "packed_other": _WITH + f"""SELECT 'SE20150102' AS unq_id_prefix, event_id AS lineno, (event_id % 27 + 1)::VARCHAR AS message_id, {_SHARED_EE} || CASE event_id % 27 + 1 WHEN 6 THEN '||' || event_id % 9 || '||||d' || event_id || '|' WHEN 8 THEN '|||d' || event_id || '|' ELSE '||' || event_id % 9 || '|' END AS ais_msg_eecsv FROM pings WHERE event_id % 27 + 1 IN (6, 8, 10)""",
+    "packed_other": _WITH + f"""SELECT 'SE20150102' AS unq_id_prefix, event_id AS lineno, k::VARCHAR AS message_id, {_SHARED_EE} || '|' || {_OTHER} AS ais_msg_eecsv FROM (SELECT *, event_id % 27 + 1 AS k, CASE WHEN event_id % 31 = 0 THEN '' ELSE longitude::VARCHAR END AS lon FROM pings) WHERE k NOT IN (1, 2, 3, 5, 18, 24, 27)""",
+    "base_tables": _WITH + f"""SELECT CASE WHEN k IN (1, 2, 3) THEN '1_2_3' WHEN k IN (5, 18, 24, 27) THEN k::VARCHAR ELSE 'other' END AS msg_group, event_id AS lineno, mmsi, time, k::VARCHAR AS message_id, (event_id % 31 = 0)::INT AS errorflag FROM (SELECT *, event_id % 27 + 1 AS k FROM pings)
+WHERE strftime(time, '%Y-%m') = (SELECT strftime(max(time), '%Y-%m') FROM pings) AND (k NOT IN (1, 2, 3, 18, 27) OR (event_id % 31 <> 0 AND longitude BETWEEN {BOX[0]} AND {BOX[1]} AND latitude BETWEEN {BOX[2]} AND {BOX[3]}))""",
     "nm4_files": _WITH + f"SELECT message_id, count(*) AS n, round(sum(round(sog * 10) / 10), 3) AS sog FROM pings WHERE {_GOOD} GROUP BY 1",
     "stream_decode": _WITH + f"SELECT message_id, count(*) AS n, round(sum(round(sog * 10) / 10), 3) AS sog FROM pings WHERE {_GOOD} GROUP BY 1",
 }

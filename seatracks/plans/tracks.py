@@ -71,6 +71,13 @@ def q_tracks(spark: SparkSession, d: str) -> DataFrame:
     return _r(S.build_tracks(points, ties=TIES).select("mmsi", "track_id", "elp_sec", "seg_pts", "st_date", "en_date", "avg_sog", "med_sog", "dstspdkts", "seg_len_km"), "avg_sog", "med_sog", "dstspdkts", "seg_len_km")
 
 
+def q_track_cells(spark: SparkSession, d: str) -> DataFrame:
+    """All tracks over the grid, in pieces of a few edges."""
+    points = S.threshold_points(pings(spark, d), GAP_S, MAX_KPH, TIES)[0]
+    out = G.grid_track_length(S.track_chunks(points, ties=TIES, size=8), _grid(spark, d))
+    return _to_bits(out, grd_len_km=SUM_BITS)
+
+
 def q_bearing_distance(spark: SparkSession, d: str) -> DataFrame:
     p = S.point_to_point(pings(spark, d), GAP_S, TIES)[0]
     args = ("longitude", "latitude", "longitude2", "latitude2")
@@ -274,6 +281,8 @@ SELECT (ix * ny + iy)::BIGINT AS cell_id, ix, iy, round(ox + ix * 0.5::DOUBLE, 6
     "grid_interp_time": _BASE + _SEGMENTS + _GRID + f"SELECT mmsi, track_id, grid_id, {_bits_sql('interp', VALUE_BITS)} AS interp, to_timestamp(interp_s) AT TIME ZONE 'UTC' AS interp_time, {_bits_sql('grd_len_km', LENGTH_BITS)} AS grd_len_km FROM inside WHERE t0 < t1",
     "grid_density": _BASE + _SEGMENTS + _GRID + f"SELECT grid_id, {_bits_sql('sum(grd_len_km)', SUM_BITS)} AS total_len_km, count(DISTINCT mmsi) AS n_vessels, count(*) AS n_lines, {_bits_sql('avg(interp)', VALUE_BITS)} AS avg_value FROM inside WHERE t0 < t1 GROUP BY grid_id",
     "grid_intersect": _BASE + _SEGMENTS + _GRID + _parts_sql(PLACE_BITS),
+    "track_cells": _BASE + _PLACED + f""", edges_ AS (SELECT mmsi, segidx AS track_id, longitude AS x1, latitude AS y1, lead(longitude) OVER w AS x2, lead(latitude) OVER w AS y2, sog AS sogpt1, sog AS sogpt2, time AS st_date, time AS en_date
+  FROM placed WHERE NOT stranded WINDOW w AS (PARTITION BY mmsi, segidx ORDER BY time, message_id, latitude, longitude, cog, sog, heading, event_id)), segs AS (SELECT * FROM edges_ WHERE x2 IS NOT NULL)""" + _GRID + f"SELECT mmsi, track_id, grid_id, {_bits_sql('sum(grd_len_km)', SUM_BITS)} AS grd_len_km, count(*) AS n_parts FROM inside GROUP BY mmsi, track_id, grid_id",
     "polygon_intersect": _BASE + _SEGMENTS + _GRID + f"SELECT * FROM ({_parts_sql(CROSSING_BITS)}) WHERE xa <> xb OR ya <> yb",
 }
 

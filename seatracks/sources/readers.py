@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.carry import BLOCK, last_known
 from ..schema import PING_COLUMNS, as_pings
+from ..shared import shared_dir, written
 
 #: The provider's columns, in order.
 EE_COLUMNS = (
@@ -25,14 +27,16 @@ EE_COLUMNS = (
 def numbered(df: DataFrame, *cols: str | Column) -> DataFrame:
     """``path``, ``line_no`` (from 1 in each file) and the given columns of a file-based table, in file order.
 
-    Splits of a file are read apart; a row's place in its split plus the rows of the splits before it give the number.
-    Only counts of splits are shuffled, never the rows.
+    The files are scanned once, into a table in the shared folder with each row's split and its order there. A row's place
+    in its split plus the rows of the splits before it give the number; only counts of splits are shuffled.
     """
     rows = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i"), *cols)
+    rows = written(rows, f"{shared_dir(df.sparkSession)}/lines")
     per = rows.groupBy("path", "_b").agg(F.min("_i").alias("_i0"), F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy("path").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     per = per.select(F.col("path").alias("_p2"), F.col("_b").alias("_b2"), (F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_i0") + 1).alias("_add"))
-    out = rows.join(per, (F.col("path") == F.col("_p2")) & (F.col("_b") == F.col("_b2")))
+    # a row for each split: 100 TB have less than a million of 128 MB
+    out = rows.join(F.broadcast(per), (F.col("path") == F.col("_p2")) & (F.col("_b") == F.col("_b2")))
     return out.withColumn("line_no", F.col("_i") + F.col("_add")).drop("_b", "_i", "_p2", "_b2", "_add")
 
 
@@ -59,11 +63,11 @@ def read_nm4(spark: SparkSession, paths: str | Sequence[str], style: str = "dmas
     return sentences(read_lines(spark, paths), style)
 
 
-def receiver_dates(lines: DataFrame, tz: str = "America/Halifax") -> DataFrame:
+def receiver_dates(lines: DataFrame, tz: str = "America/Halifax", block: int = BLOCK) -> DataFrame:
     """path, line_no, date and sentence of a receiver's log; a header line gives the local time of those after it.
 
     Where clocks are set back, an ambiguous hour is read as standard time. Lines before a file's first header have no
-    date. Blank lines are left out.
+    date. Blank lines are left out. A file is taken in blocks of so many lines.
     """
     header = F.when(F.col("line").rlike(r"data:\s*$"), F.regexp_replace("line", r"\s*data:\s*$", ""))
     part = lambda i: F.trim(F.get(F.split(header, ","), F.lit(i)))
@@ -71,9 +75,8 @@ def receiver_dates(lines: DataFrame, tz: str = "America/Halifax") -> DataFrame:
     first = F.to_utc_timestamp(local, tz)
     later = first + F.expr("INTERVAL 1 HOUR")
     utc = F.when(F.from_utc_timestamp(later, tz) == local, later).otherwise(first)
-    w = Window.partitionBy("path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     out = lines.where(F.length(F.trim("line")) > 0).withColumn("_h", F.date_format(utc, "yyyyMMdd'T'HHmmss'.000Z'")).withColumn("_is", header.isNotNull())
-    return out.withColumn("date", F.last("_h", ignorenulls=True).over(w)).where("not _is").select("path", "line_no", "date", F.trim("line").alias("sentence"))
+    return last_known(out, ["path"], "line_no", F.col("_h"), "date", block).where("not _is").select("path", "line_no", "date", F.trim("line").alias("sentence"))
 
 
 def read_receiver_raw(spark: SparkSession, paths: str | Sequence[str], tz: str = "America/Halifax") -> DataFrame:
@@ -108,6 +111,33 @@ def read_pings_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return as_pings(raw.withColumn("time", F.coalesce(F.try_to_timestamp(F.regexp_extract("time", r"^(\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(?:\.\d+)?)", 1)), F.try_to_timestamp("time"))))
 
 
-def read_pings_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
-    """Position reports of a database table; Spark pushes the columns down, and the order is left to the windows."""
-    return as_pings(spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options).load())
+#: Of the columns that a database's table can be read by: what gives a row's range in SQL, and a range's first value.
+RANGES = {"time": ('CAST("time" AS DATE)', lambda v: f"{{ts '{v} 00:00:00'}}"), "mmsi": ('"mmsi" / 100000', lambda v: str(int(v) * 100000))}
+
+
+def even_ranges(counts: list[tuple[object, int]], parts: int) -> list[object]:
+    """The first values of ranges with about equal counts, but for the first range; values come with their counts, in order."""
+    total, seen, out = sum(n for _, n in counts), 0, []
+    for value, n in counts:
+        if seen and seen >= (len(out) + 1) * total / parts and len(out) < parts - 1:
+            out.append(value)
+        seen += n
+    return out
+
+
+def read_pings_jdbc(spark: SparkSession, url: str, table: str, by: str = "time", partitions: int | None = None, fetch: int = 10_000, **options: str) -> DataFrame:
+    """Position reports of a database table, read in ranges of ``time`` (days) or ``mmsi`` with about equal rows.
+
+    The database counts its rows by day (or by 100,000 vessel numbers), which is all that the driver gets: some thousands
+    of counts. Each range is a query of its own, rows without a value go with the first. Spark pushes columns and filters
+    down; the order is left to the windows.
+    """
+    reader = spark.read.format("jdbc").option("url", url).options(**options)
+    expression, text = RANGES[by]
+    counts = reader.option("query", f"SELECT {expression} AS r, COUNT(*) AS n FROM {table} GROUP BY {expression}").load()
+    known = sorted((r[0], int(r[1])) for r in counts.collect() if r[0] is not None)
+    firsts = even_ranges(known, partitions or spark.sparkContext.defaultParallelism)
+    column, edges = f'"{by}"', [text(v) for v in firsts]
+    where = [" AND ".join([f"{column} >= {lo}"] * (lo is not None) + [f"{column} < {hi}"] * (hi is not None)) for lo, hi in zip([None, *edges], [*edges, None], strict=True)]
+    where[0] = f"({where[0]}) OR {column} IS NULL" if where[0] else "1 = 1"
+    return as_pings(spark.read.jdbc(url, table, predicates=where, properties={"fetchsize": str(fetch), **options}))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..operators.normalize import group_columns
 
 
 def format_messages(df: DataFrame, form: str = "json") -> DataFrame:
@@ -30,8 +31,32 @@ def write_by_message(df: DataFrame, path: str, form: str = "dsv", map_similar: b
     df.select(value.alias("value"), group.alias("msg_group")).write.partitionBy("msg_group").mode("append").text(path)
 
 
+def write_base_rows(rows: DataFrame, path: str, cluster: bool = True) -> None:
+    """All groups of ``ee_rows`` by group and month in one pass; ``cluster`` deals and orders rows by place (whole degrees,
+    then line), so that a range of coordinates skips files and row groups."""
+    out = rows.withColumn("month", F.coalesce(F.date_format("time", "yyyy-MM"), F.lit("none")))
+    if cluster:
+        order = ("msg_group", "month", "_x", "_y", "longitude", "lineno")
+        out = out.withColumns({"_x": F.floor("longitude"), "_y": F.floor("latitude")}).repartitionByRange(*order).sortWithinPartitions(*order).drop("_x", "_y")
+    out.write.partitionBy("msg_group", "month").mode("append").parquet(path)
+
+
+def read_base_rows(spark: SparkSession, path: str, group: str, first_month: str | None = None, last_month: str | None = None, box: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """A group's base table from ``write_base_rows``: months as yyyy-MM, both inclusive, and a box of least and greatest
+    longitude and latitude. Other groups and months aren't listed, other places' row groups not read."""
+    out = spark.read.parquet(path).where(F.col("msg_group") == group)
+    if first_month:
+        out = out.where(F.col("month") >= first_month)
+    if last_month:
+        out = out.where(F.col("month") <= last_month)
+    if box:
+        out = out.where(F.col("longitude").between(box[0], box[1]) & F.col("latitude").between(box[2], box[3]))
+    return out.select(*[F.col(f"`{c}`") for c in group_columns(group)])
+
+
 def write_base_tables(tables: dict[str, DataFrame], path: str, form: str = "parquet", cluster: bool = True) -> None:
-    """Each group by month; ``cluster`` orders the files by place, so that ranges of coordinates skip row groups."""
+    """Each table by month, in a folder of its own; ``cluster`` orders the files by place, so that ranges of coordinates skip
+    row groups. ``form="csv"`` has the delimiters that the loaders of such tables expect."""
     for name, df in tables.items():
         out = df.withColumn("month", F.date_format("time", "yyyy-MM"))
         if cluster and "longitude" in out.columns:

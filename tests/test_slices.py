@@ -78,3 +78,19 @@ def test_fast_second_and_last_but_one_point(spark):
     fast = [44.0, 45.0, 44.0, 45.0]
     want = ([], sorted([(44.0, S.FEW), (44.0, S.FAST), (45.0, S.FAST), (45.0, S.FEW)]))
     assert ends(spark, fast, False) == ends(spark, fast, True) == want
+
+
+def test_chunks_are_the_track(spark):
+    p = pings(spark, [(v, 60 * i, 44 + i * 0.01, -63 + v) for v, n in ((1, 1), (2, 4), (3, 5), (4, 9), (5, 23)) for i in range(n)]).withColumn("segidx", F.lit(0).cast("long"))
+    chunks = S.track_chunks(p, size=4).collect()
+    for v, n in ((1, 1), (2, 4), (3, 5), (4, 9), (5, 23)):
+        mine = sorted((r.chunk, [q.y for q in r.vertices]) for r in chunks if r.mmsi == v)
+        assert all(len(ys) <= 5 for _, ys in mine) and all(a[-1] == b[0] for (_, a), (_, b) in zip(mine, mine[1:], strict=False))
+        assert [y for k, ys in mine for y in ys[k > 0 :]] == [44 + i * 0.01 for i in range(n)] and (n == 1 or all(len(ys) > 1 for _, ys in mine))
+    lines = S.track_lines(S.build_tracks(p), S.track_chunks(p, size=4)).where("mmsi = 3").first()
+    assert lines.wkt == "LINESTRING (" + ", ".join(f"-60.0 {44 + i * 0.01}" for i in range(5)) + ")" and lines.seg_pts == 5
+
+
+def test_no_row_of_build_tracks_holds_a_track(spark):
+    points = walks(spark, 5, vessels=2).withColumn("segidx", F.lit(0).cast("long"))
+    assert "collect_list" not in S.build_tracks(points)._jdf.queryExecution().toString()
