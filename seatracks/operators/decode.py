@@ -5,7 +5,7 @@ Lines come with ``path`` and ``line_no`` (see the sources). Only sentences of me
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -75,12 +75,12 @@ def first_type(payload: Column) -> Column:
 
 #: Bits of a word, which are the digits of 8 characters.
 WORD = 48
-_BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 #: Payload characters in order of code, and the base64 digits of their values: 48 off, and 8 more above 40.
 _ARMOUR = "".join(map(chr, range(48, 120)))
-_DIGITS = "".join(_BASE64[i - 8 if i > 40 else i] for i in range(72))
+_DIGITS = "".join(BASE64[i - 8 if i > 40 else i] for i in range(72))
 #: Six-bit text: 0 to 31 are @ to _, then blank to ?.
-_LETTERS = "".join(chr(i + 64 if i < 32 else i) for i in range(64))
+LETTERS = "".join(chr(i + 64 if i < 32 else i) for i in range(64))
 
 
 def to_words(packets: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def to_words(packets: DataFrame) -> DataFrame:
     spare = used * 6 - F.col("bitlen")
     last = F.right(digits, F.lit(1))
     for n in range(1, 6):
-        last = F.when(spare == n, F.translate(last, _BASE64, "".join(_BASE64[i >> n << n] for i in range(64)))).otherwise(last)
+        last = F.when(spare == n, F.translate(last, BASE64, "".join(BASE64[i >> n << n] for i in range(64)))).otherwise(last)
     clean = F.when(spare > 0, F.concat(F.left(digits, used - 1), last)).otherwise(digits)
     out = once(packets, bitlen=kept)
     out = once(out, _h=F.hex(F.unbase64(F.rpad(clean, F.greatest(F.ceil(used / 8).cast("int") * 8, F.lit(LEAST_BITS // 6 + 4)), "A"))))
@@ -126,7 +126,7 @@ def text_of(at: int, width: int) -> Column:
     n = width // 6
     words = F.concat(*[F.lpad(F.hex(F.shiftleft(_bits(at + i, min(WORD, width - i)), max(0, WORD - width + i))), 12, "0") for i in range(0, width, WORD)])
     whole = F.least(F.lit(n), F.floor((_length() - at) / 6).cast("int"))
-    letters = F.left(F.translate(F.base64(F.unhex(words)), _BASE64 + "\r\n", _LETTERS), whole)
+    letters = F.left(F.translate(F.base64(F.unhex(words)), BASE64 + "\r\n", LETTERS), whole)
     return F.rtrim(F.substring_index(letters, "@", 1))
 
 
@@ -247,19 +247,43 @@ def decode_rows(packets: DataFrame, types: Sequence[int] | None = None, mode: st
     return ready.select("path", "line_no", "date", "raw", "msgtype", "layout", "bogon", "reject_reason", *[F.when(F.col("layout") == n, F.struct(*[extract(f) for f in LAYOUTS[n][1]])).alias(n) for n in names])
 
 
-def decode(packets: DataFrame, types: Sequence[int] | None = None, scaled: bool = False, mode: str = "permissive") -> dict[str, DataFrame]:
-    """A table for each layout, and ``rejects`` (bogons and messages that break a rule), as views of ``decode_rows``."""
-    rows = decode_rows(packets, types, mode)
-    out = {}
-    for name in LAYOUTS:
-        if name not in rows.columns:
-            continue
-        table = rows.where(F.col("layout") == name).select("path", "line_no", "date", "raw", f"{name}.*")
+class Tables(Mapping):
+    """A table for each layout, and ``rejects``, each made when it is asked for."""
+
+    def __init__(self, make: Callable[[str], DataFrame], names: Sequence[str]):
+        self.make, self.names = make, list(names)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.names:
+            raise KeyError(name)
+        return self.make(name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.names)
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+
+def decode(packets: DataFrame, types: Sequence[int] | None = None, scaled: bool = False, mode: str = "permissive") -> Tables:
+    """A table for each layout, and ``rejects`` (bogons and messages that break a rule).
+
+    ``mode="failfast"`` raises on the first reject instead. Parts A and B of type 24 stay rows of their own. Each table
+    is a pass of its own; for many, write ``decode_rows`` by layout.
+    """
+    ready, bad = typed(packets, types), F.col("bogon") | F.col("reject_reason").isNotNull()
+    raised = F.raise_error(F.concat(F.lit("rejected message: "), "raw")).cast("boolean")
+    good = ready.where(F.when(bad, raised).otherwise(F.lit(True)) if mode == "failfast" else ~bad)
+
+    def table(name: str) -> DataFrame:
+        if name == "rejects":
+            return ready.where(bad).select("path", "line_no", "date", "raw", "msgtype", "bogon", "reject_reason")
+        out = good.where(_picked(name)).select("path", "line_no", "date", "raw", *[extract(f) for f in LAYOUTS[name][1]])
         if name == "type21":
-            table = table.withColumn("name", F.concat("name", F.coalesce("name_ext", F.lit("")))).drop("name_ext")
-        out[name] = table.withColumns({k: v for k, v in scale(name).items() if k in table.columns}) if scaled else table
-    out["rejects"] = rows.where("layout is null").select("path", "line_no", "date", "raw", "msgtype", "bogon", "reject_reason")
-    return out
+            out = out.withColumn("name", F.concat("name", F.coalesce("name_ext", F.lit("")))).drop("name_ext")
+        return out.withColumns({k: v for k, v in scale(name).items() if k in out.columns}) if scaled else out
+
+    return Tables(table, [*[n for n, (of, _) in LAYOUTS.items() if not types or set(of) & set(types)], "rejects"])
 
 
 def malformed(packets: DataFrame) -> DataFrame:

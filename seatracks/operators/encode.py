@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .decode import checksum
+from .decode import BASE64, LETTERS, WORD, checksum
 from .layouts import HEADER, TEXT, width
 
 BODY = 60
+#: Payload characters of the values 0 to 63.
+ARMOUR = "".join(chr(i + 48 if i < 40 else i + 56) for i in range(64))
 
 
 def _number(value: Column, bits: int) -> Column:
@@ -17,8 +19,11 @@ def _number(value: Column, bits: int) -> Column:
 
 
 def _text(value: Column, bits: int) -> Column:
-    six = lambda c: F.lpad(F.bin(F.when(F.ascii(c) < 64, F.ascii(c)).otherwise(F.ascii(c) - 64).cast("long")), 6, "0")
-    return F.array_join(F.transform(F.split(F.rpad(F.upper(value), bits // 6, "@"), ""), six), "")
+    """Upper-cased six-bit text with @ behind it; 8 characters at a time."""
+    n = bits // 6
+    hexes = F.hex(F.unbase64(F.rpad(F.translate(F.rpad(F.upper(value), n, "@"), LETTERS, BASE64), -(-n // 8) * 8, "A")))
+    words = [F.lpad(F.conv(F.substring(hexes, i * 12 + 1, 12), 16, 2), WORD, "0") for i in range(-(-n // 8))]
+    return F.rpad(F.substring(F.concat(*words), 1, n * 6), bits, "0")
 
 
 def bits_of(layouts: list[str], values: dict[str, Column]) -> Column:
@@ -37,10 +42,11 @@ def bits_of(layouts: list[str], values: dict[str, Column]) -> Column:
 def armour(bits: Column, n: int) -> tuple[Column, int]:
     """The payload of n bits, and the bits of padding."""
     pad = -n % 6
-    full = F.concat(bits, F.lit("0" * pad))
-    value = lambda i: F.conv(F.substring(full, i * 6 + 1, F.lit(6)), 2, 10).cast("int")
-    letters = F.transform(F.sequence(F.lit(0), F.lit((n + pad) // 6 - 1)), lambda i: F.char(F.when(value(i) < 40, value(i) + 48).otherwise(value(i) + 56)))
-    return F.array_join(letters, ""), pad
+    words = -(-(n + pad) // WORD)
+    full = F.rpad(bits, words * WORD, "0")
+    hexes = F.concat(*[F.lpad(F.conv(F.substring(full, i * WORD + 1, WORD), 2, 16), WORD // 4, "0") for i in range(words)])
+    text = F.translate(F.base64(F.unhex(hexes)), BASE64 + "\r\n", ARMOUR)
+    return F.substring(text, 1, (n + pad) // 6), pad
 
 
 def bits_in(layouts: list[str]) -> int:
