@@ -136,11 +136,13 @@ def _clipped_by_polygons(edges: DataFrame, layer: Polygons) -> DataFrame:
     # of such tiles there are at most HOT_TILE
     hot = F.broadcast(counts.where(F.col("_n") > share).select("_tx", "_ty", F.ceil(F.col("_n") / share).cast("int").alias("_copies")))
     flat = lambda k: F.flatten(F.transform(layer.rings, lambda r: F.transform(r, lambda v: v[k])))
-    polygons = layer.df.select(F.col(layer.id).alias("grid_id"), _sides(layer.rings).alias("_p"), *[F.floor(f(flat(k)) / tile).alias(n) for n, f, k in (("_bx0", F.array_min, "x"), ("_bx1", F.array_max, "x"), ("_by0", F.array_min, "y"), ("_by1", F.array_max, "y"))])
+    box = {"x0": F.array_min(flat("x")), "x1": F.array_max(flat("x")), "y0": F.array_min(flat("y")), "y1": F.array_max(flat("y"))}
+    polygons = layer.df.select(F.col(layer.id).alias("grid_id"), _sides(layer.rings).alias("_p"), *[f(c).alias(f"{p}{n}") for n, c in box.items() for p, f in (("_b", lambda v: F.floor(v / tile)), ("_p", lambda v: v))])
     polygons = polygons.withColumn("_tx", F.explode(F.sequence("_bx0", "_bx1"))).withColumn("_ty", F.explode(F.sequence("_by0", "_by1")))
     polygons = polygons.join(hot, ["_tx", "_ty"], "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1))).drop("_copies")
     tiled = tiled.join(hot, ["_tx", "_ty"], "left").withColumn("_salt", F.pmod(F.xxhash64("_x1", "_y1", "_x2", "_y2"), F.coalesce("_copies", F.lit(1))).cast("int")).drop("_copies")
-    met = tiled.join(polygons, ["_tx", "_ty", "_salt"])
+    low, high = (lambda k: F.least(f"_{k}1", f"_{k}2")), (lambda k: F.greatest(f"_{k}1", f"_{k}2"))
+    met = tiled.join(polygons, ["_tx", "_ty", "_salt"]).where((low("x") <= F.col("_px1")) & (high("x") >= F.col("_px0")) & (low("y") <= F.col("_py1")) & (high("y") >= F.col("_py0")))
     earlier = (F.col("_c0.c") >= F.col("_bx0")) & (F.col("_c0.r0") <= F.col("_by1")) & (F.col("_c0.r1") >= F.col("_by0"))
     met = met.where((F.col("_ty") == F.greatest("_c.r0", "_by0")) & ~F.coalesce(earlier, F.lit(False)))
     met = met.withColumn("_t", F.explode(_inside("_p", layer.borders)))
