@@ -1,9 +1,8 @@
 """Best-fit packing by length patterns.
 
 The histogram of lengths (a number for each length, however many documents there are) is fitted by non-negative least
-squares with patterns of few lengths that fill a sequence; their repeat counts are rounded down, the exact lengths of a
-pattern's last document are chosen best-fit, and what is left is packed best-fit decreasing, on top of all open
-sequences. The plan is then joined to the pieces: each piece's rank among those of its length gives its place.
+squares with patterns of few lengths that fill a sequence; their repeat counts are rounded down and exact lengths are chosen for each. A sequence that these fill to the
+last token stays; the documents of the others return to the rest, which is packed best-fit decreasing. The plan is then joined to the pieces: each piece's rank among those of its length gives its place.
 """
 
 from __future__ import annotations
@@ -22,6 +21,8 @@ from . import common
 
 #: Lengths are fitted in so many steps of a sequence, by patterns of so many documents at most.
 STEPS, PARTS = 128, 4
+#: Patterns hold no document of fewer steps: small ones fill what is left open.
+LEAST = 8
 
 
 def patterns(steps: int = STEPS, parts: int = PARTS) -> np.ndarray:
@@ -85,6 +86,7 @@ def plan(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], in
     for col in rows.T:
         np.add.at(a, (col, np.arange(len(rows))), col > 0)
     keep = (a[1:][binned[1:] == 0] == 0).all(axis=0)  # patterns of lengths that occur
+    keep &= np.where(rows > 0, rows, STEPS).min(axis=1) >= LEAST
     rows, a = rows[keep], a[1:, keep]
     counts = np.floor(nnls(a, binned[1:]) + 1e-6).astype(np.int64) if len(rows) else np.zeros(0, np.int64)
 
@@ -113,8 +115,13 @@ def plan(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], in
                 if c:
                     nxt.append((lens, c))
             open_groups = nxt
-        groups += [(lens, c) for lens, c in open_groups if lens]
-    # best-fit decreasing for the rest, on top of the sequences so far
+        for lens, c in open_groups:
+            if sum(lens) == size:
+                groups.append((lens, c))
+            else:
+                for n in lens:
+                    left[n] += c
+    # best-fit decreasing for the rest
     by_room: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
     for lens, c in groups:
         by_room[size - sum(lens)].append((lens, c))

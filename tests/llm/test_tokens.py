@@ -127,6 +127,32 @@ def test_plan_is_whole_and_tight(seed):
     assert sum(c for _, c in groups) <= 1.01 * lens.sum() / 2048 + 2
 
 
+def best_fit_decreasing(lens: list[int], size: int) -> int:
+    """Sequences of the plain greedy packing, a document at a time."""
+    rooms, n = [0] * (size + 1), 0
+    for x in sorted(lens, reverse=True):
+        r = next((r for r in range(x, size + 1) if rooms[r]), None)
+        if r is None:
+            r, n = size, n + 1
+        else:
+            rooms[r] -= 1
+        rooms[r - x] += 1
+    return n
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_plan_is_as_tight_as_greedy(seed):
+    rng = np.random.default_rng(100 + seed)
+    lens = np.minimum(2048, np.ceil(rng.lognormal(5.5 + 0.4 * seed, 1, 3000))).astype(int) if seed < 3 else rng.integers(300, 1200, 3000)
+    kinds, counts = np.unique(lens, return_counts=True)
+    used = sum(c for _, c in packing.plan(dict(zip(kinds.tolist(), counts.tolist(), strict=True)), 2048))
+    assert used <= 1.002 * best_fit_decreasing(lens.tolist(), 2048) + 1
+    many = sum(c for _, c in packing.plan(dict(zip(kinds.tolist(), (300 * counts).tolist(), strict=True)), 2048))
+    assert many <= 300 * (used + 1)
+    if seed < 2:  # enough small documents to fill every sequence
+        assert many <= 1.001 * 300 * lens.sum() / 2048 + 1
+
+
 def test_pack(spark):
     data = [*rows(), (None, "null id", "en", "h", 1, "", "")]
     got = packing.pack(spark.createDataFrame(data, SCHEMA), WORD).collect()
