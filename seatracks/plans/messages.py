@@ -234,6 +234,8 @@ WHERE strftime(time, '%Y-%m') = (SELECT strftime(max(time), '%Y-%m') FROM pings)
 }
 _OPEN = "SELECT 'A' AS channel, strftime(time, '%Y%m%dT%H%M%S') || '.000Z' AS date, "
 ORACLES["stream_rejects"] = _WITH + f"{_OPEN} 'no first part' AS reject_reason FROM pings WHERE event_id % 200 = 0 UNION ALL {_OPEN} 'another first part' FROM pings p WHERE event_id % 200 = 100 AND EXISTS (FROM pings q WHERE q.event_id % 20 = 0 AND q.event_id > p.event_id)"
+ORACLES["receiver_log_dates"] = _WITH + """, l AS (SELECT event_id * 2 + 1 AS line_no, '!AIVDM,1,1,,A,' || event_id AS sentence, NULL AS h FROM pings UNION ALL SELECT event_id * 2, NULL, strftime((time AT TIME ZONE 'America/Halifax') AT TIME ZONE 'UTC', '%Y%m%dT%H%M%S') || '.000Z' FROM pings WHERE event_id % 10 = 0),
+m AS (SELECT *, 'log' || (line_no // 2000) AS path FROM l), w AS (SELECT *, last_value(h IGNORE NULLS) OVER (PARTITION BY path ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS date FROM m) SELECT path, line_no, date, sentence FROM w WHERE sentence IS NOT NULL"""
 ORACLES["stream_histogram"] = ORACLES["nm4_type_histogram"]
 
 QUERIES = {k[2:]: v for k, v in list(globals().items()) if k.startswith("q_")}

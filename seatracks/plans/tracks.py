@@ -29,8 +29,14 @@ def q_out_of_range(spark: SparkSession, d: str) -> DataFrame:
     return S.point_to_point(pings(spark, d), GAP_S, TIES)[1].where(F.col("reason") == S.OUT_OF_RANGE).select("event_id", "mmsi", "reason")
 
 
+#: Vessels with one report (every seventh), and with two of which one is out of range.
+_ALONE = "CASE WHEN event_id % 7 = 0 THEN 400000000 + event_id WHEN event_id % 97 IN (0, 1) THEN 500000000 + CAST(floor(event_id / 97) AS BIGINT) ELSE mmsi END"
+
+
 def q_single_points(spark: SparkSession, d: str) -> DataFrame:
-    return S.point_to_point(pings(spark, d), GAP_S, TIES)[1].where(F.col("reason") == S.STRANDED).select("event_id", "mmsi", "reason")
+    """Reports that are alone on their vessel, or are so once reports out of range are gone."""
+    p = pings(spark, d).withColumn("mmsi", F.expr(_ALONE))
+    return S.point_to_point(p, GAP_S, TIES)[1].where(F.col("reason") == S.STRANDED).select("event_id", "mmsi", "reason")
 
 
 def q_duplicate_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -243,7 +249,7 @@ def _parts_sql(bits: int) -> str:
 ORACLES = {
     "pings": f"WITH pings AS ({PINGS}) SELECT * FROM pings",
     "out_of_range": _BASE + f"SELECT event_id, mmsi, '{S.OUT_OF_RANGE}' AS reason FROM counted WHERE n > 1 AND (abs(latitude) > 90 OR abs(longitude) > 180)",
-    "single_points": _BASE + f"SELECT event_id, mmsi, '{S.STRANDED}' AS reason FROM counted WHERE n = 1 UNION ALL SELECT event_id, mmsi, '{S.STRANDED}' FROM good WHERE m = 1",
+    "single_points": _BASE.replace("FROM pings)", f"FROM (SELECT * REPLACE ({_ALONE} AS mmsi) FROM pings))", 1) + f"SELECT event_id, mmsi, '{S.STRANDED}' AS reason FROM counted WHERE n = 1 UNION ALL SELECT event_id, mmsi, '{S.STRANDED}' FROM good WHERE m = 1",
     "duplicate_pairs": _BASE + "SELECT event_id, mmsi, 'Duplicate point/time (pt1''s)' AS reason FROM pairs WHERE dup UNION ALL SELECT event2, mmsi, 'Duplicate point/time (pt2''s)' FROM pairs WHERE dup",
     "p2p_pairs": _BASE + "SELECT event_id, mmsi, segidx, time, time2, latitude, latitude2, longitude, longitude2, sog, sog2 FROM p2p",
     "p2p_discards": _BASE + _DISCARDS,

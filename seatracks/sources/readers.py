@@ -88,9 +88,9 @@ def _no_value(c: Column) -> Column:
 
 
 def read_ee_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """The provider's columns as text with path and line_no; None, none and empty are null."""
+    """The provider's columns as text with path and line_no; None, none and empty are null. A quote within quotes is doubled."""
     schema = ", ".join(f"`{c}` string" for c in EE_COLUMNS)
-    df = spark.read.schema(schema).option("header", True).option("quote", '"').csv(paths)
+    df = spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"').csv(paths)
     return numbered(df, *[_no_value(F.col(f"`{c}`")).alias(c) for c in EE_COLUMNS])
 
 
