@@ -212,6 +212,44 @@ _SEGMENTS = f"""
 segs AS (SELECT mmsi, segidx AS track_id, gap AS elp_sec, time AS st_date, time2 AS en_date, sog AS sogpt1, sog2 AS sogpt2, (sog + sog2) / 2 AS avg_sog, (km * 1000 / 1852) / (gap / 3600) AS distspdkts, km AS seg_len_km, longitude AS x1, latitude AS y1, longitude2 AS x2, latitude2 AS y2 FROM lens
   WHERE (km * 1000 / 1852) / (gap / 3600) > {S.MIN_KTS} AND (km * 1000 / 1852) / (gap / 3600) < {S.MAX_KTS})
 """
+_POINT = "struct_pack(id := event_id, t := time, s := navigational_status, x := longitude, y := latitude)"
+
+
+def _speed(a: str, b: str) -> str:
+    """Speed in km/s between two points of the walk; no distance is no speed, no time a very fast one."""
+    km, seconds = _km(f"{a}.x", f"{a}.y", f"{b}.x", f"{b}.y"), f"((epoch_us({b}.t) - epoch_us({a}.t)) / 1e6)"
+    return f"CASE WHEN {km} = 0 THEN 0 WHEN {seconds} > 0 THEN {km} / {seconds} ELSE 999 END"
+
+
+def _apart(a: str, b: str) -> str:
+    return f"(epoch_us({b}.t) - epoch_us({a}.t)) / 1e6 >= {GAP_S}"
+
+
+#: The older rules as walks over each vessel's reports: the last accepted report, and the one or two held ones.
+_ACCEPTED = f"""
+WITH RECURSIVE pings AS ({PINGS}),
+o AS (SELECT *, {_POINT} AS p, row_number() OVER ({_ORDER}) AS rn FROM pings),
+walk AS (
+  SELECT mmsi, rn, abs(p.y) < 90 AS ok, CASE WHEN abs(p.y) < 90 THEN p END AS l FROM o WHERE rn = 1
+  UNION ALL SELECT mmsi, rn, ok, CASE WHEN ok THEN p ELSE l END FROM
+    (SELECT o.mmsi, o.rn, o.p, w.l, abs(o.p.y) < 90 AND coalesce(NOT (o.p.t = w.l.t OR (o.p.y = w.l.y AND o.p.x = w.l.x)), true) AS ok FROM walk w JOIN o ON o.mmsi = w.mmsi AND o.rn = w.rn + 1)),
+acc AS (SELECT o.*, row_number() OVER (PARTITION BY o.mmsi ORDER BY o.rn) AS k FROM o JOIN walk w ON o.mmsi = w.mmsi AND o.rn = w.rn WHERE ok)
+"""
+_WALKED = f"""
+, held AS (
+  SELECT mmsi, k, p AS a, NULL::STRUCT(id BIGINT, t TIMESTAMP, s INTEGER, x DOUBLE, y DOUBLE) AS b, 0::BIGINT AS track, false AS grown, NULL::DOUBLE AS v, NULL::BIGINT AS out_id, 0::BIGINT AS out_track FROM acc WHERE k = 1
+  UNION ALL SELECT mmsi, k,
+    CASE move WHEN 'again' THEN p WHEN 'pair' THEN a WHEN 'skip' THEN a ELSE b END, CASE move WHEN 'again' THEN NULL ELSE p END,
+    CASE move WHEN 'stop' THEN track + 1 ELSE track END, CASE move WHEN 'pair' THEN false WHEN 'stop' THEN false WHEN 'on' THEN true ELSE grown END, v,
+    CASE WHEN move = 'on' OR (move = 'stop' AND grown AND v < {MAX_KPH / 3600!r}) THEN a.id END, track
+  FROM (SELECT *, CASE WHEN b IS NULL THEN CASE WHEN {_apart("a", "p")} OR p.s IS DISTINCT FROM a.s THEN 'again' ELSE 'pair' END
+      WHEN broken OR v < {L.STOP_KM_S!r} THEN 'stop' WHEN v < {MAX_KPH / 3600!r} THEN 'on' WHEN {_speed("a", "p")} > {MAX_KPH / 3600!r} THEN 'drop' ELSE 'skip' END AS move
+    FROM (SELECT * REPLACE (CASE WHEN b IS NULL OR broken THEN v ELSE {_speed("a", "b")} END AS v)
+      FROM (SELECT acc.mmsi, acc.k, acc.p, h.a, h.b, h.track, h.grown, h.v, h.b IS NOT NULL AND (h.a.s IS DISTINCT FROM h.b.s OR {_apart("h.a", "h.b")}) AS broken FROM held h JOIN acc ON acc.mmsi = h.mmsi AND acc.k = h.k + 1)))),
+ends AS (FROM held h WHERE b IS NOT NULL AND NOT grown AND k = (SELECT max(k) FROM acc WHERE acc.mmsi = h.mmsi)),
+taken AS (SELECT out_id AS id, out_track AS track FROM held WHERE out_id IS NOT NULL UNION ALL SELECT a.id, track FROM ends UNION ALL SELECT b.id, track FROM ends WHERE NOT ({_apart("a", "b")})),
+steps AS (SELECT acc.mmsi, track, time, {_km("lag(longitude) OVER w", "lag(latitude) OVER w", "longitude", "latitude")} AS km, (epoch_us(time) - epoch_us(lag(time) OVER w)) / 1e6 AS sec FROM acc JOIN taken ON acc.event_id = taken.id WINDOW w AS (PARTITION BY acc.mmsi, track ORDER BY k))
+"""
 _PLACED = f"""
 , flags AS (SELECT *, coalesce(event2 IS NOT NULL AND NOT dup, false) AS first FROM pairs WHERE m >= 3),
 ends AS (SELECT *, lag(first) OVER ({_ORDER}) AS was_first, max(first::INT) OVER ({_ORDER} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS later FROM flags),
@@ -289,6 +327,9 @@ SELECT (ix * ny + iy)::BIGINT AS cell_id, ix, iy, round(ox + ix * 0.5::DOUBLE, 6
     "grid_intersect": _BASE + _SEGMENTS + _GRID + _parts_sql(PLACE_BITS),
     "track_cells": _BASE + _PLACED + f""", edges_ AS (SELECT mmsi, segidx AS track_id, longitude AS x1, latitude AS y1, lead(longitude) OVER w AS x2, lead(latitude) OVER w AS y2, sog AS sogpt1, sog AS sogpt2, time AS st_date, time AS en_date
   FROM placed WHERE NOT stranded WINDOW w AS (PARTITION BY mmsi, segidx ORDER BY time, message_id, latitude, longitude, cog, sog, heading, event_id)), segs AS (SELECT * FROM edges_ WHERE x2 IS NOT NULL)""" + _GRID + f"SELECT mmsi, track_id, grid_id, {_bits_sql('sum(grd_len_km)', SUM_BITS)} AS grd_len_km, count(*) AS n_parts FROM inside GROUP BY mmsi, track_id, grid_id",
+    "legacy_p2p": _ACCEPTED + f""", n AS (SELECT mmsi, k - 1 AS track_id, p, lead(p) OVER (PARTITION BY mmsi ORDER BY k) AS q FROM acc), m AS (SELECT *, (epoch_us(q.t) - epoch_us(p.t)) / 1e6 AS elp_sec, {_km("p.x", "p.y", "q.x", "q.y")} AS km FROM n WHERE q IS NOT NULL)
+SELECT mmsi, track_id, elp_sec, round(km * 1000 / 1852 / (elp_sec / 3600), 6) AS distspdkts, round(km, 6) AS seg_len_km FROM m WHERE elp_sec > 0 AND elp_sec < {GAP_S} AND km * 1000 / 1852 / (elp_sec / 3600) > {L.LEGACY_MIN_KTS} AND km * 1000 / 1852 / (elp_sec / 3600) < {S.MAX_KTS}""",
+    "legacy_tracks": _ACCEPTED + _WALKED + f"""SELECT mmsi, track AS track_id, count(*)::INT AS seg_pts, (epoch_us(max(time)) - epoch_us(min(time))) / 1e6 AS elp_sec, round(coalesce(sum(km), 0), 6) AS seg_len_km, max(coalesce(km / sec > {L.BAD_KM_S!r}, false)::INT) AS bad_spd FROM steps GROUP BY mmsi, track HAVING count(*) > 1""",
     "polygon_intersect": _BASE + _SEGMENTS + _GRID + f"SELECT * FROM ({_parts_sql(CROSSING_BITS)}) WHERE xa <> xb OR ya <> yb",
 }
 
