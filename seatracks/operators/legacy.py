@@ -193,5 +193,5 @@ def legacy_layers(points: DataFrame, epsg: int = 4326, ties: Sequence[str] = ())
     vertex = F.struct("time", *VESSEL_ORDER[1:], *ties, F.col("_x").alias("x"), F.col("_y").alias("y"))
     lines = out.groupBy("mmsi", "segidx").agg(F.count(F.lit(1)).cast("int").alias("seg_pts"), F.min("time").alias("st_date"), F.max("time").alias("en_date"), (F.coalesce(F.sum("_m"), F.lit(0.0)) / 1000).alias("seg_len_km"), F.max("bad_spd").alias("bad_spd"), F.array_sort(F.collect_list(vertex)).alias("_v"))
     lines = lines.where("seg_pts > 1").withColumn("elp_sec", geo.elapsed_s("st_date", "en_date")).withColumn("wkt", geo.line_wkt("_v")).withColumnRenamed("segidx", "track_id").drop("_v")
-    dots = out.select(F.col("segidx").alias("track_id"), "mmsi", "time", "sog", "bad_spd", geo.point_wkt("_x", "_y").alias("wkt"))
+    dots = out.select(F.col("segidx").alias("track_id"), "mmsi", "time", "sog", "bad_spd", F.col("_x").alias("x"), F.col("_y").alias("y"))
     return lines, dots

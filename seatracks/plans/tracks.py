@@ -10,6 +10,7 @@ from ..operators import grid as G
 from ..operators import legacy as L
 from ..operators import segment as S
 from ..schema import PING_COLUMNS
+from ..sources.writers import track_points
 from .pings import PINGS, pings
 
 GAP_S, MAX_KPH, TIES = 86400.0, 160.0, ("event_id",)
@@ -182,6 +183,12 @@ def q_legacy_tracks(spark: SparkSession, d: str) -> DataFrame:
     return _r(L.legacy_layers(points, ties=TIES)[0].select("mmsi", "track_id", "seg_pts", "elp_sec", "seg_len_km", "bad_spd"), "seg_len_km")
 
 
+def q_legacy_points(spark: SparkSession, d: str) -> DataFrame:
+    """The vertices of the older tracks as points, with the flag that stays once a step has been too fast."""
+    points, _ = L.legacy_tracks(pings(spark, d), GAP_S, MAX_KPH, TIES)
+    return track_points(L.legacy_layers(points, ties=TIES)[1])
+
+
 _ORDER = "PARTITION BY mmsi ORDER BY time, message_id, latitude, longitude, cog, sog, heading, event_id"
 _BASE = f"""
 WITH pings AS ({PINGS}),
@@ -248,7 +255,7 @@ _WALKED = f"""
       FROM (SELECT acc.mmsi, acc.k, acc.p, h.a, h.b, h.track, h.grown, h.v, h.b IS NOT NULL AND (h.a.s IS DISTINCT FROM h.b.s OR {_apart("h.a", "h.b")}) AS broken FROM held h JOIN acc ON acc.mmsi = h.mmsi AND acc.k = h.k + 1)))),
 ends AS (FROM held h WHERE b IS NOT NULL AND NOT grown AND k = (SELECT max(k) FROM acc WHERE acc.mmsi = h.mmsi)),
 taken AS (SELECT out_id AS id, out_track AS track FROM held WHERE out_id IS NOT NULL UNION ALL SELECT a.id, track FROM ends UNION ALL SELECT b.id, track FROM ends WHERE NOT ({_apart("a", "b")})),
-steps AS (SELECT acc.mmsi, track, time, {_km("lag(longitude) OVER w", "lag(latitude) OVER w", "longitude", "latitude")} AS km, (epoch_us(time) - epoch_us(lag(time) OVER w)) / 1e6 AS sec FROM acc JOIN taken ON acc.event_id = taken.id WINDOW w AS (PARTITION BY acc.mmsi, track ORDER BY k))
+steps AS (SELECT acc.mmsi, track, k, time, sog, longitude, latitude, {_km("lag(longitude) OVER w", "lag(latitude) OVER w", "longitude", "latitude")} AS km, (epoch_us(time) - epoch_us(lag(time) OVER w)) / 1e6 AS sec FROM acc JOIN taken ON acc.event_id = taken.id WINDOW w AS (PARTITION BY acc.mmsi, track ORDER BY k))
 """
 _PLACED = f"""
 , flags AS (SELECT *, coalesce(event2 IS NOT NULL AND NOT dup, false) AS first FROM pairs WHERE m >= 3),
@@ -330,6 +337,7 @@ SELECT (ix * ny + iy)::BIGINT AS cell_id, ix, iy, round(ox + ix * 0.5::DOUBLE, 6
     "legacy_p2p": _ACCEPTED + f""", n AS (SELECT mmsi, k - 1 AS track_id, p, lead(p) OVER (PARTITION BY mmsi ORDER BY k) AS q FROM acc), m AS (SELECT *, (epoch_us(q.t) - epoch_us(p.t)) / 1e6 AS elp_sec, {_km("p.x", "p.y", "q.x", "q.y")} AS km FROM n WHERE q IS NOT NULL)
 SELECT mmsi, track_id, elp_sec, round(km * 1000 / 1852 / (elp_sec / 3600), 6) AS distspdkts, round(km, 6) AS seg_len_km FROM m WHERE elp_sec > 0 AND elp_sec < {GAP_S} AND km * 1000 / 1852 / (elp_sec / 3600) > {L.LEGACY_MIN_KTS} AND km * 1000 / 1852 / (elp_sec / 3600) < {S.MAX_KTS}""",
     "legacy_tracks": _ACCEPTED + _WALKED + f"""SELECT mmsi, track AS track_id, count(*)::INT AS seg_pts, (epoch_us(max(time)) - epoch_us(min(time))) / 1e6 AS elp_sec, round(coalesce(sum(km), 0), 6) AS seg_len_km, max(coalesce(km / sec > {L.BAD_KM_S!r}, false)::INT) AS bad_spd FROM steps GROUP BY mmsi, track HAVING count(*) > 1""",
+    "legacy_points": _ACCEPTED + _WALKED + f"""SELECT track AS track_id, mmsi, time, sog, max(coalesce(km / sec > {L.BAD_KM_S!r}, false)::INT) OVER (PARTITION BY mmsi, track ORDER BY k) AS bad_spd, printf('POINT (%.6f %.6f)', longitude, latitude) AS wkt FROM steps""",
     "polygon_intersect": _BASE + _SEGMENTS + _GRID + f"SELECT * FROM ({_parts_sql(CROSSING_BITS)}) WHERE xa <> xb OR ya <> yb",
 }
 

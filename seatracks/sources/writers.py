@@ -97,8 +97,8 @@ def write_lines(df: DataFrame, path: str, fmt: str = "parquet_wkt") -> None:
 
 
 def track_points(df: DataFrame) -> DataFrame:
-    """Vertices with ``bad_spd`` as points, from the dots of the older layers."""
-    return df.select("track_id", "mmsi", "time", "sog", "bad_spd", "wkt")
+    """The vertices of the older layers as points: ``wkt`` of x and y, null where one is missing."""
+    return df.select("track_id", "mmsi", "time", "sog", "bad_spd", F.when(F.col("x").isNotNull() & F.col("y").isNotNull(), geo.point_wkt("x", "y")).alias("wkt"))
 
 
 def write_overlay(df: DataFrame, path: str) -> None:
