@@ -6,15 +6,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import decode as D
 from ..operators import normalize as N
 from ..operators import segment as S
 from ..schema import PING_COLUMNS
 from ..shared import shared_dir
 from ..sources import readers as R
 from ..sources import writers as W
-from .messages import _dsv, _ee
+from .messages import _GOOD, _dsv, _ee, _packets
 from .pings import PINGS, pings
-from .tracks import _BASE, _DISCARDS, _SEGMENTS, GAP_S, TIES, _lines
+from .tracks import _BASE, _DISCARDS, _GRID, _SEGMENTS, GAP_S, TIES, VALUE_BITS, _bits_sql, _interp_time, _lines, _to_bits
 
 #: A station's prefix of the tower's ids.
 STATION, DAY = "H", "20150101"
@@ -101,6 +102,23 @@ def q_line_files(spark: SparkSession, d: str) -> DataFrame:
     return f.select("type", F.col("geometry.type").alias("shape"), "properties.mmsi", "properties.track_id", F.size("geometry.coordinates").alias("points"), at(0, 0).alias("x1"), at(0, 1).alias("y1"), at(1, 0).alias("x2"), at(1, 1).alias("y2"))
 
 
+def q_message_files(spark: SparkSession, d: str) -> DataFrame:
+    """Decoded messages written by type as JSON and read: the group of types and the text."""
+    home = f"{shared_dir(spark)}/messages"
+    tables = D.decode(_packets(spark, d), types=(1, 5, 18))
+    for layout in ("cnb", "type18", "type5"):
+        W.write_by_message(tables[layout].select("date", "msgtype", "mmsi"), home, "json")
+    return spark.read.text(home).select(F.col("msg_group").cast("string").alias("msg_group"), "value")
+
+
+def q_overlay_files(spark: SparkSession, d: str) -> DataFrame:
+    """The overlay's values and times written as CSV with a header and read."""
+    home = f"{shared_dir(spark)}/overlay"
+    W.write_overlay(_interp_time(spark, d).select("mmsi", "track_id", "grid_id", "interp", "interp_time"), home)
+    rows = spark.read.option("header", True).schema("mmsi long, track_id long, grid_id long, interp double, interp_time timestamp").csv(home)
+    return _to_bits(rows, interp=VALUE_BITS)
+
+
 _WITH = f"WITH pings AS ({PINGS}) "
 _DATE = "strftime(time, '%Y%m%dT%H%M%S') || '.000Z'"
 _NAV = "coalesce(navigational_status::VARCHAR, '')"
@@ -126,6 +144,9 @@ CASE WHEN NOT short OR message_id = 18 THEN latitude END AS latitude, longitude
     "vessel_numbers": _WITH + "SELECT event_id, CASE WHEN event_id % 17 = 0 THEN 'n_a_' ELSE '' END || mmsi AS name, (event_id % 17 <> 0)::INT AS valid FROM pings",
     "vessel_files": _WITH + "SELECT mmsi, 1::BIGINT AS files, count(*) AS n, min(time) AS first, max(time) AS last, sum(event_id)::BIGINT AS ids FROM pings GROUP BY mmsi",
     "segment_files": _BASE + f"SELECT event_id, mmsi, 'kept' AS reason FROM p2p UNION ALL ({_DISCARDS})",
+    "message_files": _WITH + f"""SELECT CASE message_id WHEN 1 THEN '1_2_3' ELSE '18' END AS msg_group, '{{"date":"' || {_DATE} || '","msgtype":' || message_id || ',"mmsi":' || mmsi || '}}' AS value FROM pings WHERE {_GOOD}
+UNION ALL SELECT '5', '{{"date":"' || {_DATE} || '","msgtype":5,"mmsi":' || mmsi || '}}' FROM pings WHERE event_id % 20 = 0""",
+    "overlay_files": _BASE + _SEGMENTS + _GRID + f"SELECT mmsi, track_id, grid_id, {_bits_sql('interp', VALUE_BITS)} AS interp, to_timestamp(interp_s) AT TIME ZONE 'UTC' AS interp_time FROM inside WHERE t0 < t1",
     "line_files": _BASE + _SEGMENTS + "SELECT 'Feature' AS type, 'LineString' AS shape, mmsi, track_id, 2::INT AS points, x1, y1, x2, y2 FROM segs",
 }
 
