@@ -286,6 +286,15 @@ def decode(packets: DataFrame, types: Sequence[int] | None = None, scaled: bool
     return Tables(table, [*[n for n, (of, _) in LAYOUTS.items() if not types or set(of) & set(types)], "rejects"])
 
 
+def completed(rows: DataFrame, register: DataFrame, key: str, name: str, room: int) -> DataFrame:
+    """Texts that may go on past their field of ``room`` letters: one that fills it becomes the register's text for the
+    row's key, if that begins with what was received. The register has a row for each key at most."""
+    whole = register.where(F.length(name) > room).select(F.col(key).cast("long").alias("_key"), F.col(name).alias("_whole"))
+    full = F.when(F.length(name) == room, F.col(key).try_cast("long"))
+    out = rows.withColumn("_full", full).join(whole, F.col("_full") == F.col("_key"), "left")
+    return out.withColumn(name, F.when(F.col("_whole").startswith(F.col(name)), F.col("_whole")).otherwise(F.col(name))).select(*rows.columns)
+
+
 def malformed(packets: DataFrame) -> DataFrame:
     """The raw text of messages whose length is out of range."""
     return typed(packets).where("bogon").select("raw")
