@@ -8,8 +8,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType
 
 from .carry import BLOCK, last_known
 from .layouts import LAYOUTS, LEGENDS, LENGTHS, SCALED, Field
@@ -17,6 +21,16 @@ from .layouts import LAYOUTS, LEGENDS, LENGTHS, SCALED, Field
 LEAST_BITS = 168
 
 
+_HEX = pa.array([f"{i:02X}" for i in range(256)])
+
+
+def _buffers(text: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Where texts begin and end, and their bytes."""
+    _, at, data = text.buffers()
+    offsets = np.frombuffer(at, np.int64)[text.offset : text.offset + len(text) + 1] if at else np.zeros(1, np.int64)
+    return offsets - offsets[0], np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8)
+
+
 def once(df: DataFrame, **columns: Column) -> DataFrame:
     """Adds columns that are computed once for each row: a generator of one row, which no filter or projection on them
     is pushed through (each would carry a copy of the whole expression)."""
@@ -24,11 +38,20 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def checksum(sentence: Column) -> Column:
-    """Upper-case hexadecimal exclusive or of the bytes between ``!`` and ``*``, seven at a time."""
-    body = F.hex(F.regexp_extract(sentence, r"^!([^*]*)\*", 1))
-    seven = lambda i: F.coalesce(F.conv(F.substring(body, i * 14 + 1, F.lit(14)), 16, 10).cast("long"), F.lit(0).cast("long"))
-    all_ = F.aggregate(F.sequence(F.lit(0), F.floor(F.length(body) / 14).cast("int")), F.lit(0).cast("long"), lambda x, i: x.bitwiseXOR(seven(i)), lambda x: reduce(Column.bitwiseXOR, [F.shiftright(x, 8 * k) for k in range(1, 7)], x).bitwiseAND(255))
-    return F.lpad(F.hex(all_), 2, "0")
+    """Upper-case hexadecimal exclusive or of the bytes between ``!`` and ``*``; 00 without both."""
+    return F.arrow_udf(_checksums, StringType())(sentence)
+
+
+def _checksums(sentence: pa.Array) -> pa.Array:
+    text = sentence.cast(pa.large_string())
+    offsets, data = _buffers(text)
+    stars = np.asarray(pc.fill_null(pc.find_substring(text, "*"), -1))
+    sums = np.concatenate(([0], np.bitwise_xor.accumulate(data))).astype(np.uint8)
+    start = offsets[:-1]
+    first = np.append(data, 0)[start]  # of a text that is empty, the next one's; it has no star
+    whole = (stars > 0) & (first == ord("!"))
+    values = np.where(whole, sums[start + np.where(whole, stars, 0)] ^ sums[start + whole], 0).astype(np.int32)
+    return pc.take(_HEX, pa.array(values, pa.int32(), mask=np.asarray(text.is_null())))
 
 
 def verify_sentences(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -83,22 +106,37 @@ _DIGITS = "".join(BASE64[i - 8 if i > 40 else i] for i in range(72))
 LETTERS = "".join(chr(i + 64 if i < 32 else i) for i in range(64))
 
 
+#: The value of each byte of a payload; those that code nothing are zeros.
+_VALUES = np.zeros(256, np.int64)
+_VALUES[[ord(c) for c in _ARMOUR]] = [BASE64.index(c) for c in _DIGITS]
+
+
+def _words(payload: pa.Array, used: pa.Array) -> pa.Array:
+    """The bits of payloads, as far as they are used, as numbers of 48."""
+    text = payload.cast(pa.large_string())
+    text = pc.if_else(pc.string_is_ascii(text), text, pc.replace_substring_regex(text, r"[^\x00-\x7f]", "/"))
+    bits = np.asarray(pc.fill_null(used, 0)).astype(np.int64)
+    offsets, data = _buffers(text)
+    n = -(-bits // 6)
+    words = np.maximum(-(-n // 8), -(-(LEAST_BITS // 6 + 4) // 8))
+    ends = np.concatenate(([0], np.cumsum(words)))
+    row = np.repeat(np.arange(len(n)), n)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    digits = _VALUES[data[offsets[row] + place]]
+    # the pad's share of the last character is cleared
+    spare = (n * 6 - bits)[row]
+    digits = np.where(place == n[row] - 1, digits >> spare << spare, digits)
+    grid = np.zeros(int(ends[-1]) * 8, np.int64)
+    grid[ends[row] * 8 + place] = digits
+    values = (grid.reshape(-1, 8) << np.arange(42, -1, -6)).sum(axis=1)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values), mask=pc.or_(text.is_null(), used.is_null()))
+
+
 def to_words(packets: DataFrame) -> DataFrame:
     """``words``: the bits as numbers of 48, from the first on, without the pad and with zeros at the end; and ``bitlen``,
     the bits of the payload without the pad. Characters that code nothing count as zeros."""
     kept = F.greatest(F.length("payload") * 6 - F.col("pad"), F.lit(0))
-    used = F.ceil(F.col("bitlen") / 6).cast("int")
-    digits = F.translate(F.regexp_replace(F.substring(F.col("payload"), F.lit(1), used), r"[^0-w]", "0"), _ARMOUR, _DIGITS)
-    # the pad's share of the last character is cleared
-    spare = used * 6 - F.col("bitlen")
-    last = F.right(digits, F.lit(1))
-    for n in range(1, 6):
-        last = F.when(spare == n, F.translate(last, BASE64, "".join(BASE64[i >> n << n] for i in range(64)))).otherwise(last)
-    clean = F.when(spare > 0, F.concat(F.left(digits, used - 1), last)).otherwise(digits)
-    out = once(packets, bitlen=kept)
-    out = once(out, _h=F.hex(F.unbase64(F.rpad(clean, F.greatest(F.ceil(used / 8).cast("int") * 8, F.lit(LEAST_BITS // 6 + 4)), "A"))))
-    word = lambda i: F.conv(F.substring(F.col("_h"), i * 12 + 1, F.lit(12)), 16, 10).cast("long")
-    return once(out, words=F.transform(F.sequence(F.lit(0), (F.length("_h") / 12).cast("int") - 1), word)).drop("_h")
+    return once(once(packets, bitlen=kept), words=F.arrow_udf(_words, ArrayType(LongType()))("payload", "bitlen"))
 
 
 def _bits(at: int, width: int) -> Column:

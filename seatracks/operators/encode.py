@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from .decode import BASE64, LETTERS, WORD, checksum
+from .decode import BASE64, LETTERS, WORD, _buffers, checksum
 from .layouts import HEADER, TEXT, width
 
 BODY = 60
@@ -13,9 +17,19 @@ BODY = 60
 ARMOUR = "".join(chr(i + 48 if i < 40 else i + 56) for i in range(64))
 
 
-def _number(value: Column, bits: int) -> Column:
-    v = value.cast("long")
-    return F.lpad(F.bin(F.when(v < 0, v + (1 << bits)).otherwise(v)), bits, "0")
+#: Bits of several numbers that one number holds.
+RUN = 62
+
+
+def _numbers(run: list[tuple[Column | None, int]]) -> Column:
+    """Numbers with their bits, side by side; None is zero."""
+    total, left = F.lit(0).cast("long"), sum(n for _, n in run)
+    bits = left
+    for value, n in run:
+        left -= n
+        if value is not None:
+            total = total.bitwiseOR(F.shiftleft(value.cast("long").bitwiseAND(F.lit((1 << n) - 1).cast("long")), left))
+    return F.lpad(F.bin(total), bits, "0")
 
 
 def _text(value: Column, bits: int) -> Column:
@@ -28,25 +42,51 @@ def _text(value: Column, bits: int) -> Column:
 
 def bits_of(layouts: list[str], values: dict[str, Column]) -> Column:
     """The bits of a message; fields without a value are zero."""
-    parts = []
+    parts: list[Column] = []
+    run: list[tuple[Column | None, int]] = []
+
+    def close() -> None:
+        if any(value is not None for value, _ in run):
+            parts.append(_numbers(run))
+        elif run:
+            parts.append(F.lit("0" * sum(n for _, n in run)))
+        run.clear()
+
     for item in " ".join([HEADER, *(TEXT[n] for n in layouts)]).split():
         name, _, spec = item.partition(":")
         n = int(spec.partition("=")[0].lstrip("uscr"))
-        if name == "_" or name not in values:
-            parts.append(F.lit("0" * n))
+        value = None if name == "_" else values.get(name)
+        text = value is not None and spec[0] == "c"
+        if text or n + sum(k for _, k in run) > RUN:
+            close()
+        if text:
+            parts.append(_text(value, n))
         else:
-            parts.append(_text(values[name], n) if spec[0] == "c" else _number(values[name], n))
+            run.append((value, n))
+    close()
     return F.concat(*parts)
 
 
+def _armoured(bits: pa.Array) -> pa.Array:
+    """Texts of one length of bits as payload characters, with zeros to a whole one."""
+    text = bits.cast(pa.large_string())
+    valid = text.drop_null()
+    if not len(valid):
+        return pa.nulls(len(text), pa.string())
+    _, data = _buffers(valid)
+    rows = np.frombuffer(data, np.uint8).reshape(len(valid), -1) - ord("0")
+    rows = np.pad(rows, ((0, 0), (0, -rows.shape[1] % 6))).reshape(len(valid), -1, 6)
+    chars = np.frombuffer(ARMOUR.encode(), np.uint8)[rows @ np.array([32, 16, 8, 4, 2, 1], np.uint8)]
+    out = pa.array(np.ascontiguousarray(chars).view(f"S{chars.shape[1]}").ravel(), pa.binary()).cast(pa.string())
+    if not text.null_count:
+        return out
+    at = np.cumsum(np.asarray(text.is_valid())) - 1
+    return pc.take(out, pa.array(at, pa.int64(), mask=np.asarray(text.is_null())))
+
+
 def armour(bits: Column, n: int) -> tuple[Column, int]:
     """The payload of n bits, and the bits of padding."""
-    pad = -n % 6
-    words = -(-(n + pad) // WORD)
-    full = F.rpad(bits, words * WORD, "0")
-    hexes = F.concat(*[F.lpad(F.conv(F.substring(full, i * WORD + 1, WORD), 2, 16), WORD // 4, "0") for i in range(words)])
-    text = F.translate(F.base64(F.unhex(hexes)), BASE64 + "\r\n", ARMOUR)
-    return F.substring(text, 1, (n + pad) // 6), pad
+    return F.arrow_udf(_armoured, StringType())(bits), -n % 6
 
 
 def bits_in(layouts: list[str]) -> int:
