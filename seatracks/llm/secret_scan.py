@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,6 +30,8 @@ HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer"
 #: Names that speak about secrets without holding one.
 NAME_NOT = {"length", "len", "count", "policy", "url", "uri", "path", "file", "type", "name", "id", "field", "hint", "expiry", "ttl"}
 PLACEHOLDER = re.compile(r"(?:change|replace)_?me|example|placeholder|your[_-]|dummy|sample|^x{3,}$|^\*+$|^<.*>$|^\$\{|^(?:null|none|true|false|undefined|nil)$", re.IGNORECASE)
+#: Of these, the words that may stand anywhere.
+WORDS = re.compile(PLACEHOLDER.pattern.partition("|^")[0], re.IGNORECASE)
 LEAST_SCORE = 5.0
 
 QUOTED = r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`"""
@@ -54,28 +57,91 @@ def name_score(name: str) -> float:
     return float(max([NAME_PARTS.get(p, 0) for p in parts] + [NAME_PARTS.get(a + b, 0) for a, b in zip(parts, parts[1:], strict=False)] + [0]))
 
 
+def _score(n: float, entropy: float, classes: int) -> float:
+    return min(n, 24) / 12 + classes / 2 + max(0.0, entropy - 2)
+
+
+def _classes(x: Iterable[str]) -> set[int]:
+    """Which classes of characters occur: digits, lower and upper case, others."""
+    return {k for c in x for k, is_ in enumerate((c.isdigit(), c.islower(), c.isupper(), not c.isalnum())) if is_}
+
+
 def literal_score(x: str) -> float:
     """How much a literal looks like a secret: length, character classes and entropy; placeholders score nothing."""
     if len(x) < 6 or PLACEHOLDER.search(x):
         return 0.0
-    n = len(x)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(x).values())
-    classes = sum((any(map(str.isdigit, x)), any(map(str.islower, x)), any(map(str.isupper, x)), not x.isalnum()))
-    return min(n, 24) / 12 + classes / 2 + max(0.0, entropy - 2)
-
-
-#: Of a literal joined from several, so many characters are kept for its looks: sums of sums can be of any length.
-LOOKS = 256
+    n, counts = len(x), Counter(x)
+    return _score(n, -sum(c / n * math.log2(c / n) for c in counts.values()), len(_classes(counts)))
+
+
+#: A joined literal up to this length is looked at as a text.
+SHORT = 256
+#: A placeholder's word, and what an anchored one begins with, are no longer.
+EDGE = 16
+#: Above this length, counts of characters are in units of it.
+UNIT = 2.0**512
+
+
+class _Looks:
+    """What a joined literal's score needs, of all its characters: sums of sums can be of any length, so beyond ``SHORT``
+    it is counts (in units, by the order in which characters were met), both ends, and whether a placeholder's word lies
+    anywhere."""
+
+    __slots__ = ("counts", "head", "kinds", "n", "placeholder", "tail", "text", "units")
+
+    def __init__(self, parts: list[str | _Looks], order: dict[str, int]):
+        looks = [p if isinstance(p, _Looks) else None for p in parts]
+        self.text: str | None = None
+        texts = [p if isinstance(p, str) else p.text for p in parts]
+        if None not in texts and sum(map(len, texts)) <= SHORT:
+            self.text = "".join(texts)
+            return
+        self.units = max((p.units for p in looks if p and p.text is None), default=0)
+        self.counts, self.kinds, self.placeholder, self.head, self.tail = array("d"), set(), False, "", ""
+        for p, text in zip(looks, texts, strict=True):
+            if text is not None:
+                seen = self.tail + text
+                self.placeholder |= bool(WORDS.search(seen))
+                self.kinds |= _classes(text)
+                self._add(((order.setdefault(c, len(order)), k) for c, k in Counter(text).items()), self.units)
+                head, self.tail = text, seen[-EDGE:]
+            else:
+                self.placeholder |= p.placeholder or bool(WORDS.search(self.tail + p.head))
+                self.kinds |= p.kinds
+                self._add(enumerate(p.counts), self.units - p.units)
+                head, self.tail = p.head, p.tail
+            self.head = (self.head + head[:EDGE])[:EDGE]
+        self.n = sum(self.counts)
+        if self.n > UNIT:
+            self.counts, self.n, self.units = array("d", (k / UNIT for k in self.counts)), self.n / UNIT, self.units + 1
+
+    def _add(self, counts: Iterable[tuple[int, float]], down: int) -> None:
+        by = 1.0 if not down else 1 / UNIT if down == 1 else 0.0
+        for i, k in counts:
+            if i >= len(self.counts):
+                self.counts.extend([0.0] * (i + 1 - len(self.counts)))
+            self.counts[i] += k * by
+
+    def score(self, order: dict[str, int]) -> float:
+        """As ``literal_score`` of the whole text."""
+        if self.text is not None:
+            return literal_score(self.text)
+        if self.placeholder or self.head.startswith("${") or self.head[0] == "<" and self.tail[-1] == ">":
+            return 0.0
+        only = {i for i, k in enumerate(self.counts) if k}
+        if only <= {order.get("x"), order.get("X")} or only == {order.get("*")}:
+            return 0.0
+        return _score(math.inf, -sum(k / self.n * math.log2(k / self.n) for k in self.counts if k), len(self.kinds))
 
 
 class _Value:
     """What a name stands for: its own span, or other values side by side. Names share values, so a value that holds
     another twice costs no more than a reference, and each span is found once."""
 
-    __slots__ = ("found", "parts", "span", "text")
+    __slots__ = ("found", "looks", "parts", "span")
 
-    def __init__(self, text: str, span: tuple[int, int] | None, parts: list[_Value]):
-        self.text, self.span, self.parts, self.found = text, span, parts, False
+    def __init__(self, looks: str | _Looks, span: tuple[int, int] | None, parts: list[_Value]):
+        self.looks, self.span, self.parts, self.found = looks, span, parts, False
 
     def spans(self) -> Iterator[tuple[int, int]]:
         """The spans below that nothing has found yet."""
@@ -89,19 +155,11 @@ class _Value:
                     yield value.span
 
 
-def _joined(values: list[_Value]) -> _Value:
-    looks, n = [], 0
-    for v in values:
-        if n < LOOKS:
-            looks.append(v.text)
-            n += len(v.text)
-    return _Value("".join(looks)[:LOOKS] if n > LOOKS else "".join(looks), None, values)
-
-
 def lex(text: str) -> list[tuple[int, int]]:
     """Spans of the literals that reach sensitive names, directly or through constants."""
     found: list[tuple[int, int]] = []
     bound: dict[str, _Value] = {}
+    order: dict[str, int] = {}
 
     def literal(raw: str, at: int) -> list[_Value]:
         if raw[0] in "\"'`" and len(raw) >= 2:
@@ -118,10 +176,10 @@ def lex(text: str) -> list[tuple[int, int]]:
         while kind == "value" and (more := MORE.match(text, end)):
             values += literal(more["value"], more.start("value"))
             end = more.end()
-        bound[name] = values[0] if len(values) == 1 else _joined(values)
+        value = bound[name] = values[0] if len(values) == 1 else _Value(_Looks([v.looks for v in values], order), None, values)
         weight = name_score(name)
-        if weight and weight + literal_score(bound[name].text) >= LEAST_SCORE:
-            found += bound[name].spans()
+        if weight and weight + (literal_score(value.looks) if isinstance(value.looks, str) else value.looks.score(order)) >= LEAST_SCORE:
+            found += value.spans()
     return list(dict.fromkeys(found))
 
 
@@ -160,7 +218,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """One row for each document with its counts and spans in code points.
 
     Null or empty text: no spans. Repeated rows: one row each. Other columns are ignored; an empty table gives none.
-    The memory of a task is one Arrow batch. A joined literal looks as its first 256 characters do.
+    The memory of a task is one Arrow batch. A joined literal looks as its whole text does.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -56,3 +56,32 @@ def test_names_of_any_length():
     for run in ("a" * 300_000, "a-" * 150_000, "a--" * 100_000, "--a" * 100_000, "a." * 150_000, "$a" * 150_000):
         S.lex(run + " password = x")
     assert time.process_time() - began < 20
+
+
+def test_joined_literals_are_looked_at_whole():
+    pad = "a" * 300
+    assert literals(f'p = "{pad}"\nauth = p + "Zx81-Qm77"') == [pad, "Zx81-Qm77"]  # all classes, in the last part alone
+    mixed = "Zx81-Qm77-Lp20-Rt55-Vw93-Bn46-Cd12-Yh68" * 20
+    assert literals(f'p = "{pad}"\npassword = p + "{mixed}"') == [pad, mixed]
+    assert literals(f'p = "{mixed}"\npassword = p + "change" + "me"') == []
+    assert literals(f'password = "<{mixed}" + "{mixed}" + ">"') == []
+    assert literals('p = "' + "x" * 200 + '"\npassword = p + p + p') == []
+
+
+def test_looks_of_joined_texts():
+    import random
+
+    rand = random.Random(5)
+    words = ["a", "x" * 90, "X" * 200, "*" * 140, "change", "_me", "exam", "ple", "${", "<", ">", "Zx81-Qm", "é\u0666ß", "A1b2C3d4" * 40, "nil", "placeh", "older", "Q"]
+    for _ in range(4000):
+        order, texts, looks = {}, [], []
+        for _ in range(rand.randint(1, 4)):
+            picked = [rand.randrange(len(words) + len(texts)) for _ in range(rand.randint(2, 3))]
+            texts.append("".join(([*words, *texts])[i] for i in picked))
+            looks.append(S._Looks([([*words, *looks])[i] for i in picked], order))
+        assert abs(looks[-1].score(order) - S.literal_score(texts[-1])) < 1e-9, texts[-1][:300]
+
+
+def test_doubling_a_thousand_times():
+    text = 'p0 = "Zx81-Qm77"\n' + "".join(f"p{i + 1} = p{i} + p{i}\n" for i in range(3000)) + "password = p3000 + p1"
+    assert literals(text) == ["Zx81-Qm77"]
