@@ -206,21 +206,27 @@ def _segments(df: DataFrame, grid: Grid | Polygons) -> DataFrame:
 
 
 def _edges(lines: DataFrame, vertices: str) -> DataFrame:
-    """A row for each edge of a line; a line is its row's struct ``_line``."""
-    out = lines.select(F.struct(*lines.columns).alias("_line"), F.col(vertices).alias("_v"))
-    out = out.select("_line", "_v", F.explode(F.when(F.size("_v") > 1, F.sequence(F.lit(0), F.size("_v") - 2))).alias("_e"))
+    """A row for each edge of a line, with the line's columns as ``_line_`` and their names; what isn't used of them
+    isn't carried along."""
+    own = [f"_line_{c}" for c in lines.columns]
+    out = lines.select(*[F.col(c).alias(n) for c, n in zip(lines.columns, own, strict=True)], F.col(vertices).alias("_v"))
+    out = out.select(*own, "_v", F.explode(F.when(F.size("_v") > 1, F.sequence(F.lit(0), F.size("_v") - 2))).alias("_e"))
     p = lambda i, k: F.get("_v", F.col("_e") + i)[k]
-    return out.select("_line", "_e", p(0, "x").alias("_x1"), p(0, "y").alias("_y1"), p(1, "x").alias("_x2"), p(1, "y").alias("_y2"))
+    return out.select(*own, "_e", p(0, "x").alias("_x1"), p(0, "y").alias("_y1"), p(1, "x").alias("_x2"), p(1, "y").alias("_y2"))
 
 
 def _parts(lines: DataFrame, grid: Grid | Polygons, vertices: str, key: Sequence[str]) -> DataFrame:
-    """For each line (by its key) and cell: the line, the parts inside in order, and their length."""
+    """For each line (by its key) and cell: the line's columns, grid_id, ``_len`` of the parts inside and, in order, those
+    (``_parts``)."""
     cut = _clipped(_edges(lines, vertices), grid)
     (xa, ya), (xb, yb) = _at("_t0"), _at("_t1")
     part = F.struct(F.col("_e").alias("e"), xa.alias("xa"), ya.alias("ya"), xb.alias("xb"), yb.alias("yb"))
-    return cut.groupBy(*[F.col(f"_line.{k}").alias(f"_k{i}") for i, k in enumerate(key)], "grid_id").agg(
-        F.first("_line").alias("_line"), F.array_sort(F.collect_list(part)).alias("_parts"), F.sum(geo.euclid("_x1", "_y1", "_x2", "_y2") * (F.col("_t1") - F.col("_t0"))).alias("_len")
+    met = cut.groupBy(*[F.col(f"_line_{k}").alias(k) for k in key], "grid_id").agg(
+        *[F.first(f"_line_{c}").alias(f"_line_{c}") for c in lines.columns if c not in key],
+        F.array_sort(F.collect_list(part)).alias("_parts"),
+        F.sum(geo.euclid("_x1", "_y1", "_x2", "_y2") * (F.col("_t1") - F.col("_t0"))).alias("_len"),
     )
+    return met.select(*[F.col(c if c in key else f"_line_{c}").alias(c) for c in lines.columns], F.col("grid_id").alias("_cell"), "_parts", "_len")
 
 
 def grid_intersect(lines: DataFrame, grid: Grid | Polygons, key: Sequence[str], vertices: str = "vertices", lines_epsg: int | None = None, on_mismatch: str = "error") -> DataFrame:
@@ -229,13 +235,13 @@ def grid_intersect(lines: DataFrame, grid: Grid | Polygons, key: Sequence[str],
     check_srs(grid.epsg if lines_epsg is None else lines_epsg, grid, on_mismatch)
     one = lambda p: F.concat(F.lit("("), F.concat_ws(" ", p["xa"].cast("string"), p["ya"].cast("string")), F.lit(", "), F.concat_ws(" ", p["xb"].cast("string"), p["yb"].cast("string")), F.lit(")"))
     wkt = F.concat(F.lit("MULTILINESTRING ("), F.array_join(F.transform("_parts", one), ", "), F.lit(")"))
-    return _parts(lines, grid, vertices, key).select("_line.*", "grid_id", F.col("_parts").alias("parts"), wkt.alias("int_wkt"))
+    return _parts(lines, grid, vertices, key).select(*lines.columns, F.col("_cell").alias("grid_id"), F.col("_parts").alias("parts"), wkt.alias("int_wkt"))
 
 
 def grid_length(lines: DataFrame, grid: Grid | Polygons, key: Sequence[str], vertices: str = "vertices", lines_epsg: int | None = None, on_mismatch: str = "error") -> DataFrame:
     """All columns of each line with its cells and planar length / 1000 there (km if the plane is in metres)."""
     check_srs(grid.epsg if lines_epsg is None else lines_epsg, grid, on_mismatch)
-    return _parts(lines, grid, vertices, key).select("_line.*", (F.col("_len") / 1000).alias("grd_len_km"), "grid_id")
+    return _parts(lines, grid, vertices, key).select(*lines.columns, (F.col("_len") / 1000).alias("grd_len_km"), F.col("_cell").alias("grid_id"))
 
 
 def grid_track_length(chunks: DataFrame, grid: Grid | Polygons, key: Sequence[str] = ("mmsi", "track_id"), vertices: str = "vertices", lines_epsg: int | None = None, on_mismatch: str = "error") -> DataFrame:
@@ -245,7 +251,7 @@ def grid_track_length(chunks: DataFrame, grid: Grid | Polygons, key: Sequence[st
     """
     check_srs(grid.epsg if lines_epsg is None else lines_epsg, grid, on_mismatch)
     cut = _clipped(_edges(chunks, vertices), grid)
-    keys = [F.col(f"_line.{k}").alias(k) for k in key]
+    keys = [F.col(f"_line_{k}").alias(k) for k in key]
     return cut.groupBy(*keys, "grid_id").agg(F.sum(_length()).alias("grd_len_km"), F.count(F.lit(1)).alias("n_parts"))
 
 

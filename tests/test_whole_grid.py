@@ -27,3 +27,11 @@ def test_queries_of_the_grid(spark):
     with_length = {(r.mmsi, r.track_id, r.grid_id) for r in timed}
     assert with_length <= set(keys) and sum(r.n_lines for r in density) == len(timed) == len(with_length)
     assert abs(sum(r.total_len_km for r in density) - km) < 1e-6 * len(density)  # sums are rounded by cell
+
+
+def test_lengths_carry_no_lines(spark):
+    """Lengths by line and cell are sums of numbers: no column of vertices is shuffled or gathered."""
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["grid_lengths"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
