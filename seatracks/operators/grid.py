@@ -11,10 +11,15 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ..functions import geo
+from ..shared import shared_dir, written
 
 
 @dataclass(frozen=True)
@@ -131,7 +136,7 @@ def _clipped_by_polygons(edges: DataFrame, layer: Polygons) -> DataFrame:
     """As ``_clipped``. A pair that meets in several tiles is kept in the first: columns from left to right, then rows."""
     tile = float(layer.tile)
     tiled = _tiled(edges, tile)
-    counts = tiled.groupBy("_tx", "_ty").agg(F.count(F.lit(1)).alias("_n"))
+    counts = written(tiled.groupBy("_tx", "_ty").agg(F.count(F.lit(1)).alias("_n")), f"{shared_dir(edges.sparkSession)}/tiles")
     share = max((counts.agg(F.sum("_n")).first()[0] or 0) // HOT_TILE, 1000)
     # of such tiles there are at most HOT_TILE
     hot = F.broadcast(counts.where(F.col("_n") > share).select("_tx", "_ty", F.ceil(F.col("_n") / share).cast("int").alias("_copies")))
@@ -158,43 +163,68 @@ def _sides(rings: str) -> Column:
     return F.flatten(F.transform(rings, of))
 
 
+PARTS = ArrayType(StructType([StructField("a", DoubleType()), StructField("b", DoubleType())]))
+
+
 def _inside(sides: str, borders: str) -> Column:
     """The parts a..b of an edge (0 to 1) inside, in order, apart from each other. An edge without length is a part (0, 0)
     where it lies inside."""
-    x, y = F.col("_x1"), F.col("_y1")
-    point = (F.col("_x2") == x) & (F.col("_y2") == y)
-    dx, dy = F.when(point, 1.0).otherwise(F.col("_x2") - x), F.col("_y2") - y
-    end = F.when(point, 0.0).otherwise(1.0)
-    off = lambda px, py: dx * (py - y) - dy * (px - x)  # noqa: E731  on which side of the edge's line
-    on = lambda px, py: (dx * (px - x) + dy * (py - y)) / (dx * dx + dy * dy)  # noqa: E731  where along it
-
-    def crossing(s: Column) -> Column:
-        a, b = off(s["x"], s["y"]), off(s["u"], s["v"])
-        # a corner that lies on the line counts to its left, so what only touches crosses twice or not at all
-        return F.when((a < 0) != (b < 0), on(s["x"] + (s["u"] - s["x"]) * (a / (a - b)), s["y"] + (s["v"] - s["y"]) * (a / (a - b))))
-
-    crossings = F.array_sort(F.array_compact(F.transform(sides, crossing)))
-    part = lambda a, b: F.struct(F.greatest(a, F.lit(0.0)).alias("a"), F.least(b, end).alias("b"))
-    halves = F.filter(F.sequence(F.lit(0), F.size(crossings)), lambda i: (i % 2 == 0) & (i < F.size(crossings)))
-    parts = F.transform(halves, lambda i: part(F.get(crossings, i), F.get(crossings, i + 1)))
-    if borders == "both":
-        def along(s: Column) -> Column:
-            a, b = on(s["x"], s["y"]), on(s["u"], s["v"])
-            first = off(s["x"], s["y"]) == 0
-            return F.when(first & (off(s["u"], s["v"]) == 0), part(F.least(a, b), F.greatest(a, b))).when(first, part(a, a))
-
-        parts = F.concat(parts, F.array_compact(F.transform(sides, along)))
-    elif borders != "one":
+    if borders not in ("both", "one"):
         raise ValueError("borders is both or one")
-    parts = F.sort_array(F.filter(parts, lambda p: p["a"] <= p["b"]))
-    last = lambda done: F.element_at(done, -1)
-
-    def merge(done: Column, p: Column) -> Column:
-        apart = F.when(F.size(done) == 0, F.lit(True)).otherwise(p["a"] > last(done)["b"])
-        joined = F.struct(last(done)["a"].alias("a"), F.greatest(last(done)["b"], p["b"]).alias("b"))
-        return F.when(apart, F.concat(done, F.array(p))).otherwise(F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined)))
 
-    return F.aggregate(parts, F.array().cast("array<struct<a:double,b:double>>"), merge)
+    def cut(x1: pa.Array, y1: pa.Array, x2: pa.Array, y2: pa.Array, sides: pa.Array) -> pa.Array:
+        return _cut(*(np.asarray(c, np.float64) for c in (x1, y1, x2, y2)), sides, borders == "both")
+
+    return F.arrow_udf(cut, PARTS)("_x1", "_y1", "_x2", "_y2", sides)
+
+
+def _cut(x: np.ndarray, y: np.ndarray, x2: np.ndarray, y2: np.ndarray, sides: pa.Array, both: bool) -> pa.Array:
+    """``_inside`` for a batch of pairs: all their sides side by side."""
+    n = len(x)
+    pair = np.repeat(np.arange(n), np.asarray(pc.fill_null(pc.list_value_length(sides), 0)))
+    flat = sides.flatten()
+    px, py, qx, qy = (np.asarray(flat.field(k), np.float64) for k in ("x", "y", "u", "v"))
+    point = (x2 == x) & (y2 == y)
+    dx, dy, end = np.where(point, 1.0, x2 - x), y2 - y, np.where(point, 0.0, 1.0)
+    ex, ey, ox, oy = dx[pair], dy[pair], x[pair], y[pair]
+    off = lambda vx, vy: ex * (vy - oy) - ey * (vx - ox)  # noqa: E731  on which side of the edge's line
+    on = lambda vx, vy: (ex * (vx - ox) + ey * (vy - oy)) / (ex * ex + ey * ey)  # noqa: E731  where along it
+    a, b = off(px, py), off(qx, qy)
+    # a corner that lies on the line counts to its left, so what only touches crosses twice or not at all
+    crosses = (a < 0) != (b < 0)
+    share = np.divide(a, a - b, out=np.zeros_like(a), where=crosses)
+    at, of = on(px + (qx - px) * share, py + (qy - py) * share)[crosses], pair[crosses]
+    order = np.lexsort((at, of))
+    at, of = at[order], of[order]
+    # crossings of a pair are even in number as rings are closed; each odd one begins a part
+    starts, stops, owner = at[0::2], at[1::2], of[0::2]
+    if both:
+        first, second = a == 0, b == 0
+        p, q = on(px, py)[first], on(qx, qy)[first]
+        q = np.where(second[first], q, p)
+        starts, stops, owner = np.concatenate((starts, np.minimum(p, q))), np.concatenate((stops, np.maximum(p, q))), np.concatenate((owner, pair[first]))
+    starts, stops = np.maximum(starts, 0.0), np.minimum(stops, end[owner])
+    kept = starts <= stops
+    starts, stops, owner = starts[kept], stops[kept], owner[kept]
+    order = np.lexsort((stops, starts, owner))
+    starts, stops, owner = starts[order], stops[order], owner[order]
+    furthest = _furthest(stops, owner)  # parts that meet become one
+    fresh = np.ones(len(starts), bool)
+    fresh[1:] = (owner[1:] != owner[:-1]) | (starts[1:] > furthest[:-1])
+    begin = np.flatnonzero(fresh)
+    last = np.append(begin[1:], len(starts)) - 1 if len(begin) else begin
+    offsets = np.concatenate(([0], np.cumsum(np.bincount(owner[begin], minlength=n))))
+    parts = pa.StructArray.from_arrays([pa.array(starts[begin]), pa.array(furthest[last])], ["a", "b"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), parts)
+
+
+def _furthest(stops: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The greatest stop so far of each owner, which come in runs: by doubling steps within a run."""
+    out, step = stops.copy(), 1
+    while step < len(out) and (same := owner[step:] == owner[:-step]).any():
+        out[step:] = np.where(same, np.maximum(out[step:], out[:-step]), out[step:])
+        step *= 2
+    return out
 
 
 def _at(t: str) -> tuple[Column, Column]:
@@ -223,7 +253,7 @@ def _parts(lines: DataFrame, grid: Grid | Polygons, vertices: str, key: Sequence
     part = F.struct(F.col("_e").alias("e"), xa.alias("xa"), ya.alias("ya"), xb.alias("xb"), yb.alias("yb"))
     met = cut.groupBy(*[F.col(f"_line_{k}").alias(k) for k in key], "grid_id").agg(
         *[F.first(f"_line_{c}").alias(f"_line_{c}") for c in lines.columns if c not in key],
-        F.array_sort(F.collect_list(part)).alias("_parts"),
+        F.sort_array(F.collect_list(part)).alias("_parts"),
         F.sum(geo.euclid("_x1", "_y1", "_x2", "_y2") * (F.col("_t1") - F.col("_t0"))).alias("_len"),
     )
     return met.select(*[F.col(c if c in key else f"_line_{c}").alias(c) for c in lines.columns], F.col("grid_id").alias("_cell"), "_parts", "_len")

@@ -104,3 +104,17 @@ def test_hot_tiles_are_dealt_out(spark, monkeypatch):
 def test_empty(spark):
     cells, segments = spark.createDataFrame([], POLYGON), spark.createDataFrame([], SEGMENT)
     assert G.grid_interpolate(segments, G.Polygons(cells, 1.0), "x1", "x2").count() == 0
+
+
+def test_pairs_are_cut_in_batches(spark):
+    """The cut of a pair is numpy over a batch, not an expression over each pair's arrays; an empty batch is one too."""
+    import numpy as np
+    import pyarrow as pa
+
+    square = [dict(zip("xyuv", v, strict=True)) for v in ((0.0, 0.0, 1.0, 0.0), (1.0, 0.0, 1.0, 1.0), (1.0, 1.0, 0.0, 1.0), (0.0, 1.0, 0.0, 0.0))]
+    kind = pa.list_(pa.struct([(c, pa.float64()) for c in "xyuv"]))
+    edges = np.array([(-1, 0.5, 3, 0.5), (0.5, 0.5, 0.5, 0.5), (5, 5, 5, 5), (0, 0, 2, 0), (-1, 1, 1, 3), (-1, 0, 1, 2)], float)
+    got = G._cut(*edges.T, pa.array([square] * len(edges), kind), True).to_pylist()
+    want = [[(0.25, 0.5)], [(0.0, 0.0)], [], [(0.0, 0.5)], [], [(0.5, 0.5)]]
+    assert [[(p["a"], p["b"]) for p in parts] for parts in got] == want
+    assert G._cut(*np.zeros((4, 0)), pa.array([], kind), False).to_pylist() == []
