@@ -63,6 +63,21 @@ OPEN = "n int, have int, expires long, path string, line_no long, raw string, pa
 ORPHAN, BROKEN, RESTARTED, EXPIRED = "no first part", "part out of turn", "another first part", "expired"
 
 
+#: Rows that are Python objects at a time.
+ROWS = 10_000
+_PARTS = pa.schema([("path", pa.dictionary(pa.int32(), pa.string())), ("line_no", pa.int64()), ("sentence", pa.large_string()), ("payload", pa.large_string()), ("pad", pa.int32()), ("date", pa.large_string()), ("fragments", pa.int32()), ("fragment", pa.int32())])
+
+
+def _in_order(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """Parts by file and line. They are kept as Arrow columns; only so many rows at a time become Python objects."""
+    parts = pa.Table.from_batches((pa.RecordBatch.from_pandas(f, _PARTS, preserve_index=False) for f in frames), _PARTS).unify_dictionaries().combine_chunks()
+    path = parts["path"].combine_chunks() if parts.num_rows else pa.DictionaryArray.from_arrays(pa.array([], pa.int32()), pa.array([], pa.string()))
+    rank = np.argsort(np.argsort(path.dictionary.to_numpy(zero_copy_only=False).astype(object))) if len(path.dictionary) else np.zeros(0, np.int64)
+    order = np.lexsort((parts["line_no"].to_numpy(), rank[path.indices.to_numpy()]))
+    for i in range(0, len(order), ROWS):
+        yield from parts.take(pa.array(order[i : i + ROWS])).to_pandas().astype({"path": object}).itertuples(index=False)
+
+
 class _Assembly(StatefulProcessor):
     """Parts of one source and channel in order; the state is the open message, whose timer is set anew by each part.
 
@@ -83,7 +98,10 @@ class _Assembly(StatefulProcessor):
         before = tuple(self.open.get()) if self.open.exists() else None
         held, out = before, []
         lost = lambda m, why: out.append((m[3], m[4], m[5], m[6], None, m[7], why))
-        for row in pd.concat(list(rows)).sort_values(["path", "line_no"]).itertuples(index=False):
+        for row in _in_order(rows):
+            if len(out) >= ROWS:
+                yield self._frame(key, out)
+                out.clear()
             if row.fragment == 1:
                 if held:
                     lost(held, RESTARTED)
@@ -123,7 +141,7 @@ def stream_parts(stream: DataFrame, ttl_s: float = 3600, source: Column | None =
     A message may lie in several files and triggers: the open one of each source and channel is state, and expires
     ``ttl_s`` after its last part, at the first trigger after that. A source is a folder of files unless a column is
     given; within a trigger its files count in order of their names. A trigger's parts of one source and channel are
-    sorted by one task, so ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound its memory. Needs the RocksDB state store
+    sorted by one task, so held there as Arrow columns; ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound its memory. Needs the RocksDB state store
     (``run_available`` sets it).
     """
     ok, _ = verify_sentences(stream)
