@@ -10,11 +10,15 @@ import uuid
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from typing import TYPE_CHECKING
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 #: Characters with Unicode's White_Space property, as a character class body.
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -119,6 +123,18 @@ def by_bytes(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]
         yield lo, len(texts)
 
 
+def text_slices(texts: pa.Array, most: int = 16 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts (null: empty) of at most ``most`` bytes each; a longer text alone."""
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+    lo = 0
+    while lo < len(ends):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
+        yield lo, hi
+        lo = hi
+
+
 def words_of(text: str | None, lower: bool = False) -> list[bytes]:
     """A text's words in UTF-8: bytes.split() cuts at exactly the six characters of ASCII white space, and
     bytes.lower() changes A-Z alone."""
@@ -229,6 +245,9 @@ class Recent:
         """The values of keys, joined."""
         return b"".join(map(self.new.__getitem__, keys))
 
+    def each(self, keys: Iterable[str]) -> list[bytes]:
+        return list(map(self.new.__getitem__, keys))
+
     def found(self, key: str) -> bytes:
         value = self.new.get(key)  # there if a generation ended since the caller took it
         if value is None:
@@ -253,8 +272,9 @@ class Chunks:
 
     A chunk is cut where no token can cross: at white space, which a byte-level tokenizer keeps as one leading space or
     as runs of its own. A new chunk is cut into words by the tokenizer's pattern and each word goes to the library's
-    model. Memos of chunks and words are bounded in bytes; texts that hold a special token's string go through the
-    library as they are, as do all texts if the file has other rules than those known here.
+    model. ``several`` does so for the distinct chunks of many texts at once, with Arrow and numpy around them. Memos of
+    chunks and words are bounded in bytes; texts that hold a special token's string go through the library as they are,
+    as do all texts if the file has other rules than those known here.
     """
 
     def __init__(self, path: str, most: int = 192 << 20):
@@ -274,6 +294,9 @@ class Chunks:
         if pattern:
             self.find = re.compile(f"[{SPACE}]+(?![^{SPACE}])| ?[^{SPACE}]+|[{SPACE}]+" if self.keeps else f"[^{SPACE}]+").findall
             self.cut = regex.compile(pattern).findall
+            self.lines = regex.compile(f"{pattern}|\n").findall
+            plain = pattern.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\w\s]|_)").replace(r"[\p{L}]", r"[^\W\d_]").replace(r"[\p{N}]", r"\d")
+            self.plain_lines = self.lines if r"\p" in plain else re.compile(f"{plain}|\n").findall
         self.known = bool(pattern)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.words = Recent(self.tokens, most // 2)
@@ -313,6 +336,67 @@ class Chunks:
             out += [self.seen.of((first,)), self.spaced.of(rest)]
         return self.seen.of("\n").join(map(b"".join, zip(out[::2], out[1::2], strict=True)))
 
+    def several(self, texts: pa.Array, whole: str = "") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts (null: none), one text after the other, and how many each has.
+
+        Each distinct chunk is cut once and each distinct word is asked for once, however small the memo is; all that is
+        done for every chunk is done by Arrow and numpy. Texts with a character of ``whole`` go through the library as
+        they are, as do those with characters that Python's Unicode does not know: whether they are letters is the
+        library's to say.
+        """
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts, "")
+        if not self.known or self.keeps:
+            parts = [self.one(t) for t in texts.to_pylist()]
+            return np.frombuffer(b"".join(parts), "<u4"), np.array([len(x) // 4 for x in parts], np.int64)
+        odd = np.zeros(len(texts), bool)
+        for s in self.special:
+            odd |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        if whole:
+            odd |= pc.match_substring_regex(texts, f"[{whole}]").to_numpy(zero_copy_only=False)
+        chunks = pc.ascii_split_whitespace(pc.if_else(pa.array(odd), "", texts) if odd.any() else texts)
+        coded = chunks.flatten().dictionary_encode()
+        index, distinct = coded.indices.to_numpy(), coded.dictionary
+        lines = composed(pc.binary_join(pa.ListArray.from_arrays([0, len(distinct)], distinct), "\n")[0].as_py() + "\n")
+        kinds = {c: unicodedata.category(c) for c in set(lines)}
+        if new := "".join(c for c, kind in kinds.items() if kind == "Cn"):
+            return self.several(texts, whole + new)
+        # separators and numbers that are no digits are the only ones that re sees otherwise than the tokenizer's pattern
+        find = self.lines if any(c in "\x1c\x1d\x1e\x1f" or kind in ("Nl", "No") for c, kind in kinds.items()) else self.plain_lines
+        coded = pa.array(find(lines), pa.string()).dictionary_encode()
+        words, word = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        end = words.index("\n")
+        words[end] = ""
+        # the ids of words, then of chunks (each ends with a line feed, which has none), then of texts
+        ids = self.words.each(words)
+        flat, lengths = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, ends = gathered(flat, lengths, word)
+        lengths = np.diff(ends[1:][word == end], prepend=0)
+        flat, ends = gathered(flat, lengths, index)
+        at = ends[chunks.offsets.to_numpy()]
+        counts = np.diff(at)
+        if odd.any():
+            whole = [np.frombuffer(x, "<u4") for x in self.library(texts.filter(pa.array(odd)).to_pylist())]
+            counts[odd] = [len(x) for x in whole]
+            flat = np.insert(flat, np.repeat(at[:-1][odd], counts[odd]), np.concatenate(whole))
+        return flat, counts
+
+
+def gathered(flat: np.ndarray, lengths: np.ndarray, index: np.ndarray, block: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` (one after the other, of the given lengths) in the order of ``index``; where each begins and
+    the last ends."""
+    starts = np.cumsum(lengths) - lengths
+    ends = np.zeros(len(index) + 1, np.int64)
+    np.cumsum(lengths[index], out=ends[1:])
+    out = np.empty(ends[-1], flat.dtype)
+    for lo in range(0, len(index), block):  # the places of all at once would take many times the memory of the ids
+        part = index[lo : lo + block]
+        a, b = ends[lo], ends[lo + len(part)]
+        out[a:b] = flat[np.repeat(starts[part] - ends[lo : lo + len(part)], lengths[part]) + np.arange(a, b)]
+    return out, ends
+
 
 def rules_of(spec: dict) -> tuple[bool, str]:
     """Whether a tokenizer file keeps the text as it is, and its word pattern; no pattern if its rules are others than

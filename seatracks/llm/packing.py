@@ -23,6 +23,8 @@ from . import common
 STEPS, PARTS = 128, 4
 #: Patterns hold no document of fewer steps: small ones fill what is left open.
 LEAST = 8
+#: Bytes of the encoder's memos, half of which are for words.
+MEMO = 512 << 20
 
 
 def patterns(steps: int = STEPS, parts: int = PARTS) -> np.ndarray:
@@ -173,18 +175,25 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0) -
     """Each document's ids with the end id, cut after every ``size``; a row for each piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = common.chunks(tokenizer)
-        end = np.array([end_id], "<u4").tobytes()
+        coder = common.chunks(tokenizer, MEMO)
         for batch in batches:
-            cols: list[list] = [[], [], [], [], []]
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                raw = memoryview(coder.one(text.as_py() or "") + end)
-                name = doc.as_py()
-                for k, at in enumerate(range(0, len(raw) // 4, size)):
-                    part = raw[4 * at : 4 * (at + size)]
-                    for c, x in zip(cols, (name, k, at, len(part) // 4, zlib.crc32(part)), strict=True):
-                        c.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            for lo, hi in common.text_slices(batch.column(1)):
+                flat, counts = coder.several(batch.column(1)[lo:hi])
+                ends = np.cumsum(counts + 1)
+                ids = np.full(len(flat) + len(counts), end_id, "<u4")
+                mine = np.ones(len(ids), bool)
+                mine[ends - 1] = False
+                ids[mine] = flat
+                n = -(-(counts + 1) // size)
+                doc = np.repeat(np.arange(hi - lo), n)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+                start = piece * size
+                length = np.minimum(size, counts[doc] + 1 - start)
+                at = ends[doc] - counts[doc] - 1 + start
+                raw = memoryview(ids.view(np.uint8))
+                crc = [zlib.crc32(raw[4 * a : 4 * (a + m)]) for a, m in zip(at.tolist(), length.tolist(), strict=True)]
+                names = batch.column(0)[lo:hi].take(pa.array(doc))
+                yield pa.RecordBatch.from_arrays([names, pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return common.id_text(docs).mapInArrow(common.tidy(run), PIECES)
 
