@@ -265,6 +265,10 @@ class Recent:
 #: White space besides the single space and the line feed.
 OTHER = re.compile(f"[{SPACE.replace(r'\x20', '').replace(r'\t-\r', r'\t\x0b-\r\x1c-\x1f')}]")
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: A chunk of a text that is kept as it is: ASCII letters, perhaps after a space, and punctuation; two words to its pattern.
+LETTERS = r"^(?P<letters> ?[A-Za-z]+)(?P<rest>[!-/:-@\[-`{-~]*)$"
+#: UTF-8 of the white space beyond ASCII, as numbers.
+WIDE = np.array([int.from_bytes(c.encode(), "big") for c in map(chr, range(0x80, 0x3001)) if re.match(f"[{SPACE}]", c)])
 
 
 class Chunks:
@@ -272,7 +276,8 @@ class Chunks:
 
     A chunk is cut where no token can cross: at white space, which a byte-level tokenizer keeps as one leading space or
     as runs of its own. A new chunk is cut into words by the tokenizer's pattern and each word goes to the library's
-    model. ``several`` does so for the distinct chunks of many texts at once, with Arrow and numpy around them. Memos of
+    model. ``several`` does so for the distinct chunks of many texts at once, with Arrow and numpy around them; where the
+    text is kept as it is, its chunks take the white space before them along. Memos of
     chunks and words are bounded in bytes; texts that hold a special token's string go through the library as they are,
     as do all texts if the file has other rules than those known here.
     """
@@ -294,9 +299,15 @@ class Chunks:
         if pattern:
             self.find = re.compile(f"[{SPACE}]+(?![^{SPACE}])| ?[^{SPACE}]+|[{SPACE}]+" if self.keeps else f"[^{SPACE}]+").findall
             self.cut = regex.compile(pattern).findall
-            self.lines = regex.compile(f"{pattern}|\n").findall
-            plain = pattern.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\w\s]|_)").replace(r"[\p{L}]", r"[^\W\d_]").replace(r"[\p{N}]", r"\d")
-            self.plain_lines = self.lines if r"\p" in plain else re.compile(f"{plain}|\n").findall
+            # chunks that are cut together end with a character that is a word of its own and, to those before it, the end
+            self.end = "\0" if self.keeps else "\n"
+            if self.keeps:
+                pattern = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\s\p{L}\p{N}\0]").replace(r"(?!\S)", r"(?![^\s\0])")
+                plain = pattern.replace(r"[^\s\p{L}\p{N}\0]", r"(?:[^\w\s\0]|_)").replace(r"\p{L}", r"[^\W\d_]").replace(r"\p{N}", r"\d")
+            else:
+                plain = pattern.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\w\s]|_)").replace(r"[\p{L}]", r"[^\W\d_]").replace(r"[\p{N}]", r"\d")
+            self.lines = regex.compile(f"{pattern}|{self.end}").findall
+            self.plain_lines = self.lines if r"\p" in plain else re.compile(f"{plain}|{self.end}").findall
         self.known = bool(pattern)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.words = Recent(self.tokens, most // 2)
@@ -348,34 +359,51 @@ class Chunks:
         import pyarrow.compute as pc
 
         texts = pc.fill_null(texts, "")
-        if not self.known or self.keeps:
+        if not self.known:
             parts = [self.one(t) for t in texts.to_pylist()]
             return np.frombuffer(b"".join(parts), "<u4"), np.array([len(x) // 4 for x in parts], np.int64)
         odd = np.zeros(len(texts), bool)
-        for s in self.special:
+        for s in [*self.special, *[self.end] * self.keeps]:
             odd |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
         if whole:
             odd |= pc.match_substring_regex(texts, f"[{whole}]").to_numpy(zero_copy_only=False)
-        chunks = pc.ascii_split_whitespace(pc.if_else(pa.array(odd), "", texts) if odd.any() else texts)
-        coded = chunks.flatten().dictionary_encode()
+        plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
+        if self.keeps:
+            chunks, bounds = spaced_runs(plain)
+        else:
+            chunks = pc.ascii_split_whitespace(plain)
+            chunks, bounds = chunks.flatten(), chunks.offsets.to_numpy()
+        coded = chunks.dictionary_encode()
         index, distinct = coded.indices.to_numpy(), coded.dictionary
-        lines = composed(pc.binary_join(pa.ListArray.from_arrays([0, len(distinct)], distinct), "\n")[0].as_py() + "\n")
+        pairs = []
+        if self.keeps:  # most chunks are two words to a regular expression of Arrow's; only the others are left
+            pair = pc.extract_regex(distinct, LETTERS)
+            easy = pair.is_valid()
+            pairs, distinct = pair.filter(easy).flatten(), distinct.filter(pc.invert(easy))
+            easy = easy.to_numpy(zero_copy_only=False)
+            index = np.where(easy, np.cumsum(easy) - 1, np.sum(easy) + np.cumsum(~easy) - 1)[index]
+        lines = pc.binary_join(pa.ListArray.from_arrays([0, len(distinct)], distinct), self.end)[0].as_py() + self.end
+        lines = lines if self.keeps else composed(lines)
         kinds = {c: unicodedata.category(c) for c in set(lines)}
         if new := "".join(c for c, kind in kinds.items() if kind == "Cn"):
             return self.several(texts, whole + new)
         # separators and numbers that are no digits are the only ones that re sees otherwise than the tokenizer's pattern
         find = self.lines if any(c in "\x1c\x1d\x1e\x1f" or kind in ("Nl", "No") for c, kind in kinds.items()) else self.plain_lines
-        coded = pa.array(find(lines), pa.string()).dictionary_encode()
+        coded = pa.concat_arrays([*pairs, pa.array(find(lines), pa.string())]).dictionary_encode()
         words, word = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
-        end = words.index("\n")
+        end = words.index(self.end)
         words[end] = ""
-        # the ids of words, then of chunks (each ends with a line feed, which has none), then of texts
+        # the ids of words, then of chunks (pairs first; each other one ends with a word that has none), then of texts
         ids = self.words.each(words)
         flat, lengths = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        paired = sum(map(len, pairs))
+        word = np.concatenate([word[:paired].reshape(2, -1).T.reshape(-1), word[paired:]])
         flat, ends = gathered(flat, lengths, word)
-        lengths = np.diff(ends[1:][word == end], prepend=0)
+        last = word == end
+        last[1:paired:2] = True
+        lengths = np.diff(ends[1:][last], prepend=0)
         flat, ends = gathered(flat, lengths, index)
-        at = ends[chunks.offsets.to_numpy()]
+        at = ends[bounds]
         counts = np.diff(at)
         if odd.any():
             whole = [np.frombuffer(x, "<u4") for x in self.library(texts.filter(pa.array(odd)).to_pylist())]
@@ -384,6 +412,31 @@ class Chunks:
         return flat, counts
 
 
+def spaced_runs(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Texts cut wherever white space of ASCII follows a character that is none, which no token of theirs crosses; the
+    number of runs before each text, and of all."""
+    import pyarrow as pa
+
+    if not len(texts):
+        return pa.array([], pa.string()), np.zeros(1, np.int64)
+    texts = texts.cast(pa.string())
+    _, offsets, data = texts.buffers()
+    data = pa.py_buffer(b"") if data is None else data
+    offsets = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+    space = (raw == 32) | (raw - np.uint8(9) < 5)
+    first = space.copy()
+    first[1:] &= ~space[:-1]
+    at = np.flatnonzero(first[1:] & (raw[:-1] >= 0x80)) + 1
+    before = raw[at - 3].astype(np.int32) << 16 | raw[at - 2].astype(np.int32) << 8 | raw[at - 1]
+    first[at[np.isin(before, WIDE) | np.isin(before & 0xFFFF, WIDE)]] = False
+    starts = offsets - offsets[0]
+    first[starts[starts < len(raw)]] = True
+    at = np.flatnonzero(first)
+    runs = pa.StringArray.from_buffers(len(at), pa.py_buffer(np.append(at + offsets[0], offsets[-1]).astype(np.int32)), data)
+    return runs, np.searchsorted(at, starts)
+
+
 def gathered(flat: np.ndarray, lengths: np.ndarray, index: np.ndarray, block: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """The runs of ``flat`` (one after the other, of the given lengths) in the order of ``index``; where each begins and
     the last ends."""

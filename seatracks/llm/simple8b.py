@@ -24,8 +24,8 @@ BITS = (0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 RUN = 1024
 #: Ids of a block of a token file, about.
 BLOCK = 1 << 18
-#: Bytes of the encoder's memos.
-MEMO = 320 << 20
+#: Bytes of the encoder's memos, half of which are for words; bytes of texts that are encoded at once.
+MEMO, SLICE = 512 << 20, 16 << 20
 _COUNTS, _BITS = np.array(COUNTS, np.int32), np.array(BITS, np.int32)
 
 
@@ -113,39 +113,48 @@ BLOCKS = "part int, block int, n_docs long, n_ids long, doc_ids binary, doc_null
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
     """Tokenizes whole texts and writes coded blocks in ascending doc_id order (null first, ties by a hash of the text).
 
-    One range exchange by id moves the texts; each task then encodes and writes its range block by block, in constant
-    memory. ``path`` may be in any store that Spark writes to. A file's rows are its blocks: the ids of their documents,
-    the documents' lengths, and Simple-8b words with run offsets. Null and empty texts are their end id alone. Repeated
-    rows are written one by one; other columns, whatever their names, are ignored; an empty table gives no blocks.
+    One range exchange by id moves the texts; each task then encodes its range by slices of texts and writes it block by
+    block, in constant memory. ``path`` may be in any store that Spark writes to. A file's rows are its blocks: the ids
+    of their documents, the documents' lengths, and Simple-8b words with run offsets. Null and empty texts are their end
+    id alone. Repeated rows are written one by one; other columns, whatever their names, are ignored; an empty table
+    gives no blocks.
     """
     from pyspark import TaskContext
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, block = common.chunks(tokenizer, MEMO), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
-        ids: list[bytes] = []
-        names: list[int | None] = []
+        names: list[pa.Array] = []
+        lengths: list[np.ndarray] = []
+        ids: list[np.ndarray] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal ids, names, held, block
-            flat = np.frombuffer(b"".join(ids), "<u4")
+            nonlocal names, lengths, ids, held, block
+            doc, sizes, flat = pa.concat_arrays(names), np.concatenate(lengths), np.concatenate(ids)
             words, offsets = encode(flat)
             row = {
-                "part": part, "block": block, "n_docs": len(names), "n_ids": len(flat),
-                "doc_ids": np.array([x or 0 for x in names], "<i8").tobytes(), "doc_null": np.array([x is None for x in names], np.uint8).tobytes(),
-                "lengths": np.array([len(x) // 4 for x in ids], "<u4").tobytes(), "offsets": offsets.tobytes(), "words": words.tobytes(),
+                "part": part, "block": block, "n_docs": len(doc), "n_ids": len(flat),
+                "doc_ids": doc.fill_null(0).to_numpy().astype("<i8").tobytes(), "doc_null": doc.is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(),
+                "lengths": sizes.astype("<u4").tobytes(), "offsets": offsets.tobytes(), "words": words.tobytes(),
             }
-            ids, names, held, block = [], [], 0, block + 1
+            names, lengths, ids, held, block = [], [], [], 0, block + 1
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), *[(k, pa.binary()) for k in ("doc_ids", "doc_null", "lengths", "offsets", "words")]]))
 
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                names.append(doc.as_py())
-                ids.append(coder.one(text.as_py() or "") + end)
-                held += len(ids[-1]) // 4
-                if held >= BLOCK:
-                    yield flush()
+            for lo, hi in common.text_slices(batch.column(1), SLICE):
+                flat, counts = coder.several(batch.column(1)[lo:hi])
+                ends = np.cumsum(counts + 1)
+                flat = np.insert(flat, np.cumsum(counts), end_id)
+                at = used = 0
+                while at < len(ends):  # a block ends with the document that fills it
+                    stop = min(int(np.searchsorted(ends, used + BLOCK - held)) + 1, len(ends))
+                    names.append(batch.column(0)[lo + at : lo + stop])
+                    lengths.append(counts[at:stop] + 1)
+                    ids.append(flat[used : ends[stop - 1]])
+                    held += len(ids[-1])
+                    at, used = stop, int(ends[stop - 1])
+                    if held >= BLOCK:
+                        yield flush()
         if names:
             yield flush()
 
